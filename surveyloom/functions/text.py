@@ -18,11 +18,11 @@ def any_of_pattern(words: list[str]) -> str:
 
 
 def contains_any(text: Column, words: list[str]) -> Column:
-    """True where ``text`` contains at least one of ``words``; false for NULL text."""
-    hits = F.lit(False)
-    for word in words:
-        hits = hits | text.contains(word)
-    return F.coalesce(hits, F.lit(False))
+    """True where ``text`` contains at least one of ``words``; false for NULL text.
+
+    One pattern, so that ``text``, which may be a long expression, is worked out once.
+    """
+    return F.coalesce(text.rlike(any_of_pattern(words)), F.lit(False))
 
 
 def strip(text: Column) -> Column:

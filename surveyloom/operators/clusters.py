@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from surveyloom import lexicons
+from surveyloom.session import stored
 
 
 def fit_clusters(
@@ -18,17 +19,24 @@ def fit_clusters(
     stop_words: list[str] | None = None, max_iter: int = 20,
 ) -> PipelineModel:
     """Vectorise and cluster. Terms are hashed into ``features`` columns, so the size of the model
-    does not depend on the data."""
+    does not depend on the data. The vectors are written once; the k-means rounds read only them."""
     stop_words = lexicons.default_stop_words("en") if stop_words is None else stop_words
-    stages = [
-        RegexTokenizer(inputCol=text, outputCol="_tokens", pattern=r"[^\p{L}\p{N}_]+", minTokenLength=2),
-        StopWordsRemover(inputCol="_tokens", outputCol="_terms", stopWords=stop_words),
-        HashingTF(inputCol="_terms", outputCol="_tf", numFeatures=features),
-        IDF(inputCol="_tf", outputCol="_tfidf"),
-        Normalizer(inputCol="_tfidf", outputCol="features"),
-        KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster_id", maxIter=max_iter),
-    ]
-    return Pipeline(stages=stages).fit(questions)
+    vectorise = Pipeline(
+        stages=[
+            RegexTokenizer(inputCol=text, outputCol="_tokens", pattern=r"[^\p{L}\p{N}_]+", minTokenLength=2),
+            StopWordsRemover(inputCol="_tokens", outputCol="_terms", stopWords=stop_words),
+            HashingTF(inputCol="_terms", outputCol="_tf", numFeatures=features),
+        ]
+    ).fit(questions)
+    counts = stored(vectorise.transform(questions).select("_tf"), "term-counts")
+    scale = Pipeline(
+        stages=[IDF(inputCol="_tf", outputCol="_tfidf"), Normalizer(inputCol="_tfidf", outputCol="features")]
+    ).fit(counts)
+    vectors = scale.transform(counts).select("features").persist()
+    kmeans = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster_id", maxIter=max_iter)
+    model = kmeans.fit(vectors)
+    vectors.unpersist()
+    return PipelineModel([*vectorise.stages, *scale.stages, model])
 
 
 def assign_clusters(model: PipelineModel | None, questions: DataFrame) -> DataFrame:
@@ -60,10 +68,10 @@ def centroids(points: DataFrame, vector: str, group: str) -> DataFrame:
     )
 
 
-def nearest_centroid(points: DataFrame, vector: str, centres: DataFrame, group: str) -> Column:
-    """Group of the nearest centre by Euclidean distance; the lower group on a tie.
+def nearest_centroid(points: DataFrame, vector: str, centres: DataFrame, group: str, name: str = "cluster_id") -> DataFrame:
+    """Points with the group of the nearest centre by Euclidean distance; the lower group on a tie.
 
-    The centres are a few vectors; they reach the tasks as one constant.
+    The centres are one vector per group; they reach the tasks as one constant.
     """
     listed = centres.agg(F.array_sort(F.collect_list(F.struct(group, "centre")))).scalar()
 
@@ -72,9 +80,9 @@ def nearest_centroid(points: DataFrame, vector: str, centres: DataFrame, group:
         return F.aggregate(squares, F.lit(0.0), lambda acc, s: acc + s)
 
     scored = F.transform(
-        listed, lambda c: F.struct(F.round(distance(c["centre"]), 9).alias("d"), c[group].alias("g"))
+        F.col("_centres"), lambda c: F.struct(F.round(distance(c["centre"]), 9).alias("d"), c[group].alias("g"))
     )
-    return F.array_min(scored)["g"]
+    return points.withColumn("_centres", listed).withColumn(name, F.array_min(scored)["g"]).drop("_centres")
 
 
 def scatter_positions(assigned: DataFrame) -> DataFrame:

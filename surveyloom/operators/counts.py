@@ -265,10 +265,10 @@ def density_curve(df: DataFrame, value: str, points: int = 50, bandwidth: float
     at = F.col("r.lo") + F.col("point") * (F.col("r.hi") - F.col("r.lo")) / (points - 1)
     z = (at - F.col("x")) / F.col("r.h")
     return (
-        grid.select("point", at.alias("at"), "c", F.col("r.n").alias("n"), F.col("r.h").alias("h"), z.alias("z"))
+        grid.select("point", at.alias("grid_x"), "c", F.col("r.n").alias("n"), F.col("r.h").alias("h"), z.alias("z"))
         .groupBy("point")
         .agg(
-            F.first("at").alias("at"),
+            F.first("grid_x").alias("grid_x"),
             F.sum(
                 F.col("c") * F.exp(-0.5 * F.col("z") * F.col("z"))
                 / (F.col("n") * F.col("h") * F.sqrt(F.lit(2.0) * F.pi()))

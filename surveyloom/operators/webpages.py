@@ -14,6 +14,7 @@ from urllib.parse import urljoin
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from surveyloom import lexicons
 from surveyloom.functions import options as opt
@@ -197,7 +198,7 @@ def distinct_questions(questions: DataFrame) -> DataFrame:
     return first_wins(spot, ["question_text"], "_spot").drop("_spot")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def absolute_url(base: pd.Series, href: pd.Series) -> pd.Series:
     """Resolve links against the page they stand on; NULL for a link that is no url."""
     def resolve(b: str, h: str) -> str | None:

@@ -25,6 +25,7 @@ def local_session(cores: int = 8, memory: str = "8g", name: str = "surveyloom",
         "spark.driver.memory": memory,
         "spark.sql.shuffle.partitions": str(cores),
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         **conf,
     }
     for key, value in settings.items():

@@ -1,7 +1,8 @@
 """Reading JSON documents into tables.
 
-A multi-line JSON document cannot be split, so it is read by one task. Convert it once
-(``convert_rows`` and a Parquet write) and query the table; everything downstream splits.
+A document that spans several lines cannot be split, so it is read by one task. Convert it once
+(``convert_rows`` and a Parquet write) and query the table; everything downstream splits. With
+``multi_line=False`` a file holds one document per line instead, and is split like any other.
 """
 
 from __future__ import annotations
@@ -23,15 +24,15 @@ def _path_exists(spark: SparkSession, path: str) -> bool:
     return location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location)
 
 
-def _read_document(spark: SparkSession, path: str, schema: str) -> DataFrame:
+def _read_document(spark: SparkSession, path: str, schema: str, multi_line: bool) -> DataFrame:
     if not _path_exists(spark, path):
         return spark.createDataFrame([], schema)
-    return spark.read.option("multiLine", True).schema(schema).json(path)
+    return spark.read.option("multiLine", multi_line).schema(schema).json(path)
 
 
-def read_bank(spark: SparkSession, path: str) -> DataFrame:
+def read_bank(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """One row per bank document, with its collections as arrays; no row when the file is missing."""
-    return _read_document(spark, path, schemas.BANK_DOCUMENT)
+    return _read_document(spark, path, schemas.BANK_DOCUMENT, multi_line)
 
 
 def _collection(bank: DataFrame, name: str) -> DataFrame:
@@ -62,11 +63,13 @@ def bank_users(bank: DataFrame) -> DataFrame:
     return _collection(bank, "users")
 
 
-def read_responses(spark: SparkSession, path: str) -> DataFrame:
-    return _collection(_read_document(spark, path, schemas.RESPONSE_DOCUMENT), "responses")
+def read_responses(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    return _collection(_read_document(spark, path, schemas.RESPONSE_DOCUMENT, multi_line), "responses")
 
 
-def read_question_list(spark: SparkSession, path: str, fields: str = schemas.CRAWLED_QUESTION) -> DataFrame:
+def read_question_list(
+    spark: SparkSession, path: str, fields: str = schemas.CRAWLED_QUESTION, multi_line: bool = True
+) -> DataFrame:
     """Questions of a JSON array, or of an object that holds the array under ``fullContent``.
 
     Both are read with one schema: a row of a bare array has the fields at the top, a wrapping
@@ -74,7 +77,7 @@ def read_question_list(spark: SparkSession, path: str, fields: str = schemas.CRA
     """
     wrapped = f"{fields}, fullContent array<{schemas._struct(fields)}>"
     names = [f.strip().split(" ")[0] for f in schemas._split_top(fields)]
-    rows = spark.read.option("multiLine", True).schema(wrapped).json(path)
+    rows = spark.read.option("multiLine", multi_line).schema(wrapped).json(path)
     # One row per document element; an element is either a question or the wrapper.
     items = F.coalesce("fullContent", F.array(F.struct(*names)))
     numbered = rows.withColumn("part", F.monotonically_increasing_id())

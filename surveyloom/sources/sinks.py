@@ -28,7 +28,9 @@ def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
         elif isinstance(field.dataType, (T.StructType, T.MapType)):
             column = F.to_json(column)
         columns.append(column.alias(field.name))
-    df.select(*columns).write.mode(mode).option("header", True).option("escape", '"').csv(path)
+    writer = df.select(*columns).write.mode(mode).option("header", True).option("escape", '"')
+    # By default the writer would cut blanks off the ends of the values.
+    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
 def unseen_rows(target: DataFrame, batch: DataFrame, key: str, order: str = "seq") -> DataFrame:
