@@ -329,7 +329,7 @@ def _(t):
         )
     )
     path, checkpoint = _folders(t, "answers")
-    live.write_answer_log(live.last_answers(source, "400 days"), path, checkpoint).awaitTermination()
+    live.write_answer_log(live.last_answers(source, "400 days", "1 day"), path, checkpoint).awaitTermination()
     return live.current_answers(t.spark, path).select("session_id", "question_id", "answer", "event_id")
 
 

@@ -7,6 +7,8 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from surveyloom.sources import read_table
+
 # Question wordings over all parts; both engines read this expression.
 WORDING = """CASE p_partkey % 14
  WHEN 0 THEN 'How satisfied are you with the ' || p_name || '?'
@@ -62,7 +64,7 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return read_table(self.spark, f"{self.folder}/{name}.parquet", heavy=name in ("documents", "pages"))
 
     @cached_property
     def questions(self) -> DataFrame:

@@ -14,6 +14,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from surveyloom.session import stored
+
 SUMS = ["n", "sx", "sy", "sxx", "syy", "sxy"]
 MOMENTS = (
     "col_i string, col_j string, n double, sx double, sy double, sxx double, syy double, sxy double, "
@@ -101,14 +103,16 @@ def correlation_matrix(cells: DataFrame, row: str, col: str, value: str) -> Data
     var_x, var_y = n * F.col("sxx") - sx * sx, n * F.col("syy") - sy * sy
     flat = (F.col("min_x") == F.col("max_x")) | (F.col("min_y") == F.col("max_y"))
     r = F.try_divide(n * F.col("sxy") - sx * sy, F.sqrt(F.greatest(var_x * var_y, F.lit(0.0))))
-    known = pair_moments(cells, row, col, value).select(
+    # One row per pair of columns: small, and read three times below.
+    known = stored(pair_moments(cells, row, col, value), "moments").select(
         "col_i", "col_j", n.cast("bigint").alias("n"),
         F.when(n < 2, F.lit(0.0)).when(~flat, F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r))).alias("corr"),
     )
-    # The matrix lists every pair, so pairs without a common row are added with 0.0.
-    names = cells.filter(F.col(value).isNotNull()).select(F.col(col).cast("string").alias("c")).distinct()
-    every = names.agg(F.collect_set("c")).scalar()
-    pairs = names.select(F.col("c").alias("col_i"), F.explode(every).alias("col_j"))
+    # The matrix lists every pair, so pairs without a common row are added with 0.0. Every column
+    # with data is paired with itself.
+    names = known.filter(F.col("col_i") == F.col("col_j")).select("col_i")
+    every = names.agg(F.collect_set("col_i")).scalar()
+    pairs = names.select("col_i", F.explode(every).alias("col_j"))
     return pairs.join(known, ["col_i", "col_j"], "left").select(
         "col_i", "col_j", F.coalesce("n", F.lit(0)).alias("n"),
         F.when(F.col("n").isNull(), F.lit(0.0)).otherwise(F.col("corr")).alias("corr"),

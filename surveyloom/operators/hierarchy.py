@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from surveyloom.operators.firstwins import top_per_group
+from surveyloom.session import stored
 from surveyloom.sources.ids import ordered_index, ranked_within
 
 
@@ -114,21 +115,29 @@ def next_questions(
     push a candidate further back than rank k + m, so only those first ranks are looked up, by an
     equi-join on (group, rank).
     """
-    seen = answers.select("user_id", "question_id").unionByName(current.select("user_id", "question_id")).distinct()
+    pairs = answers.select("user_id", "question_id", "answer").unionByName(
+        current.select("user_id", "question_id", F.lit(None).cast("string").alias("answer"))
+    )
+    seen = stored(pairs.groupBy("user_id", "question_id").agg(F.max("answer").alias("answer")), "seen")
     reach = seen.groupBy("user_id").agg((F.count("*") + k).alias("reach"))
-    at = (
+    # One row per user, read by three strategies.
+    at = stored(
         current.join(tree.select("question_id", "cluster_id", "category"), "question_id")
-        .join(reach, "user_id")
-        .join(answers.select("user_id", "question_id", "answer"), ["user_id", "question_id"], "left")
+        .join(seen, ["user_id", "question_id"])
+        .join(reach, "user_id"),
+        "current",
     )
     own = F.array(
         F.struct(F.lit(1).alias("strategy"), F.lit("parent").alias("kind"), F.col("question_id").cast("string").alias("grp")),
         F.struct(F.lit(2).alias("strategy"), F.lit("cluster").alias("kind"), F.col("cluster_id").cast("string").alias("grp")),
     )
     probes = at.select("user_id", "reach", F.inline(own))
-    by_rule = at.join(answer_rules, F.contains(F.col("answer"), F.col("keyword"))).select(
+    # The rules are a short list; each answer is held against it in place.
+    rules = answer_rules.agg(F.collect_list(F.struct("keyword", "rule_category"))).scalar()
+    hits = F.filter("_rules", lambda r: F.contains(F.col("answer"), r["keyword"]))
+    by_rule = at.withColumn("_rules", rules).select(
         "user_id", "reach", F.lit(3).alias("strategy"), F.lit("category").alias("kind"),
-        F.col("rule_category").alias("grp"),
+        F.explode(F.transform(hits, lambda r: r["rule_category"])).alias("grp"),
     )
     by_category = at.join(associations, "category").select(
         "user_id", "reach", F.lit(4).alias("strategy"), F.lit("category").alias("kind"), F.col("associated").alias("grp")
@@ -141,7 +150,7 @@ def next_questions(
         .join(groups, ["kind", "grp", "rank"])
     )
     candidates = looked_up.groupBy("user_id", "question_id").agg(F.min("strategy").alias("strategy"))
-    open_ones = candidates.join(seen, ["user_id", "question_id"], "left_anti")
+    open_ones = candidates.join(seen.select("user_id", "question_id"), ["user_id", "question_id"], "left_anti")
     return top_per_group(open_ones, ["user_id"], ["strategy", "question_id"], k, rank="rank")
 
 

@@ -60,14 +60,14 @@ def weighted(postings: DataFrame, vocabulary: DataFrame) -> DataFrame:
 def build_index(corpus: DataFrame, doc: str, text: str, stop_words: list[str], shown: str | None = None) -> TermIndex:
     """Index ``text``; ``shown`` is the text a result is recognised by (default: the same).
 
-    Postings and vocabulary are written once, as everything that follows reads them several times.
+    The three tables are written once, as everything that follows reads them several times.
     The postings of a document lie together in one file, so its norm is added up without moving them.
     """
     postings = stored(term_counts(corpus, doc, text, stop_words), "postings")
     vocabulary = stored(vocabulary_of(postings, corpus), "vocabulary")
     lengths = weighted(postings, vocabulary).groupBy("doc").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
     keys = corpus.select(F.col(doc).alias("doc"), digest(F.col(shown or text)).alias("text_key"))
-    return TermIndex(postings, vocabulary, lengths.join(keys, "doc"))
+    return TermIndex(postings, vocabulary, stored(lengths.join(keys, "doc"), "norms"))
 
 
 def write_index(index: TermIndex, path: str) -> None:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from surveyloom import lexicons
@@ -27,15 +27,12 @@ def clean_questions(
     """
     defaults = lexicons.DEFAULT_OPTIONS[lang] if default_options is None else default_options
     fields = ["question_id", "options", "source_platform", "original_category", "cleaned_text"]
-    cleaned = (
-        raw.filter(pred.not_empty(F.col("text")))
-        .withColumn("cleaned_text", txt.clean_text(F.col("text")))
-        .filter(F.col("cleaned_text") != "")
-    )
+    cleaned = raw.filter(pred.not_empty(F.col("text"))).withColumn("cleaned_text", txt.clean_text(F.col("text")))
     folded = cleaned.groupBy(txt.digest(F.col("cleaned_text")).alias("_key")).agg(
         F.min_by(F.struct("seq", *fields), "seq").alias("first"), F.count("*").alias("frequency")
     )
-    rows = folded.select("first.*", "frequency").withColumn(
+    # Texts that became empty are one folded row by now; dropping them earlier would clean every text twice.
+    rows = folded.select("first.*", "frequency").filter(F.col("cleaned_text") != "").withColumn(
         "options", opt.standardize_options(F.col("options"), defaults, option_prefix)
     )
     typed = rows.withColumn(
@@ -57,6 +54,17 @@ def clean_questions(
     )
 
 
+def computed_once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """``withColumn`` for a costly value that later filters read.
+
+    Spark moves such filters below a plain column and then works the value out twice; it does not
+    move them below a generated column.
+    """
+    return df.withColumn("_value", value).select(
+        *[c for c in df.columns if c != name], F.explode(F.array("_value")).alias(name)
+    )
+
+
 def split_failed(rows: DataFrame, casts: dict[str, str]) -> tuple[DataFrame, DataFrame]:
     """(rows whose columns all convert, the others unchanged). A bad value never stops the job."""
     fits = F.lit(True)
@@ -71,7 +79,7 @@ def prepare_pool(
 ) -> DataFrame:
     """Crawled questions made ready for retrieval: cleaned, language detected, near-duplicates
     dropped, difficulty scored. ``raw`` has seq, question_text, options_text, question_type."""
-    cleaned = raw.withColumn("question_text", txt.clean_question_text(F.col("question_text"))).filter(
+    cleaned = computed_once(raw, "question_text", txt.clean_question_text(F.col("question_text"))).filter(
         pred.longer_than(F.col("question_text"), min_chars)
     )
     if require_question_mark:

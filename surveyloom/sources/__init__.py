@@ -3,3 +3,4 @@
 from surveyloom.sources.documents import *  # noqa: F401,F403
 from surveyloom.sources.ids import *  # noqa: F401,F403
 from surveyloom.sources.sinks import *  # noqa: F401,F403
+from surveyloom.sources.tables import *  # noqa: F401,F403
