@@ -305,9 +305,10 @@ def _(t):
 SELECT 'list' AS kind, n.id, array_to_string(list_concat(n.question_ids, coalesce((SELECT list(question_id ORDER BY position) FROM added a WHERE a.questionnaire_id = n.id), [])), ',') AS value FROM questionnaires n
 UNION ALL SELECT 'usage', q.id, CAST((SELECT count(*) FROM added a WHERE a.question_id = q.id) AS VARCHAR) FROM questions q""")
 def _(t):
-    lists, bank = edits.apply_links(
+    links, bank = edits.apply_links(
         t.questionnaires, t.questions.withColumn("usage_count", F.lit(0).cast("bigint")), _links(t)
     )
+    lists = edits.with_question_lists(t.questionnaires, links)
     return lists.select(F.lit("list").alias("kind"), "id", F.array_join(F.col("question_ids").cast("array<string>"), ",").alias("value")).unionByName(
         bank.select(F.lit("usage").alias("kind"), "id", F.col("usage_count").cast("string").alias("value"))
     )

@@ -98,7 +98,7 @@ def _(t):
     tree = stored(_tree(t), "tree")
     found = hierarchy.next_questions(
         tree, hierarchy.ranked_groups(tree), current, answered.drop("spot"), _associations(t),
-        t.spark.createDataFrame(RULES, "keyword string, rule_category string"), 5,
+        RULES, 5,
     )
     return found.select("user_id", "question_id", big("strategy").alias("strategy"), big("rank").alias("rank"))
 

@@ -25,9 +25,9 @@ def type_from_option_text(options_text: Column, question_text: Column) -> Column
 def type_from_option_count(options: Column, yes_no_words: list[str] | None = None) -> Column:
     """Question type of a cleaned question, from the number of its options."""
     words = lexicons.YES_NO_OPTIONS["en"] if yes_no_words is None else yes_no_words
-    count = F.size(options)
+    count = F.coalesce(F.size(options), F.lit(0))
     return (
-        F.when(count <= 0, "open_ended")
+        F.when(count == 0, "open_ended")
         .when((count == 2) & F.arrays_overlap(options, F.array(*map(F.lit, words))), "yes_no")
         .when(count <= 4, "single_choice")
         .otherwise("multiple_choice")

@@ -69,24 +69,42 @@ def link_questions(requests: DataFrame, questionnaires: DataFrame, bank: DataFra
 
 
 def apply_links(questionnaires: DataFrame, bank: DataFrame, result: LinkResult) -> tuple[DataFrame, DataFrame]:
-    """(questionnaires with the new ids at the end of their lists, bank with raised usage counts).
+    """(all links as (questionnaire_id, position, question_id), bank with raised usage counts).
 
-    A questionnaire is one row and its list one array, so a list is built in one place by nature.
+    Links stay rows, so a questionnaire may have any number of them. ``with_question_lists`` turns
+    them into the list column where lists are short.
     """
-    grown = result.added.groupBy(F.col("questionnaire_id").alias("id")).agg(
+    existing = questionnaires.select(
+        F.col("id").alias("questionnaire_id"), F.posexplode("question_ids").alias("position", "question_id")
+    ).withColumn("position", F.col("position").cast("bigint"))
+    links = existing.unionByName(result.added.select("questionnaire_id", "position", "question_id"))
+    counts = result.usage.withColumnRenamed("question_id", "id")
+    used = bank.join(counts, "id", "left").withColumn(
+        "usage_count", F.coalesce("usage_count", F.lit(0)) + F.coalesce("added_count", F.lit(0))
+    )
+    return links, used.drop("added_count")
+
+
+def with_question_lists(questionnaires: DataFrame, links: DataFrame, most: int = 100_000) -> DataFrame:
+    """Questionnaires with their links as ``question_ids``.
+
+    A list is one value of one row. The longest one is measured first; beyond ``most`` entries the
+    links have to stay a table.
+    """
+    longest = links.groupBy("questionnaire_id").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+    if longest > most:
+        raise ValueError(f"a questionnaire has {longest} questions; keep the links as a table")
+    lists = links.groupBy(F.col("questionnaire_id").alias("id")).agg(
         F.transform(
             F.array_sort(F.collect_list(F.struct("position", "question_id"))), lambda x: x["question_id"]
-        ).alias("_new")
+        ).alias("_ids")
     )
     none = F.array().cast("array<bigint>")
-    lists = questionnaires.join(grown, "id", "left").withColumn(
-        "question_ids", F.concat(F.coalesce("question_ids", none), F.coalesce("_new", none))
-    )
-    counts = result.usage.withColumnRenamed("question_id", "id")
-    used = bank.join(counts, "id", "left").withColumn(
-        "usage_count", F.coalesce("usage_count", F.lit(0)) + F.coalesce("added_count", F.lit(0))
+    return (
+        questionnaires.join(lists, "id", "left")
+        .withColumn("question_ids", F.coalesce("_ids", none))
+        .drop("_ids")
     )
-    return lists.drop("_new"), used.drop("added_count")
 
 
 @dataclass

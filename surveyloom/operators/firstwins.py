@@ -35,7 +35,10 @@ def first_wins(df: DataFrame, keys: list[str], order: str = "seq") -> DataFrame:
 
 def new_rows(batch: DataFrame, history: DataFrame, keys: list[str], order: str = "seq") -> DataFrame:
     """First row per key of ``batch``, without the keys already in ``history``."""
-    return first_wins(batch, keys, order).join(history.select(*keys), keys, "left_anti")
+    names = [f"_k{i}" for i in range(len(keys))]
+    known = history.select(*[c.alias(n) for c, n in zip(_narrow(history, keys), names)])
+    fresh = first_wins(batch, keys, order).withColumns(dict(zip(names, _narrow(batch, keys))))
+    return fresh.join(known, names, "left_anti").drop(*names)
 
 
 def drop_near_duplicates(

@@ -102,12 +102,12 @@ def ranked_groups(tree: DataFrame) -> DataFrame:
 
 def next_questions(
     tree: DataFrame, groups: DataFrame, current: DataFrame, answers: DataFrame,
-    associations: DataFrame, answer_rules: DataFrame, k: int,
+    associations: DataFrame, answer_rules: list[tuple[str, str]], k: int,
 ) -> DataFrame:
     """The next ``k`` questions per user.
 
-    ``current`` (user_id, question_id): where each user is. ``answers`` (user_id, question_id, answer).
-    Candidates: children of the current question (1), its cluster (2), categories whose rule keyword
+    ``current`` (user_id, question_id): where each user is. ``answers`` (user_id, question_id, answer),
+    one per user and question. ``answer_rules``: (keyword, category) pairs. Candidates: children of the current question (1), its cluster (2), categories whose rule keyword
     occurs in the current answer (3), categories associated with its own (4). Best strategy first,
     then id; answered questions and the current one are left out.
 
@@ -132,12 +132,11 @@ def next_questions(
         F.struct(F.lit(2).alias("strategy"), F.lit("cluster").alias("kind"), F.col("cluster_id").cast("string").alias("grp")),
     )
     probes = at.select("user_id", "reach", F.inline(own))
-    # The rules are a short list; each answer is held against it in place.
-    rules = answer_rules.agg(F.collect_list(F.struct("keyword", "rule_category"))).scalar()
-    hits = F.filter("_rules", lambda r: F.contains(F.col("answer"), r["keyword"]))
-    by_rule = at.withColumn("_rules", rules).select(
+    answer = F.coalesce("answer", F.lit(""))
+    hits = F.array_compact(F.array(*[F.when(answer.contains(word), category) for word, category in answer_rules]))
+    by_rule = at.select(
         "user_id", "reach", F.lit(3).alias("strategy"), F.lit("category").alias("kind"),
-        F.explode(F.transform(hits, lambda r: r["rule_category"])).alias("grp"),
+        F.explode(hits.cast("array<string>")).alias("grp"),
     )
     by_category = at.join(associations, "category").select(
         "user_id", "reach", F.lit(4).alias("strategy"), F.lit("category").alias("kind"), F.col("associated").alias("grp")

@@ -31,15 +31,13 @@ def user_types(rates: DataFrame) -> DataFrame:
 
     ``rates`` is the user by category table, so a user has at most one row per category.
     """
-    best = F.max_by("category", F.struct("rate", "neg_rank"))
-    # Ties go to the first category by name; the position in the sorted name list orders them.
-    names = rates.select("category").distinct().agg(F.array_sort(F.collect_set("category"))).scalar()
-    ranked = rates.withColumn("neg_rank", -F.array_position(names, F.col("category")))
-    return ranked.groupBy("user_id").agg(
+    # The least (-rate, name): the highest rate, and of equal rates the first name.
+    best = F.min(F.struct((-F.col("rate")).alias("minus_rate"), "category"))
+    return rates.groupBy("user_id").agg(
         F.count("*").alias("categories"),
         F.sum("answered").alias("answered"),
         F.sum("total").alias("total"),
-        best.alias("user_type"),
+        best["category"].alias("user_type"),
         F.max("rate").alias("best_rate"),
     )
 
