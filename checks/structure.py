@@ -62,14 +62,14 @@ EDGES = NODES + ASSOCIATED_SQL + """,
 
 @check("relationships", "H2", "questions", EDGES + " SELECT source_id, target_id, edge_type FROM edges")
 def _(t):
-    return hierarchy.relationships(_tree(t), _associations(t))
+    return hierarchy.relationships(stored(_tree(t), "tree"), _associations(t))
 
 
 @check("graph_nodes", "H9", "questions", EDGES + """
 SELECT question_id, (SELECT count(*) FROM edges WHERE source_id = question_id) AS out_degree,
  (SELECT count(*) FROM edges WHERE target_id = question_id) AS in_degree FROM tree""")
 def _(t):
-    tree = _tree(t)
+    tree = stored(_tree(t), "tree")
     nodes, _edges = hierarchy.graph_data(tree, hierarchy.relationships(tree, _associations(t)))
     return nodes.select("question_id", "out_degree", "in_degree")
 
@@ -115,7 +115,7 @@ def _(t):
     name = lambda n: F.concat(F.lit("Brand#"), n.cast("string"))
     two = F.array(name(F.col("user_id") % 40 + 1), name(F.col("user_id") % 7 + 26))
     interests = users.select("user_id", F.explode(two).alias("category"))
-    return hierarchy.first_questions(_tree(t), interests, users, 4).withColumn("rank", big("rank"))
+    return hierarchy.first_questions(stored(_tree(t), "tree"), interests, users, 4).withColumn("rank", big("rank"))
 
 
 # --- cleaning compositions -------------------------------------------------------------------

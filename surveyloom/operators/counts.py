@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from surveyloom.functions.predicates import is_answered, not_default_category, not_empty
 from surveyloom.functions.text import contains_any
+from surveyloom.operators.firstwins import top_per_group
+from surveyloom.session import stored
 
 
 def count_by(df: DataFrame, value: Column, name: str, default: str | None = None) -> DataFrame:
@@ -101,6 +103,7 @@ def text_frequency(df: DataFrame, text: str) -> DataFrame:
 def frequency_report(frequencies: DataFrame, text: str, order: str = "seq", top: int = 10) -> DataFrame:
     """(metric, key, value) from one row per text with its frequency: total, distinct texts,
     the most frequent texts and how many texts occur once, twice and so on. No rows: no report."""
+    frequencies = stored(frequencies.select(text, "frequency", order), "frequencies")
     totals = frequencies.agg(
         F.count("*").alias("total_questions"), F.count_distinct(text).alias("unique_questions")
     ).filter(F.col("total_questions") > 0)
@@ -140,7 +143,7 @@ def crawl_statistics(questions: DataFrame, top_categories: int = 10, top_sources
         (F.coalesce("source_url", F.lit("")) != "generated").alias("is_real"),
     )
     names = ["category", "question_type", "source_name"]
-    sets = base.groupingSets([[F.col(n)] for n in names] + [[]], *names).agg(
+    grouped = base.groupingSets([[F.col(n)] for n in names] + [[]], *names).agg(
         F.grouping_id(*names).alias("gid"),
         F.count("*").alias("n"),
         F.min("seq").alias("first_seq"),
@@ -148,6 +151,8 @@ def crawl_statistics(questions: DataFrame, top_categories: int = 10, top_sources
         F.count_if("is_zh").alias("zh"),
         F.count_if("is_real").alias("real"),
     )
+    # One row per category, type and source: written, so that the parts below do not scan again.
+    sets = stored(grouped, "crawl-statistics")
     kinds = {0b011: "category", 0b101: "question_type", 0b110: "source_name"}
     metric, key = F.lit("total"), F.lit("")
     for gid, name in kinds.items():
@@ -165,11 +170,9 @@ def crawl_statistics(questions: DataFrame, top_categories: int = 10, top_sources
             ]
         ),
     ).otherwise(F.array(F.struct(metric.alias("metric"), key.alias("key"), F.col("n").alias("value"))))
-    total = base.agg(F.count("*")).scalar()
+    total = sets.filter(F.col("gid") == 0b111).agg(F.max("n")).scalar()
     limits = {"category": top_categories, "source_name": top_sources}
     # Ranking is per metric over grouped rows; the group limit keeps the first few in each task.
-    from surveyloom.operators.firstwins import top_per_group
-
     listed = sets.select("first_seq", F.inline(lines))
     parts = [listed.filter(~F.col("metric").isin(*limits)).drop("first_seq")]
     for name, k in limits.items():
@@ -217,19 +220,19 @@ def histogram(df: DataFrame, value: str, bins: int = 6) -> DataFrame:
     """Equal-width bins between the least and the greatest value; empty bins count 0.
 
     The last bin includes its upper edge. If all values are equal the range is widened by 0.5 to
-    both sides. Values are counted per distinct value first, so the bins see few rows.
+    both sides. One scan finds the range, a second one counts; only bin counts are shuffled.
     """
-    counted = df.filter(F.col(value).isNotNull()).groupBy(F.col(value).cast("double").alias("x")).agg(
-        F.count("*").alias("n")
-    )
-    edges = df.agg(F.min(value).cast("double").alias("a"), F.max(value).cast("double").alias("b")).filter(
-        F.col("a").isNotNull()
-    ).select(
-        F.when(F.col("a") == F.col("b"), F.col("a") - 0.5).otherwise(F.col("a")).alias("lo"),
-        F.when(F.col("a") == F.col("b"), F.col("b") + 0.5).otherwise(F.col("b")).alias("hi"),
+    known = df.filter(F.col(value).isNotNull()).select(F.col(value).cast("double").alias("x"))
+    ends = known.agg(F.min("x").alias("a"), F.max("x").alias("b")).filter(F.col("a").isNotNull())
+    flat = F.col("a") == F.col("b")
+    edges = stored(
+        ends.select(
+            F.when(flat, F.col("a") - 0.5).otherwise(F.col("a")).alias("lo"),
+            F.when(flat, F.col("b") + 0.5).otherwise(F.col("b")).alias("hi"),
+        ),
+        "edges",
     )
-    span = edges.select(F.struct("lo", "hi")).scalar()
-    placed = counted.withColumn("r", span)
+    placed = known.withColumn("r", edges.select(F.struct("lo", "hi")).scalar())
     width = (F.col("r.hi") - F.col("r.lo")) / bins
     first = F.least(F.floor((F.col("x") - F.col("r.lo")) / width), F.lit(bins - 1))
     edge = lambda i: F.col("r.lo") + i * width
@@ -237,7 +240,7 @@ def histogram(df: DataFrame, value: str, bins: int = 6) -> DataFrame:
     fixed = F.when(F.col("x") < edge(first), first - 1).when(
         (F.col("x") >= edge(first + 1)) & (first < bins - 1), first + 1
     ).otherwise(first)
-    per_bin = placed.groupBy(fixed.cast("int").alias("bin")).agg(F.sum("n").alias("count"))
+    per_bin = placed.groupBy(fixed.cast("int").alias("bin")).agg(F.count("*").alias("count"))
     frame = edges.select("lo", "hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     step = (F.col("hi") - F.col("lo")) / bins
     return frame.join(per_bin, "bin", "left").select(

@@ -7,7 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from surveyloom.operators.firstwins import first_wins, new_rows
+from surveyloom.operators.firstwins import new_rows
+from surveyloom.session import stored
 from surveyloom.sources.ids import next_ids, ordered_index, ranked_within
 
 
@@ -61,9 +62,10 @@ def link_questions(requests: DataFrame, questionnaires: DataFrame, bank: DataFra
     fresh = new_rows(status.filter("ok").drop("ok"), existing, ["questionnaire_id", "question_id"])
     sizes = questionnaires.select(F.col("id").alias("questionnaire_id"), F.size("question_ids").alias("_size"))
     ranked = ranked_within(fresh.select("questionnaire_id", "question_id", "seq"), ["questionnaire_id"], ["seq"])
-    added = ranked.join(sizes, "questionnaire_id").select(
+    placed = ranked.join(sizes, "questionnaire_id").select(
         "questionnaire_id", "question_id", "seq", (F.greatest("_size", F.lit(0)) + F.col("rank") - 1).alias("position")
     )
+    added = stored(placed, "added-links")
     usage = added.groupBy("question_id").agg(F.count("*").alias("added_count"))
     return LinkResult(status.select("seq", "questionnaire_id", "question_id", "ok"), added, usage)
 

@@ -6,7 +6,7 @@ easy < medium < hard; the parent of a node is the lowest id of the nearest lower
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from surveyloom.operators.firstwins import top_per_group
@@ -76,9 +76,10 @@ def relationships(tree: DataFrame, associations: DataFrame) -> DataFrame:
 
 def graph_data(tree: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(nodes with in and out degree, edges) for a relationship chart."""
-    ends = edges.select(F.col("source_id").alias("question_id"), F.lit(1).alias("o"), F.lit(0).alias("i")).unionByName(
-        edges.select(F.col("target_id").alias("question_id"), F.lit(0).alias("o"), F.lit(1).alias("i"))
-    )
+    def end(column: str, out: int) -> Column:
+        return F.struct(F.col(column).alias("question_id"), F.lit(out).alias("o"), F.lit(1 - out).alias("i"))
+
+    ends = edges.select(F.inline(F.array(end("source_id", 1), end("target_id", 0))))
     degrees = ends.groupBy("question_id").agg(F.sum("o").alias("out_degree"), F.sum("i").alias("in_degree"))
     nodes = tree.join(degrees, "question_id", "left").fillna(0, ["out_degree", "in_degree"])
     return nodes, edges
@@ -161,7 +162,10 @@ def first_questions(tree: DataFrame, interests: DataFrame, users: DataFrame, k:
     """
     roots = tree.filter("is_root").select("question_id", "category")
     heads = top_per_group(roots, ["category"], ["question_id"], k)
-    own = interests.select("user_id", "category").distinct().join(heads, "category").select("user_id", "question_id")
+    own = stored(
+        interests.select("user_id", "category").distinct().join(heads, "category").select("user_id", "question_id"),
+        "own-roots",
+    )
     general = roots.orderBy("question_id").limit(k).agg(F.collect_list("question_id")).scalar()
     without = users.select("user_id").distinct().join(own, "user_id", "left_anti")
     fallback = without.select("user_id", F.explode(general).alias("question_id"))

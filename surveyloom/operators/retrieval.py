@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from surveyloom.functions.scoring import match_percent, stars
@@ -101,11 +101,10 @@ def request_weights(
         .groupBy("query", "term")
         .agg(F.count("*").alias("tf"))
     )
-    raw = counts.join(vocabulary.select("term", "idf"), "term").select(
-        "query", "term", (F.col("tf") * F.col("idf")).alias("w"), "idf"
-    )
-    length = raw.groupBy("query").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("qnorm"))
-    return raw.join(length, "query").select("query", "term", (F.col("w") / F.col("qnorm")).alias("wq"), "idf")
+    raw = counts.join(vocabulary.select("term", "idf"), "term").withColumn("w", F.col("tf") * F.col("idf"))
+    # A request is one text, so its terms fit a window.
+    length = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("query")))
+    return raw.select("query", "term", (F.col("w") / length).alias("wq"), "idf")
 
 
 def cosine_scores(index: TermIndex, request_terms: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from surveyloom.functions import rules, scoring
 from surveyloom.functions import text as txt
 from surveyloom.operators.counts import grouped_counts, level_counts, topic_coverage
 from surveyloom.operators.firstwins import drop_near_duplicates
+from surveyloom.session import stored
 
 
 def clean_questions(
@@ -121,8 +122,11 @@ def content_report(pool: DataFrame, topics: list[tuple[str, list[str]]], lang: s
 
 
 def load_and_process(raw: DataFrame, topics: list[tuple[str, list[str]]], **options) -> dict[str, DataFrame]:
-    """Pool, its two language parts, the cleaning report and the content report."""
-    pool = prepare_pool(raw, **options)
+    """Pool, its two language parts, the cleaning report and the content report.
+
+    The pool is written once; everything else reads the columns it needs from there.
+    """
+    pool = stored(prepare_pool(raw, **options), "pool")
     return {
         "pool": pool,
         "en": pool.filter(F.col("detected_lang") == "en"),

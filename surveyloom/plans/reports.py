@@ -61,8 +61,11 @@ def survey_report(answers: DataFrame, questions: DataFrame, recommended: DataFra
 
 def all_users_report(types: DataFrame) -> DataFrame:
     """(metric, key, value): users, users per type, completion rate."""
-    per_type = types.groupBy("user_type").agg(
-        F.count("*").alias("users"), F.sum("answered").alias("answered"), F.sum("total").alias("total")
+    per_type = stored(
+        types.groupBy("user_type").agg(
+            F.count("*").alias("users"), F.sum("answered").alias("answered"), F.sum("total").alias("total")
+        ),
+        "per-type",
     )
     totals = per_type.agg(
         F.sum("users").cast("double").alias("total_users"),
