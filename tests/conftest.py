@@ -12,7 +12,9 @@ from surveyloom.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session(8, "6g", "surveyloom-tests", **{"spark.sql.shuffle.partitions": "4"})
+    # Tiny data: few partitions, and only the quick compiler of the JVM.
+    quick = {"spark.sql.shuffle.partitions": "3", "spark.driver.extraJavaOptions": "-XX:TieredStopAtLevel=1"}
+    session = local_session(8, "6g", "surveyloom-tests", **quick)
     yield session
     session.stop()
 
