@@ -10,7 +10,7 @@ from surveyloom.functions import options as opt
 from surveyloom.functions import predicates as pred
 from surveyloom.functions import rules, scoring
 from surveyloom.functions import text as txt
-from surveyloom.operators.counts import grouped_counts, level_counts, topic_coverage
+from surveyloom.operators.counts import level_counts, topic_coverage
 from surveyloom.operators.firstwins import drop_near_duplicates
 from surveyloom.session import stored
 
@@ -135,7 +135,3 @@ def load_and_process(raw: DataFrame, topics: list[tuple[str, list[str]]], **opti
         "content": content_report(pool, topics),
     }
 
-
-def bank_totals(pool: DataFrame) -> DataFrame:
-    """Questions per language and type, with the total, in one pass."""
-    return grouped_counts(pool, {"language": F.col("detected_lang"), "question_type": F.col("question_type")})

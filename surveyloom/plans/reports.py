@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from surveyloom.functions.predicates import is_answered
-from surveyloom.operators import counts, responses
+from surveyloom.operators import clusters, counts, hierarchy, responses
 from surveyloom.operators.correlation import correlation_matrix
 from surveyloom.session import stored
 
@@ -91,10 +91,17 @@ def write_chart_tables(tables: dict[str, DataFrame], folder: str) -> None:
         table.write.mode("overwrite").parquet(f"{folder}/{name}")
 
 
-def chart_tables(questions: DataFrame, answers: DataFrame, source: str = "source_name") -> dict[str, DataFrame]:
-    """The tables behind the category, difficulty, source, progress and user charts."""
-    types = user_types(responses.user_category_rates(answers, questions))
-    return {
+def chart_tables(
+    questions: DataFrame, answers: DataFrame, source: str = "source_name",
+    assigned: DataFrame | None = None, tree: DataFrame | None = None, edges: DataFrame | None = None,
+) -> dict[str, DataFrame]:
+    """The tables behind all charts.
+
+    ``assigned`` (questions with cluster and features) adds the scatter tables, ``tree`` the
+    complexity shares, and ``tree`` with ``edges`` the relationship graph.
+    """
+    types = stored(user_types(responses.user_category_rates(answers, questions)), "user-types")
+    tables = {
         "categories": counts.category_chart(questions),
         "difficulty": counts.histogram(questions, "difficulty"),
         "difficulty_curve": counts.density_curve(questions, "difficulty"),
@@ -103,3 +110,11 @@ def chart_tables(questions: DataFrame, answers: DataFrame, source: str = "source
         "user_types": types,
         "all_users": all_users_report(types),
     }
+    if assigned is not None:
+        positions = stored(clusters.scatter_positions(assigned).drop("features"), "positions")
+        tables |= {"cluster_positions": positions, "cluster_centres": clusters.scatter_centres(positions)}
+    if tree is not None:
+        tables["complexity"] = counts.share_by(tree, "complexity")
+        if edges is not None:
+            tables["graph_nodes"], tables["graph_edges"] = hierarchy.graph_data(tree, edges)
+    return tables

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from surveyloom.functions.predicates import not_empty
@@ -10,6 +10,21 @@ from surveyloom.operators import clusters, hierarchy
 from surveyloom.operators.edits import ingest_raw
 from surveyloom.plans.cleaning import clean_questions
 from surveyloom.session import stored
+from surveyloom.sources import convert_rows, next_ids, read_question_list, unseen_rows
+
+
+def upload_questions(spark: SparkSession, path: str, bank_path: str) -> int:
+    """Add the questions of a JSON list to the Parquet bank; return how many were new.
+
+    A text that is in the bank already, or stood earlier in the list, is left out; the others get
+    the next ids.
+    """
+    rows = convert_rows(read_question_list(spark, path))
+    bank = spark.read.schema(rows.schema).parquet(bank_path)
+    fresh = next_ids(bank, unseen_rows(bank, rows.drop("id"), "question_text")).select(*rows.columns)
+    seen = Observation()
+    fresh.observe(seen, F.count(F.lit(1)).alias("added")).write.mode("append").parquet(bank_path)
+    return seen.get["added"]
 
 
 def full_workflow(raw: DataFrame, known: DataFrame, k: int = 6, lang: str = "en", seed: int = 7) -> dict[str, DataFrame]:

@@ -338,3 +338,35 @@ def test_workflow(table, rows):
     parts = workflow.full_workflow(raw, table("text string", ("k",)), k=3)
     assert parts["summary"].first()["total_nodes"] == 40 and parts["summary"].first()["max_depth"] <= 2
     assert parts["clusters"].agg(F.sum("questions")).first()[0] == 40
+
+
+def test_upload(spark, tmp_path, rows):
+    bank = str(tmp_path / "bank")
+    (tmp_path / "a.json").write_text(json.dumps([{"question_text": t, "category": "c"} for t in ("x", "y", "x")]))
+    (tmp_path / "b.json").write_text(json.dumps({"fullContent": [{"question_text": t} for t in ("y", "z")]}))
+    empty = sources.convert_rows(sources.read_question_list(spark, str(tmp_path / "a.json"))).limit(0)
+    empty.write.parquet(bank)
+    assert workflow.upload_questions(spark, str(tmp_path / "a.json"), bank) == 2
+    assert workflow.upload_questions(spark, str(tmp_path / "b.json"), bank) == 1
+    assert rows(spark.read.parquet(bank), "id", "question_text", "category") == [(1, "x", "c"), (2, "y", "c"), (3, "z", "general")]
+
+
+def test_chart_tables(spark, table, tmp_path, rows):
+    from surveyloom.operators import clusters
+
+    bank = table(BANK + ", question_text string, options_text string, difficulty double, source_name string",
+                 *[(i, i, "x", "c" if i % 2 else "general", f"words about topic{i % 3} number{i}", "", float(i % 4), "s") for i in range(24)])
+    answers = table(RESPONSES, *ANSWERS)
+    model = clusters.fit_clusters(bank, "question_text", k=2, features=32)
+    assigned = clusters.assign_clusters(model, bank)
+    assert -1.0 <= clusters.silhouette(assigned) <= 1.0
+    assert clusters.assign_clusters(None, bank).select("cluster_id").distinct().collect() == [(0,)]
+    tree = hierarchy.build_hierarchy(table(NODES, *[(i, i % 2, "easy" if i % 3 else "hard", "c") for i in range(24)]))
+    edges = hierarchy.relationships(tree, spark.createDataFrame([("c", "c")], "category string, associated string"))
+    tables = reports.chart_tables(bank, answers, assigned=assigned, tree=tree, edges=edges)
+    reports.write_chart_tables(tables, str(tmp_path / "charts"))
+    back = {name: spark.read.parquet(str(tmp_path / "charts" / name)) for name in tables}
+    assert rows(back["categories"], "*") == [("c", 12)]
+    assert back["difficulty"].agg(F.sum("count")).first()[0] == 24 and back["cluster_positions"].count() == 24
+    assert rows(back["complexity"], "complexity", "count") == [("easy", 16), ("hard", 8)]
+    assert back["graph_nodes"].agg(F.sum("in_degree"), F.sum("out_degree")).first()[:] == (back["graph_edges"].count(),) * 2
