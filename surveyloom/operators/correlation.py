@@ -21,7 +21,9 @@ MOMENTS = (
     "col_i string, col_j string, n double, sx double, sy double, sxx double, syy double, sxy double, "
     "min_x double, max_x double, min_y double, max_y double"
 )
-BLOCK = 256  # columns handled in one matrix product, so that memory stays small for many columns
+BLOCK = 256  # columns handled in one matrix product
+CHUNK = 200_000  # input rows gathered before moments are worked out, so that few sums leave a task
+CELLS = 2_000_000  # largest matrix (users times columns) held at once; more users are halved
 
 
 def _block_moments(xi: np.ndarray, xj: np.ndarray) -> dict[str, np.ndarray]:
@@ -48,13 +50,18 @@ def _block_moments(xi: np.ndarray, xj: np.ndarray) -> dict[str, np.ndarray]:
 
 
 def _matrix_moments(rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
-    users, _ = pd.factorize(rows["row_id"])
+    users, ids = pd.factorize(rows["row_id"])
     codes, names = pd.factorize(rows["col"], sort=True)
-    values = rows["value"].to_numpy(float)
+    if len(ids) > 1 and len(ids) * len(names) > CELLS:
+        first = users < len(ids) // 2
+        yield from _matrix_moments(rows[first])
+        yield from _matrix_moments(rows[~first])
+        return
+    values, names = rows["value"].to_numpy(float), np.asarray(names)
     blocks = {}
     for start in range(0, len(names), BLOCK):
         inside = (codes >= start) & (codes < start + BLOCK)
-        block = np.full((users.max() + 1, min(BLOCK, len(names) - start)), np.nan)
+        block = np.full((len(ids), min(BLOCK, len(names) - start)), np.nan)
         block[users[inside], codes[inside] - start] = values[inside]
         blocks[start] = block
     for a, xi in blocks.items():
@@ -62,22 +69,24 @@ def _matrix_moments(rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
             sums = _block_moments(xi, xj)
             i, j = np.nonzero(sums["n"])
             yield pd.DataFrame(
-                {"col_i": np.asarray(names)[i + a], "col_j": np.asarray(names)[j + b],
-                 **{name: sums[name][i, j] for name in sums}}
+                {"col_i": names[i + a], "col_j": names[j + b], **{name: sums[name][i, j] for name in sums}}
             )
 
 
 def _partition_moments(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Moments batch by batch; the last user of a batch waits for the next one."""
-    rest = None
+    """Moments chunk by chunk; the last user of a chunk waits for the next one."""
+    held, size = [], 0
     for batch in batches:
-        rows = batch if rest is None else pd.concat([rest, batch])
-        last = rows["row_id"] == rows["row_id"].iloc[-1]
-        rest = rows[last]
-        if not last.all():
-            yield from _matrix_moments(rows[~last])
-    if rest is not None and len(rest):
-        yield from _matrix_moments(rest)
+        held.append(batch)
+        size += len(batch)
+        if size >= CHUNK:
+            rows = pd.concat(held)
+            last = rows["row_id"] == rows["row_id"].iloc[-1]
+            held, size = [rows[last]], int(last.sum())
+            if size < len(rows):
+                yield from _matrix_moments(rows[~last])
+    if size:
+        yield from _matrix_moments(pd.concat(held))
 
 
 def pair_moments(cells: DataFrame, row: str, col: str, value: str) -> DataFrame:

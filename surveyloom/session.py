@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Pages are large: a batch for a Python task is cut by size, not only by its number of rows.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "64MB",
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
 }
 

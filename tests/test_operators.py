@@ -84,7 +84,8 @@ def test_correlation_in_blocks(spark, monkeypatch):
     dense = rng.random((40, 7))
     dense[rng.random((40, 7)) < 0.3] = np.nan
     long = [(u, f"c{c}", float(dense[u, c])) for u in range(40) for c in range(7) if not np.isnan(dense[u, c])]
-    monkeypatch.setattr(correlation, "BLOCK", 3)
+    for name, value in (("BLOCK", 3), ("CHUNK", 60), ("CELLS", 50)):
+        monkeypatch.setattr(correlation, name, value)
     pdf = pd.DataFrame(long, columns=["row_id", "col", "value"])
     parts = pd.concat(correlation._partition_moments(iter([pdf[:50], pdf[50:51], pdf[51:]])))
     sums = parts.groupby(["col_i", "col_j"])[correlation.SUMS].sum()
