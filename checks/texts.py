@@ -125,12 +125,23 @@ SCORES = REQUESTS + """, s AS (SELECT q.query, w.doc, sum(q.wq * w.w) / any_valu
  FROM q JOIN w ON q.term = w.term JOIN norm ON norm.doc = w.doc GROUP BY 1, 2)"""
 
 
-@check("request_weights", "T4 T8", sql=_tokens() + REQUESTS + " SELECT query, term, round(wq, 6) AS wq FROM q")
+@check("request_weights", "T4", sql=_tokens() + REQUESTS + " SELECT query, term, round(wq, 6) AS wq FROM q")
 def _(t):
     wanted = retrieval.request_weights(t.benchmark, _index(t).vocabulary, "item_id", "text", STOP)
     return wanted.select("query", "term", r6("wq").alias("wq"))
 
 
+@check("analyze_requirements", "T8 T7 D2", sql=_tokens() + REQUESTS + """
+SELECT query AS item_id, term, rank, round(wq, 6) AS weight FROM (SELECT *, row_number() OVER (PARTITION BY query ORDER BY round(wq, 9) DESC, term) AS rank FROM q) WHERE rank <= 8""")
+def _(t):
+    # With no lemmas and synonyms the normal form only drops stop words, which the SQL does as well.
+    asked = retrieval.normalize_requests(
+        t.benchmark.withColumn("lang", F.lit("en")), stop_words=STOP, lemmas={}, synonyms_en=[]
+    )
+    found = retrieval.analyze_requirements(asked, _index(t), 8, STOP, query="item_id")
+    return found.select("item_id", "term", big("rank").alias("rank"), r6("weight").alias("weight"))
+
+
 @check("cosine_scores", "T5 J6", sql=_tokens() + SCORES + " SELECT query, doc, round(score, 6) AS score FROM s")
 def _(t):
     index = _index(t)

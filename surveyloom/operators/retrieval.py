@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from surveyloom.functions.scoring import match_percent, stars
-from surveyloom.functions.text import digest, terms
+from surveyloom.functions.text import dedup_key, digest, terms
 from surveyloom.operators.firstwins import top_per_group
 from surveyloom.session import stored
 
@@ -107,6 +107,22 @@ def request_weights(
     return raw.select("query", "term", (F.col("w") / length).alias("wq"), "idf")
 
 
+def normalize_requests(requests: DataFrame, text: str = "text", lang: str = "lang", **key_options) -> DataFrame:
+    """Requests with their text in the same normal form as the keys of an indexed pool."""
+    return requests.withColumn(text, dedup_key(F.col(text), F.col(lang), **key_options))
+
+
+def analyze_requirements(
+    requests: DataFrame, index: TermIndex, k: int, stop_words: list[str], query: str = "query_id", text: str = "text"
+) -> DataFrame:
+    """The ``k`` search terms that carry most weight in each request; ties in order of the term."""
+    weights = request_weights(requests, index.vocabulary, query, text, stop_words)
+    order = [F.desc(F.round("wq", RANK_DIGITS)), F.asc("term")]
+    return top_per_group(weights, ["query"], order, k, rank="rank").select(
+        F.col("query").alias(query), "rank", "term", F.col("wq").alias("weight")
+    )
+
+
 def cosine_scores(index: TermIndex, request_terms: DataFrame) -> DataFrame:
     """(query, doc, score, text_key) for every request and document that share a term."""
     products = index.postings.join(request_terms, "term").groupBy("query", "doc").agg(

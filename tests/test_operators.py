@@ -130,6 +130,19 @@ def test_retrieval(spark, table):
     assert all(0.05 < r.score <= 1.0 + 1e-9 for r in out)
 
 
+def test_requests_in_normal_form(table, rows):
+    """Pool keys and requests meet in one normal form: hotels and inn both become stay."""
+    raw = table("seq bigint, question_text string, options_text string, question_type string",
+                (0, "Which hotels are good?", "", "yes_no"), (1, "Is the bus late?", "", "yes_no"))
+    options = {"stop_words": ["the", "is", "which", "are"], "lemmas": {"hotels": "hotel"}, "synonyms_en": [("hotel", "stay"), ("inn", "stay")]}
+    pool = cleaning.prepare_pool(raw, **options)
+    index = retrieval.build_index(pool, "seq", "dedup_key", [], shown="question_text")
+    asked = retrieval.normalize_requests(table("query_id bigint, text string, lang string", (1, "An inn", "en"), (2, "late BUS", "en")), **options)
+    out = retrieval.generate_survey(pool, index, asked, 5, [])
+    assert rows(out, "query_id", "rank", "seq", "question_text") == [(1, 1, 0, "Which hotels are good?"), (2, 1, 1, "Is the bus late?")]
+    assert rows(retrieval.analyze_requirements(asked, index, 1, []), "query_id", "rank", "term") == [(1, 1, "stay"), (2, 1, "bus")]
+
+
 def test_retrieval_from_written_index(spark, table, tmp_path):
     corpus = table("seq bigint, text string", *[(i, f"word{i % 5} word{i % 3} common") for i in range(30)])
     index = retrieval.build_index(corpus, "seq", "text", [])
