@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from surveyloom.llm import decontaminate, fertility, language, line_spread, ngram_join, pfair, ppm, toxicity
+from surveyloom.llm import decontaminate, fertility, language, line_spread, ngram_join, pfair, ppm, toxicity, transcripts
 
 #: Toxicity categories of the label table, in the order of the chain: a name, and SQL of its 0/1 label.
 CATEGORIES = {"low_quality": "1 - quality", "toxic": "toxic"}
@@ -37,6 +37,12 @@ def op3_language(spark: SparkSession, folder: str) -> DataFrame:
     return language.identify(_table(spark, folder, "documents"), _fold(4))
 
 
+def op4_transcripts(spark: SparkSession, folder: str) -> DataFrame:
+    turns = _table(spark, folder, "conversations")
+    training = turns.where(F.crc32(F.col("conv_id").cast("string")) % 4 != 2)
+    return transcripts.parse(turns.select("conv_id", "turn", "text"), transcripts.fit(training))
+
+
 def op5_pfair_mix(spark: SparkSession, folder: str) -> DataFrame:
     return pfair.mix(_table(spark, folder, "documents"))
 
@@ -61,7 +67,7 @@ def op10_ppm(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_tokeniser_fertility, op2_toxicity_chain, op3_language, op5_pfair_mix, op6_line_spread, op8_decontamination, op9_ngram_join, op10_ppm)
+    for f in (op1_tokeniser_fertility, op2_toxicity_chain, op3_language, op4_transcripts, op5_pfair_mix, op6_line_spread, op8_decontamination, op9_ngram_join, op10_ppm)
 }
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
