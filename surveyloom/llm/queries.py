@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from surveyloom.llm import decontaminate, fertility, language, line_spread, ngram_join, pfair, ppm, toxicity, transcripts
+from surveyloom.llm import blocks, decontaminate, fertility, language, line_spread, ngram_join, pfair, ppm, toxicity, transcripts
 
 #: Toxicity categories of the label table, in the order of the chain: a name, and SQL of its 0/1 label.
 CATEGORIES = {"low_quality": "1 - quality", "toxic": "toxic"}
@@ -52,6 +52,10 @@ def op6_line_spread(spark: SparkSession, folder: str) -> DataFrame:
     return line_spread.remove_widespread(docs).select("doc_id", "text", "n_lines", "n_spread", "n_removed")
 
 
+def op7_block_labels(spark: SparkSession, folder: str) -> DataFrame:
+    return blocks.main_text(_table(spark, folder, "pages"))
+
+
 def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = decontaminate.contamination(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
@@ -67,7 +71,7 @@ def op10_ppm(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_tokeniser_fertility, op2_toxicity_chain, op3_language, op4_transcripts, op5_pfair_mix, op6_line_spread, op8_decontamination, op9_ngram_join, op10_ppm)
+    for f in (op1_tokeniser_fertility, op2_toxicity_chain, op3_language, op4_transcripts, op5_pfair_mix, op6_line_spread, op7_block_labels, op8_decontamination, op9_ngram_join, op10_ppm)
 }
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
