@@ -24,7 +24,7 @@ def _windows(lengths: list[int]) -> Column:
         f"if(size(codes) >= {n}, transform(sequence(0, size(codes) - {n}), i -> struct({n} as size, i as pos, xxhash64(slice(codes, i + 1, {n})) as hash)), cast(array() as {kind}))"
         for n in lengths
     ]
-    return F.expr(f"concat({', '.join(each)}, cast(array() as {kind}))")
+    return F.expr(f"concat({', '.join([*each, f'cast(array() as {kind})'])})")
 
 
 def _text(size: str, pos: str) -> Column:

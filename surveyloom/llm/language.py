@@ -139,7 +139,7 @@ class Models:
         levels = []
         raw = (high, low, lang, n.astype(float))
         types = raw
-        for order in range(ORDER, 0, -1):
+        for order in range(ORDER, 0, -1) if len(n) else ():
             h, l, g, c = types
             levels.append((order, h, l, g, c))
             if order > 1:

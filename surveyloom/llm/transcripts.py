@@ -28,7 +28,7 @@ MARKERS = {
     "assistant": ("assistant", "ai", "bot", "agent", "a", "answer", "response", "chatbot", "model"),
 }
 #: Probability that a marked line has the marker's role, and that another role has it.
-MARKED, ASTRAY = 0.97, 0.015
+MARKED, ASTRAY = 0.996, 0.002
 CHUNK_TURNS = 64
 LENGTHS = (20, 80, 200)
 
