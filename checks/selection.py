@@ -233,7 +233,7 @@ def _(t):
     return sel.random_questions(t.questions, 25, 11).select("id")
 
 
-VARIANT_PICK = "CAST('0x' || substr(md5('{s}-' || CAST(v AS VARCHAR) || '-5'), 1, 8) AS BIGINT)"
+VARIANT_PICK = "CAST('0x' || substr(md5('{s}-' || CAST(v AS VARCHAR) || '-5'), 1, 15) AS BIGINT)"
 
 
 def _variant_sql() -> str:
@@ -302,14 +302,18 @@ def _(t):
 
 
 @check("apply_links", "U4", "questionnaires questions", LINKS + """
-SELECT 'list' AS kind, n.id, array_to_string(list_concat(n.question_ids, coalesce((SELECT list(question_id ORDER BY position) FROM added a WHERE a.questionnaire_id = n.id), [])), ',') AS value FROM questionnaires n
+SELECT 'link' AS kind, id, concat(pos - 1, ':', question_id) AS value FROM (
+  SELECT id, unnest(question_ids) AS question_id, generate_subscripts(question_ids, 1) AS pos FROM questionnaires)
+UNION ALL SELECT 'link', questionnaire_id, concat(position, ':', question_id) FROM added
 UNION ALL SELECT 'usage', q.id, CAST((SELECT count(*) FROM added a WHERE a.question_id = q.id) AS VARCHAR) FROM questions q""")
 def _(t):
     links, bank = edits.apply_links(
         t.questionnaires, t.questions.withColumn("usage_count", F.lit(0).cast("bigint")), _links(t)
     )
-    lists = edits.with_question_lists(t.questionnaires, links)
-    return lists.select(F.lit("list").alias("kind"), "id", F.array_join(F.col("question_ids").cast("array<string>"), ",").alias("value")).unionByName(
+    rows = links.select(
+        F.lit("link").alias("kind"), F.col("questionnaire_id").alias("id"), F.concat_ws(":", "position", "question_id").alias("value")
+    )
+    return rows.unionByName(
         bank.select(F.lit("usage").alias("kind"), "id", F.col("usage_count").cast("string").alias("value"))
     )
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.feature import IDF, PCA, HashingTF, Normalizer, RegexTokenizer, StopWordsRemover
+from pyspark.ml.feature import IDF, BucketedRandomProjectionLSH, HashingTF, Normalizer, RegexTokenizer, StopWordsRemover
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,7 +15,7 @@ from surveyloom.session import stored
 
 
 def fit_clusters(
-    questions: DataFrame, text: str, k: int = 6, seed: int = 7, features: int = 1024,
+    questions: DataFrame, text: str, k: int = 6, seed: int = 7, features: int = 1 << 18,
     stop_words: list[str] | None = None, max_iter: int = 20,
 ) -> PipelineModel:
     """Vectorise and cluster. Terms are hashed into ``features`` columns, so the size of the model
@@ -32,10 +32,9 @@ def fit_clusters(
     scale = Pipeline(
         stages=[IDF(inputCol="_tf", outputCol="_tfidf"), Normalizer(inputCol="_tfidf", outputCol="features")]
     ).fit(counts)
-    vectors = scale.transform(counts).select("features").persist()
+    vectors = stored(scale.transform(counts).select("features"), "term-vectors")
     kmeans = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster_id", maxIter=max_iter)
     model = kmeans.fit(vectors)
-    vectors.unpersist()
     return PipelineModel([*vectorise.stages, *scale.stages, model])
 
 
@@ -85,10 +84,18 @@ def nearest_centroid(points: DataFrame, vector: str, centres: DataFrame, group:
     return points.withColumn("_centres", listed).withColumn(name, F.array_min(scored)["g"]).drop("_centres")
 
 
-def scatter_positions(assigned: DataFrame) -> DataFrame:
-    """Every question with its place in two dimensions."""
-    placed = PCA(k=2, inputCol="features", outputCol="_xy").fit(assigned).transform(assigned)
-    xy = vector_to_array("_xy")
+PLACE_WIDTH = 1e-6
+
+
+def scatter_positions(assigned: DataFrame, seed: int = 7) -> DataFrame:
+    """Every question with its place in two dimensions: a projection on two random directions.
+
+    The directions are one number per feature, so the driver holds no matrix of features by features. The projection
+    is that of Spark's random projection hash with buckets of ``PLACE_WIDTH``.
+    """
+    hashed = BucketedRandomProjectionLSH(inputCol="features", outputCol="_xy", bucketLength=PLACE_WIDTH, numHashTables=2, seed=seed)
+    placed = hashed.fit(assigned).transform(assigned)
+    xy = [vector_to_array(F.col("_xy")[i])[0] * PLACE_WIDTH for i in range(2)]
     return placed.withColumns({"x": xy[0], "y": xy[1]}).drop("_xy")
 
 

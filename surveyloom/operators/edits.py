@@ -73,8 +73,7 @@ def link_questions(requests: DataFrame, questionnaires: DataFrame, bank: DataFra
 def apply_links(questionnaires: DataFrame, bank: DataFrame, result: LinkResult) -> tuple[DataFrame, DataFrame]:
     """(all links as (questionnaire_id, position, question_id), bank with raised usage counts).
 
-    Links stay rows, so a questionnaire may have any number of them. ``with_question_lists`` turns
-    them into the list column where lists are short.
+    Links stay rows, so a questionnaire may have any number of them.
     """
     existing = questionnaires.select(
         F.col("id").alias("questionnaire_id"), F.posexplode("question_ids").alias("position", "question_id")
@@ -87,28 +86,6 @@ def apply_links(questionnaires: DataFrame, bank: DataFrame, result: LinkResult)
     return links, used.drop("added_count")
 
 
-def with_question_lists(questionnaires: DataFrame, links: DataFrame, most: int = 100_000) -> DataFrame:
-    """Questionnaires with their links as ``question_ids``.
-
-    A list is one value of one row. The longest one is measured first; beyond ``most`` entries the
-    links have to stay a table.
-    """
-    longest = links.groupBy("questionnaire_id").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
-    if longest > most:
-        raise ValueError(f"a questionnaire has {longest} questions; keep the links as a table")
-    lists = links.groupBy(F.col("questionnaire_id").alias("id")).agg(
-        F.transform(
-            F.array_sort(F.collect_list(F.struct("position", "question_id"))), lambda x: x["question_id"]
-        ).alias("_ids")
-    )
-    none = F.array().cast("array<bigint>")
-    return (
-        questionnaires.join(lists, "id", "left")
-        .withColumn("question_ids", F.coalesce("_ids", none))
-        .drop("_ids")
-    )
-
-
 @dataclass
 class IngestResult:
     accepted: DataFrame
@@ -156,7 +133,7 @@ def enlarge_bank(
 
     def pick(salt: str, n: Column) -> Column:
         hashed = F.md5(F.concat_ws("-", F.lit(salt), F.col("variant").cast("string"), F.lit(str(seed))))
-        return F.pmod(F.conv(F.substring(hashed, 1, 8), 16, 10).cast("bigint"), n)
+        return F.pmod(F.conv(F.substring(hashed, 1, 15), 16, 10).cast("bigint"), n)
 
     variants = spark.range(target - have).select(F.col("id").alias("variant")).select(
         "variant", pick("row", F.lit(have)).alias("_base")

@@ -73,10 +73,9 @@ def build_index(corpus: DataFrame, doc: str, text: str, stop_words: list[str], s
 def write_index(index: TermIndex, path: str) -> None:
     """Postings and vocabulary are clustered by term, norms by document.
 
-    Rows of a frequent term go to several files: the extra key spreads them.
+    Rows are dealt by range of term and document, so a frequent term goes to as many files as it needs.
     """
-    spread = F.pmod(F.xxhash64("doc"), F.lit(16))
-    index.postings.repartition("term", spread).sortWithinPartitions("term").write.parquet(f"{path}/postings")
+    index.postings.repartitionByRange("term", "doc").sortWithinPartitions("term").write.parquet(f"{path}/postings")
     index.vocabulary.repartition("term").sortWithinPartitions("term").write.parquet(f"{path}/vocabulary")
     index.norms.repartition("doc").sortWithinPartitions("doc").write.parquet(f"{path}/norms")
 

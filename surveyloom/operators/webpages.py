@@ -102,9 +102,13 @@ class TreeBuilder(HTMLParser):
 
 
 def _tree(html: str) -> Node:
+    """The elements of a page, up to the first markup that the parser refuses."""
     builder = TreeBuilder()
-    builder.feed(html or "")
-    builder.close()
+    try:
+        builder.feed(html or "")
+        builder.close()
+    except (AssertionError, ValueError):
+        pass
     return builder.root
 
 
@@ -124,8 +128,10 @@ def _layout_blocks(root: Node, layout: dict) -> Iterator[tuple[str, list[str]]]:
 
 def _generic_blocks(root: Node) -> Iterator[tuple[str, list[str]]]:
     limit = lexicons.CRAWL_OPTION_LIMIT
-    for node in [n for n in root.walk() if n.tag in GENERIC_SKIPPED]:
-        node.parent.children.remove(node)
+    for node in list(root.walk()):
+        node.children = [c for c in node.children if isinstance(c, str) or c.tag not in GENERIC_SKIPPED]
+    following: dict[int, Node] = {}  # by identity: the element after an element, and the first labels of a parent
+    labels: dict[int, list[str]] = {}
     for node in root.walk():
         if node.tag not in GENERIC_TAGS:
             continue
@@ -134,12 +140,16 @@ def _generic_blocks(root: Node) -> Iterator[tuple[str, list[str]]]:
         # from sending the text of a page once per level.
         if not MIN_CHARS <= len(text) <= MAX_CHARS:
             continue
-        siblings = [c for c in node.parent.children if isinstance(c, Node)]
-        after = siblings.index(node) + 1
+        parent = node.parent
+        if id(parent) not in labels:
+            siblings = [c for c in parent.children if isinstance(c, Node)]
+            following.update((id(a), b) for a, b in zip(siblings, siblings[1:], strict=False))
+            labels[id(parent)] = [label.text() for label in parent.find_all("label")[:limit]]
+        after = following.get(id(node))
         found = []
-        if after < len(siblings) and siblings[after].tag in ("ul", "ol"):
-            found += [li.text() for li in siblings[after].find_all("li")[:limit]]
-        found += [t for t in (label.text() for label in node.parent.find_all("label")[:limit]) if t != text]
+        if after is not None and after.tag in ("ul", "ol"):
+            found += [li.text() for li in after.find_all("li")[:limit]]
+        found += [t for t in labels[id(parent)] if t != text]
         yield text, [t for t in found if t and len(t) < 100]
 
 

@@ -53,18 +53,9 @@ def current_answers(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def session_answers(current: DataFrame, most: int = 100_000) -> DataFrame:
-    """One row per session with its answers as a map from question to answer.
-
-    A map is one value of one row, so the largest session is measured first; beyond ``most``
-    answers the table of answers itself has to be used.
-    """
-    largest = current.groupBy("session_id").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
-    if largest > most:
-        raise ValueError(f"a session has {largest} answers; use the table of answers")
-    return current.groupBy("session_id").agg(
-        F.map_from_entries(F.collect_list(F.struct("question_id", "answer"))).alias("answers")
-    )
+def session_answers(current: DataFrame) -> DataFrame:
+    """The answers of every session as rows, so that a session may have any number of them."""
+    return current.select("session_id", "question_id", "answer")
 
 
 def running_answer_rate(responses: DataFrame, questions: DataFrame) -> DataFrame:
