@@ -85,31 +85,43 @@ def _prefixes(words: int, num: int, den: int, counters):
     return cut
 
 
-def groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
-    """Runs of rows with equal keys, of batches sorted by them."""
+def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Batches sorted by ``keys``, cut only between groups, and where the groups start. Holds a batch and a group."""
     held: list[pa.RecordBatch] = []
+
+    def cut(parts: list[pa.RecordBatch]) -> tuple[pa.Table, np.ndarray]:
+        table = pa.Table.from_batches(parts)
+        new = np.zeros(table.num_rows, bool)
+        new[:1] = True
+        for key in keys:
+            values = table[key].to_numpy()
+            new[1:] |= values[1:] != values[:-1]
+        return table, np.flatnonzero(new)
+
     for batch in batches:
         if batch.num_rows == 0:
             continue
-        new = np.zeros(batch.num_rows, bool)
-        for key in keys:
-            values = batch.column(batch.schema.get_field_index(key)).to_numpy(zero_copy_only=False)
-            new[1:] |= values[1:] != values[:-1]
-            if held:
-                new[0] |= held[-1].column(held[-1].schema.get_field_index(key))[-1].as_py() != values[0]
-        bounds = [0, *np.flatnonzero(new).tolist(), batch.num_rows]
-        for a, b in zip(bounds, bounds[1:], strict=False):
-            if held and a < batch.num_rows and new[a]:
-                yield pa.Table.from_batches(held)
-                held = []
-            if b > a:
-                held.append(batch.slice(a, b - a))
+        table, starts = cut([*held[-1:], batch])
+        last = int(starts[-1]) - (table.num_rows - batch.num_rows)
+        if last < 0:
+            held.append(batch)
+            continue
+        parts = [*held, batch.slice(0, last)]
+        if sum(x.num_rows for x in parts):
+            yield cut(parts)
+        held = [batch.slice(last)]
     if held:
-        yield pa.Table.from_batches(held)
+        yield cut(held)
+
+
+def groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    for table, starts in whole_groups(batches, keys):
+        for a, b in zip(starts, [*starts[1:], table.num_rows], strict=True):
+            yield table.slice(a, b - a)
 
 
 def overlaps(sets: list[np.ndarray], width: int = 4096) -> np.ndarray:
-    """Sizes of all intersections, as a product of the incidence matrix with its transpose, by blocks of columns."""
+    """Sizes of the intersections of different sets, as a product of the incidence matrix with its transpose, by blocks of columns."""
     out = np.zeros((len(sets), len(sets)), np.float32)
     _, column, seen = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
     row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
@@ -187,38 +199,77 @@ def _sparse(num: int, den: int, buckets: int):
 
     def product(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found, size = [], 0
-        for table in groups(batches, ["gram", "low", "high"]):
-            group, rep, n, pos, left, block = (table[c].to_numpy() for c in ("comp", "rep", "n", "pos", "left", "block"))
-            low, high = table["low"][0].as_py(), table["high"][0].as_py()
-            values, index, counts = np.unique(group, return_inverse=True, return_counts=True)
-            if len(values) < 2:
-                continue
-            # Every pair of two components has a side outside the largest one.
-            largest = counts.argmax()
-            for i in np.flatnonzero(index != largest):
-                other = (index != index[i]) & ((index == largest) | (rep > rep[i]))
-                if low != high:
-                    other &= block != block[i]
-                other &= np.minimum(left[i], left) >= bound(n[i], n, num, den)
-                j = np.flatnonzero(other)
-                if not len(j):
-                    continue
+        for table, starts in whole_groups(batches, ["gram", "low", "high"]):
+            rep, n, pos = (table[c].to_numpy() for c in ("rep", "n", "pos"))
+            for i, j in _candidates(table, starts, num, den):
                 swap = rep[j] < rep[i]
-                out = np.empty(len(j), PACKED)
-                for name, values_i, values_j in (("", rep[i], rep[j]), ("n", n[i], n[j]), ("p", pos[i], pos[j])):
-                    out[name + "a"] = np.where(swap, values_j, values_i)
-                    out[name + "b"] = np.where(swap, values_i, values_j)
+                i, j = np.where(swap, j, i), np.where(swap, i, j)
+                out = np.empty(len(i), PACKED)
+                for side, at in (("a", i), ("b", j)):
+                    out[side], out["n" + side], out["p" + side] = rep[at], n[at], pos[at]
                 found.append(out)
                 size += len(out)
                 if size > 200_000:
                     yield flush(found)
                     found, size = [], 0
-        if found:
+        if size:
             yield flush(found)
 
     return product
 
 
+#: Groups up to this size are multiplied together, larger ones each for itself.
+SMALL_GROUP = 32
+
+
+def _candidates(table: pa.Table, starts: np.ndarray, num: int, den: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of rows of one group, of different components, that both can have the overlap that their sizes ask for."""
+    comp, n, left, block, low, high = (table[c].to_numpy() for c in ("comp", "n", "left", "block", "low", "high"))
+    sizes = np.diff(np.r_[starts, len(comp)])
+    group = np.repeat(np.arange(len(sizes)), sizes)
+
+    def fits(i, j):
+        ok = (comp[i] != comp[j]) & (np.minimum(left[i], left[j]) >= bound(n[i], n[j], num, den))
+        return ok & ((low[i] == high[i]) | (block[i] != block[j]))
+
+    near = np.flatnonzero(sizes[group] <= SMALL_GROUP)
+    for step in range(1, SMALL_GROUP):
+        near = near[near + step < len(group)]
+        near = near[group[near] == group[near + step]]
+        if not len(near):
+            break
+        chosen = near[fits(near, near + step)]
+        yield chosen, chosen + step
+    for g in np.flatnonzero(sizes > SMALL_GROUP):
+        rows = np.arange(starts[g], starts[g] + sizes[g])
+        values, index, counts = np.unique(comp[rows], return_inverse=True, return_counts=True)
+        # Every pair of two components has a side outside the largest one.
+        largest = index == counts.argmax()
+        for k in np.flatnonzero(~largest):
+            other = rows[largest | (rows > rows[k])]
+            other = other[fits(rows[k], other)]
+            yield np.full(len(other), rows[k]), other
+
+
+def _viable(num: int, den: int):
+    """Classes that have a possible partner in the block; all of a large group."""
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, starts in whole_groups(batches, ["gram"]):
+            rep = table["rep"].to_numpy()
+            sizes = np.diff(np.r_[starts, len(rep)])
+            large = np.repeat(sizes > SMALL_GROUP, sizes)
+            found = [rep[large]]
+            small = table.filter(pa.array(~large))
+            cuts = np.cumsum(np.r_[0, sizes[sizes <= SMALL_GROUP]])[:-1]
+            own = small["rep"].to_numpy()
+            for i, j in _candidates(small, cuts, num, den):
+                found += [own[i], own[j]]
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate(found)))], ["rep"])
+
+    return keep
+
+
 def _accumulate(num: int, den: int):
     """Add the partial products up; keep pairs that can still reach the bound."""
 
@@ -266,17 +317,22 @@ def jaccard_components(docs: DataFrame, words: int = 3, num: int = 9, den: int =
     usable = sets.where("n > 0 and id is not null")
     classes = usable.groupBy("set_key").agg(F.min("id").alias("rep"))
     one = usable.join(classes, (usable.id == classes.rep) & (usable.set_key == classes.set_key)).select("rep", "n", "rare")
-    incidence = one.select("rep", "n", F.size("rare").alias("k"), F.posexplode("rare").alias("pos", "gram"))
+    incidence = one.select("rep", "n", F.posexplode("rare").alias("pos", "gram"))
     shared = incidence.groupBy("gram").agg(F.count("*").alias("m")).where("m > 1")
     cells = stored(incidence.join(shared, "gram"), "ngram-cells")
     # left: n-grams of the set that another set can have, as far as the incidence tells
-    left = cells.groupBy("rep").agg((F.first("n") - F.first("k") + F.count("*")).alias("left"), F.max(F.struct("m", "gram")).alias("hot"), F.first("n").alias("size"))
-    left = stored(left.where(F.expr(f"{den} * left >= {num} * size")), "ngram-left")
-    text_of = texts.join(left.select(F.col("rep").alias("id")), "id", "left_semi").dropDuplicates(["id", "text"])
+    sums = cells.groupBy("rep").agg(F.first("n").alias("size"), F.count("*").alias("found"), F.max(F.struct("m", "gram")).alias("hot"))
+    left = sums.withColumn("left", F.expr(f"size - (size - ({num} * size + {den} - 1) div {den} + 1) + found")).where(F.expr(f"{den} * left >= {num} * size"))
+    left = stored(left.select("rep", "left", "hot"), "ngram-left")
+    open_cells = cells.join(left.select("rep", "left"), "rep").select("gram", "rep", "n", "pos", "left")
+    one_block = open_cells.withColumns({"comp": F.col("rep"), "block": F.lit(0), "low": F.lit(0), "high": F.lit(0)})
+    viable = one_block.repartition("gram").sortWithinPartitions("gram").mapInArrow(_viable(num, den), "rep long").distinct()
+    viable = stored(left.join(viable, "rep", "left_semi"), "ngram-viable")
+    text_of = texts.join(viable.select(F.col("rep").alias("id")), "id", "left_semi").dropDuplicates(["id", "text"])
     text_of = stored(text_of.select(F.col("id").alias("rep"), "text"), "ngram-texts")
 
     seeds = F.when(F.col("hot.m") > DENSE_ROWS, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    placed = left.select("rep", "hot", F.explode(seeds).alias("seed")).select(
+    placed = viable.select("rep", "hot", F.explode(seeds).alias("seed")).select(
         "rep", F.col("hot.gram").alias("gram"), "seed",
         F.pmod(F.xxhash64("rep", "seed"), F.ceil(F.col("hot.m") / DENSE_ROWS)).alias("salt"),
     )
@@ -286,7 +342,7 @@ def jaccard_components(docs: DataFrame, words: int = 3, num: int = 9, den: int =
     found = stored(blocks.mapInArrow(_dense(words, num, den), "u long, v long"), "ngram-found")
     joined = stored(components(found), "ngram-joined")
 
-    labelled = cells.join(left.select("rep", "left"), "rep").join(joined.withColumnRenamed("node", "rep"), "rep", "left")
+    labelled = open_cells.join(viable.select("rep"), "rep", "left_semi").join(joined.withColumnRenamed("node", "rep"), "rep", "left")
     labelled = labelled.select("gram", "rep", "n", "pos", "left", F.coalesce("component", "rep").alias("comp"))
     labelled = stored(labelled, "ngram-labelled")
     mixed = labelled.groupBy("gram").agg(F.count("*").alias("m"), F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 <> c1")
