@@ -33,7 +33,7 @@ def _ranked(docs: DataFrame) -> DataFrame:
     parts = F.ceil(F.col("rows") / RANKED_ROWS)
     # The first 32 bits of the digest cut a source into ranges of equal width.
     place = F.conv(F.substring("digest", 1, 8), 16, 10).cast("long")
-    cut = keyed.join(F.broadcast(sizes), "source").withColumn("part", F.shiftright(place * parts, 32))
+    cut = keyed.join(sizes, "source").withColumn("part", F.shiftright(place * parts, 32))
     before = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = cut.groupBy("source", "part").agg(F.count("*").alias("n")).select("source", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
     inside = Window.partitionBy("source", "part").orderBy("digest", "doc_id")
