@@ -22,14 +22,18 @@ from surveyloom.session import stored
 BLOCK_ROWS = 32
 TICKETS = 200
 #: Rows of a source that one window task ranks, on average.
-RANKED_ROWS = 20_000
+RANKED_ROWS = 4_096
+#: Sources whose sizes are broadcast, at most.
+MOST_SOURCES = 100_000
 
 
 def _ranked(docs: DataFrame) -> DataFrame:
     """(source, doc_id, rank) with ranks from 0 in the order of the digests, without a source in one task."""
     digest = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
     keyed = docs.select(F.coalesce(F.col("source").cast("string"), F.lit("")).alias("source"), "doc_id", digest.alias("digest"))
-    sizes = keyed.groupBy("source").agg(F.count("*").alias("rows"))
+    sizes = stored(keyed.groupBy("source").agg(F.count("*").alias("rows")), "mix-sizes")
+    if sizes.count() <= MOST_SOURCES:  # else a join deals the rows by source
+        sizes = F.broadcast(sizes)
     parts = F.ceil(F.col("rows") / RANKED_ROWS)
     # The first 32 bits of the digest cut a source into ranges of equal width.
     place = F.conv(F.substring("digest", 1, 8), 16, 10).cast("long")
