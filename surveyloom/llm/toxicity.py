@@ -35,7 +35,7 @@ def features(column: pa.Array) -> Iterator[np.ndarray]:
         words = part.hashes(start, end) >> shift
         heads = mix(part.hashes(start, np.minimum(end, start + START_BYTES))) >> shift
         for a, b in zip(bounds, bounds[1:], strict=False):
-            yield np.unique(np.concatenate([words[a:b], heads[a:b]])).astype(np.int64)
+            yield np.unique(np.concatenate([words[a:b], heads[a:b]])).astype(np.int32)
 
 
 @dataclass
@@ -53,7 +53,7 @@ def _odds(p: np.ndarray) -> np.ndarray:
 
 
 def _flat(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    return (np.concatenate(rows) if rows else np.zeros(0, np.int64)), np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+    return (np.concatenate(rows) if rows else np.zeros(0, np.int32)), np.repeat(np.arange(len(rows), dtype=np.int32), [len(r) for r in rows])
 
 
 def predict(link: Link, columns: np.ndarray, row: np.ndarray, n: int, earlier: np.ndarray) -> np.ndarray:
@@ -113,7 +113,7 @@ def fit_chain(rows: list[np.ndarray], fold: np.ndarray, labels: np.ndarray) -> l
 
 def _featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        found = pa.array(list(features(batch.column(batch.schema.get_field_index("text")))), pa.list_(pa.int64()))
+        found = pa.array(list(features(batch.column(batch.schema.get_field_index("text")))), pa.list_(pa.int32()))
         yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("id", "labels")), found], ["id", "labels", "features"])
 
 
@@ -148,11 +148,13 @@ def toxicity(docs: DataFrame, labels: DataFrame, categories: dict[str, str], id_
     marks = marks.where(F.col("id").isNotNull() & ~F.exists("labels", lambda x: x.isNull())).groupBy("id").agg(F.min("labels").alias("labels"))
     sample = marks.orderBy(F.md5(F.col("id").cast("string")), "id").limit(MOST_LABELLED)
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    known = texts.join(F.broadcast(sample), "id").select("id", "labels", "text").mapInArrow(_featurise, f"id {texts.schema['id'].dataType.simpleString()}, labels array<int>, features array<long>")
+    known = texts.join(F.broadcast(sample), "id").select("id", "labels", "text").mapInArrow(_featurise, f"id {texts.schema['id'].dataType.simpleString()}, labels array<int>, features array<int>")
     known = known.withColumn("fold", F.pmod(F.crc32(F.col("id").cast("string")), F.lit(FOLDS))).toArrow()
     order = np.argsort(known["id"].to_numpy(), kind="stable") if known.num_rows else []
-    rows = [np.asarray(x) for x in (known["features"].to_pylist())]
-    rows = [rows[i].astype(np.int64) for i in order]
+    # The features stay in Arrow's buffer; a text's are a view of it.
+    found = known["features"].combine_chunks() if known.num_rows else None
+    flat, cuts = (found.flatten().to_numpy(), np.append(0, np.cumsum(found.value_lengths()))) if found is not None else (None, None)
+    rows = [flat[cuts[i] : cuts[i + 1]] for i in order]
     values = np.array(known["labels"].to_pylist(), float).reshape(-1, len(categories))[order] if len(rows) else np.zeros((0, len(categories)))
     if len(rows):
         chain = fit_chain(rows, known["fold"].to_numpy()[order], values)
