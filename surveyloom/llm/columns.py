@@ -12,7 +12,9 @@ NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
 def lower_ascii(text: Column) -> Column:
-    return F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
+    """A-Z as a-z. On a value of ASCII alone ``lower`` does the same, and does it on bytes."""
+    mapped = F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
+    return F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(mapped)
 
 
 def words(text: Column, separators: str) -> Column:
