@@ -49,7 +49,7 @@ def remove_widespread(docs: DataFrame, sites: int = SITES, most_share: float = M
     site; a null doc_id is an id like others. Columns of these names in ``docs`` are replaced.
     """
     docs = docs.drop("n_lines", "n_spread", "n_removed")
-    found = lines(docs)
+    found = stored(lines(docs), "line-hashes")  # read three times below
     spread = stored(widespread(found, sites), "line-widespread")
     hits = found.join(spread, "line", "left_semi").groupBy("doc_id", "text_key").agg(
         F.collect_set(F.struct("pos", "chars")).alias("hit")
@@ -65,7 +65,7 @@ def remove_widespread(docs: DataFrame, sites: int = SITES, most_share: float = M
     kept = f"array_join(filter(split(text, '\\n'), (l, i) -> not array_contains(transform({q(hit)}, h -> h.pos), i)), '\\n')"
     return joined.select(
         *[F.expr(f"if({q(cut)}, {kept}, text)").alias("text") if c == "text" else F.col(q(c)) for c in docs.columns],
-        F.coalesce(F.size(F.filter(F.split("text", "\n"), lambda l: l.rlike(r"[^\x20\x09-\x0D]"))), F.lit(0)).cast("long").alias("n_lines"),
+        F.coalesce(F.size(F.filter(F.split("text", "\n"), lambda l: F.btrim(l, F.lit(" \t\x0b\x0c\r")) != "")), F.lit(0)).cast("long").alias("n_lines"),
         F.coalesce(F.size(F.col(q(hit))), F.lit(0)).cast("long").alias("n_spread"),
         F.expr(f"if({q(cut)}, size({q(hit)}), 0)").cast("long").alias("n_removed"),
     )
