@@ -15,12 +15,19 @@ from surveyloom.operators import selection as sel
 from surveyloom.session import shared_folder
 
 
+def _documents(rows, name: str, item):
+    """Documents of up to seven elements each, in the order of ``seq``, over several files."""
+    packed = rows.groupBy(F.expr("(seq - 1) div 7").alias("part")).agg(F.array_sort(F.collect_list(F.struct("seq", item.alias("item")))).alias("items"))
+    ordered = packed.repartitionByRange("part").sortWithinPartitions("part")
+    return ordered.select(F.transform("items", lambda x: x["item"]).alias(name))
+
+
 def _scratch(t, name: str) -> str:
     return f"{shared_folder(t.spark)}/{name}-{uuid.uuid4().hex}"
 
 
 @check("bank_scan", "S1 S2 S5", "questions", """
-SELECT id, question_text, question_type, difficulty, category, category || '|' || language AS tags,
+SELECT row_number() OVER (ORDER BY seq) - 1 AS seq, id, question_text, question_type, difficulty, category, category || '|' || language AS tags,
  array_to_string(list_transform(string_split(nullif(options_text, ''), '/'), lambda x: trim(x)), '|') AS options FROM questions""")
 def _(t):
     path = _scratch(t, "bank")
@@ -28,9 +35,9 @@ def _(t):
         "id", "question_text", "question_type", F.nullif("options_text", F.lit("")).alias("options"),
         "difficulty", "category", F.array("category", "language").alias("tags"), F.lit(0).alias("usage_count"),
     )
-    t.questions.select(F.array(question).alias("questions")).write.json(path)
+    _documents(t.questions, "questions", question).write.json(path)
     return sources.bank_questions(sources.read_bank(t.spark, path, multi_line=False)).select(
-        "id", "question_text", "question_type", "difficulty", "category",
+        "seq", "id", "question_text", "question_type", "difficulty", "category",
         F.array_join("tags", "|").alias("tags"), F.array_join("options", "|").alias("options"),
     )
 
@@ -45,21 +52,22 @@ def _(t):
     return t.users.select("id", "username", "role")
 
 
-@check("question_list_scan", "S3", "questions", "SELECT question_text, options_text, category, language, source_url FROM questions")
+@check("question_list_scan", "S3", "questions", "SELECT row_number() OVER (ORDER BY seq) - 1 AS seq, question_text, options_text, category, language, source_url FROM questions")
 def _(t):
     folder = _scratch(t, "list")
     item = F.struct("question_text", "options_text", F.col("kind").alias("question_type"), "category", "language", "source_url", "source_name")
-    t.questions.select(F.array(item).alias("fullContent")).write.json(folder)
-    return sources.read_question_list(t.spark, folder, multi_line=False).select("question_text", "options_text", "category", "language", "source_url")
+    _documents(t.questions, "fullContent", item).write.json(folder)
+    return sources.read_question_list(t.spark, folder, multi_line=False).select("seq", "question_text", "options_text", "category", "language", "source_url")
 
 
 @check("responses_scan", "S4", "responses", """
-SELECT user_id, question_id, answer, effective, count(*) AS n FROM responses GROUP BY 1, 2, 3, 4""")
+SELECT user_id, question_id, answer, effective, row_number() OVER (ORDER BY user_id, question_id, answer, effective) - 1 AS seq FROM responses""")
 def _(t):
     folder = _scratch(t, "responses")
     item = F.struct("user_id", "question_id", "answer", "effective")
-    t.responses.select(F.array(item).alias("responses")).write.json(folder)
-    return sources.read_responses(t.spark, folder, multi_line=False).groupBy("user_id", "question_id", "answer", "effective").agg(F.count("*").alias("n"))
+    order = ["user_id", "question_id", "answer", "effective"]
+    t.responses.repartitionByRange(*order).sortWithinPartitions(*order).select(F.array(item).alias("responses")).write.json(folder)
+    return sources.read_responses(t.spark, folder, multi_line=False).select("seq", "user_id", "question_id", "answer", "effective")
 
 
 @check("convert_rows", "S6 C20", "questions", """
@@ -113,11 +121,10 @@ def _(t):
 
 
 @check("seed_pages", "S10 U1", sql="""
-SELECT url, source_name, count(*) AS n FROM (SELECT url, 'a' AS source_name FROM pages
- UNION ALL SELECT url, 'b' FROM pages) GROUP BY 1, 2""")
+SELECT 0 AS list, page_id AS seq, url, 'a' AS source_name FROM pages UNION ALL SELECT 1, page_id, url, 'b' FROM pages""")
 def _(t):
-    seeds = sources.seed_pages(*[t.pages.withColumn("source_name", F.lit(n)) for n in ("a", "b")])
-    return seeds.groupBy("url", "source_name").agg(F.count("*").alias("n"))
+    seeds = sources.seed_pages(*[t.pages.withColumn("source_name", F.lit(n)).withColumn("seq", F.col("page_id")) for n in ("a", "b")])
+    return seeds
 
 
 INGEST = """WITH good AS (SELECT * FROM questions WHERE length(short_text) > 8 AND options_text <> ''),

@@ -176,14 +176,14 @@ def _(t):
 SELECT 'raw' AS stage, count(*) AS rows FROM questions UNION ALL SELECT 'valid', count(*) FROM pool
 UNION ALL SELECT 'en', count(*) FILTER (detected_lang = 'en') FROM pool UNION ALL SELECT 'zh', count(*) FILTER (detected_lang = 'zh') FROM pool""")
 def _(t):
-    return cleaning.load_and_process(_raw_pool(t), lex.TOPICS["en"], **OPTIONS)["cleaning"]
+    return cleaning.load_and_process(_raw_pool(t), lex.TOPICS, **OPTIONS)["cleaning"]
 
 
 def _topic_rows() -> str:
     return " UNION ALL ".join(
-        f"SELECT detected_lang, 'topic', '{name}', count(*) FILTER ("
-        + " OR ".join(f"contains(lower(question_text), '{w}')" for w in words) + ") FROM pool GROUP BY 1"
-        for name, words in lex.TOPICS["en"]
+        f"SELECT '{lang}', 'topic', '{name}', count(*) FILTER ("
+        + " OR ".join(f"contains(lower(question_text), '{w}')" for w in words) + f") FROM pool WHERE detected_lang = '{lang}' HAVING count(*) > 0"
+        for lang, topics in lex.TOPICS.items() for name, words in topics
     )
 
 
@@ -193,7 +193,7 @@ UNION ALL {_topic_rows()}
 UNION ALL SELECT d.detected_lang, 'difficulty', CAST(lvl AS VARCHAR), count(pool.seq) FROM (SELECT DISTINCT detected_lang FROM pool) d
  CROSS JOIN range(1, 6) r(lvl) LEFT JOIN pool ON pool.detected_lang = d.detected_lang AND difficulty_score = lvl GROUP BY 1, 3""")
 def _(t):
-    return cleaning.load_and_process(_raw_pool(t), lex.TOPICS["en"], **OPTIONS)["content"]
+    return cleaning.load_and_process(_raw_pool(t), lex.TOPICS, **OPTIONS)["content"]
 
 
 @check("full_workflow", "H5")

@@ -196,6 +196,24 @@ def topic_coverage(df: DataFrame, topics: list[tuple[str, list[str]]], text: str
     return counts.select(*(by or []), F.inline(lines))
 
 
+def topic_coverage_by_language(
+    df: DataFrame, topics: dict[str, list[tuple[str, list[str]]]], text: str, lang: str
+) -> DataFrame:
+    """(lang, topic, count): texts per topic, each text against the topics of its own language. One scan.
+
+    Languages without topics give no rows.
+    """
+    lower = F.lower(F.col(text))
+    named = [(code, name, words) for code, listed in topics.items() for name, words in listed]
+    counts = df.filter(F.col(lang).isin(*topics)).groupBy(lang).agg(
+        *[F.count_if(F.when(F.col(lang) == code, contains_any(lower, words))).alias(f"_t{i}") for i, (code, _, words) in enumerate(named)]
+    )
+    lines = F.array(
+        *[F.struct(F.lit(code).alias("of"), F.lit(name).alias("topic"), F.col(f"_t{i}").alias("count")) for i, (code, name, _) in enumerate(named)]
+    )
+    return counts.select(lang, F.inline(lines)).filter(F.col("of") == F.col(lang)).drop("of")
+
+
 def level_counts(df: DataFrame, level: str, levels: list[int], by: list[str] | None = None) -> DataFrame:
     """Rows per level with absent levels as 0, in one aggregate."""
     counts = df.groupBy(*(by or [])).agg(*[F.count_if(F.col(level) == x).alias(f"_l{x}") for x in levels])

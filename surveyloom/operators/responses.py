@@ -24,7 +24,7 @@ def question_lookup(questions: DataFrame, value: str, unique_ids: bool = False)
     )
 
 
-def _own(responses: DataFrame, column: str) -> Column:
+def own_value(responses: DataFrame, column: str) -> Column:
     """The response's own value, NULL when it is missing or empty."""
     if column not in responses.columns:
         return F.lit(None).cast("string")
@@ -35,7 +35,7 @@ def response_counters(responses: DataFrame, own: list[str] | None = None) -> Dat
     """Counters per question, kept apart by the response's own type and category, if it has them."""
     own = ["question_type", "category"] if own is None else own
     effective = is_effective(F.col("effective"))
-    return responses.groupBy("question_id", *[_own(responses, c).alias(f"own_{c}") for c in own]).agg(
+    return responses.groupBy("question_id", *[own_value(responses, c).alias(f"own_{c}") for c in own]).agg(
         F.count("*").alias("rows_all"),
         F.count_if(F.coalesce(~F.col("effective"), F.lit(False))).alias("rows_ineffective"),
         F.count_if(effective).alias("rows_effective"),
@@ -99,7 +99,7 @@ def with_question_values(
         lookup = one if lookup is None else lookup.join(one, "question_id")
     joined = responses.join(lookup, "question_id", "left")
     for value in values:
-        joined = joined.withColumn(value, F.coalesce(_own(responses, value), f"bank_{value}"))
+        joined = joined.withColumn(value, F.coalesce(own_value(responses, value), f"bank_{value}"))
     known = F.lit(True)
     for value in values:
         known = known & F.col(value).isNotNull()

@@ -8,6 +8,7 @@ is never compared with a document it shares no term with.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from surveyloom.functions.scoring import match_percent, stars
 from surveyloom.functions.text import dedup_key, digest, terms
 from surveyloom.operators.firstwins import top_per_group
+from surveyloom.sources.ids import ranked_within
 from surveyloom.session import stored
 
 MIN_SCORE = 0.05
@@ -132,21 +134,32 @@ def cosine_scores(index: TermIndex, request_terms: DataFrame) -> DataFrame:
     )
 
 
-def ranked_matches(scores: DataFrame, k: int, min_score: float = MIN_SCORE) -> DataFrame:
-    """Best ``k`` documents per request above ``min_score``; each text once; ties by document order."""
+def ranked_matches(scores: DataFrame, k: int | DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
+    """Best ``k`` documents per request above ``min_score``; each text once; ties by document order.
+
+    ``k`` may be a table (query, k). Then all matches of a request are ranked, spread over many tasks.
+    """
     order = [F.desc(F.round("score", RANK_DIGITS)), F.asc("doc")]
     above = scores.filter(F.col("score") > min_score)
     once = top_per_group(above, ["query", "text_key"], order, 1)
-    return top_per_group(once, ["query"], order, k, rank="rank")
+    if isinstance(k, int):
+        return top_per_group(once, ["query"], order, k, rank="rank")
+    falling = once.withColumn("_falling", -F.round("score", RANK_DIGITS))
+    ranked = ranked_within(falling, ["query"], ["_falling", "doc"]).drop("_falling")
+    return ranked.join(k, "query").filter(F.col("rank") <= F.col("k")).drop("k")
 
 
 def generate_survey(
-    corpus: DataFrame, index: TermIndex, requests: DataFrame, k: int, stop_words: list[str],
+    corpus: DataFrame, index: TermIndex, requests: DataFrame, k: int | str, stop_words: list[str],
     query: str = "query_id", text: str = "text", doc: str = "seq", min_score: float = MIN_SCORE,
 ) -> DataFrame:
-    """Ranked questions for every request. Texts and options are fetched for the winners only."""
+    """Ranked questions for every request. Texts and options are fetched for the winners only.
+
+    ``k`` is a number, or the column of ``requests`` that has each request's own number.
+    """
     wanted = request_weights(requests, index.vocabulary, query, text, stop_words)
-    best = ranked_matches(cosine_scores(index, wanted), k, min_score)
+    most = requests.groupBy(F.col(query).alias("query")).agg(F.max(k).alias("k")) if isinstance(k, str) else k
+    best = ranked_matches(cosine_scores(index, wanted), most, min_score)
     details = corpus.select(
         F.col(doc).alias("doc"), "question_text", "difficulty_score",
         F.nullif(F.coalesce("options_text", F.lit("")), F.lit("")).alias("options_text"),
@@ -158,6 +171,33 @@ def generate_survey(
     )
 
 
+@dataclass
+class Pool:
+    """The questions of one language, their index and the stop words it was built with."""
+
+    corpus: DataFrame
+    index: TermIndex
+    stop_words: list[str]
+
+
+def language_pools(corpus: DataFrame, doc: str, text: str, stop_words: dict[str, list[str]], lang: str, **options) -> dict[str, Pool]:
+    """A pool for each language of ``stop_words``; document frequencies count within the language."""
+    parts = {code: corpus.filter(F.col(lang) == code) for code in stop_words}
+    return {code: Pool(part, build_index(part, doc, text, stop_words[code], **options), stop_words[code]) for code, part in parts.items()}
+
+
+def generate_survey_by_language(pools: dict[str, Pool], requests: DataFrame, k: int | str, lang: str = "lang", **options) -> DataFrame:
+    """Ranked questions for every request, from the pool of its own language only.
+
+    A request in a language without a pool gives no rows.
+    """
+    parts = [
+        generate_survey(pool.corpus, pool.index, requests.filter(F.col(lang) == code), k, pool.stop_words, **options)
+        for code, pool in pools.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def keywords(index: TermIndex, k: int) -> DataFrame:
     """The ``k`` heaviest terms per document; ties in order of the term."""
     order = [F.desc(F.round("weight", RANK_DIGITS)), F.asc("term")]

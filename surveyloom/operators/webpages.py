@@ -309,11 +309,14 @@ def crawl(
 ) -> dict[str, DataFrame]:
     """Questions, outcomes and counters of a whole crawl over already fetched ``pages``.
 
-    ``seeds`` has (url, source_name). The parsed questions are written once, since three results
+    ``seeds`` has (url, source_name), and (list, seq) if it comes from ``seed_pages``: of several seeds
+    with one url the first counts, else the one with the first name. The parsed questions are written once, since three results
     read them and parsing is the expensive part.
     """
     found = stored(page_questions(text_blocks(pages), markers, keywords), "crawl")
-    start = pages.drop("source_name").join(first_wins(seeds, ["url"], "source_name"), "url")
+    order = "_order" if {"list", "seq"} <= set(seeds.columns) else "source_name"
+    seeds = seeds.withColumn("_order", F.struct("list", "seq")) if order == "_order" else seeds
+    start = pages.drop("source_name").join(first_wins(seeds, ["url"], order).drop("_order", "list", "seq"), "url")
     links = sublinks(pages_without_questions(start, found), patterns)
     outcomes = page_outcomes(start, found, links, pages)
     return {

@@ -10,7 +10,7 @@ from surveyloom.functions import options as opt
 from surveyloom.functions import predicates as pred
 from surveyloom.functions import rules, scoring
 from surveyloom.functions import text as txt
-from surveyloom.operators.counts import level_counts, topic_coverage
+from surveyloom.operators.counts import level_counts, topic_coverage_by_language
 from surveyloom.operators.firstwins import drop_near_duplicates
 from surveyloom.session import stored
 
@@ -107,12 +107,15 @@ def cleaning_report(raw: DataFrame, pool: DataFrame) -> DataFrame:
     return loaded.unionByName(counts.select(F.inline(lines)))
 
 
-def content_report(pool: DataFrame, topics: list[tuple[str, list[str]]], lang: str = "detected_lang") -> DataFrame:
-    """(lang, metric, key, count): types, topic coverage and difficulty levels per language."""
+def content_report(pool: DataFrame, topics: dict[str, list[tuple[str, list[str]]]], lang: str = "detected_lang") -> DataFrame:
+    """(lang, metric, key, count): types, topic coverage and difficulty levels per language.
+
+    ``topics`` has a list per language; texts are matched with the list of their own language.
+    """
     kinds = pool.groupBy(lang, F.coalesce("question_type", F.lit("Unknown")).alias("key")).agg(
         F.count("*").alias("count")
     ).select(lang, F.lit("question_type").alias("metric"), "key", "count")
-    cover = topic_coverage(pool, topics, "question_text", [lang]).select(
+    cover = topic_coverage_by_language(pool, topics, "question_text", lang).select(
         lang, F.lit("topic").alias("metric"), F.col("topic").alias("key"), "count"
     )
     levels = level_counts(pool, "difficulty_score", [1, 2, 3, 4, 5], [lang]).select(
@@ -121,7 +124,7 @@ def content_report(pool: DataFrame, topics: list[tuple[str, list[str]]], lang: s
     return kinds.unionByName(cover).unionByName(levels)
 
 
-def load_and_process(raw: DataFrame, topics: list[tuple[str, list[str]]], **options) -> dict[str, DataFrame]:
+def load_and_process(raw: DataFrame, topics: dict[str, list[tuple[str, list[str]]]], **options) -> dict[str, DataFrame]:
     """Pool, its two language parts, the cleaning report and the content report.
 
     The pool is written once; everything else reads the columns it needs from there.

@@ -7,11 +7,14 @@ A document that spans several lines cannot be split, so it is read by one task.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from surveyloom import lexicons, schemas
 from surveyloom.functions.options import decode_options
+from surveyloom.sources.ids import ordered_index
 
 __all__ = [
     "read_bank", "bank_questions", "bank_questionnaires", "bank_users", "read_responses",
@@ -24,21 +27,38 @@ def _path_exists(spark: SparkSession, path: str) -> bool:
     return location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location)
 
 
+def _place() -> Column:
+    """Where a document stands: its file, the split of the file, and its position among the rows of that split."""
+    return F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("row"))
+
+
+PLACE = "_place"
+
+
 def _read_document(spark: SparkSession, path: str, schema: str, multi_line: bool) -> DataFrame:
     if not _path_exists(spark, path):
-        return spark.createDataFrame([], schema)
-    return spark.read.option("multiLine", multi_line).schema(schema).json(path)
+        place = "struct<file_path: string, file_block_start: bigint, row: bigint>"
+        return spark.createDataFrame([], f"{schema}, {PLACE} {place}")
+    rows = spark.read.option("multiLine", multi_line).schema(schema).json(path)
+    return rows.select("*", _place().alias(PLACE))
+
+
+def _numbered(elements: DataFrame) -> DataFrame:
+    """Elements with ``seq``, their 0-based position over all documents and files."""
+    return ordered_index(elements, [PLACE, "_pos"], "seq").drop(PLACE, "_pos")
 
 
 def read_bank(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """One row per bank document, with its collections as arrays; no row when the file is missing."""
+    """One row per bank document, with its collections as arrays, and its place among the documents.
+
+    No row when the file is missing.
+    """
     return _read_document(spark, path, schemas.BANK_DOCUMENT, multi_line)
 
 
 def _collection(bank: DataFrame, name: str) -> DataFrame:
-    return bank.select(F.posexplode(name).alias("seq", "item")).select(
-        F.col("seq").cast("bigint").alias("seq"), "item.*"
-    )
+    elements = bank.select(PLACE, F.posexplode(name).alias("_pos", "_item"))
+    return _numbered(elements).select("seq", "_item.*")
 
 
 def bank_questions(bank: DataFrame) -> DataFrame:
@@ -80,10 +100,8 @@ def read_question_list(
     rows = spark.read.option("multiLine", multi_line).schema(wrapped).json(path)
     # One row per document element; an element is either a question or the wrapper.
     items = F.coalesce("fullContent", F.array(F.struct(*names)))
-    numbered = rows.withColumn("part", F.monotonically_increasing_id())
-    return numbered.select("part", F.posexplode(items).alias("pos", "item")).select(
-        (F.col("part") + F.col("pos")).alias("seq"), "item.*"
-    )
+    elements = rows.select(_place().alias(PLACE), F.posexplode(items).alias("_pos", "_item"))
+    return _numbered(elements).select("seq", "_item.*")
 
 
 def read_question_lines(
@@ -123,11 +141,12 @@ def convert_rows(rows: DataFrame, present: dict[str, Column] | None = None) -> D
 
 
 def seed_pages(*sources: DataFrame) -> DataFrame:
-    """All (url, source_name) seed lists as one table; duplicates stay."""
-    result = sources[0].select("url", "source_name")
-    for source in sources[1:]:
-        result = result.unionByName(source.select("url", "source_name"))
-    return result
+    """All (seq, url, source_name) seed lists as one table; duplicates stay.
+
+    ``list`` is the number of the list and ``seq`` the position in it, so (list, seq) orders all seeds.
+    """
+    parts = [s.select(F.lit(i).alias("list"), "seq", "url", "source_name") for i, s in enumerate(sources)]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def first_present(*candidates: Column, default: str = "") -> Column:

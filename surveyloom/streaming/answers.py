@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from surveyloom.functions.predicates import is_answered, is_effective
+from surveyloom.operators.responses import own_value, question_lookup
 
 
 def last_answers(answers: DataFrame, watermark: str = "1 hour", window: str = "1 hour") -> DataFrame:
@@ -61,13 +62,16 @@ def session_answers(current: DataFrame) -> DataFrame:
 def running_answer_rate(responses: DataFrame, questions: DataFrame) -> DataFrame:
     """Answered and total effective responses per question type so far (complete mode).
 
-    ``questions`` is a static table; each arriving batch is joined with it.
+    ``questions`` is a static table; each arriving batch is joined with it. As in the batch report,
+    a response's own type comes first, and of several questions with one id the last one counts.
     """
-    lookup = questions.select(F.col("id").alias("question_id"), "question_type")
+    kind = F.coalesce("own", "bank_question_type").alias("question_type")
     return (
         responses.filter(is_effective(F.col("effective")))
-        .select("question_id", is_answered(F.col("answer")).alias("hit"))
-        .join(lookup, "question_id")
+        .select("question_id", own_value(responses, "question_type").alias("own"), is_answered(F.col("answer")).alias("hit"))
+        .join(question_lookup(questions, "question_type"), "question_id", "left")
+        .select(kind, "hit")
+        .filter(F.col("question_type").isNotNull())
         .groupBy("question_type")
         .agg(F.count("*").alias("total"), F.count_if("hit").alias("answered"))
     )

@@ -130,6 +130,15 @@ def test_retrieval(spark, table):
     assert all(0.05 < r.score <= 1.0 + 1e-9 for r in out)
 
 
+def test_retrieval_by_language(table, rows):
+    corpus = table("seq bigint, question_text string, difficulty_score int, options_text string, lang string",
+                   (0, "good hotel", 3, None, "en"), (1, "good room", 1, None, "en"), (2, "good hotel", 1, None, "fr"), (3, "bad hotel", 1, None, "fr"))
+    pools = retrieval.language_pools(corpus, "seq", "question_text", {"en": [], "fr": ["bad"]}, "lang")
+    asked = table("query_id bigint, text string, lang string, k int", (1, "good", "en", 1), (2, "good", "en", 5), (3, "good", "fr", 5), (4, "bad", "fr", 5), (5, "good", "xx", 5))
+    out = retrieval.generate_survey_by_language(pools, asked, "k")
+    assert rows(out, "query_id", "rank", "seq") == [(1, 1, 0), (2, 1, 0), (2, 2, 1), (3, 1, 2)]
+
+
 def test_requests_in_normal_form(table, rows):
     """Pool keys and requests meet in one normal form: hotels and inn both become stay."""
     raw = table("seq bigint, question_text string, options_text string, question_type string",
@@ -287,9 +296,12 @@ def test_clean_questions(table, rows):
 def test_load_and_process(table, rows):
     raw = table("seq bigint, question_text string, options_text string, question_type string",
                 (0, "Q1. The hotel room?", "", "open_ended"), (1, "hotel room", None, "yes_no"), (2, "您好吗？", "", None), (3, "x", "", "yes_no"))
-    parts = cleaning.load_and_process(raw, lex.TOPICS["en"], stop_words=["the"])
+    parts = cleaning.load_and_process(raw, lex.TOPICS, stop_words=["the"])
     assert rows(parts["cleaning"], "*") == [("en", 1), ("raw", 4), ("valid", 2), ("zh", 1)]
     assert ("en", "topic", "Hotel/Accommodation", 1) in rows(parts["content"], "*")
+    assert ("zh", "topic", "Hotel/Accommodation", 0) in rows(parts["content"], "*")
+    zh = cleaning.content_report(table("question_text string, question_type string, detected_lang string, difficulty_score int", ("酒店 hotel food", "x", "zh", 1)), lex.TOPICS)
+    assert {r[2]: r[3] for r in rows(zh, "*") if r[1] == "topic" and r[3]} == {"Hotel/Accommodation": 1}
     assert rows(parts["en"], "seq") == [(0,)] and rows(parts["zh"], "seq") == [(2,)]
     strict = cleaning.prepare_pool(raw, require_question_mark=True, stop_words=["the"])
     assert rows(strict, "seq") == [(0,), (2,)]
@@ -330,6 +342,13 @@ def test_question_lists_and_responses(spark, tmp_path, rows):
     for name in ("bare.json", "wrapped.json"):
         got = sources.read_question_list(spark, str(tmp_path / name))
         assert rows(got, "seq", "question_text") == [(0, "q0"), (1, "q1"), (2, "q2")]
+    folder = tmp_path / "many"
+    folder.mkdir()
+    lines = [json.dumps({"fullContent": items}), json.dumps({"question_text": "alone"}), json.dumps({"fullContent": items})]
+    (folder / "a.json").write_text("\n".join(lines))
+    (folder / "b.json").write_text(lines[0])
+    got = sources.read_question_list(spark, str(folder), multi_line=False)
+    assert rows(got, "seq", "question_text") == list(enumerate(["q0", "q1", "q2", "alone", *["q0", "q1", "q2"] * 2]))
     (tmp_path / "r.json").write_text(json.dumps({"responses": [{"user_id": 1, "question_id": 2, "answer": "a"}, {"user_id": 1, "question_id": 2, "answer": "b", "effective": None}]}))
     assert rows(sources.read_responses(spark, str(tmp_path / "r.json")), "seq", "answer", "effective") == [(0, "a", None), (1, "b", None)]
 

@@ -1,5 +1,6 @@
 """Page layouts, links and the crawl."""
 
+from surveyloom import sources
 from surveyloom.operators import webpages
 
 WJX = """<div class="field ui"><div class="field-label">1. How was your hotel room?</div>
@@ -64,3 +65,12 @@ def test_crawl(table, rows):
     assert rows(out["outcomes"], "page_id", "outcome", "links_used", "questions") == [
         (1, "direct", 0, 1), (2, "sublinks", 1, 2), (3, "failed", 0, 0), (7, "empty", 0, 0)]
     assert rows(out["counters"], "*") == [(1, 2, 1, 1, 3)]
+
+
+def test_first_seed_in_the_lists_counts(table, rows):
+    pages = table("page_id bigint, url string, html string", (1, "http://hub.org", '<a href="https://www.surveymonkey.com/r/a">a</a>'),
+                  (2, "https://www.surveymonkey.com/r/a", "<p>How was the hotel room?</p>"))
+    lists = [table("seq bigint, url string, source_name string", *given) for given in ([(5, "http://hub.org", "zebra"), (7, "http://hub.org", "bear")], [(1, "http://hub.org", "ant")])]
+    seeds = sources.seed_pages(*lists)
+    assert rows(seeds, "list", "seq", "source_name") == [(0, 5, "zebra"), (0, 7, "bear"), (1, 1, "ant")]
+    assert rows(webpages.crawl(pages, seeds)["questions"], "question_text", "source_name") == [("How was the hotel room?", "zebra")]

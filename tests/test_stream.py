@@ -36,9 +36,9 @@ def test_rows_behind_the_watermark_are_dropped(spark, tmp_path, rows):
 
 
 def test_running_rate_equals_batch(spark, tmp_path, table, rows):
-    schema = "user_id bigint, question_id bigint, answer string, effective boolean"
-    data = [(u, u % 4, "not_answered" if u % 3 == 0 else "y", [True, None, False][u % 3 - 1]) for u in range(60)]
-    bank = table("id bigint, seq bigint, question_type string, category string", (0, 0, "x", "c"), (1, 1, "y", "c"), (2, 2, "x", "c"))
+    schema = "user_id bigint, question_id bigint, answer string, effective boolean, question_type string"
+    data = [(u, u % 4, "not_answered" if u % 3 == 0 else "y", [True, None, False][u % 3 - 1], [None, "", "own"][u % 5 % 3]) for u in range(60)]
+    bank = table("id bigint, seq bigint, question_type string, category string", (0, 0, "x", "c"), (1, 1, "y", "c"), (2, 2, "x", "c"), (1, 3, "later", "c"))
     stream = feed(spark, tmp_path / "in", schema, [data[:20], data[20:35], data[35:]])
     live.write_running_table(live.running_answer_rate(stream, bank), str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
     batch = responses.answer_rate_by_type(spark.createDataFrame(data, schema), bank)
