@@ -5,6 +5,10 @@ from up to three characters before it in the same word (a word starts after word
 model; the arrays hold the n-grams that any language has seen, with one log probability per language. The language
 with the lowest cross-entropy per character wins. Rejection is calibrated on the training texts: a text is rejected
 if its cross-entropy is above that of nearly all training texts of the language.
+
+Every n-gram of the training texts counts. While they are few, all of them are broadcast. Otherwise counts, discounts
+and probabilities are computed in Spark, the most frequent n-grams are broadcast with their exact probabilities, and
+those of a text that are not among them are joined with the stored model.
 """
 
 from __future__ import annotations
@@ -14,7 +18,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from surveyloom.llm.lookup import SortedHash
@@ -23,7 +28,7 @@ from surveyloom.session import stored
 
 ORDER = 4
 SLICE_CHARS = 1 << 18
-#: Most different n-grams of the longest order over all languages; the most frequent are kept.
+#: Most n-grams of the longest order that are broadcast (of up to eight languages, fewer of more); all others are joined.
 MOST_GRAMS = 400_000
 #: Weights of the cross-entropy from which the one with the best likelihood of the training labels is taken.
 SHARPNESS = (1.0, 2.0, 4.0, 8.0, 16.0, 32.0, 64.0)
@@ -88,7 +93,9 @@ def context(high: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _key(high: np.ndarray, low: np.ndarray, order: int, is_context: bool) -> np.ndarray:
-    return mix(mix(high + np.uint64(2 * order + is_context + 1)) * np.uint64(0x9E3779B97F4A7C15) + low)
+    # The order is mixed in by itself: added to ``high``, it made n-grams of two orders share a key.
+    kind = np.uint64((2 * order + is_context + 1) * 0xD6E8FEB86659FD93 & (1 << 64) - 1)
+    return mix(mix(mix(high + np.uint64(1)) ^ kind) * np.uint64(0x9E3779B97F4A7C15) + low)
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -211,58 +218,207 @@ class Models:
         return out
 
 
-def fit(training: DataFrame, most: int = MOST_GRAMS) -> Models:
-    """Models of ``training`` (lang, text), both not null. Counts cover all rows; at most ``most`` n-grams reach the driver."""
+class Head:
+    """The most frequent n-grams of the longest order, with the log probabilities of the whole models."""
+
+    def __init__(self, langs: list[str], high: np.ndarray, low: np.ndarray, logs: np.ndarray):
+        key = _key(high, low, ORDER, False)
+        by = np.argsort(key)
+        self.langs, self.table = langs, SortedHash(key[by])
+        self.logs = np.concatenate([logs[by], np.zeros((1, len(langs)))]).astype(np.float32)
+
+    def score(self, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """log2 probability of each symbol in each language (0: its n-gram is not here), and which are not here."""
+        at = self.table.find(_key(*grams(symbols), ORDER, False))
+        return self.logs[at], at < 0
+
+
+def _suffix(order: int) -> tuple[Column, Column]:
+    """``shorten`` on the columns high and low."""
+    mask = (1 << 21) - 1
+    high = F.col("high").bitwiseAND(mask) if order == 3 else F.lit(0).cast("long")
+    return high, F.col("low") if order > 1 else F.col("low").bitwiseAND(mask)
+
+
+class Tables:
+    """The models as stored tables, by order: ``grams`` (high, low, p) and ``contexts`` (high, before, weight), with a
+    value per language in each array."""
+
+    def __init__(self, counts: DataFrame, langs: list[str]):
+        """``counts``: lang, high, low, n of all n-grams of the longest order."""
+        self.langs = langs
+        number = (F.array_position(F.array(*[F.lit(x) for x in langs]), F.col("lang")) - 1).cast("int")
+        levels = {ORDER: counts.select(number.alias("g"), "high", "low", F.col("n").alias("seen"), F.col("n").alias("c"))}
+        for order in range(ORDER - 1, 0, -1):
+            high, low = _suffix(order)
+            level = levels[order + 1].groupBy("g", high.alias("high"), low.alias("low")).agg(F.sum("seen").alias("seen"), F.count("*").alias("kinds"))
+            first = {3: F.col("high"), 2: F.shiftright("low", 21), 1: F.lit(1)}[order]
+            level = level.withColumn("c", F.when(first == 0, F.col("seen")).otherwise(F.col("kinds")))
+            levels[order] = stored(level.select("g", "high", "low", "seen", "c"), "language-level")
+        self.symbols = levels[1].select("low").distinct().count() + 1
+        self.grams: dict[int, DataFrame] = {}
+        self.contexts: dict[int, DataFrame] = {}
+        for order in range(1, ORDER + 1):
+            self._add(order, levels[order])
+
+    def _each(self, of: str, otherwise) -> Column:
+        """Array with the value of every language from the map ``of``."""
+        return F.transform(F.sequence(F.lit(0), F.lit(len(self.langs) - 1)), lambda i: F.coalesce(F.try_element_at(F.col(of), i), otherwise))
+
+    def _add(self, order: int, level: DataFrame) -> None:
+        few = {r.g: r for r in level.groupBy("g").agg(F.count_if(F.col("c") == 1).alias("ones"), F.count_if(F.col("c") == 2).alias("twos")).collect()}
+        discounts = [min(max(few[i].ones / max(few[i].ones + 2 * few[i].twos, 1), 0.1), 0.95) for i in range(len(self.langs))]
+        discount = F.array(*[F.lit(d) for d in discounts])
+        before = F.shiftright("low", 21).alias("before")
+        entries = lambda *values: F.map_from_entries(F.collect_list(F.struct("g", *values)))
+        sums = level.groupBy("g", "high", before).agg(F.sum("c").cast("double").alias("total"), F.count("*").alias("kinds"))
+        weight = F.get(discount, F.col("g")) * F.col("kinds") / F.col("total")
+        sums = sums.withColumn("weight", weight).groupBy("high", "before").agg(entries("total").alias("t"), entries("weight").alias("w"))
+        contexts = stored(sums.select("high", "before", self._each("t", F.lit(0.0)).alias("total"), self._each("w", F.lit(1.0)).alias("weight")), "language-contexts")
+        self.contexts[order] = contexts.select("high", "before", "weight")
+        found = level.groupBy("high", "low").agg(entries(F.col("c").cast("double").alias("c")).alias("m"), F.sum("c").alias("n"))
+        found = found.select("high", "low", before, "n", self._each("m", F.lit(0.0)).alias("counts"))
+        found = found.join(F.broadcast(contexts) if order == 1 else contexts, ["high", "before"])
+        if order == 1:
+            found = found.withColumn("lower", F.array_repeat(F.lit(1.0 / self.symbols), len(self.langs)))
+        else:
+            high, low = _suffix(order - 1)
+            found = found.withColumns({"h": high, "l": low}).join(self.grams[order - 1].select(F.col("high").alias("h"), F.col("low").alias("l"), F.col("p").alias("lower")), ["h", "l"])
+        p = F.transform(
+            F.arrays_zip("counts", "discount", "total", "weight", "lower"),
+            lambda x: F.greatest(x["counts"] - x["discount"], F.lit(0.0)) / F.greatest(x["total"], F.lit(1e-9)) + x["weight"] * x["lower"],
+        )
+        self.grams[order] = stored(found.withColumn("discount", discount).select("high", "low", "n", p.alias("p")), "language-grams")
+
+    def head(self, most: int) -> Head:
+        """The most frequent n-grams, down to the power of two at which they are at most ``most``."""
+        grams = self.grams[ORDER]
+        sizes = grams.groupBy(F.floor(F.log2("n")).cast("int").alias("p")).agg(F.count("*").alias("grams")).orderBy(F.desc("p")).collect()
+        kept, least = 0, None
+        for size in sizes:
+            if kept + size.grams > most:
+                break
+            kept, least = kept + size.grams, 1 << size.p
+        logs = F.transform("p", lambda x: F.log2(x).cast("float")).alias("logs")
+        chosen = grams.where(F.col("n") >= least if least else F.lit(False)).select("high", "low", logs).toArrow()
+        flat = chosen["logs"].combine_chunks().flatten().to_numpy().reshape(-1, len(self.langs))
+        return Head(self.langs, chosen["high"].to_numpy().view(np.uint64), chosen["low"].to_numpy().view(np.uint64), flat)
+
+    def find(self, wanted: DataFrame, order: int = ORDER) -> DataFrame:
+        """Probabilities of different n-grams, seen or not: (high, low, p). A key is shared by at most an alphabet of rows."""
+        grams = self.grams[order].select("high", "low", F.col("p").alias("known"))
+        found = wanted.join(grams, ["high", "low"], "left").withColumn("before", F.shiftright("low", 21))
+        contexts = self.contexts[order]
+        found = found.join(F.broadcast(contexts) if order == 1 else contexts, ["high", "before"], "left")
+        if order == 1:
+            found = found.withColumn("lower", F.array_repeat(F.lit(1.0 / self.symbols), len(self.langs)))
+        else:
+            high, low = _suffix(order - 1)
+            lower = self.find(wanted.select(high.alias("high"), low.alias("low")).distinct(), order - 1)
+            found = found.withColumns({"h": high, "l": low}).join(lower.toDF("h", "l", "lower"), ["h", "l"])
+        backed = F.when(F.col("weight").isNull(), F.col("lower")).otherwise(F.zip_with("weight", "lower", lambda w, x: w * x))
+        return found.select("high", "low", F.coalesce("known", backed).alias("p"))
+
+
+def fit(training: DataFrame, most: int = MOST_GRAMS) -> Models | Tables:
+    """Models of ``training`` (lang, text), both not null, from all its n-grams.
+
+    They are ``Models`` if the n-grams of the longest order are at most ``most``, else ``Tables``.
+    """
     counted = training.select("lang", "text").mapInArrow(_count, "lang string, high long, low long, n long")
     counts = stored(counted.groupBy("lang", "high", "low").agg(F.sum("n").alias("n")), "language-counts")
-    sizes = counts.groupBy(F.floor(F.log2("n")).cast("int").alias("p")).agg(F.count("*").alias("grams")).orderBy(F.desc("p")).collect()
-    kept, least = 0, 1
-    for size in sizes:
-        if kept and kept + size.grams > most:
-            break
-        kept, least = kept + size.grams, 1 << size.p
-    chosen = counts.where(F.col("n") >= least).toArrow()
-    langs = sorted(set(chosen["lang"].to_pylist()))
+    sizes = counts.groupBy("lang").agg(F.count("*").alias("grams")).collect()
+    langs = sorted(r.lang for r in sizes)
+    if sum(r.grams for r in sizes) > _room(most, langs):
+        return Tables(counts, langs)
+    chosen = counts.toArrow()
     index = {lang: i for i, lang in enumerate(langs)}
     numbers = np.array([index[x] for x in chosen["lang"].to_pylist()], np.int64)
     return Models(langs, numbers, chosen["high"].to_numpy().view(np.uint64), chosen["low"].to_numpy().view(np.uint64), chosen["n"].to_numpy())
 
 
+def _room(most: int, langs: list[str]) -> int:
+    """A broadcast n-gram has a value per language."""
+    return most * 8 // max(8, len(langs))
+
+
+def _rare(high: np.ndarray, low: np.ndarray, row: np.ndarray, rows: int) -> tuple[np.ndarray, ...]:
+    """Different n-grams per row and how often each occurs; and how many there are up to each row."""
+    by = np.lexsort((low, high, row))
+    high, low, row = high[by], low[by], row[by]
+    cuts = np.flatnonzero(np.r_[len(row) > 0, (high[1:] != high[:-1]) | (low[1:] != low[:-1]) | (row[1:] != row[:-1])]) if len(row) else np.zeros(0, int)
+    return high[cuts].view(np.int64), low[cuts].view(np.int64), np.diff(np.r_[cuts, len(row)]), np.searchsorted(row[cuts], np.arange(1, rows + 1))
+
+
 def _entropies(models):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = models.value
+        number = TaskContext.get().partitionId() << 33
         for batch in batches:
+            if not batch.num_rows:
+                continue
             sums = np.zeros((batch.num_rows, len(model.langs)))
             sizes = np.zeros(batch.num_rows, np.int64)
+            rare = [], [], []
+            ends = np.zeros(batch.num_rows + 1, np.int32)
             for first, symbols, bounds in characters(batch.column(3)):
-                sizes[first : first + len(bounds) - 1] = np.diff(bounds)
+                rows = len(bounds) - 1
+                sizes[first : first + rows] = np.diff(bounds)
                 full = np.flatnonzero(np.diff(bounds))
-                if len(full):
-                    sums[first + full] = np.add.reduceat(model.score(symbols).astype(np.float64), bounds[full])
-            entropy = -sums / np.maximum(sizes, 1)[:, None]
-            lists = pa.FixedSizeListArray.from_arrays(pa.array(entropy.ravel()), max(1, len(model.langs))) if len(model.langs) else pa.array([[]] * batch.num_rows, pa.list_(pa.float64()))
+                ends[first + 1 : first + rows + 1] = ends[first]
+                if not len(full):
+                    continue
+                if isinstance(model, Head):
+                    logs, missing = model.score(symbols)
+                    own = np.repeat(np.arange(rows), np.diff(bounds))[missing]
+                    *found, upto = _rare(*(x[missing] for x in grams(symbols)), own, rows)
+                    for values, part in zip(rare, found, strict=True):
+                        values.append(part)
+                    ends[first + 1 : first + rows + 1] += upto.astype(np.int32)
+                else:
+                    logs = model.score(symbols)
+                sums[first + full] = np.add.reduceat(logs.astype(np.float64), bounds[full])
+            width = len(model.langs)
+            lists = pa.FixedSizeListArray.from_arrays(pa.array(sums.ravel()), width).cast(pa.list_(pa.float64())) if width else pa.array([[]] * batch.num_rows, pa.list_(pa.float64()))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), batch.column(2), pa.array(sizes), lists.cast(pa.list_(pa.float64()))],
-                ["doc_id", "held_out", "lang", "n_symbols", "entropy"],
+                [pa.array(np.arange(number, number + batch.num_rows)), batch.column(0), batch.column(1), batch.column(2), pa.array(sizes), lists,
+                 *(pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int64), *x]))) for x in rare)],
+                ["row", "doc_id", "held_out", "lang", "n_symbols", "sums", "high", "low", "times"],
             )
+            number += batch.num_rows
 
     return score
 
 
-def identify(docs: DataFrame, held_out, reject_above: float = 0.999, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+def _joined(scored: DataFrame, tables: Tables) -> DataFrame:
+    """``scored`` with the n-grams added that were not broadcast."""
+    rare = scored.select("row", F.explode(F.arrays_zip("high", "low", "times")).alias("x")).select("row", "x.*")
+    found = stored(tables.find(rare.select("high", "low").distinct()), "language-rare")
+    logs = [F.sum(F.col("times") * F.log2(F.get("p", F.lit(i)))) for i in range(len(tables.langs))]
+    more = rare.join(found, ["high", "low"]).groupBy("row").agg(F.array(*logs).alias("more"))
+    added = F.when(F.col("more").isNull(), F.col("sums")).otherwise(F.zip_with("sums", "more", lambda a, b: a + b))
+    return scored.drop("high", "low", "times").join(more, "row", "left").withColumn("sums", added).drop("more")
+
+
+def identify(docs: DataFrame, held_out, reject_above: float = 0.999, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", most: int = MOST_GRAMS) -> DataFrame:
     """Language of every text: (doc_id, held_out, lang_pred, score, cross_entropy, rejected), a row per row of ``docs``.
 
     Models are learned from rows with ``held_out`` false and a language that is not null. ``score`` is the probability
     of the predicted language among those learned. ``rejected``: the cross-entropy (bits per character) exceeds the
     ``reject_above`` quantile of the training texts predicted as that language. A null text, or one without letters,
     is ``und`` with score 0 and is rejected, and so is every text if nothing was learned. Ties go to the language
-    that sorts first. Repeated rows are predicted each for itself. Other columns are ignored.
+    that sorts first. Repeated rows are predicted each for itself. Other columns are ignored. ``most`` bounds what is
+    broadcast and changes no result.
     """
     spark = docs.sparkSession
     given = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(held_out, F.lit(False)).alias("held_out"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
-    models = fit(given.where("not held_out and lang is not null and text is not null"))
-    schema = f"doc_id {given.schema['doc_id'].dataType.simpleString()}, held_out boolean, lang string, n_symbols long, entropy array<double>"
-    scored = stored(given.mapInArrow(_entropies(spark.sparkContext.broadcast(models)), schema), "language-scores")
+    models = fit(given.where("not held_out and lang is not null and text is not null"), most)
+    shared = models.head(_room(most, models.langs)) if isinstance(models, Tables) else models
+    schema = f"row long, doc_id {given.schema['doc_id'].dataType.simpleString()}, held_out boolean, lang string, n_symbols long, sums array<double>, high array<long>, low array<long>, times array<long>"
+    scored = stored(given.mapInArrow(_entropies(spark.sparkContext.broadcast(shared)), schema), "language-scores")
+    if isinstance(models, Tables):
+        scored = stored(_joined(scored, models), "language-sums")
+    scored = scored.withColumn("entropy", F.transform("sums", lambda x: -x / F.greatest("n_symbols", F.lit(1))))
     if not models.langs:
         return scored.select("doc_id", "held_out", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(None).cast("double").alias("cross_entropy"), F.lit(True).alias("rejected"))
     langs = F.array(*[F.lit(x) for x in models.langs])

@@ -143,6 +143,25 @@ def test_language_held_out_and_edges(spark):
     assert {r.lang_pred for r in nothing} == {"und"} and len(nothing) == len(EDGES)
 
 
+def test_language_keeps_all_ngrams(spark):
+    rng = random.Random(14)
+    of = {"aa": "abcde", "bb": "uvwxyab", "cc": "klm"}
+    say = lambda lang, n: " ".join("".join(rng.choice(of[lang]) for _ in range(rng.randrange(1, 7))) for _ in range(n))
+    rows = [(i, say("aa", 60), "aa") for i in range(60)] + [(100 + i, say("bb", 30), "bb") for i in range(20)] + [(200 + i, say("cc", 3), "cc") for i in range(3)]
+    rows += [(300, say("cc", 20), None), (301, "qqq zzz ab", None), (302, None, None), (303, "...", "aa")]
+    docs = _docs(spark, rows)
+    pick = lambda most: {r.doc_id: r for r in language.identify(docs, F.col("doc_id") % 7 == 2, most=most).collect()}
+    whole = pick(1_000_000)
+    for most in (0, 100):  # none or some are broadcast
+        got = pick(most)
+        assert got.keys() == whole.keys() and len(got) == len(rows)
+        for i, r in got.items():
+            assert (r.lang_pred, r.rejected, r.held_out) == (whole[i].lang_pred, whole[i].rejected, whole[i].held_out)
+            assert r.score == pytest.approx(whole[i].score, rel=1e-3)
+            assert r.cross_entropy == (whole[i].cross_entropy and pytest.approx(whole[i].cross_entropy, rel=1e-5))
+        assert got[300].lang_pred == "cc"  # a language of few and short texts
+
+
 # 4: transcripts -----------------------------------------------------------------------------------------------------
 
 def _turns(spark, rows):
