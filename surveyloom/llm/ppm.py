@@ -6,8 +6,9 @@ occurrences plus distinct successors) to the context one byte shorter, where the
 excluded; bytes unseen everywhere share what the empty context leaves. The trie is static, so the totals without
 excluded bytes depend only on a context and are stored with it.
 
-Counts cover every training text. The trie keeps whole contexts by number of occurrences, down to the power of two at
-which it holds at most ``MOST_NODES`` entries; a context that is left out predicts through its suffix.
+Counts cover every training text, and every context predicts. Whole contexts are broadcast by number of occurrences,
+down to the power of two at which they have at most ``MOST_NODES`` entries; the suffixes of such a context are among
+them. Bytes after any other context are counted per text and joined with the stored trie.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ from surveyloom.session import stored
 
 ORDER = 5
 END = 0xFF
+#: Entries of the trie that are sent to every task.
 MOST_NODES = 1_500_000
 #: Words whose counts are sent to every task; the counts of all other words are joined.
 MOST_WORDS = 1 << 18
@@ -105,7 +107,9 @@ def _key(order: int, code: np.ndarray, context: bool) -> np.ndarray:
 class Trie:
     """Log probabilities of a static trie. ``entries``: order, code (context and byte) and count of each node."""
 
-    def __init__(self, order: np.ndarray, code: np.ndarray, count: np.ndarray):
+    def __init__(self, order: np.ndarray, code: np.ndarray, count: np.ndarray, whole: bool = True):
+        """``whole``: these are all nodes, so that a context that is not among them does not exist."""
+        self.whole = whole
         low = np.uint64(8)
         keys, logs = [], []
         nodes: dict[int, tuple] = {}
@@ -143,10 +147,11 @@ class Trie:
         self.table, self.logs = SortedHash(key[by]), log[by]
         self.fresh = float(np.log10(1 / max(1.0, self.fresh)))
 
-    def score(self, code: np.ndarray) -> np.ndarray:
-        """log10 probability of each byte after its context."""
+    def score(self, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """log10 probability of each byte after its context; and whose context is not here, with 0."""
         out = np.zeros(len(code), np.float64)
         open_ = np.arange(len(code))
+        missing = np.zeros(len(code), bool)
         escaped = np.zeros(len(code), bool)
         down, skip = np.zeros(len(code), np.float32), np.zeros(len(code), np.float32)
         for k in range(ORDER, -1, -1):
@@ -164,31 +169,85 @@ class Trie:
             out[here] += np.where(escaped[here], skip[here], self.logs[node, 0])
             escaped[here] = True
             down[here], skip[here] = self.logs[node, 1], self.logs[node, 2]
+            if k == ORDER and not self.whole:
+                missing[open_[~known]] = True
+                open_ = here
         out[open_] += self.fresh
-        return out
+        return out, missing
 
 
-def fit_trie(grams: DataFrame, most: int = MOST_NODES) -> Trie:
-    """Trie of byte counts (code, n) of the longest contexts. At most ``most`` nodes reach the driver."""
-    levels = [grams.select(F.lit(ORDER).alias("order"), "code", "n")]
+class Levels:
+    """The whole trie as stored tables: ``nodes`` (code, n) and ``totals`` (context, total, kinds) of each order."""
+
+    def __init__(self, nodes: list[DataFrame], totals: list[DataFrame]):
+        self.nodes, self.totals = nodes, totals
+        self.fresh = float(np.log10(1 / max(1.0, 256.0 - nodes[0].count())))
+
+    def _contexts(self, k: int) -> DataFrame:
+        """Contexts of order ``k`` with the logs of their escape: context, total, kinds, down, skip."""
+        own = self.totals[k]
+        if not k:
+            return own.withColumns({"down": F.lit(0.0), "skip": F.lit(0.0)})
+        suffix = F.col("code").bitwiseAND((1 << 8 * k) - 1)
+        known = self.nodes[k].select(F.shiftright("code", 8).alias("context"), suffix.alias("code")).join(self.nodes[k - 1], "code")
+        known = known.groupBy("context").agg(F.sum("n").alias("known"))
+        shorter = self.totals[k - 1].toDF("up", "up_total", "up_kinds")
+        own = own.join(known, "context").withColumn("up", F.col("context").bitwiseAND((1 << 8 * (k - 1)) - 1)).join(shorter, "up")
+        rest_kinds = F.col("up_kinds") - F.col("kinds")
+        down = F.when(rest_kinds > 0, F.log10(F.col("up_total") - F.col("known") + rest_kinds)).otherwise(0.0)
+        skip = F.when(rest_kinds > 0, F.log10(rest_kinds) - down).otherwise(0.0)
+        return own.select("context", "total", "kinds", down.alias("down"), skip.alias("skip"))
+
+    def find(self, wanted: DataFrame, k: int = ORDER) -> DataFrame:
+        """Different codes of order ``k``: code, n (null: not a node), below (log10 probability after an escape from its
+        context) and score (that without an escape before). A key is shared by at most 256 rows."""
+        found = wanted.join(self.nodes[k], "code", "left").withColumn("context", F.shiftright("code", 8))
+        contexts = self._contexts(k)
+        found = found.join(F.broadcast(contexts) if not k else contexts, "context", "left")
+        if k:
+            suffix = F.col("code").bitwiseAND((1 << 8 * k) - 1)
+            lower = self.find(wanted.select(suffix.alias("code")).distinct(), k - 1).toDF("suffix", "n_lower", "below_lower", "score_lower")
+            found = found.withColumn("suffix", suffix).join(lower, "suffix")
+            below = F.when(F.col("n_lower").isNotNull(), F.log10("n_lower") - F.col("down")).otherwise(F.col("skip") + F.col("below_lower"))
+            without = F.col("score_lower")
+        else:
+            below = without = F.lit(self.fresh)
+        norm = F.col("total") + F.col("kinds")
+        score = (
+            F.when(F.col("n").isNotNull(), F.log10(F.col("n") / norm))
+            .when(F.col("total").isNotNull(), F.log10(F.col("kinds") / norm) + below)
+            .otherwise(without)
+        )
+        return found.select("code", "n", below.alias("below"), score.alias("score"))
+
+
+def fit_trie(grams: DataFrame, most: int | None = None) -> tuple[Trie, Levels | None]:
+    """Trie of byte counts (code, n) of the longest contexts: at most ``most`` nodes of it, and all if these are not all."""
+    most = MOST_NODES if most is None else most
+    nodes = [stored(grams.select("code", "n"), "ppm-level")]
     for k in range(ORDER - 1, -1, -1):
-        shorter = levels[-1].withColumn("code", F.col("code").bitwiseAND((1 << 8 * (k + 1)) - 1))
-        levels.append(stored(shorter.groupBy("code").agg(F.sum("n").alias("n")).select(F.lit(k).alias("order"), "code", "n"), "ppm-level"))
-    nodes = levels[0]
-    for level in levels[1:]:
-        nodes = nodes.unionAll(level)
-    context = F.shiftright("code", 8)
-    totals = nodes.groupBy("order", context.alias("context")).agg(F.sum("n").alias("total"), F.count("*").alias("kinds"))
-    totals = stored(totals, "ppm-contexts")
-    sizes = totals.groupBy(F.floor(F.log2("total")).cast("int").alias("p")).agg(F.sum("kinds").alias("nodes")).orderBy(F.desc("p")).collect()
+        shorter = nodes[0].withColumn("code", F.col("code").bitwiseAND((1 << 8 * (k + 1)) - 1))
+        nodes.insert(0, stored(shorter.groupBy("code").agg(F.sum("n").alias("n")), "ppm-level"))
+    context = F.shiftright("code", 8).alias("context")
+    totals = [stored(level.groupBy(context).agg(F.sum("n").alias("total"), F.count("*").alias("kinds")), "ppm-contexts") for level in nodes]
+    every = totals[0]
+    for own in totals[1:]:
+        every = every.unionAll(own)
+    sizes = every.groupBy(F.floor(F.log2("total")).cast("int").alias("p")).agg(F.sum("kinds").alias("nodes")).orderBy(F.desc("p")).collect()
     kept, least = 0, 0
     for size in sizes:
         if kept + size.nodes > most and kept:
             break
         kept, least = kept + size.nodes, 1 << size.p
-    frequent = totals.where(F.col("total") >= least).select("order", "context")
-    chosen = nodes.withColumn("context", context).join(frequent, ["order", "context"]).select("order", "code", "n").toArrow()
-    return Trie(chosen["order"].to_numpy(), chosen["code"].to_numpy().view(np.uint64), chosen["n"].to_numpy())
+    whole = kept == sum(size.nodes for size in sizes)
+    chosen = None
+    for k, (level, own) in enumerate(zip(nodes, totals, strict=True)):
+        frequent = own.where(F.col("total") >= least).select("context")
+        part = level.withColumn("context", context).join(frequent, "context").select(F.lit(k).alias("order"), "code", "n")
+        chosen = part if chosen is None else chosen.unionAll(part)
+    chosen = chosen.toArrow()
+    trie = Trie(chosen["order"].to_numpy(), chosen["code"].to_numpy().view(np.uint64), chosen["n"].to_numpy(), whole)
+    return trie, None if whole else Levels(nodes, totals)
 
 
 def _score(model):
@@ -196,11 +255,16 @@ def _score(model):
         trie, words, logs = model.value
         row = TaskContext.get().partitionId() << 33
         for batch in batches:
-            tokens, known, base, total, rare, times = [], [], [], [], [], []
+            tokens, known, base, total, rare, times, far, far_times = [], [], [], [], [], [], [], []
             for part in slices(batch.column(2)):
                 code, ends = contexts(part)
-                sums = np.concatenate([[0.0], np.cumsum(trie.score(code))])
+                logs_of_bytes, missing = trie.score(code)
+                sums = np.concatenate([[0.0], np.cumsum(logs_of_bytes)])
                 total.append(sums[ends[1:]] - sums[ends[:-1]])
+                for i in range(len(part)):
+                    own, n = np.unique(code[ends[i] : ends[i + 1]][missing[ends[i] : ends[i + 1]]], return_counts=True)
+                    far.append(own.view(np.int64))
+                    far_times.append(n)
                 hashes, bounds = part.words(SPACES)
                 at = words.find(hashes)
                 found = at >= 0
@@ -216,14 +280,16 @@ def _score(model):
                     times.append(n)
             if not batch.num_rows:
                 continue
-            offsets = np.zeros(batch.num_rows + 1, np.int32)
-            np.cumsum([len(x) for x in rare], out=offsets[1:])
-            offsets = pa.array(offsets)
+            lists = []
+            for values in (rare, times, far, far_times):
+                offsets = np.zeros(batch.num_rows + 1, np.int32)
+                np.cumsum([len(x) for x in values], out=offsets[1:])
+                lists.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(values))))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.arange(row, row + batch.num_rows)), batch.column(0), batch.column(1),
                  *(pa.array(np.concatenate(x)) for x in (tokens, known, base, total)),
-                 *(pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(x))) for x in (rare, times))],
-                ["row", "doc_id", "held_out", "n_words", "known", "base", "score", "rare", "times"],
+                 *lists],
+                ["row", "doc_id", "held_out", "n_words", "known", "base", "score", "rare", "times", "far", "far_times"],
             )
             row += batch.num_rows
 
@@ -248,15 +314,20 @@ def score_documents(docs: DataFrame, held_out, id_col: str = "doc_id", text_col:
     words = counts.where("kind = 0").select(F.col("code").alias("word"), "n")
     sums = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     n, v = sums[0] + texts, sums[1] + (texts > 0)
-    trie = fit_trie(counts.where("kind = 1").select("code", "n"))
+    trie, levels = fit_trie(counts.where("kind = 1").select("code", "n"))
     frequent = words.orderBy(F.desc("n"), "word").limit(MOST_WORDS).toArrow()
     keys, logs = frequent["word"].to_numpy().view(np.uint64), np.log10(frequent["n"].to_numpy() + 1.0)
     by = np.argsort(keys)
     model = spark.sparkContext.broadcast((trie, SortedHash(keys[by]), np.append(logs[by], 0.0)))
-    scored = given.mapInArrow(_score(model), "row long, doc_id {}, held_out boolean, n_words long, known long, base double, score double, rare array<long>, times array<long>".format(given.schema["doc_id"].dataType.simpleString()))
+    scored = given.mapInArrow(_score(model), "row long, doc_id {}, held_out boolean, n_words long, known long, base double, score double, rare array<long>, times array<long>, far array<long>, far_times array<long>".format(given.schema["doc_id"].dataType.simpleString()))
     scored = stored(scored, "ppm-scored")
     rare = scored.select("row", F.explode(F.arrays_zip("rare", "times")).alias("w")).select("row", F.col("w.rare").alias("word"), F.col("w.times").alias("times"))
     rest = rare.join(words, "word").groupBy("row").agg(F.sum("times").alias("more"), F.sum(F.col("times") * F.log10(F.col("n") + 1.0)).alias("logs"))
+    if levels is not None:
+        bytes_ = scored.select("row", F.explode(F.arrays_zip("far", "far_times")).alias("b")).select("row", F.col("b.far").alias("code"), F.col("b.far_times").alias("times"))
+        found = stored(levels.find(bytes_.select("code").distinct()).select("code", F.col("score").alias("log")), "ppm-rare")
+        added = bytes_.join(found, "code").groupBy("row").agg(F.sum(F.col("times") * F.col("log")).alias("bytes"))
+        scored = scored.join(added, "row", "left").withColumn("score", F.col("score") + F.coalesce("bytes", F.lit(0.0)))
     end, norm = float(np.log10(texts + 1.0)), float(np.log10(n + v + 1.0))
     return scored.join(rest, "row", "left").select(
         "doc_id", "held_out", (F.col("n_words") + 1).alias("n_tokens"),

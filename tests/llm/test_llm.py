@@ -409,6 +409,17 @@ def test_ppm_without_training(spark):
     assert got.score == pytest.approx(3 * math.log10(1 / 256)) and (got.n_tokens, got.n_known, got.train_tokens) == (2, 0, 0)
 
 
+def test_ppm_keeps_all_contexts(spark, monkeypatch):
+    texts = [*_texts(31, 40), *(t.upper() + " \u00e9\u00e8 {};" for t in _texts(32, 4)), "zq" * 30, None, "", "\u6f22\u5b57 never seen before"]
+    docs = _docs(spark, list(enumerate(texts)))
+    pick = lambda: {r.doc_id: r.score for r in ppm.score_documents(docs, (F.col("doc_id") % 5 == 2) | (F.col("doc_id") == 47)).collect()}
+    whole = pick()
+    for most in (1, 300):  # contexts that are not broadcast predict all the same
+        monkeypatch.setattr(ppm, "MOST_NODES", most)
+        got = pick()
+        assert got.keys() == whole.keys() and all(got[i] == pytest.approx(whole[i], rel=1e-5) for i in got)
+
+
 # all ----------------------------------------------------------------------------------------------------------------
 
 @pytest.mark.parametrize("rows", [EDGES, []], ids=["edges", "empty"])
