@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from surveyloom.llm import blocks, decontaminate, fertility, language, line_spread, ngram_join, pfair, ppm, toxicity, transcripts
+from surveyloom.llm import blocks, decontaminate, fertility, language, line_spread, negatives, ngram_join, pfair, ppm, toxicity, transcripts
 
 #: Toxicity categories of the label table, in the order of the chain: a name, and SQL of its 0/1 label.
 CATEGORIES = {"low_quality": "1 - quality", "toxic": "toxic"}
@@ -69,9 +69,18 @@ def op10_ppm(spark: SparkSession, folder: str) -> DataFrame:
     return ppm.score_documents(_table(spark, folder, "documents"), _fold(7))
 
 
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = _table(spark, folder, "embeddings").withColumn("label", moved)
+    return negatives.hard_negatives(rows, F.col("vec_id") % 100 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_tokeniser_fertility, op2_toxicity_chain, op3_language, op4_transcripts, op5_pfair_mix, op6_line_spread, op7_block_labels, op8_decontamination, op9_ngram_join, op10_ppm)
+    for f in (
+        op1_tokeniser_fertility, op2_toxicity_chain, op3_language, op4_transcripts, op5_pfair_mix, op6_line_spread, op7_block_labels,
+        op8_decontamination, op9_ngram_join, op10_ppm, op11_hard_negatives,
+    )
 }
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -114,5 +123,23 @@ found as (
 select d.doc_id, len(w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items, sha256(coalesce(ids, '')) as items_sha256,
        coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(w) as contaminated
 from docs d left join words h on d.doc_id = h.doc_id left join found f on d.doc_id = f.doc_id
+""",
+    "op11_hard_negatives": """
+with rows as (
+  select vec_id as id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label, list_transform(embedding, lambda x: floor(256 * x::double)) as v
+  from embeddings
+  where vec_id is not null and label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), scored as (
+  select a.id as anchor_id, r.id, r.label = a.label as same, cast(list_dot_product(a.v, r.v) as bigint) as score
+  from rows a join rows r on r.id <> a.id where a.id % 100 = 0
+), positives as (
+  select anchor_id, id as positive_id, score as positive_score from scored where same
+  qualify row_number() over (partition by anchor_id order by score desc, id) <= 5
+)
+select anchor_id, positive_id, cast(row_number() over w as int) as rank, id as negative_id, positive_score, score as negative_score
+from positives join scored using (anchor_id)
+where not same and 80 * positive_score <= 100 * score and 100 * score <= 100 * positive_score
+window w as (partition by anchor_id, positive_id order by score desc, id)
+qualify row_number() over w <= 5
 """,
 }
