@@ -53,7 +53,7 @@ def first_of_rows(scores: np.ndarray, allowed: np.ndarray, k: int) -> tuple[np.n
     return np.nonzero(allowed)
 
 
-def _scored(choose: Callable[[np.ndarray, np.ndarray, np.ndarray, list], list]) -> Callable[[pa.Table, pa.Table], pa.Table]:
+def _scored(choose: Callable[[np.ndarray, np.ndarray, np.ndarray, list], list], entries: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
     """Task over a block of rows and a block of anchors.
 
     ``choose`` gets scores, whether labels are the same, whether ids are, and the anchors' limits; it names the entries
@@ -67,7 +67,7 @@ def _scored(choose: Callable[[np.ndarray, np.ndarray, np.ndarray, list], list])
             width = max(int(t["vector"].combine_chunks().value_lengths().to_numpy(zero_copy_only=False).max()) for t in (rows, anchors))
             (a, own, own_label), (b, ids, labels) = ((_matrix(t["vector"], width), t["id"].to_numpy(), t["label"].to_numpy()) for t in (anchors, rows))
             limits = anchors["limits"].to_pylist() if "limits" in anchors.column_names else [[]] * len(own)
-            step = max(1, ENTRIES // len(ids))
+            step = max(1, entries // len(ids))
             for at in range(0, len(own), step):
                 cut = slice(at, at + step)
                 scores = _products(a[cut], b)
@@ -134,7 +134,7 @@ def hard_negatives(
 
     def search(asked: DataFrame, choose) -> DataFrame:
         blocks = dealt(given.drop("anchor"), "part", parts, "of", groups).cogroup(dealt(asked, "of", groups, "part", parts))
-        return blocks.applyInArrow(_scored(choose), "anchor_id long, slot int, score long, id long")
+        return blocks.applyInArrow(_scored(choose, ENTRIES), "anchor_id long, slot int, score long, id long")
 
     best = stored(_first(search(anchors, _first_positives(positives)), ["anchor_id"], positives).select("anchor_id", "score", "id"), "positives")
     per_anchor = best.groupBy("anchor_id").agg(F.sort_array(F.collect_set("score"), asc=False).alias("limits"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from surveyloom.llm import blocks, decontaminate, fertility, language, line_spread, negatives, ngram_join, pfair, ppm, toxicity, transcripts
+from surveyloom.llm import blocks, columns, decontaminate, fertility, language, line_spread, manifest, negatives, ngram_join, pfair, ppm, toxicity, transcripts
 
 #: Toxicity categories of the label table, in the order of the chain: a name, and SQL of its 0/1 label.
 CATEGORIES = {"low_quality": "1 - quality", "toxic": "toxic"}
@@ -75,18 +75,68 @@ def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     return negatives.hard_negatives(rows, F.col("vec_id") % 100 == 0)
 
 
+def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    leaf = lambda text: manifest.leaf_digest([F.col(c) for c in ("doc_id", "source", "lang", "n_chars")] + [text])
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 3 == 0, leaf(columns.lower_ascii(F.col("text"))))
+    found = manifest.manifest(_table(spark, folder, "documents"), leaf(F.col("text")), tampered)
+    return found.select(
+        "doc_id", "leaf", "subroot", "root", F.sha2("proof", 256).alias("proof_sha256"), "folded_root", (F.col("folded_root") == F.col("root")).alias("verified")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_tokeniser_fertility, op2_toxicity_chain, op3_language, op4_transcripts, op5_pfair_mix, op6_line_spread, op7_block_labels,
-        op8_decontamination, op9_ngram_join, op10_ppm, op11_hard_negatives,
+        op8_decontamination, op9_ngram_join, op10_ppm, op11_hard_negatives, op12_merkle_manifest,
     )
 }
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = r"list_filter(string_split_regex(" + _LOWER.format("coalesce(text, '')") + r", '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
 
+
+def _field(value: str) -> str:
+    return f"coalesce(strlen({value}::varchar)::varchar || ':' || {value}::varchar, '-')"
+
+
+def _manifest_sql(levels: int = 7) -> str:
+    """Trees of at most ``8 ** levels`` leaves; a level that has one node of a tree stays as it is."""
+    head = " || ".join(_field(c) for c in ("doc_id", "source", "lang", "n_chars"))
+    bits = "list_concat([ascii(c)], [-1, -1, -1, -1, -1, -1, -1, -1])"
+    crc = f"""xor(list_reduce(list_prepend(4294967295, flatten(list_transform(string_split(doc_id::varchar, ''), lambda c: {bits}))),
+        lambda a, b: case when b >= 0 then xor(a, b) when a % 2 = 1 then xor(a // 2, 3988292384) else a // 2 end), 4294967295)"""
+    tampered = f"case when {crc} % 3 = 0 then {_LOWER.format('text')} else text end"
+    steps = [f"""
+leaves as (select doc_id, lang, sha256({head} || {_field('text')}) as leaf, sha256({head} || {_field(tampered)}) as shown from documents),
+up0 as (
+  select row_number() over () as n, doc_id, leaf, shown as cur, '' as proof, dense_rank() over (order by lang nulls first) - 1 as tree,
+         row_number() over (partition by lang order by doc_id nulls first, leaf) - 1 as i
+  from leaves
+), nodes0 as (select tree, i, leaf as h from up0)"""]
+
+    def climb(k: int, up: str, nodes: str, more: str = "") -> str:
+        return f"""
+{nodes}{k}_counted as (select *, count(*) over (partition by tree) > 1 as many from {nodes}{k}),
+{nodes}{k + 1} as (
+  select tree, i // 8 as i, case when many then sha256(string_agg(h, '' order by i)) else max(h) end as h from {nodes}{k}_counted group by tree, i // 8, many
+), {up}{k + 1} as (
+  select u.n, doc_id, leaf, {more}u.tree, u.i // 8 as i, proof || coalesce(string_agg(r.h, '' order by r.i) filter (where r.i <> u.i), '') as proof,
+         case when bool_or(many) then sha256(string_agg(case when r.i = u.i then cur else r.h end, '' order by r.i)) else cur end as cur
+  from {up}{k} u join {nodes}{k}_counted r on r.tree = u.tree and r.i // 8 = u.i // 8 group by all
+)""".replace("group by all", f"group by u.n, doc_id, leaf, {more}u.tree, u.i, cur, proof")
+
+    steps += [climb(k, "up", "nodes") for k in range(levels)]
+    steps.append(f"""
+tops0 as (select 0 as tree, tree as i, h from nodes{levels}),
+last0 as (select n, doc_id, leaf, h as subroot, 0 as tree, u.tree as i, cur, proof from up{levels} u join nodes{levels} t on t.tree = u.tree)""")
+    steps += [climb(k, "last", "tops", "subroot, ") for k in range(2)]
+    return f"""with {",".join(steps)}
+select doc_id, leaf, subroot, h as root, sha256(proof) as proof_sha256, cur as folded_root, cur = h as verified from last2, tops2"""
+
+
 SQL: dict[str, str] = {
+    "op12_merkle_manifest": _manifest_sql(),
     "op6_line_spread": rf"""
 with lines as (
   select doc_id, source, raw, pos,
