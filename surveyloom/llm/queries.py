@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from surveyloom.llm import blocks, columns, decontaminate, fertility, language, line_spread, manifest, negatives, ngram_join, pfair, ppm, toxicity, transcripts
+from surveyloom.llm import blocks, columns, decontaminate, fertility, language, line_spread, manifest, negatives, ngram_join, pfair, ppm, quality, toxicity, transcripts
 
+GOOD = 0.7
 #: Toxicity categories of the label table, in the order of the chain: a name, and SQL of its 0/1 label.
 CATEGORIES = {"low_quality": "1 - quality", "toxic": "toxic"}
 TOXIC = 0.5
@@ -84,11 +85,16 @@ def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op13_quadratic_quality(spark: SparkSession, folder: str) -> DataFrame:
+    scored = quality.classify(_table(spark, folder, "documents"), _table(spark, folder, "labels"), _fold(4))
+    return scored.withColumn("predicted", (F.col("score") >= GOOD).cast("int"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_tokeniser_fertility, op2_toxicity_chain, op3_language, op4_transcripts, op5_pfair_mix, op6_line_spread, op7_block_labels,
-        op8_decontamination, op9_ngram_join, op10_ppm, op11_hard_negatives, op12_merkle_manifest,
+        op8_decontamination, op9_ngram_join, op10_ppm, op11_hard_negatives, op12_merkle_manifest, op13_quadratic_quality,
     )
 }
 
