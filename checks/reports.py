@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from checks.registry import big, check, r6
 from surveyloom import lexicons as lex
 from surveyloom.operators import counts, responses
-from surveyloom.operators.correlation import correlation_matrix
+from surveyloom.operators.correlation import correlated_pairs, correlation_matrix
 from surveyloom.plans import cleaning, reports
 
 CATEGORY = "CASE WHEN category IN ('Brand#1', 'Brand#2') THEN NULL ELSE category END"
@@ -135,6 +135,16 @@ def _(t):
     return correlation_matrix(rates, "user_id", "category", "rate").withColumn("corr", r6("corr"))
 
 
+@check("correlated_customers", "A8 J7", sql="""
+WITH cells AS (SELECT o_custkey AS u, o_orderpriority AS c, avg(o_totalprice) AS v FROM orders GROUP BY 1, 2)
+SELECT a.c AS col_i, b.c AS col_j, count(*) AS n,
+ round(CASE WHEN count(*) < 2 THEN 0.0 WHEN min(a.v) = max(a.v) OR min(b.v) = max(b.v) THEN NULL ELSE corr(a.v, b.v) END, 6) AS corr
+FROM cells a JOIN cells b ON a.u = b.u GROUP BY 1, 2""")
+def _(t):
+    cells = t.orders.groupBy("o_custkey", "o_orderpriority").agg(F.avg("o_totalprice").alias("v"))
+    return correlated_pairs(cells, "o_custkey", "o_orderpriority", "v").withColumn("corr", r6("corr"))
+
+
 @check("difficulty_levels", "A9", "questions", """
 SELECT CAST(l AS BIGINT) AS level, count(id) AS count FROM range(1, 8) t(l) LEFT JOIN questions ON ceil(difficulty) = l GROUP BY 1""")
 def _(t):
@@ -322,18 +332,25 @@ SELECT 'answer_rate' AS part, q.question_type AS key, round(CAST(count(*) FILTER
  FROM responses r JOIN questions q ON r.question_id = q.id WHERE effective GROUP BY 2
 UNION ALL SELECT 'ineffective_rate', q.category, round(CAST(count(*) FILTER (NOT effective) AS DOUBLE) / count(*), 6)
  FROM responses r JOIN questions q ON r.question_id = q.id GROUP BY 2
-UNION ALL SELECT 'user_rates', category, round(avg(rate), 6) FROM rates GROUP BY 2""")
+UNION ALL SELECT 'user_rates', category, round(avg(rate), 6) FROM rates GROUP BY 2
+UNION ALL SELECT 'correlation', key, round(coalesce(corr, 0.0), 6) FROM (
+ SELECT x.category || ' / ' || y.category AS key, CASE WHEN n IS NULL THEN 0.0 ELSE corr END AS corr
+ FROM (SELECT DISTINCT category FROM rates) x CROSS JOIN (SELECT DISTINCT category FROM rates) y
+ LEFT JOIN (SELECT a.category AS i, b.category AS j, count(*) AS n, CASE WHEN count(*) < 2 THEN 0.0
+   WHEN min(a.rate) = max(a.rate) OR min(b.rate) = max(b.rate) THEN NULL ELSE corr(a.rate, b.rate) END AS corr
+  FROM rates a JOIN rates b ON a.user_id = b.user_id GROUP BY 1, 2) p ON p.i = x.category AND p.j = y.category)""")
 def _(t):
     parts = reports.analyze_results(t.responses, t.questions)
 
     def line(part, key, value):
         return parts[part].select(F.lit(part).alias("part"), F.col(key).alias("key"), r6(value).alias("value"))
 
-    rates = parts["user_rates"].groupBy("category").agg(F.avg("rate").alias("rate"))
+    rates, pairs = parts["user_rates"].groupBy("category").agg(F.avg("rate").alias("rate")), parts["correlation"]
     return (
         line("answer_rate", "question_type", "answer_rate")
         .unionByName(line("ineffective_rate", "category", "ineffective_rate"))
         .unionByName(rates.select(F.lit("user_rates").alias("part"), F.col("category").alias("key"), r6("rate").alias("value")))
+        .unionByName(pairs.select(F.lit("correlation").alias("part"), F.concat_ws(" / ", "col_i", "col_j").alias("key"), r6(F.coalesce("corr", F.lit(0.0))).alias("value")))
     )
 
 

@@ -310,6 +310,72 @@ def _(t):
     return webpages.crawl(t.pages, seeds, PATTERNS, MARKERS, KEYWORDS)["questions"]
 
 
+# Pages written out of the parts, in all four layouts; both engines read these expressions.
+ASKED = "'How was the hotel ' || p_name || '?'"
+PAGE_HTML = f"""CASE p_partkey % 4
+ WHEN 0 THEN '<html><div class="top"><div class="x field"><div class="field-label">' || CAST(p_partkey AS VARCHAR(20)) || '. ' || {ASKED}
+   || '</div><div class="ui-radio"> Good ' || p_name || '</div><div class="ui-checkbox on"><b>Bad</b> </div><select><option>Please Select</option><option>Fine</option></select></div>'
+   || '<div class="field"><div class="field-label">Only words</div></div></div>'
+ WHEN 1 THEN '<div class="question"><div class="question-title">' || {ASKED} || '</div><label>Good ' || p_name || '<label>Bad</label><script>"</label>"</script></div>'
+ WHEN 2 THEN '<ul><li class="form-line"><label class="form-label">' || {ASKED} || '</label><label class="form-radio-item-label">Good ' || p_name
+   || '</label><![foo[x]]><label class="form-checkbox-item-label">Bad</label><select><option>Fine</option></select></li></ul>'
+ ELSE '<nav><p>How was the hotel menu?</p></nav><!-- <p>How was the hotel note?</p> --><p>' || {ASKED} || '</p><ul><li>Good ' || p_name || '</li><li>Bad</li></ul>'
+   || '<p title="never closed>How was the hotel hall?</p>' END"""
+PAGE_URL = """CASE p_partkey % 4 WHEN 0 THEN 'http://www.wjx.cn/' WHEN 1 THEN 'http://www.wenjuan.com/' WHEN 2 THEN 'http://form.jotform.com/'
+ ELSE 'http://hotel.example/' END || CAST(p_partkey AS VARCHAR(20))"""
+
+
+@check("layout_questions", "P1 P2 P3 P4", sql=f"""
+SELECT p_partkey AS page_id, {ASKED} AS question_text, CASE p_partkey % 4 WHEN 1 THEN 'Good ' || p_name || 'Bad / Bad'
+ WHEN 3 THEN 'Good ' || p_name || ' / Bad' ELSE 'Good ' || p_name || ' / Bad / Fine' END AS options_text,
+ CASE p_partkey % 4 WHEN 1 THEN 'zh' ELSE 'en' END AS language,
+ CASE p_partkey % 4 WHEN 0 THEN '问卷星' WHEN 1 THEN '问卷网' WHEN 2 THEN 'Jotform' ELSE {PAGE_URL} END AS source_name FROM part
+UNION ALL SELECT p_partkey, 'How was the hotel hall?', '', 'en', {PAGE_URL} FROM part WHERE p_partkey % 4 = 3""")
+def _(t):
+    pages = t.part.select(F.col("p_partkey").alias("page_id"), F.expr(PAGE_URL).alias("url"), F.expr(PAGE_HTML).alias("html"))
+    found = webpages.page_questions(webpages.text_blocks(pages))
+    return found.select("page_id", "question_text", "options_text", "language", "source_name")
+
+
+# A site of the customers: some pages ask questions, others only link to pages of other customers.
+CUSTOMER_URL = "'http://hotel.example/t/' || CAST({} AS VARCHAR(20))"
+CUSTOMER_ASKS = "'How was the hotel room ' || CAST(c_custkey % 50 AS VARCHAR(20)) || '?'"
+CRAWL_SQL = f"""WITH site AS (SELECT c_custkey AS page_id, {CUSTOMER_URL.format('c_custkey')} AS url, c_custkey % 11 = 0 AS missing, c_acctbal > 4000 AND c_custkey % 11 > 0 AS has,
+  c_custkey % 2 = 0 AS seed, {CUSTOMER_ASKS} AS question_text, c_mktsegment AS name FROM customer),
+ lk AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY pos) AS r FROM (
+  SELECT page_id, pos, target, row_number() OVER (PARTITION BY target ORDER BY page_id, pos) AS o FROM (
+   SELECT o_custkey AS page_id, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS pos, CAST(floor(o_totalprice / 100) AS BIGINT) AS target
+   FROM orders JOIN site ON site.page_id = o_custkey AND seed AND NOT has AND NOT missing)) WHERE o = 1) WHERE r <= 3),
+ reach AS (SELECT lk.page_id, t.page_id AS target, t.seed AS known, t.question_text, s.name FROM lk JOIN site t ON t.page_id = lk.target AND t.has JOIN site s ON s.page_id = lk.page_id)"""
+
+
+def _crawl(t):
+    page = F.col("c_custkey")
+    links = t.orders.groupBy("o_custkey").agg(F.array_sort(F.collect_list(F.struct("o_orderkey", F.floor(F.col("o_totalprice") / 100).alias("to")))).alias("links"))
+    anchors = F.expr("array_join(transform(links, x -> '<a class=\"l\" href=\"/t/' || cast(x.to as string) || '\">next</a>'), ' ')")
+    asks = F.concat(F.lit("<div>page</div><p>"), F.expr(CUSTOMER_ASKS), F.lit("</p>"))
+    html = F.when(page % 11 == 0, F.lit(None)).when(F.col("c_acctbal") > 4000, asks).otherwise(F.coalesce(anchors, F.lit("")))
+    pages = t.customer.join(links, page == F.col("o_custkey"), "left").select(page.alias("page_id"), F.expr(CUSTOMER_URL.format("c_custkey")).alias("url"), html.alias("html"))
+    seeds = t.customer.where(page % 2 == 0).select(F.expr(CUSTOMER_URL.format("c_custkey")).alias("url"), F.col("c_mktsegment").alias("source_name"))
+    return webpages.crawl(pages, seeds, ["/t/"], per_page=3)
+
+
+@check("crawl_site", "P7 P8 J8 U1 W4", sql=CRAWL_SQL + """,
+ through AS (SELECT target AS page_id, question_text, min(name) AS source_name FROM reach WHERE NOT known GROUP BY 1, 2),
+ whole AS (SELECT page_id, question_text, url AS source_name FROM site WHERE seed AND has UNION ALL SELECT * FROM through)
+SELECT page_id, question_text, source_name FROM (SELECT *, row_number() OVER (PARTITION BY question_text ORDER BY page_id) AS o FROM whole) WHERE o = 1""")
+def _(t):
+    return _crawl(t)["questions"].select("page_id", "question_text", "source_name")
+
+
+@check("crawl_site_outcomes", "P7 P8 J8 A16", sql=CRAWL_SQL + """,
+ used AS (SELECT page_id, count(*) AS n FROM reach GROUP BY 1)
+SELECT site.page_id, CASE WHEN missing THEN 'failed' WHEN has THEN 'direct' WHEN n IS NOT NULL THEN 'sublinks' ELSE 'empty' END AS outcome,
+ coalesce(n, 0) AS links_used, CASE WHEN has THEN 1 ELSE coalesce(n, 0) END AS questions FROM site LEFT JOIN used ON used.page_id = site.page_id WHERE seed""")
+def _(t):
+    return _crawl(t)["outcomes"].select("page_id", "outcome", big("links_used").alias("links_used"), big("questions").alias("questions"))
+
+
 # --- streams ---------------------------------------------------------------------------------
 
 

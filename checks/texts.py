@@ -165,11 +165,46 @@ def _(t):
     found = retrieval.generate_survey(corpus, index, t.benchmark, 10, STOP, query="item_id", doc="doc_id")
     return found.select(
         "item_id", big("rank").alias("rank"), "doc_id", r6("score").alias("score"),
-        big(F.floor(F.round("score", 9) * 100)).alias("match_percent"), big("difficulty_score").alias("difficulty_score"),
+        big("match_percent").alias("match_percent"), big("difficulty_score").alias("difficulty_score"),
         "stars", F.md5("question_text").alias("question_text"), "options_text",
     )
 
 
+#: Stop words of the two pools, and the language and number of results of a request.
+POOL_STOP = {"en": ["the", "and", "of"], "fr": ["de", "la", "le", "et"]}
+LANG_OF, K_OF = "CASE item_id % 3 WHEN 0 THEN 'en' WHEN 1 THEN 'fr' ELSE 'xx' END", "1 + item_id % 7"
+
+
+def _pool_terms(column: str) -> str:
+    found = rf"regexp_extract_all(lower({column}), '[\p{{L}}\p{{N}}_]{{2,}}')"
+    cases = " ".join(f"WHEN '{lang}' THEN list_filter({found}, lambda w: w NOT IN ({', '.join(repr(w) for w in stop)}))" for lang, stop in POOL_STOP.items())
+    return f"CASE lang {cases} END"
+
+
+@check("generate_survey_by_language", "T6 T3 T4 T5 J6 C19", sql=f"""
+WITH corpus AS (SELECT doc_id, text, lang FROM documents WHERE lang IN ('en', 'fr')),
+ asked AS (SELECT item_id, text, {LANG_OF} AS lang, {K_OF} AS k FROM benchmark),
+ sizes AS (SELECT lang, count(*) AS n FROM corpus GROUP BY 1),
+ tf AS (SELECT lang, doc, term, count(*) AS tf FROM (SELECT lang, doc_id AS doc, unnest({_pool_terms('text')}) AS term FROM corpus) GROUP BY 1, 2, 3),
+ voc AS (SELECT tf.lang, term, ln((1.0 + any_value(n)) / (1.0 + count(*))) + 1.0 AS idf FROM tf JOIN sizes ON sizes.lang = tf.lang GROUP BY 1, 2),
+ w AS (SELECT tf.lang, doc, tf.term, tf * idf AS w FROM tf JOIN voc ON tf.term = voc.term AND tf.lang = voc.lang),
+ norm AS (SELECT doc, sqrt(sum(w * w)) AS norm FROM w GROUP BY 1),
+ rtf AS (SELECT lang, query, term, count(*) AS tf FROM (SELECT lang, item_id AS query, unnest({_pool_terms('text')}) AS term FROM asked WHERE lang <> 'xx') GROUP BY 1, 2, 3),
+ rw AS (SELECT rtf.lang, query, rtf.term, tf * idf AS w FROM rtf JOIN voc ON rtf.term = voc.term AND rtf.lang = voc.lang),
+ rn AS (SELECT query, sqrt(sum(w * w)) AS n FROM rw GROUP BY 1),
+ s AS (SELECT rw.query, w.doc, sum(rw.w * w.w) / any_value(rn.n * norm.norm) AS score FROM rw JOIN rn ON rn.query = rw.query
+  JOIN w ON w.term = rw.term AND w.lang = rw.lang JOIN norm ON norm.doc = w.doc GROUP BY 1, 2),
+ c AS (SELECT query, doc, score, text, row_number() OVER (PARTITION BY query, text ORDER BY round(score, 9) DESC, doc) AS once FROM s JOIN corpus ON doc = doc_id WHERE score > 0.05),
+ r AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY round(score, 9) DESC, doc) AS rank FROM c WHERE once = 1)
+SELECT query AS item_id, rank, doc AS doc_id, round(score, 6) AS score, CAST(floor(round(score, 9) * 100) AS BIGINT) AS match_percent FROM r JOIN asked ON item_id = query WHERE rank <= k""")
+def _(t):
+    corpus = t.documents.select("doc_id", F.col("text").alias("question_text"), "lang", F.lit(1).alias("difficulty_score"), F.lit("").alias("options_text"))
+    pools = retrieval.language_pools(corpus, "doc_id", "question_text", POOL_STOP, "lang")
+    asked = t.benchmark.withColumns({"lang": F.expr(LANG_OF), "k": F.expr(K_OF).cast("int")})
+    found = retrieval.generate_survey_by_language(pools, asked, "k", query="item_id", doc="doc_id")
+    return found.select("item_id", big("rank").alias("rank"), "doc_id", r6("score").alias("score"), big("match_percent").alias("match_percent"))
+
+
 WEIGHTS = """, nw AS (SELECT w.doc, w.term, w.w / norm.norm AS weight FROM w JOIN norm ON w.doc = norm.doc)"""
 
 
@@ -202,6 +237,31 @@ def _(t):
     return clusters.nearest_centroid(points, "embedding", centres, "label").select("vec_id", big("cluster_id").alias("cluster_id"))
 
 
+@check("silhouettes", "K3", sql="""
+WITH p AS (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings),
+ u AS (SELECT vec_id, label, list_transform(v, lambda x: x / sqrt(list_dot_product(v, v))) AS v FROM p),
+ d AS (SELECT a.vec_id, a.label AS own, b.label, sum(1 - list_dot_product(a.v, b.v)) AS s, count(*) AS n FROM u a JOIN u b ON a.vec_id <> b.vec_id GROUP BY 1, 2, 3),
+ m AS (SELECT vec_id, own, max(CASE WHEN own = label THEN s / n END) AS a, min(CASE WHEN own <> label THEN s / n END) AS b FROM d GROUP BY 1, 2)
+SELECT vec_id, own AS label, round(CASE WHEN a IS NULL THEN 0.0 ELSE (b - a) / greatest(a, b) END, 6) AS silhouette FROM m""")
+def _(t):
+    return clusters.silhouettes(t.embeddings, "embedding", "label").select("vec_id", big("label").alias("label"), r6("silhouette").alias("silhouette"))
+
+
+@check("cluster_fixpoint", "K2 K5", sql="SELECT count(*) AS documents, CAST(0 AS BIGINT) AS misplaced, true AS few FROM documents")
+def _(t):
+    """Every document is in the cluster whose centre is nearest, and there are at most as many clusters as asked for."""
+    from surveyloom.session import stored
+
+    model = clusters.fit_clusters(t.documents, "text", stop_words=STOP)
+    centres = t.spark.createDataFrame([(i, c.tolist()) for i, c in enumerate(model.centres)], "number int, centre array<double>")
+    assigned = stored(clusters.assign_clusters(model, t.documents).select("doc_id", "features", "cluster_id"), "assigned")
+    checked = clusters.nearest_centroid(assigned, "features", centres, "number", "nearest")
+    return checked.agg(
+        F.count("*").alias("documents"), F.count_if(F.col("nearest") != F.col("cluster_id")).alias("misplaced"),
+        (F.countDistinct("cluster_id") <= 6).alias("few"),
+    )
+
+
 @check("cluster_documents", "K1 K2 K3")
 def _(t):
     from surveyloom.session import stored

@@ -1,16 +1,21 @@
 """Term weights and ranked retrieval over an inverted index.
 
-The corpus is indexed once (``build_index``) and can be written (``write_index``) and reused.
-Requests come as a table and are all answered together by an equi-join on the term; a request
-is never compared with a document it shares no term with.
+The corpus is indexed once (``build_index``) and can be written (``write_index``) and reused. A document's terms are
+counted inside its row and weighted once. Postings lie in buckets of terms with their final weights, so a batch of
+requests reads the buckets of its own terms and joins nothing else. The index also knows the largest weight of each
+term among documents of like length: terms that together cannot lift a document over the least score open no
+candidates, and of the candidates only those that can still reach a request's best ``k`` are worked out in full.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from surveyloom.functions.scoring import match_percent, stars
@@ -21,76 +26,113 @@ from surveyloom.session import stored
 
 MIN_SCORE = 0.05
 RANK_DIGITS = 9  # scores are compared at this many digits, so that summation order cannot swap ties
+MARGIN = 1e-8  # bounds give way by this much, more than summation order and rounding can move a score
+BUCKETS = 64  # folders of postings; a bucket of any size is split into files
+CLOSED_SHARE = 0.2  # part of the least score that terms which open no candidates may add up to
 
 
 @dataclass
 class TermIndex:
-    """``postings`` (doc, term, tf), ``vocabulary`` (term, df, idf), ``norms`` (doc, norm, text_key)."""
+    """``weights`` (doc, tier, term, weight), ``vocabulary`` (term, df, idf), ``texts`` (doc, text_key).
 
-    postings: DataFrame
+    ``postings`` (term, doc, tier, weight, bucket) and ``tops`` (term, tier, top: largest weight) are made when a
+    request first asks for them. A tier holds documents with like numbers of terms.
+    """
+
+    weights: DataFrame
     vocabulary: DataFrame
-    norms: DataFrame
+    texts: DataFrame
+    postings: DataFrame | None = None
+    tops: DataFrame | None = None
+
+    def inverted(self) -> tuple[DataFrame, DataFrame]:
+        if self.postings is None:
+            rows = self.weights.select("term", "doc", "tier", "weight").withColumn("bucket", _bucket(F.col("term")))
+            self.postings = stored(_dealt(rows), "postings", by=["bucket"])
+            self.tops = stored(self.postings.groupBy("term", "tier").agg(F.max("weight").alias("top")), "tops")
+        return self.postings, self.tops
+
+
+def _bucket(term: Column) -> Column:
+    return F.pmod(F.xxhash64(term), F.lit(BUCKETS)).cast("int")
+
+
+def _dealt(postings: DataFrame) -> DataFrame:
+    """Postings by bucket; a bucket with frequent terms is rebalanced to as many tasks, and files, as it needs."""
+    return postings.hint("rebalance", "bucket").sortWithinPartitions("bucket", "term", "tier")
+
+
+def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        tokens = batch.column(1)
+        sizes = tokens.value_lengths().to_numpy(zero_copy_only=False)
+        named = tokens.flatten().dictionary_encode()
+        kinds = max(1, len(named.dictionary))
+        keys = np.repeat(np.arange(len(sizes)), sizes) * kinds + named.indices.to_numpy(zero_copy_only=False)
+        keys, counts = np.unique(keys, return_counts=True)
+        row, term = np.divmod(keys, kinds)
+        tier = np.log2(np.maximum(1, np.bincount(row, minlength=len(sizes)))).astype(np.int32)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0).take(pa.array(row)), pa.array(tier[row]), named.dictionary.take(pa.array(term)), pa.array(counts.astype(np.int32))],
+            ["doc", "tier", "term", "tf"],
+        )
 
 
 def term_counts(docs: DataFrame, doc: str, text: str, stop_words: list[str]) -> DataFrame:
-    """(doc, term, tf). The document is moved once, as text; its terms are then counted where it is."""
-    placed = docs.select(F.col(doc).alias("doc"), F.col(text).alias("text")).repartition("doc")
-    tokens = placed.select("doc", F.explode(terms(F.col("text"), stop_words)).alias("term"))
-    return tokens.groupBy("doc", "term").agg(F.count("*").alias("tf"))
+    """(doc, tier, term, tf). A document is a row, so its terms are counted where it is; nothing is moved."""
+    tokens = docs.select(F.col(doc).alias("doc"), terms(F.col(text), stop_words).alias("tokens"))
+    return tokens.mapInArrow(_count_terms, f"doc {tokens.schema['doc'].dataType.simpleString()}, tier int, term string, tf int")
 
 
-def vocabulary_of(postings: DataFrame, docs: DataFrame) -> DataFrame:
+def vocabulary_of(counted: DataFrame, docs: DataFrame) -> DataFrame:
     """(term, df, idf) with the smoothed idf ln((1+n)/(1+df))+1, n being all documents."""
     total = docs.agg(F.count("*")).scalar()
     idf = F.log((1.0 + F.col("n")) / (1.0 + F.col("df"))) + 1.0
     return (
-        postings.groupBy("term")
+        counted.groupBy("term")
         .agg(F.count("*").alias("df"))
         .withColumn("n", total)
         .select("term", "df", idf.alias("idf"))
     )
 
 
-def weighted(postings: DataFrame, vocabulary: DataFrame) -> DataFrame:
-    """(doc, term, w) before normalisation. A term in very many documents makes a large join
-    partition, which adaptive execution splits; the vocabulary side has one row per term."""
-    return postings.join(vocabulary.select("term", "idf"), "term").select(
-        "doc", "term", (F.col("tf") * F.col("idf")).alias("w")
-    )
+def term_weights(counted: DataFrame, vocabulary: DataFrame) -> DataFrame:
+    """(doc, tier, term, weight): tf times idf, the weights of a document scaled to length 1.
+
+    A term in very many documents makes a large join partition, which adaptive execution splits; the vocabulary side
+    has one row per term. A document's terms fit a window, since it is a row of the corpus.
+    """
+    raw = counted.join(vocabulary.select("term", "idf"), "term").withColumn("w", F.col("tf") * F.col("idf"))
+    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("doc")))
+    return raw.select("doc", "tier", "term", (F.col("w") / norm).alias("weight"))
 
 
 def build_index(corpus: DataFrame, doc: str, text: str, stop_words: list[str], shown: str | None = None) -> TermIndex:
     """Index ``text``; ``shown`` is the text a result is recognised by (default: the same).
 
-    The three tables are written once, as everything that follows reads them several times.
-    The postings of a document lie together in one file, so its norm is added up without moving them.
+    The counts, the vocabulary and the digests of the texts are written once, as what follows reads them several times.
     """
-    postings = stored(term_counts(corpus, doc, text, stop_words), "postings")
-    vocabulary = stored(vocabulary_of(postings, corpus), "vocabulary")
-    lengths = weighted(postings, vocabulary).groupBy("doc").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    keys = corpus.select(F.col(doc).alias("doc"), digest(F.col(shown or text)).alias("text_key"))
-    return TermIndex(postings, vocabulary, stored(lengths.join(keys, "doc"), "norms"))
+    counted = stored(term_counts(corpus, doc, text, stop_words), "term-counts")
+    vocabulary = stored(vocabulary_of(counted, corpus), "vocabulary")
+    texts = stored(corpus.select(F.col(doc).alias("doc"), digest(F.col(shown or text)).alias("text_key")), "texts")
+    return TermIndex(term_weights(counted, vocabulary), vocabulary, texts)
 
 
 def write_index(index: TermIndex, path: str) -> None:
-    """Postings and vocabulary are clustered by term, norms by document.
-
-    Rows are dealt by range of term and document, so a frequent term goes to as many files as it needs.
-    """
-    index.postings.repartitionByRange("term", "doc").sortWithinPartitions("term").write.parquet(f"{path}/postings")
-    index.vocabulary.repartition("term").sortWithinPartitions("term").write.parquet(f"{path}/vocabulary")
-    index.norms.repartition("doc").sortWithinPartitions("doc").write.parquet(f"{path}/norms")
+    """Postings in buckets of terms, the vocabulary and the largest weights by term, weights and texts by document."""
+    postings, tops = index.inverted()
+    _dealt(postings).write.partitionBy("bucket").parquet(f"{path}/postings")
+    for name, part, key in (("vocabulary", index.vocabulary, "term"), ("tops", tops, "term"), ("weights", index.weights, "doc"), ("texts", index.texts, "doc")):
+        part.hint("rebalance", key).sortWithinPartitions(key).write.parquet(f"{path}/{name}")
 
 
 def read_index(spark: SparkSession, path: str) -> TermIndex:
-    return TermIndex(*[spark.read.parquet(f"{path}/{name}") for name in ("postings", "vocabulary", "norms")])
+    return TermIndex(*[spark.read.parquet(f"{path}/{name}") for name in ("weights", "vocabulary", "texts", "postings", "tops")])
 
 
 def normalized_weights(index: TermIndex) -> DataFrame:
     """(doc, term, weight) with rows of length 1."""
-    return weighted(index.postings, index.vocabulary).join(index.norms, "doc").select(
-        "doc", "term", (F.col("w") / F.col("norm")).alias("weight")
-    )
+    return index.weights.select("doc", "term", "weight")
 
 
 def request_weights(
@@ -124,14 +166,74 @@ def analyze_requirements(
     )
 
 
+def _buckets(wanted: DataFrame) -> list[int]:
+    """Buckets of the terms of ``wanted``: ``BUCKETS`` numbers at most, so that the scan can be told them."""
+    return [r[0] for r in wanted.select(_bucket(F.col("term")).alias("bucket")).distinct().collect()]
+
+
+def _in(postings: DataFrame, buckets: list[int]) -> DataFrame:
+    return postings.where(F.col("bucket").isin(buckets)).drop("bucket")
+
+
 def cosine_scores(index: TermIndex, request_terms: DataFrame) -> DataFrame:
     """(query, doc, score, text_key) for every request and document that share a term."""
-    products = index.postings.join(request_terms, "term").groupBy("query", "doc").agg(
-        F.sum(F.col("tf") * F.col("idf") * F.col("wq")).alias("dot")
-    )
-    return products.join(index.norms, "doc").select(
-        "query", "doc", (F.col("dot") / F.col("norm")).alias("score"), "text_key"
+    wanted = stored(request_terms.select("query", "term", "wq"), "request-terms")
+    postings = _in(index.inverted()[0], _buckets(wanted))
+    products = postings.join(wanted, "term").groupBy("query", "doc").agg(F.sum(F.col("weight") * F.col("wq")).alias("score"))
+    return products.join(index.texts, "doc").select("query", "doc", "score", "text_key")
+
+
+def opening_terms(wanted: DataFrame, tops: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
+    """(query, tier, term, wq, slack): the terms of a request that open candidates among the documents of a tier.
+
+    The others, those with the least products of weight and largest weight, together add ``slack``, which is a small
+    part of ``min_score``; a document that has only such terms cannot pass. Where all terms of a request together
+    cannot pass it, a tier has no opening terms.
+    """
+    each = Window.partitionBy("query", "tier")
+    bounds = wanted.join(tops, "term").withColumn("most", F.col("wq") * F.col("top"))
+    upto = bounds.withColumn("upto", F.sum("most").over(each.orderBy("most", "term").rowsBetween(Window.unboundedPreceding, 0)))
+    closed = F.col("upto") <= CLOSED_SHARE * min_score
+    slack = upto.withColumns({"slack": F.coalesce(F.max(F.when(closed, F.col("upto"))).over(each), F.lit(0.0)), "whole": F.max("upto").over(each)})
+    return slack.where(~closed & (F.col("whole") > min_score - MARGIN)).select("query", "tier", "term", "wq", "slack")
+
+
+def candidate_scores(index: TermIndex, wanted: DataFrame, k: int | DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
+    """(query, doc): documents that may be among the best ``k`` of a request and above ``min_score``; none is missing."""
+    return _candidates(index, wanted, _buckets(wanted), k, min_score)
+
+
+def _candidates(index: TermIndex, wanted: DataFrame, buckets: list[int], k: int | DataFrame, min_score: float) -> DataFrame:
+    postings, tops = index.inverted()
+    opening = opening_terms(wanted, tops, min_score)
+    opened = _in(postings, buckets).join(opening, ["term", "tier"]).groupBy("query", "doc").agg(
+        F.sum(F.col("weight") * F.col("wq")).alias("least"), F.max("slack").alias("slack")
     )
+    opened = stored(opened.where(F.col("least") + F.col("slack") > min_score - MARGIN), "candidates")
+    # The k-th best of different texts, by what is certain.
+    texts = opened.join(index.texts, "doc").groupBy("query", "text_key").agg(F.max("least").alias("least"))
+    if isinstance(k, int):
+        last = top_per_group(texts, ["query"], [F.desc("least"), "text_key"], k, rank="place").where(F.col("place") == k)
+    else:
+        falling = texts.withColumn("falling", -F.col("least"))
+        last = ranked_within(falling, ["query"], ["falling", "text_key"], "place").join(k, "query").where(F.col("place") == F.col("k"))
+    floors = last.select("query", F.col("least").alias("floor"))
+    kept = opened.join(floors, "query", "left").where(F.col("floor").isNull() | (F.col("least") + F.col("slack") >= F.col("floor") - MARGIN))
+    return kept.select("query", "doc")
+
+
+def best_matches(index: TermIndex, wanted: DataFrame, k: int | DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
+    """The best ``k`` documents per request of ``wanted`` (query, term, wq), as ``ranked_matches`` of all scores gives them.
+
+    ``k`` may be a table (query, k). Postings are read in the buckets of the requests' terms only, and beyond the
+    opening terms only for candidates.
+    """
+    wanted = stored(wanted.select("query", "term", "wq"), "request-terms")
+    buckets = _buckets(wanted)
+    postings = _in(index.inverted()[0], buckets).join(wanted.select("term").distinct(), "term", "left_semi")
+    finalists = postings.join(_candidates(index, wanted, buckets, k, min_score), "doc").join(wanted, ["query", "term"])
+    scores = finalists.groupBy("query", "doc").agg(F.sum(F.col("weight") * F.col("wq")).alias("score"))
+    return ranked_matches(scores.where(F.col("score") > min_score).join(index.texts, "doc"), k, min_score)
 
 
 def ranked_matches(scores: DataFrame, k: int | DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
@@ -159,14 +261,14 @@ def generate_survey(
     """
     wanted = request_weights(requests, index.vocabulary, query, text, stop_words)
     most = requests.groupBy(F.col(query).alias("query")).agg(F.max(k).alias("k")) if isinstance(k, str) else k
-    best = ranked_matches(cosine_scores(index, wanted), most, min_score)
+    best = best_matches(index, wanted, most, min_score)
     details = corpus.select(
         F.col(doc).alias("doc"), "question_text", "difficulty_score",
         F.nullif(F.coalesce("options_text", F.lit("")), F.lit("")).alias("options_text"),
     )
     return best.join(details, "doc").select(
         F.col("query").alias(query), "rank", F.col("doc").alias(doc), "score",
-        match_percent(F.col("score")).alias("match_percent"),
+        match_percent(F.round("score", RANK_DIGITS)).alias("match_percent"),
         "difficulty_score", stars(F.col("difficulty_score")).alias("stars"), "question_text", "options_text",
     )
 

@@ -7,8 +7,9 @@ Spark expressions and joins afterwards.
 
 from __future__ import annotations
 
+from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
-from html.parser import HTMLParser
 from urllib.parse import urljoin
 
 import pandas as pd
@@ -22,13 +23,14 @@ from surveyloom.functions import predicates as pred
 from surveyloom.functions import rules
 from surveyloom.functions.text import strip_numbering
 from surveyloom.operators.firstwins import first_wins, limit_links
+from surveyloom.operators.markup import Reader
 from surveyloom.session import stored
 
 BLOCKS = "page_id bigint, url string, source_name string, site string, pos int, raw_text string, raw_options array<string>"
+#: Bounds of a question's length in characters, unless the caller names others.
 MIN_CHARS, MAX_CHARS = 8, 500
 
-# Elements without content, and elements whose text is not shown.
-VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
+# Elements whose text is not shown.
 HIDDEN = {"script", "style", "template"}
 
 # Block, question and option elements per layout, each as (tag, class or None).
@@ -42,144 +44,191 @@ LAYOUTS = {
 }
 GENERIC_TAGS = {"div", "p", "li", "h3", "h4", "label"}
 GENERIC_SKIPPED = {"nav", "header", "footer", "script", "style"}
+# Entries of a list that ask to choose one.
+PLACEHOLDERS = ("请选择", "Please Select")
 
 
-class Node:
-    __slots__ = ("tag", "classes", "parent", "children")
+class Outline:
+    """The elements of a page in order, read in one pass with a stack of those that are open.
 
-    def __init__(self, tag: str, classes: frozenset[str], parent: Node | None):
-        self.tag, self.classes, self.parent, self.children = tag, classes, parent, []
-
-    def walk(self) -> Iterator[Node]:
-        """All elements below this one, in document order."""
-        stack = [c for c in reversed(self.children) if isinstance(c, Node)]
-        while stack:
-            node = stack.pop()
-            yield node
-            stack.extend(c for c in reversed(node.children) if isinstance(c, Node))
+    An element is a number. ``after`` is the number of the first element that is not inside it; ``span`` its part of
+    the texts (each stripped, those in hidden elements apart). So what lies inside an element is a range, its text is
+    a range of pieces, and how long that is follows from running lengths without putting it together.
+    """
 
-    def text(self) -> str:
+    def __init__(self, page: str, skipped: set[str] = frozenset()):
+        self.tags: list[str] = []
+        self.classes: list[frozenset[str]] = []
+        self.parents: list[int] = []
+        self.after: list[int] = []
+        self.level: list[int] = []  # hidden elements around it
+        self.span: list[tuple[int, int]] = []
+        self.pieces: list[list[str]] = [[]]
+        self.lengths: list[list[int]] = [[0]]
+        self.places: dict[str, list[int]] = {}
+        self._open: list[int] = []
+        self._names: Counter[str] = Counter()
+        self._hidden = 0
+        skip, within = None, Counter()  # the skipped element that is open, and what was opened inside it
+        for kind, value, attributes in Reader(page):
+            if skip is not None:
+                if kind == "start":
+                    within[value] += 1
+                elif kind == "end" and within[value]:
+                    within[value] -= 1
+                elif kind == "end" and (value == skip or self._names[value]):
+                    self._close_to(value if value != skip else None)
+                    skip = None
+            elif kind == "text":
+                if piece := value.strip():
+                    self.pieces[self._hidden].append(piece)
+                    self.lengths[self._hidden].append(self.lengths[self._hidden][-1] + len(piece))
+            elif kind == "end":
+                self._close_to(value if self._names[value] else None)
+            elif value not in skipped:
+                self._add(value, attributes, kind == "start")
+            elif kind == "start":
+                skip, within = value, Counter()
+        while self._open:
+            self._close()
+
+    def _add(self, tag: str, attributes: dict[str, str], opened: bool) -> None:
+        number = len(self.tags)
+        self.places.setdefault(tag, []).append(number)
+        self.tags.append(tag)
+        self.classes.append(frozenset(attributes.get("class", "").split()))
+        self.parents.append(self._open[-1] if self._open else -1)
+        self.after.append(number + 1)
+        if opened and tag in HIDDEN:
+            self._hidden += 1
+            if self._hidden == len(self.pieces):
+                self.pieces.append([])
+                self.lengths.append([0])
+        self.level.append(self._hidden)
+        self.span.append((len(self.pieces[self._hidden]),) * 2)
+        if opened:
+            self._open.append(number)
+            self._names[tag] += 1
+
+    def _close_to(self, tag: str | None) -> None:
+        """Close the open elements up to the last one named ``tag``."""
+        while tag is not None and self._close() != tag:
+            pass
+
+    def _close(self) -> str:
+        number = self._open.pop()
+        tag = self.tags[number]
+        self._names[tag] -= 1
+        self.after[number] = len(self.tags)
+        self.span[number] = (self.span[number][0], len(self.pieces[self.level[number]]))
+        self._hidden -= tag in HIDDEN
+        return tag
+
+    def size(self, number: int) -> int:
+        """Characters of the element's text."""
+        first, last = self.span[number]
+        lengths = self.lengths[self.level[number]]
+        return lengths[last] - lengths[first]
+
+    def text(self, number: int) -> str:
         """Shown text, each piece stripped, joined without a gap."""
-        pieces, stack = [], [self]
-        while stack:
-            item = stack.pop()
-            if isinstance(item, str):
-                pieces.append(item.strip())
-            elif item is self or item.tag not in HIDDEN:
-                stack.extend(reversed(item.children))
-        return "".join(pieces)
-
-    def matches(self, tag: str, classes: set[str] | None) -> bool:
-        return self.tag == tag and (classes is None or bool(self.classes & classes))
-
-    def find_all(self, tag: str, classes: set[str] | None = None) -> list[Node]:
-        return [n for n in self.walk() if n.matches(tag, classes)]
-
-
-class TreeBuilder(HTMLParser):
-    def __init__(self) -> None:
-        super().__init__(convert_charrefs=True)
-        self.root = self.here = Node("", frozenset(), None)
-
-    def handle_starttag(self, tag, attrs):
-        node = Node(tag, frozenset((dict(attrs).get("class") or "").split()), self.here)
-        self.here.children.append(node)
-        if tag not in VOID:
-            self.here = node
-
-    def handle_startendtag(self, tag, attrs):
-        self.here.children.append(Node(tag, frozenset((dict(attrs).get("class") or "").split()), self.here))
-
-    def handle_endtag(self, tag):
-        node = self.here
-        while node is not None and node.tag != tag:
-            node = node.parent
-        if node is not None and node.parent is not None:
-            self.here = node.parent
-
-    def handle_data(self, data):
-        self.here.children.append(data)
-
-
-def _tree(html: str) -> Node:
-    """The elements of a page, up to the first markup that the parser refuses."""
-    builder = TreeBuilder()
-    try:
-        builder.feed(html or "")
-        builder.close()
-    except (AssertionError, ValueError):
-        pass
-    return builder.root
-
-
-def _layout_blocks(root: Node, layout: dict) -> Iterator[tuple[str, list[str]]]:
-    block_tag, block_class = layout["block"]
-    question_tag, question_class = layout["question"]
-    for block in root.find_all(block_tag, {block_class}):
-        question = next(iter(block.find_all(question_tag, {question_class})), None)
-        if question is None:
+        first, last = self.span[number]
+        return "".join(self.pieces[self.level[number]][first:last])
+
+    def inside(self, number: int, places: list[int]) -> list[int]:
+        """Those of the elements ``places`` that lie inside an element; -1 is the page."""
+        if number < 0:
+            return places
+        return places[bisect_left(places, number + 1) : bisect_left(places, self.after[number])]
+
+    def first_inside(self, number: int, places: list[int], most: int) -> list[int]:
+        start = bisect_left(places, number + 1)
+        end = len(self.tags) if number < 0 else self.after[number]
+        return [p for p in places[start : start + most] if p < end]
+
+    def matching(self, tag: str, classes: set[str] | None) -> list[int]:
+        return [n for n in self.places.get(tag, []) if classes is None or self.classes[n] & classes]
+
+
+def _layout_blocks(page: str, layout: dict) -> Iterator[tuple[str, list[str]]]:
+    outline = Outline(page)
+    questions = outline.matching(layout["question"][0], {layout["question"][1]})
+    answers = sorted({n for tag, classes in layout["options"] for n in outline.matching(tag, classes)})
+    lists = outline.places.get("select", []) if layout["select"] else []
+    for block in outline.matching(layout["block"][0], {layout["block"][1]}):
+        question = outline.first_inside(block, questions, 1)
+        if not question:
             continue
-        found = [n.text() for n in block.walk() if any(n.matches(t, c) for t, c in layout["options"])]
-        select = next(iter(block.find_all("select")), None) if layout["select"] else None
-        if select is not None:
-            found += [t for t in (o.text() for o in select.find_all("option")) if t not in ("请选择", "Please Select")]
-        yield question.text(), [t for t in found if t]
+        found = [outline.text(n) for n in outline.inside(block, answers)]
+        for select in outline.first_inside(block, lists, 1):
+            found += [t for n in outline.inside(select, outline.places.get("option", [])) if (t := outline.text(n)) not in PLACEHOLDERS]
+        yield outline.text(question[0]), [t for t in found if t]
 
 
-def _generic_blocks(root: Node) -> Iterator[tuple[str, list[str]]]:
+def _generic_blocks(page: str, min_chars: int, max_chars: int) -> Iterator[tuple[str, list[str]]]:
     limit = lexicons.CRAWL_OPTION_LIMIT
-    for node in list(root.walk()):
-        node.children = [c for c in node.children if isinstance(c, str) or c.tag not in GENERIC_SKIPPED]
-    following: dict[int, Node] = {}  # by identity: the element after an element, and the first labels of a parent
-    labels: dict[int, list[str]] = {}
-    for node in root.walk():
-        if node.tag not in GENERIC_TAGS:
-            continue
-        text = node.text()
+    outline = Outline(page, GENERIC_SKIPPED)
+    short: dict[int, list[str]] = {}  # the first labels of a parent
+    short_text = lambda numbers: [outline.text(n) if outline.size(n) < 100 else "" for n in numbers]
+    for node, tag in enumerate(outline.tags):
         # Blocks outside these bounds are never questions; dropping them here keeps nested blocks
         # from sending the text of a page once per level.
-        if not MIN_CHARS <= len(text) <= MAX_CHARS:
+        if tag not in GENERIC_TAGS or not min_chars <= outline.size(node) <= max_chars:
             continue
-        parent = node.parent
-        if id(parent) not in labels:
-            siblings = [c for c in parent.children if isinstance(c, Node)]
-            following.update((id(a), b) for a, b in zip(siblings, siblings[1:], strict=False))
-            labels[id(parent)] = [label.text() for label in parent.find_all("label")[:limit]]
-        after = following.get(id(node))
-        found = []
-        if after is not None and after.tag in ("ul", "ol"):
-            found += [li.text() for li in after.find_all("li")[:limit]]
-        found += [t for t in labels[id(parent)] if t != text]
-        yield text, [t for t in found if t and len(t) < 100]
-
-
-def _cut_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        rows = []
-        for page in batch.itertuples(index=False):
-            root = _tree(page.html)
-            layout = LAYOUTS.get(page.site)
-            blocks = _layout_blocks(root, layout) if layout else _generic_blocks(root)
-            for pos, (text, found) in enumerate(blocks):
-                rows.append((page.page_id, page.url, page.source_name, page.site, pos, text, found))
-        yield pd.DataFrame(
-            rows, columns=["page_id", "url", "source_name", "site", "pos", "raw_text", "raw_options"]
-        )
-
-
-def text_blocks(pages: DataFrame) -> DataFrame:
-    """Candidate blocks of every page: (page_id, url, source_name, site, pos, raw_text, raw_options)."""
+        text, parent = outline.text(node), outline.parents[node]
+        if parent not in short:
+            short[parent] = short_text(outline.first_inside(parent, outline.places.get("label", []), limit))
+        found, after = [], outline.after[node]
+        if after < len(outline.tags) and outline.parents[after] == parent and outline.tags[after] in ("ul", "ol"):
+            found += short_text(outline.first_inside(after, outline.places.get("li", []), limit))
+        found += [t for t in short[parent] if t != text]
+        yield text, [t for t in found if t]
+
+
+def _cut_blocks(min_chars: int, max_chars: int):
+    """Blocks of pages. A page that cannot be read gives one row with an error, and none of its blocks."""
+    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for page in batch.itertuples(index=False):
+                layout, named = LAYOUTS.get(page.site), (page.page_id, page.url, page.source_name, page.site)
+                try:
+                    blocks = _layout_blocks(page.html or "", layout) if layout else _generic_blocks(page.html or "", min_chars, max_chars)
+                    rows += [(*named, pos, text, found, None) for pos, (text, found) in enumerate(blocks)]
+                except Exception as error:  # noqa: BLE001  one page must not end the job
+                    rows.append((*named, None, None, None, f"{type(error).__name__}: {error}"[:500]))
+            columns = ["page_id", "url", "source_name", "site", "pos", "raw_text", "raw_options", "error"]
+            yield pd.DataFrame(rows, columns=columns).astype({"pos": "Int32"})
+
+    return work
+
+
+def parsed_pages(pages: DataFrame, min_chars: int = MIN_CHARS, max_chars: int = MAX_CHARS) -> DataFrame:
+    """Candidate blocks of every page, and (page_id, error) rows of pages that cannot be read."""
     named = pages if "source_name" in pages.columns else pages.withColumn("source_name", F.col("url"))
     needed = named.select("page_id", "url", "source_name", rules.site_layout(F.col("url")).alias("site"), "html")
-    return needed.mapInPandas(_cut_blocks, BLOCKS)
+    return needed.mapInPandas(_cut_blocks(min_chars, max_chars), BLOCKS + ", error string")
+
+
+def text_blocks(pages: DataFrame, min_chars: int = MIN_CHARS, max_chars: int = MAX_CHARS) -> DataFrame:
+    """Candidate blocks of every page: (page_id, url, source_name, site, pos, raw_text, raw_options)."""
+    return parsed_pages(pages, min_chars, max_chars).where("error is null").drop("error")
+
+
+def page_errors(parsed: DataFrame) -> DataFrame:
+    """(page_id, error) of the pages that could not be read."""
+    return parsed.where("error is not null").select("page_id", "error")
 
 
-def page_questions(blocks: DataFrame, markers: list[str] | None = None, keywords: list[str] | None = None) -> DataFrame:
+def page_questions(
+    blocks: DataFrame, markers: list[str] | None = None, keywords: list[str] | None = None,
+    min_chars: int = MIN_CHARS, max_chars: int = MAX_CHARS,
+) -> DataFrame:
     """On-topic questions of the blocks, with the crawled-question columns. Texts may still repeat."""
     generic = F.col("site") == "generic"
     numbered = F.col("site").isin("wjx", "wenjuan")
     cleaned = blocks.withColumn("text", F.when(numbered, strip_numbering("raw_text")).otherwise(F.col("raw_text")))
-    asked = cleaned.filter(pred.is_on_topic(F.col("text"), markers, keywords, MIN_CHARS, MAX_CHARS))
+    asked = cleaned.filter(pred.is_on_topic(F.col("text"), markers, keywords, min_chars, max_chars))
     bare, inline = opt.inline_options(F.col("text"))
     pulled = asked.withColumns(
         {
@@ -241,15 +290,21 @@ def pages_with_questions(questions: DataFrame) -> DataFrame:
     return questions.groupBy("page_id").agg(F.count("*").alias("questions"))
 
 
-def page_outcomes(seeds: DataFrame, questions: DataFrame, links: DataFrame, fetched: DataFrame) -> DataFrame:
+def page_outcomes(
+    seeds: DataFrame, questions: DataFrame, links: DataFrame, fetched: DataFrame, errors: DataFrame | None = None,
+) -> DataFrame:
     """Outcome per seed page.
 
     ``direct``: it has questions itself. ``sublinks``: it has none, but pages it links to have.
-    ``empty``: neither. ``failed``: it has no html. ``questions`` are those of all fetched pages,
-    ``fetched`` (page_id, url) the pages that links can be resolved to.
+    ``empty``: neither. ``failed``: it has no html, or is one of ``errors`` (page_id), which could not be read.
+    ``questions`` are those of all fetched pages, ``fetched`` (page_id, url) the pages that links can be resolved to.
     """
     counts = pages_with_questions(questions)
-    base = seeds.select("page_id", F.col("html").isNull().alias("missing")).join(counts, "page_id", "left")
+    base = seeds.select("page_id", F.col("html").isNull().alias("missing"))
+    if errors is not None:
+        broken = errors.select("page_id").distinct().withColumn("broken", F.lit(True))
+        base = base.join(broken, "page_id", "left").select("page_id", (F.col("missing") | F.coalesce("broken", F.lit(False))).alias("missing"))
+    base = base.join(counts, "page_id", "left")
     need = base.filter(~F.col("missing") & F.col("questions").isNull()).select("page_id")
     reached = (
         links.join(need.withColumnRenamed("page_id", "page_seq"), "page_seq", "left_semi")
@@ -306,21 +361,37 @@ def followed_questions(seeds: DataFrame, questions: DataFrame, links: DataFrame,
 def crawl(
     pages: DataFrame, seeds: DataFrame, patterns: list[str] | None = None,
     markers: list[str] | None = None, keywords: list[str] | None = None,
+    min_chars: int = MIN_CHARS, max_chars: int = MAX_CHARS, per_page: int = lexicons.LINKS_PER_PAGE,
 ) -> dict[str, DataFrame]:
-    """Questions, outcomes and counters of a whole crawl over already fetched ``pages``.
+    """Questions, outcomes, counters and errors (page_id, error) of a whole crawl over already fetched ``pages``.
 
     ``seeds`` has (url, source_name), and (list, seq) if it comes from ``seed_pages``: of several seeds
-    with one url the first counts, else the one with the first name. The parsed questions are written once, since three results
-    read them and parsing is the expensive part.
+    with one url the first counts, else the one with the first name. Pages are read in two steps, first the seeds,
+    then the pages that the seeds without questions link to; no other page is parsed. What a step finds is written
+    once, since several results read it and parsing is the expensive part.
     """
-    found = stored(page_questions(text_blocks(pages), markers, keywords), "crawl")
     order = "_order" if {"list", "seq"} <= set(seeds.columns) else "source_name"
     seeds = seeds.withColumn("_order", F.struct("list", "seq")) if order == "_order" else seeds
-    start = pages.drop("source_name").join(first_wins(seeds, ["url"], order).drop("_order", "list", "seq"), "url")
-    links = sublinks(pages_without_questions(start, found), patterns)
-    outcomes = page_outcomes(start, found, links, pages)
+    first = first_wins(seeds, ["url"], order).drop("_order", "list", "seq")
+    start = pages.drop("source_name").join(first, "url")
+
+    def read(some: DataFrame) -> DataFrame:
+        return stored(parsed_pages(some, min_chars, max_chars), "crawl-parsed")
+
+    def asked(parsed: DataFrame) -> DataFrame:
+        return page_questions(parsed.where("error is null").drop("error"), markers, keywords, min_chars, max_chars)
+
+    opened = read(pages.join(first.select("url"), "url", "left_semi"))
+    direct = stored(asked(opened), "crawl-direct")
+    waiting = pages_without_questions(start, direct).join(page_errors(opened), "page_id", "left_anti")
+    links = stored(sublinks(waiting, patterns, per_page), "crawl-links")
+    beyond = pages.join(links.select("url").distinct(), "url", "left_semi").join(start.select("page_id"), "page_id", "left_anti")
+    followed = read(beyond)
+    found = stored(direct.unionByName(asked(followed)), "crawl")
+    outcomes = page_outcomes(start, found, links, pages, page_errors(opened))
     return {
         "questions": followed_questions(start, found, links, pages),
         "outcomes": outcomes,
         "counters": crawl_counters(outcomes),
+        "errors": page_errors(opened.unionByName(followed)),
     }

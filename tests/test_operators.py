@@ -88,12 +88,36 @@ def test_correlation_in_blocks(spark, monkeypatch):
         monkeypatch.setattr(correlation, name, value)
     pdf = pd.DataFrame(long, columns=["row_id", "col", "value"])
     parts = pd.concat(correlation._partition_moments(iter([pdf[:50], pdf[50:51], pdf[51:]])))
-    sums = parts.groupby(["col_i", "col_j"])[correlation.SUMS].sum()
+    assert len(parts) > 2 * 49  # several parts per pair, which are merged without loss
+    merged = correlation.merged_moments(spark.createDataFrame(parts, correlation.SCHEMA)).toPandas().set_index(["col_i", "col_j"])
     for i in range(7):
         for j in range(7):
             both = ~np.isnan(dense[:, i]) & ~np.isnan(dense[:, j])
             x, y = dense[both, i], dense[both, j]
-            assert sums.loc[(f"c{i}", f"c{j}")].to_list() == pytest.approx([both.sum(), x.sum(), y.sum(), (x * x).sum(), (y * y).sum(), (x * y).sum()])
+            want = [both.sum(), x.mean(), y.mean(), x.var() * len(x), y.var() * len(x), ((x - x.mean()) * (y - y.mean())).sum(), x.min(), x.max(), y.min(), y.max()]
+            assert merged.loc[(f"c{i}", f"c{j}"), [*correlation.MOMENTS, *correlation.RANGES]].to_list() == pytest.approx(want)
+
+
+@pytest.mark.parametrize("parts", [1, 5])
+def test_correlation_of_columns_that_hardly_vary(table, parts, monkeypatch):
+    """Values that differ in their ninth digit after the point, beside values far away that a pair does not share."""
+    import random
+
+    import duckdb
+
+    rng = random.Random(4)
+    cells = [(u, c, 5.0 + rng.randrange(9) * 1e-9) for u in range(300) for c in "abc" if rng.random() < 0.8]
+    cells += [(u, "d", 5.0 + 1e-9 * u + 1e-10 * rng.randrange(50)) for u in range(0, 300, 2)]
+    cells += [(u, c, 900.0) for u in range(300, 400) for c in "ad" if (u % 2 == 0) == (c == "a")] + [(500, "alone", 1.0), (501, "alone", 2.0)]
+    monkeypatch.setattr(correlation, "CHUNK", 100)
+    got = {(r.col_i, r.col_j): (r.n, r.corr) for r in correlation.correlated_pairs(table("u bigint, c string, v double", *cells, parts=parts), "u", "c", "v").collect()}
+    con = duckdb.connect()
+    con.execute("CREATE TABLE cells (u BIGINT, c VARCHAR, v DOUBLE)")
+    con.executemany("INSERT INTO cells VALUES (?, ?, ?)", cells)
+    want = con.execute("SELECT a.c, b.c, count(*), corr(a.v, b.v) FROM cells a JOIN cells b ON a.u = b.u GROUP BY 1, 2").fetchall()
+    assert set(got) == {(i, j) for i, j, _, _ in want} and ("alone", "a") not in got
+    for i, j, n, corr in want:
+        assert got[(i, j)][0] == n and got[(i, j)][1] == pytest.approx(corr, abs=1e-6)
 
 
 def test_counts(table, rows):
@@ -388,7 +412,7 @@ def test_chart_tables(spark, table, tmp_path, rows):
                  *[(i, i, "x", "c" if i % 2 else "general", f"words about topic{i % 3} number{i}", "", float(i % 4), "s") for i in range(24)])
     answers = table(RESPONSES, *ANSWERS)
     model = clusters.fit_clusters(bank, "question_text", k=2, features=32)
-    assigned = clusters.assign_clusters(model, bank)
+    assigned = clusters.assign_clusters(model, bank, "question_text")
     assert -1.0 <= clusters.silhouette(assigned) <= 1.0
     assert clusters.assign_clusters(None, bank).select("cluster_id").distinct().collect() == [(0,)]
     tree = hierarchy.build_hierarchy(table(NODES, *[(i, i % 2, "easy" if i % 3 else "hard", "c") for i in range(24)]))
@@ -400,3 +424,66 @@ def test_chart_tables(spark, table, tmp_path, rows):
     assert back["difficulty"].agg(F.sum("count")).first()[0] == 24 and back["cluster_positions"].count() == 24
     assert rows(back["complexity"], "complexity", "count") == [("easy", 16), ("hard", 8)]
     assert back["graph_nodes"].agg(F.sum("in_degree"), F.sum("out_degree")).first()[:] == (back["graph_edges"].count(),) * 2
+
+
+def test_projection_keeps_angles():
+    import numpy as np
+
+    from surveyloom.operators import clusters
+
+    rng = np.random.default_rng(3)
+    sets = [rng.choice(5000, 60, replace=False) for _ in range(30)]
+    sets += [np.r_[s[:45], rng.choice(np.arange(5000, 9000), 15, replace=False)] for s in sets[:10]]  # 75 % alike
+    row, code = np.repeat(np.arange(40), 60), np.concatenate(sets).astype(np.uint64)
+    x = clusters.project(row, code, np.ones(len(code)), 41, 256, 7)
+    assert np.allclose((x * x).sum(axis=1), [1.0] * 40 + [0.0])
+    cosines = x @ x.T
+    true = np.array([[len(set(a) & set(b)) / 60 for b in sets] for a in sets])
+    assert np.abs(cosines[:40, :40] - true).max() < 0.35 and np.abs(cosines[:40, :40] - true).mean() < 0.07
+    assert all(abs(cosines[i, 30 + i] - 0.75) < 0.2 for i in range(10))
+
+
+def test_clusters_find_topics_and_silhouettes(table):
+    import numpy as np
+
+    from surveyloom.operators import clusters
+
+    topics = [[f"{t}{i}" for i in range(30)] for t in ("hotel", "train", "menu")]
+    rng = __import__("random").Random(2)
+    rows_ = [(i, " ".join(rng.choices(topics[i % 3], k=12)), i % 3) for i in range(150)] + [(200, None, 0), (201, "", 1)]
+    bank = table("seq bigint, text string, topic int", *rows_)
+    model = clusters.fit_clusters(bank, "text", k=3, stop_words=[])
+    assigned = clusters.assign_clusters(model, bank).collect()
+    of = {}
+    for r in assigned:
+        if r.seq < 150:
+            of.setdefault(r.topic, set()).add(r.cluster_id)
+    assert all(len(c) == 1 for c in of.values()) and len(set.union(*of.values())) == 3
+    assert len(model.centres) == 3 and model.centres.shape[1] == 256
+    # Silhouettes against all pairs, with an all-zero vector, a group of one and a null group.
+    points = [(i, [float(v) for v in np.random.default_rng(i).normal(size=3)], i % 3) for i in range(20)] + [(50, [0.0, 0.0, 0.0], 1), (51, [1.0, 2.0, 0.5], 9), (52, [1.0, 1.0, 1.0], None)]
+    got = {r.seq: r.silhouette for r in clusters.silhouettes(table("seq bigint, v array<double>, g int", *points), "v", "g").collect()}
+    unit = {i: np.array(v) / np.linalg.norm(v) for i, v, g in points if any(v) and g is not None}
+    group = {i: g for i, _, g in points}
+    for i, x in unit.items():
+        far = {}
+        for j, y in unit.items():
+            if i != j:
+                far.setdefault(group[j], []).append(1 - x @ y)
+        mean = {g: np.mean(d) for g, d in far.items()}
+        a, b = mean.pop(group[i], None), min(mean[g] for g in mean if g != group[i])
+        assert got[i] == pytest.approx(0.0 if a is None else (b - a) / max(a, b))
+    assert got[50] is None and got[52] is None
+
+
+def test_scatter_is_principal_components(table):
+    import numpy as np
+
+    from surveyloom.operators import clusters
+
+    x = np.random.default_rng(5).normal(size=(60, 4)) * [5, 2, 0.5, 0.1]
+    placed = clusters.scatter_positions(table("seq bigint, cluster_id int, features array<float>", *[(i, 0, [float(v) for v in row]) for i, row in enumerate(x)])).collect()
+    x = x.astype(np.float32).astype(float)
+    axes = np.linalg.eigh(np.cov(x.T))[1][:, ::-1][:, :2]
+    got, want = np.array([[r.x, r.y] for r in sorted(placed, key=lambda r: r.seq)]), x @ axes
+    assert np.allclose(got * np.sign((got * want).sum(axis=0)), want, atol=1e-6)

@@ -1,7 +1,13 @@
 """Page layouts, links and the crawl."""
 
+import time
+
+import pandas as pd
+from pyspark.sql import functions as F
+
 from surveyloom import sources
 from surveyloom.operators import webpages
+from surveyloom.operators.markup import Reader
 
 WJX = """<div class="field ui"><div class="field-label">1. How was your hotel room?</div>
 <div class="ui-radio"> Good </div><div class="ui-checkbox x">Bad</div><select><option>请选择</option><option>Fine</option></select></div>
@@ -74,3 +80,86 @@ def test_first_seed_in_the_lists_counts(table, rows):
     seeds = sources.seed_pages(*lists)
     assert rows(seeds, "list", "seq", "source_name") == [(0, 5, "zebra"), (0, 7, "bear"), (1, 1, "ant")]
     assert rows(webpages.crawl(pages, seeds)["questions"], "question_text", "source_name") == [("How was the hotel room?", "zebra")]
+
+
+def _texts(page, skipped=frozenset()):
+    outline = webpages.Outline(page, skipped)
+    return [(tag, outline.text(n)) for n, tag in enumerate(outline.tags)]
+
+
+def test_reader_forgives():
+    page = """a &lt b<!-- <p>no --><p class='x y' id=z title="1 > 0">c &amp; d<br/>e</P ><!DOCTYPE x><![foo[x]]>f<?php g?>h</ i>j < k<script>"</p>"</script><textarea><b>l</textarea>"""
+    events = list(Reader(page))
+    assert "".join(v for kind, v, _ in events if kind == "text") == 'a < bc & defhj < k"</p>"<b>l'
+    assert [(kind, v, more) for kind, v, more in events if kind in ("start", "empty")] == [
+        ("start", "p", {"class": "x y", "id": "z", "title": "1 > 0"}), ("empty", "br", {}), ("start", "script", {}), ("start", "textarea", {})]
+    assert list(Reader("")) == [] and [v for _, v, _ in Reader("x<")] == ["x<"]
+    assert [v for kind, v, _ in Reader('<a href="never closed>b<i>c') if kind == "text"] == ["b", "c"]
+    assert [v for kind, v, _ in Reader("a<!-- never closed>b") if kind == "text"] == ["a", "b"]
+
+
+def test_text_after_refused_markup_stays(table, rows):
+    page = "<p>How was the hotel?</p><![foo[x]]><p>How was the room here?</p><!ELEMENT x><p>How was the bus trip?</p>"
+    found = webpages.page_questions(blocks(table, (1, "http://x.org", page, "s")))
+    assert rows(found, "question_text") == [("How was the bus trip?",), ("How was the hotel?",), ("How was the room here?",)]
+
+
+def test_elements_and_hidden_text():
+    assert _texts("<div>a<p>b<b> c </b></div>d</p><template>e<p>f</p></template>g") == [
+        ("div", "abc"), ("p", "bc"), ("b", "c"), ("template", "e" + "f"), ("p", "f")]
+    assert _texts("<div>a<template>b</template><script>c</script>d</div>")[0] == ("div", "ad")
+    # A skipped element that stays open ends with the element around it.
+    assert _texts("<div><nav><p>menu</div><p>after</p>", {"nav"}) == [("div", ""), ("p", "after")]
+    assert _texts("<nav><div></div>menu</nav><p>after</p><nav/>", {"nav"}) == [("p", "after")]
+
+
+def test_deep_and_broken_pages_take_linear_time():
+    for page in (
+        "<div>" * 4_000 + "How was the hotel?" + "</div>" * 4_000, "<p>" * 60_000 + "x", "<b>" * 60_000 + "</i>" * 60_000,
+        '<a href="' * 110_000, "<a href='x" + " y=" * 330_000, "<a " + " " * 1_000_000, "<!--" * 250_000, "</" * 500_000, "<script>" * 125_000, "&" * 1_000_000, "<p><ul><li>" * 30_000 + "<label>"):
+        started = time.time()
+        list(webpages._generic_blocks(page, 8, 500))
+        list(webpages._layout_blocks(page, webpages.LAYOUTS["jotform"]))
+        assert time.time() - started < 5, page[:20]
+    started = time.time()
+    assert len(list(webpages._generic_blocks("<div>" * 4_000 + "How was the hotel?" + "</div>" * 4_000, 8, 500))) == 4_000
+    assert time.time() - started < 1
+
+
+def test_unreadable_page_is_reported(table, rows, monkeypatch):
+    """A page whose reading fails gives an error and the outcome ``failed``; the others are read."""
+    pages = table("page_id bigint, url string, html string", (1, "http://one.org", "<p>How was the hotel room?</p>"), (2, "http://bad.org", "<p>How was the hotel bus?</p>"))
+    seeds = table("url string, source_name string", ("http://one.org", "one"), ("http://bad.org", "bad"))
+    plain = webpages.parsed_pages
+
+    def parsed(some, *bounds):
+        bad = F.col("page_id") == 2
+        read = plain(some, *bounds)
+        first = read.where(bad).limit(1).select(*[F.lit(None).cast(f.dataType).alias(f.name) if f.name in ("pos", "raw_text", "raw_options") else F.lit("ValueError: x").alias("error") if f.name == "error" else f.name for f in read.schema.fields])
+        return read.where(~bad).unionByName(first)
+
+    monkeypatch.setattr(webpages, "parsed_pages", parsed)
+    out = webpages.crawl(pages, seeds)
+    assert rows(out["errors"], "*") == [(2, "ValueError: x")] and rows(out["questions"], "page_id") == [(1,)]
+    assert rows(out["outcomes"], "page_id", "outcome") == [(1, "direct"), (2, "failed")]
+
+
+def test_error_rows_come_from_the_task():
+    class Bad(str):
+        def find(self, *_):
+            raise ValueError("unreadable")
+
+    batch = pd.DataFrame({"page_id": [1, 2], "url": ["u", "v"], "source_name": ["u", "v"], "site": ["generic", "generic"], "html": [Bad("<p>How was the hotel?</p>"), "<p>How was the hotel?</p>"]})
+    got = next(webpages._cut_blocks(8, 500)(iter([batch])))
+    assert got["error"].tolist() == ["ValueError: unreadable", None] and got["raw_text"].tolist() == [None, "How was the hotel?"]
+
+
+def test_only_seeds_and_their_links_are_parsed(table, monkeypatch):
+    hub = '<a href="https://www.surveymonkey.com/r/a">a</a>'
+    own = '<p>How was the hotel room?</p><a href="https://www.surveymonkey.com/r/b">b</a>'
+    pages = table("page_id bigint, url string, html string", (1, "http://own.org", own), (2, "http://hub.org", hub), (3, "https://www.surveymonkey.com/r/a", own),
+                  (4, "https://www.surveymonkey.com/r/b", own), *[(10 + i, f"http://other{i}.org", own) for i in range(50)])
+    parsed, plain = [], webpages.parsed_pages
+    monkeypatch.setattr(webpages, "parsed_pages", lambda some, *bounds: parsed.extend(r.page_id for r in some.collect()) or plain(some, *bounds))
+    webpages.crawl(pages, table("url string, source_name string", ("http://own.org", "own"), ("http://hub.org", "hub")))
+    assert sorted(parsed) == [1, 2, 3]
