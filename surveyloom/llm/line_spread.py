@@ -17,16 +17,14 @@ SITES = 10
 #: log2 of the registers of a sketch; its relative error is about 1.04 / sqrt(2^12), and the band is ten times that.
 REGISTERS = 12
 BAND = 10 * 1.04 / 2 ** (REGISTERS / 2)
-#: A document with more than this share of its characters in such lines is a copy, not a page with boilerplate around it.
-MOST_SHARE = 0.5
 
 
 def lines(docs: DataFrame) -> DataFrame:
-    """Lines with a word: doc_id, text_key, source, pos, chars, line (hash)."""
+    """Lines with a word: doc_id, text_key, source, pos, line (hash)."""
     split = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "source", F.posexplode(F.split("text", "\n")).alias("pos", "raw"))
     plain = F.trim(F.regexp_replace(lower_ascii(F.col("raw")), SPACE, " "))
     split = split.withColumn("plain", plain).where("plain <> ''")
-    return split.select("doc_id", "text_key", "source", "pos", F.length("raw").alias("chars"), F.xxhash64("plain").alias("line"))
+    return split.select("doc_id", "text_key", "source", "pos", F.xxhash64("plain").alias("line"))
 
 
 def widespread(found: DataFrame, sites: int = SITES) -> DataFrame:
@@ -40,32 +38,33 @@ def widespread(found: DataFrame, sites: int = SITES) -> DataFrame:
     return spread.where(surely).select("line").unionAll(exact)
 
 
-def remove_widespread(docs: DataFrame, sites: int = SITES, most_share: float = MOST_SHARE) -> DataFrame:
+def remove_widespread(docs: DataFrame, sites: int = SITES) -> DataFrame:
     """``docs`` with ``text`` cut, and with n_lines, n_spread (lines with a word, widespread ones) and n_removed.
 
-    A document with more than ``most_share`` of its characters (line ends not counted) in widespread lines is left as
-    it is, for the removal of whole copies. A null text stays null with zeros; a text of which all lines go cannot
-    occur. Rows that repeat doc_id and text are cut alike and count once for their site. A null source counts as no
-    site; a null doc_id is an id like others. Columns of these names in ``docs`` are replaced.
+    Widespread lines go from every document, however many it has. Only a text that has no other lines with a word, and
+    that stands in several rows as a whole, is left as it is: it is a copy, for the removal of copies to thin out. Where
+    such a text stands once, nothing but its blank lines is left. A null text stays null with zeros. Rows that repeat
+    doc_id and text are cut alike and count once for their site. A null source counts as no site; a null doc_id is an
+    id like others. Columns of these names in ``docs`` are replaced.
     """
     docs = docs.drop("n_lines", "n_spread", "n_removed")
     found = stored(lines(docs), "line-hashes")  # read three times below
     spread = stored(widespread(found, sites), "line-widespread")
-    hits = found.join(spread, "line", "left_semi").groupBy("doc_id", "text_key").agg(
-        F.collect_set(F.struct("pos", "chars")).alias("hit")
-    ).select(F.col("doc_id").alias("hit_id"), F.col("text_key").alias("hit_key"), "hit")
-    key, hit, cut = unused(docs, "text_key", "hit", "cut")
-    hit_id, hit_key = unused(docs, "hit_id", "hit_key")
-    hits = hits.toDF(hit_id, hit_key, hit)
+    repeated = docs.groupBy(F.xxhash64("text").alias("text_key")).count().where("count > 1").select("text_key", F.lit(True).alias("copy"))
+    hits = found.join(spread, "line", "left_semi").groupBy("doc_id", "text_key").agg(F.sort_array(F.collect_set("pos")).alias("hit"))
+    key, hit, copy, hit_id, hit_key = unused(docs, "text_key", "hit", "copy", "hit_id", "hit_key")
+    hits = hits.join(repeated, "text_key", "left").select(F.col("doc_id").alias(hit_id), F.col("text_key").alias(hit_key), F.col("hit").alias(hit), F.col("copy").alias(copy))
     keyed = docs.withColumn(key, F.xxhash64("text"))
     joined = keyed.join(hits, keyed["doc_id"].eqNullSafe(hits[hit_id]) & (keyed[key] == hits[hit_key]), "left")
     q = lambda name: f"`{name}`"
-    length = "length(replace(text, '\\n', ''))"
-    joined = joined.withColumn(cut, F.expr(f"coalesce(aggregate({q(hit)}, 0L, (a, h) -> a + h.chars) <= {most_share} * {length}, false)"))
-    kept = f"array_join(filter(split(text, '\\n'), (l, i) -> not array_contains(transform({q(hit)}, h -> h.pos), i)), '\\n')"
+    n_lines = F.coalesce(F.size(F.filter(F.split("text", "\n"), lambda l: F.btrim(l, F.lit(" \t\x0b\x0c\r")) != "")), F.lit(0)).cast("long")
+    cut = F.col(q(hit)).isNotNull() & ~(F.coalesce(F.col(q(copy)), F.lit(False)) & (F.size(q(hit)) == n_lines))
+    # What lies between the hits, in one pass: each line is copied once.
+    kept = f"""transform(array(split(text, '\\n')), l -> array_join(flatten(transform(sequence(0, size({q(hit)})), j ->
+        slice(l, coalesce(get({q(hit)}, j - 1) + 2, 1), coalesce(get({q(hit)}, j), size(l)) - coalesce(get({q(hit)}, j - 1) + 1, 0)))), '\\n'))[0]"""
     return joined.select(
-        *[F.expr(f"if({q(cut)}, {kept}, text)").alias("text") if c == "text" else F.col(q(c)) for c in docs.columns],
-        F.coalesce(F.size(F.filter(F.split("text", "\n"), lambda l: F.btrim(l, F.lit(" \t\x0b\x0c\r")) != "")), F.lit(0)).cast("long").alias("n_lines"),
-        F.coalesce(F.size(F.col(q(hit))), F.lit(0)).cast("long").alias("n_spread"),
-        F.expr(f"if({q(cut)}, size({q(hit)}), 0)").cast("long").alias("n_removed"),
+        *[F.when(cut, F.expr(kept)).otherwise(F.col("text")).alias("text") if c == "text" else F.col(q(c)) for c in docs.columns],
+        n_lines.alias("n_lines"),
+        F.coalesce(F.size(q(hit)), F.lit(0)).cast("long").alias("n_spread"),
+        F.when(cut, F.size(q(hit))).otherwise(0).cast("long").alias("n_removed"),
     )

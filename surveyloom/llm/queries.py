@@ -152,13 +152,15 @@ with lines as (
 marked as (select l.*, l.plain <> '' and s.plain is not null as hit from lines l left join spread s on l.plain = s.plain),
 judged as (
   select doc_id, count(*) filter (where plain <> '') as n_lines, count(*) filter (where hit) as n_spread,
-         coalesce(sum(length(raw)) filter (where hit), 0) <= {line_spread.MOST_SHARE} * sum(length(raw)) and count(*) filter (where hit) > 0 as cut,
-         string_agg(raw, chr(10) order by pos) filter (where not hit) as rest
+         coalesce(string_agg(raw, chr(10) order by pos) filter (where not hit), '') as rest
   from marked group by doc_id
+), copies as (select text from documents group by text having count(*) > 1),
+cuts as (
+  select d.doc_id, d.text, coalesce(n_lines, 0) as n_lines, coalesce(n_spread, 0) as n_spread, rest,
+         coalesce(n_spread, 0) > 0 and not (n_spread = n_lines and c.text is not null) as cut
+  from documents d left join judged j on d.doc_id = j.doc_id left join copies c on d.text = c.text
 )
-select d.doc_id, case when cut then rest else d.text end as text, coalesce(n_lines, 0) as n_lines, coalesce(n_spread, 0) as n_spread,
-       case when cut then n_spread else 0 end as n_removed
-from documents d left join judged j on d.doc_id = j.doc_id
+select doc_id, case when cut then rest else text end as text, n_lines, n_spread, case when cut then n_spread else 0 end as n_removed from cuts
 """,
     "op8_decontamination": f"""
 with items as (select item_id, {_WORDS} as w from benchmark),
