@@ -20,10 +20,9 @@ from surveyloom.llm.tokens import NON_ALNUM, mix, slices
 
 BITS = 18
 START_BYTES = 5
-#: Labelled texts that the models are fitted on, at most: the first by the digest of their id.
-MOST_LABELLED = 8_000
-#: Features per model, at most: those that separate its classes best.
-MOST_FEATURES = 4_000
+#: Unless the caller names others: labelled texts that the models are fitted on, at most (the first by the digest of
+#: their id), and features of a model, at most (those that separate its classes best).
+MOST_LABELLED, MOST_FEATURES = 8_000, 4_000
 FOLDS = 3
 
 
@@ -61,7 +60,9 @@ def predict(link: Link, columns: np.ndarray, row: np.ndarray, n: int, earlier: n
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def fit_link(rows: list[np.ndarray], earlier: np.ndarray, y: np.ndarray, steps: int = 150, penalty: float = 2.0) -> Link:
+def fit_link(
+    rows: list[np.ndarray], earlier: np.ndarray, y: np.ndarray, most: int = MOST_FEATURES, steps: int = 150, penalty: float = 2.0,
+) -> Link:
     """Logistic regression with a ridge penalty, by accelerated gradient steps over selected features."""
     columns, row = _flat(rows)
     n, positive = len(rows), max(1.0, y.sum())
@@ -70,7 +71,7 @@ def fit_link(rows: list[np.ndarray], earlier: np.ndarray, y: np.ndarray, steps:
     rate = positive / max(1, n)
     gap = np.abs(seen_positive - seen * rate) / np.sqrt(seen * rate * (1 - rate) + 1)
     gap[seen < 3] = 0
-    chosen = np.sort(np.argsort(-gap, kind="stable")[:MOST_FEATURES])
+    chosen = np.sort(np.argsort(-gap, kind="stable")[:most])
     chosen = chosen[gap[chosen] > 2.0]
     place = np.full(1 << BITS, -1)
     place[chosen] = np.arange(len(chosen))
@@ -94,7 +95,7 @@ def fit_link(rows: list[np.ndarray], earlier: np.ndarray, y: np.ndarray, steps:
     return Link(full, extra, bias)
 
 
-def fit_chain(rows: list[np.ndarray], fold: np.ndarray, labels: np.ndarray) -> list[Link]:
+def fit_chain(rows: list[np.ndarray], fold: np.ndarray, labels: np.ndarray, most: int = MOST_FEATURES) -> list[Link]:
     """Links of all categories (columns of ``labels``), later ones fitted with out-of-fold probabilities."""
     chain: list[Link] = []
     earlier = np.zeros((len(rows), 0))
@@ -104,9 +105,9 @@ def fit_chain(rows: list[np.ndarray], fold: np.ndarray, labels: np.ndarray) -> l
         for f in range(FOLDS if k + 1 < labels.shape[1] else 0):
             inner, test = np.flatnonzero(fold != f), np.flatnonzero(fold == f)
             if len(inner) and len(test):
-                link = fit_link([rows[i] for i in inner], earlier[inner], y[inner])
+                link = fit_link([rows[i] for i in inner], earlier[inner], y[inner], most)
                 outside[test] = predict(link, *_flat([rows[i] for i in test]), len(test), earlier[test])
-        chain.append(fit_link(rows, earlier, y))
+        chain.append(fit_link(rows, earlier, y, most))
         earlier = np.column_stack([earlier, _odds(outside)])
     return chain
 
@@ -117,6 +118,24 @@ def _featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("id", "labels")), found], ["id", "labels", "features"])
 
 
+def _fit(most: int):
+    """The chain of the sampled texts, which are one group: a row per link, with the features that have a weight."""
+    def fit(known: pa.Table) -> pa.Table:
+        known = known.take(np.argsort(known["id"].to_numpy(), kind="stable"))
+        found = known["features"].combine_chunks()
+        flat, cuts = found.flatten().to_numpy(), np.append(0, np.cumsum(found.value_lengths()))
+        labels = np.array(known["labels"].to_pylist(), float)
+        chain = fit_chain([flat[a:b] for a, b in zip(cuts, cuts[1:], strict=False)], known["fold"].to_numpy(), labels, most)
+        places = [np.flatnonzero(link.weights) for link in chain]
+        return pa.table({
+            "link": pa.array(range(len(chain)), pa.int32()), "places": pa.array([p.tolist() for p in places], pa.list_(pa.int32())),
+            "weights": pa.array([link.weights[p].tolist() for link, p in zip(chain, places, strict=True)], pa.list_(pa.float64())),
+            "earlier": pa.array([link.earlier.tolist() for link in chain], pa.list_(pa.float64())), "bias": pa.array([link.bias for link in chain], pa.float64()),
+        })
+
+    return fit
+
+
 def _apply(model, place: int):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         links = model.value
@@ -135,31 +154,32 @@ def _apply(model, place: int):
     return score
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, categories: dict[str, str], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def toxicity(
+    docs: DataFrame, labels: DataFrame, categories: dict[str, str], id_col: str = "doc_id", text_col: str = "text",
+    most_labelled: int = MOST_LABELLED, most_features: int = MOST_FEATURES,
+) -> DataFrame:
     """Columns of ``docs`` and ``probabilities``: one per category, in the order of ``categories`` (name to SQL of a 0/1 label).
 
-    The chain is fitted on at most ``MOST_LABELLED`` labelled texts. Labels with a null category or id are left out; of
-    repeated labels the smallest counts. A null text is empty. Without labelled texts all probabilities are 0. Every
-    row of ``docs`` gives a row, repeated ones too; a column ``probabilities`` of ``docs`` is replaced.
+    The chain is fitted, in one task, on at most ``most_labelled`` labelled texts, one per id (of rows that repeat an id
+    the smallest text); each of its models has at most ``most_features`` features. Labels with a null category or id
+    are left out; of repeated labels the smallest counts. A null text is empty. Without labelled texts all
+    probabilities are 0. Every row of ``docs`` gives a row, repeated ones too; a column ``probabilities`` of ``docs``
+    is replaced.
     """
     spark = docs.sparkSession
     docs = docs.drop("probabilities")
     marks = labels.select(F.col("doc_id").alias("id"), F.array(*[F.expr(sql).cast("int") for sql in categories.values()]).alias("labels"))
     marks = marks.where(F.col("id").isNotNull() & ~F.exists("labels", lambda x: x.isNull())).groupBy("id").agg(F.min("labels").alias("labels"))
-    sample = marks.orderBy(F.md5(F.col("id").cast("string")), "id").limit(MOST_LABELLED)
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    known = texts.join(F.broadcast(sample), "id").select("id", "labels", "text").mapInArrow(_featurise, f"id {texts.schema['id'].dataType.simpleString()}, labels array<int>, features array<int>")
-    known = known.withColumn("fold", F.pmod(F.crc32(F.col("id").cast("string")), F.lit(FOLDS))).toArrow()
-    order = np.argsort(known["id"].to_numpy(), kind="stable") if known.num_rows else []
-    # The features stay in Arrow's buffer; a text's are a view of it.
-    found = known["features"].combine_chunks() if known.num_rows else None
-    flat, cuts = (found.flatten().to_numpy(), np.append(0, np.cumsum(found.value_lengths()))) if found is not None else (None, None)
-    rows = [flat[cuts[i] : cuts[i + 1]] for i in order]
-    values = np.array(known["labels"].to_pylist(), float).reshape(-1, len(categories))[order] if len(rows) else np.zeros((0, len(categories)))
-    if len(rows):
-        chain = fit_chain(rows, known["fold"].to_numpy()[order], values)
-    else:
-        chain = [Link(np.zeros(1 << BITS), np.zeros(k), -30.0) for k in range(len(categories))]
+    sample = marks.orderBy(F.md5(F.col("id").cast("string")), "id").limit(most_labelled)
+    texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    once = texts.join(F.broadcast(sample), "id").groupBy("id").agg(F.first("labels").alias("labels"), F.min("text").alias("text"))
+    known = once.mapInArrow(_featurise, f"id {texts.schema['id'].dataType.simpleString()}, labels array<int>, features array<int>")
+    known = known.withColumn("fold", F.pmod(F.crc32(F.col("id").cast("string")), F.lit(FOLDS))).withColumn("all", F.lit(0))
+    links = known.groupBy("all").applyInArrow(_fit(most_features), "link int, places array<int>, weights array<double>, earlier array<double>, bias double").collect()
+    chain = [Link(np.zeros(1 << BITS), np.zeros(k), -30.0) for k in range(len(categories))]
+    for r in links:
+        chain[r.link].weights[r.places] = r.weights
+        chain[r.link].earlier, chain[r.link].bias = np.array(r.earlier, float), r.bias
     model = spark.sparkContext.broadcast(chain)
     schema = StructType([*docs.schema.fields, StructField("probabilities", ArrayType(DoubleType()))])
     return docs.mapInArrow(_apply(model, docs.columns.index(text_col)), schema)
