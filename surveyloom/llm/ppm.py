@@ -28,7 +28,7 @@ from surveyloom.session import stored
 ORDER = 5
 END = 0xFF
 #: Entries of the trie that are sent to every task.
-MOST_NODES = 1_500_000
+MOST_NODES = 1_000_000
 #: Words whose counts are sent to every task; the counts of all other words are joined.
 MOST_WORDS = 1 << 18
 
@@ -104,48 +104,65 @@ def _key(order: int, code: np.ndarray, context: bool) -> np.ndarray:
     return mix(mix(code + np.uint64(1)) ^ np.uint64((2 * order + context + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1))
 
 
+def trie_logs(order: np.ndarray, code: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Keys, in order, and logs of the nodes of a trie (order, code of context and byte, count) and of their contexts.
+
+    A node has the log10 of its probability and of its count; a context that of its escape, of what the context one
+    byte shorter has besides its own bytes, and of the escape there.
+    """
+    low = np.uint64(8)
+    keys, logs = [], []
+    nodes: dict[int, tuple] = {}
+    for k in range(ORDER + 1):
+        own, n = code[order == k], count[order == k].astype(float)
+        by = np.argsort(own)
+        own, n = own[by], n[by]
+        context = own >> low
+        cuts = np.flatnonzero(np.r_[len(own) > 0, context[1:] != context[:-1]]) if len(own) else np.zeros(0, int)
+        total = np.add.reduceat(n, cuts) if len(cuts) else np.zeros(0)
+        kinds = np.diff(np.r_[cuts, len(own)]).astype(float)
+        # What the context one byte shorter has besides the bytes known here.
+        if k:
+            up_code, up_n, up_context, up_total, up_kinds = nodes[k - 1]
+            same = up_n[np.searchsorted(up_code, own & np.uint64((1 << 8 * k) - 1))]
+            known = np.add.reduceat(same, cuts) if len(cuts) else np.zeros(0)
+            at = np.searchsorted(up_context, context[cuts] & np.uint64((1 << 8 * (k - 1)) - 1))
+            rest, rest_kinds = up_total[at] - known, up_kinds[at] - kinds
+        else:
+            rest, rest_kinds = np.zeros(len(cuts)), np.zeros(len(cuts))
+        nodes[k] = (own, n, context[cuts], total, kinds)
+        norm = np.repeat(total + kinds, kinds.astype(int))
+        keys += [_key(k, own, False), _key(k, context[cuts], True)]
+        with np.errstate(divide="ignore"):
+            down = np.where(rest_kinds > 0, np.log10(np.maximum(rest + rest_kinds, 1)), 0.0)
+            skip = np.where(rest_kinds > 0, np.log10(np.maximum(rest_kinds, 1)) - down, 0.0)
+            logs += [
+                np.stack([np.log10(n / norm), np.log10(n), np.zeros(len(n))], 1),
+                np.stack([np.log10(kinds / (total + kinds)), down, skip], 1),
+            ]
+    key, log = np.concatenate(keys), np.concatenate(logs)
+    by = np.argsort(key)
+    return key[by], log[by]
+
+
+def _build(chosen: pa.Table) -> pa.Table:
+    """``trie_logs`` of the nodes that are broadcast, which are one group."""
+    key, log = trie_logs(chosen["order"].to_numpy(), chosen["code"].to_numpy().view(np.uint64), chosen["n"].to_numpy())
+    return pa.table({"key": pa.array(key.view(np.int64)), **{f"log{i}": pa.array(np.ascontiguousarray(log[:, i])) for i in range(3)}})
+
+
 class Trie:
-    """Log probabilities of a static trie. ``entries``: order, code (context and byte) and count of each node."""
-
-    def __init__(self, order: np.ndarray, code: np.ndarray, count: np.ndarray, whole: bool = True):
-        """``whole``: these are all nodes, so that a context that is not among them does not exist."""
-        self.whole = whole
-        low = np.uint64(8)
-        keys, logs = [], []
-        nodes: dict[int, tuple] = {}
-        self.fresh = 256.0
-        for k in range(ORDER + 1):
-            own, n = code[order == k], count[order == k].astype(float)
-            by = np.argsort(own)
-            own, n = own[by], n[by]
-            context = own >> low
-            cuts = np.flatnonzero(np.r_[len(own) > 0, context[1:] != context[:-1]]) if len(own) else np.zeros(0, int)
-            total = np.add.reduceat(n, cuts) if len(cuts) else np.zeros(0)
-            kinds = np.diff(np.r_[cuts, len(own)]).astype(float)
-            # What the context one byte shorter has besides the bytes known here.
-            if k:
-                up_code, up_n, up_context, up_total, up_kinds = nodes[k - 1]
-                same = up_n[np.searchsorted(up_code, own & np.uint64((1 << 8 * k) - 1))]
-                known = np.add.reduceat(same, cuts) if len(cuts) else np.zeros(0)
-                at = np.searchsorted(up_context, context[cuts] & np.uint64((1 << 8 * (k - 1)) - 1))
-                rest, rest_kinds = up_total[at] - known, up_kinds[at] - kinds
-            else:
-                rest, rest_kinds = np.zeros(len(cuts)), np.zeros(len(cuts))
-                self.fresh = 256.0 - (kinds[0] if len(kinds) else 0)
-            nodes[k] = (own, n, context[cuts], total, kinds)
-            norm = np.repeat(total + kinds, kinds.astype(int))
-            keys += [_key(k, own, False), _key(k, context[cuts], True)]
-            with np.errstate(divide="ignore"):
-                down = np.where(rest_kinds > 0, np.log10(np.maximum(rest + rest_kinds, 1)), 0.0)
-                skip = np.where(rest_kinds > 0, np.log10(np.maximum(rest_kinds, 1)) - down, 0.0)
-                logs += [
-                    np.stack([np.log10(n / norm), np.log10(n), np.zeros(len(n))], 1),
-                    np.stack([np.log10(kinds / (total + kinds)), down, skip], 1),
-                ]
-        key, log = np.concatenate(keys), np.concatenate(logs).astype(np.float32)
+    """Log probabilities of a static trie, from the rows of ``trie_logs``."""
+
+    def __init__(self, key: np.ndarray, logs: list[np.ndarray], fresh: float, whole: bool = True):
+        """``fresh``: log10 probability of a byte that no context knows. ``whole``: these are all nodes, so that a
+        context that is not among them does not exist."""
+        self.whole, self.fresh = whole, fresh
         by = np.argsort(key)
-        self.table, self.logs = SortedHash(key[by]), log[by]
-        self.fresh = float(np.log10(1 / max(1.0, self.fresh)))
+        self.table = SortedHash(key[by])
+        self.logs = np.empty((len(key), 3))
+        for i, column in enumerate(logs):
+            self.logs[:, i] = column[by]
 
     def score(self, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """log10 probability of each byte after its context; and whose context is not here, with 0."""
@@ -153,7 +170,7 @@ class Trie:
         open_ = np.arange(len(code))
         missing = np.zeros(len(code), bool)
         escaped = np.zeros(len(code), bool)
-        down, skip = np.zeros(len(code), np.float32), np.zeros(len(code), np.float32)
+        down, skip = np.zeros(len(code)), np.zeros(len(code))
         for k in range(ORDER, -1, -1):
             own = code[open_] & np.uint64((1 << 8 * (k + 1)) - 1)
             at = self.table.find(_key(k, own, False))
@@ -179,17 +196,16 @@ class Trie:
 class Levels:
     """The whole trie as stored tables: ``nodes`` (code, n) and ``totals`` (context, total, kinds) of each order."""
 
-    def __init__(self, nodes: list[DataFrame], totals: list[DataFrame]):
-        self.nodes, self.totals = nodes, totals
-        self.fresh = float(np.log10(1 / max(1.0, 256.0 - nodes[0].count())))
+    def __init__(self, nodes: list[DataFrame], totals: list[DataFrame], fresh: float):
+        self.nodes, self.totals, self.fresh = nodes, totals, fresh
 
-    def _contexts(self, k: int) -> DataFrame:
-        """Contexts of order ``k`` with the logs of their escape: context, total, kinds, down, skip."""
-        own = self.totals[k]
+    def _contexts(self, k: int, here: DataFrame) -> DataFrame:
+        """The contexts ``here`` of order ``k`` with the logs of their escape: context, total, kinds, down, skip."""
+        own = self.totals[k].join(here, "context", "left_semi")
         if not k:
             return own.withColumns({"down": F.lit(0.0), "skip": F.lit(0.0)})
-        suffix = F.col("code").bitwiseAND((1 << 8 * k) - 1)
-        known = self.nodes[k].select(F.shiftright("code", 8).alias("context"), suffix.alias("code")).join(self.nodes[k - 1], "code")
+        nodes = self.nodes[k].withColumn("context", F.shiftright("code", 8)).join(here, "context", "left_semi")
+        known = nodes.select("context", F.col("code").bitwiseAND((1 << 8 * k) - 1).alias("code")).join(self.nodes[k - 1], "code")
         known = known.groupBy("context").agg(F.sum("n").alias("known"))
         shorter = self.totals[k - 1].toDF("up", "up_total", "up_kinds")
         own = own.join(known, "context").withColumn("up", F.col("context").bitwiseAND((1 << 8 * (k - 1)) - 1)).join(shorter, "up")
@@ -198,27 +214,33 @@ class Levels:
         skip = F.when(rest_kinds > 0, F.log10(rest_kinds) - down).otherwise(0.0)
         return own.select("context", "total", "kinds", down.alias("down"), skip.alias("skip"))
 
-    def find(self, wanted: DataFrame, k: int = ORDER) -> DataFrame:
-        """Different codes of order ``k``: code, n (null: not a node), below (log10 probability after an escape from its
-        context) and score (that without an escape before). A key is shared by at most 256 rows."""
-        found = wanted.join(self.nodes[k], "code", "left").withColumn("context", F.shiftright("code", 8))
-        contexts = self._contexts(k)
-        found = found.join(F.broadcast(contexts) if not k else contexts, "context", "left")
-        if k:
-            suffix = F.col("code").bitwiseAND((1 << 8 * k) - 1)
-            lower = self.find(wanted.select(suffix.alias("code")).distinct(), k - 1).toDF("suffix", "n_lower", "below_lower", "score_lower")
-            found = found.withColumn("suffix", suffix).join(lower, "suffix")
-            below = F.when(F.col("n_lower").isNotNull(), F.log10("n_lower") - F.col("down")).otherwise(F.col("skip") + F.col("below_lower"))
-            without = F.col("score_lower")
-        else:
-            below = without = F.lit(self.fresh)
-        norm = F.col("total") + F.col("kinds")
-        score = (
-            F.when(F.col("n").isNotNull(), F.log10(F.col("n") / norm))
-            .when(F.col("total").isNotNull(), F.log10(F.col("kinds") / norm) + below)
-            .otherwise(without)
-        )
-        return found.select("code", "n", below.alias("below"), score.alias("score"))
+    def find(self, wanted: DataFrame) -> DataFrame:
+        """Different codes of the longest order: code, n (null: not a node), below (log10 probability after an escape
+        from its context) and score (that without an escape before).
+
+        Order by order from the empty context up, each stored, so that a step joins only the one before. A key is
+        shared by at most 256 rows.
+        """
+        lower = None
+        for k in range(ORDER + 1):
+            codes = wanted.select(F.col("code").bitwiseAND((1 << 8 * (k + 1)) - 1).alias("code")).distinct()
+            codes = stored(codes.withColumn("context", F.shiftright("code", 8)), "ppm-wanted")
+            contexts = stored(self._contexts(k, codes.select("context").distinct()), "ppm-escapes")
+            found = codes.join(self.nodes[k], "code", "left").join(contexts, "context", "left")
+            if lower is None:
+                below = without = F.lit(self.fresh)
+            else:
+                found = found.withColumn("suffix", F.col("code").bitwiseAND((1 << 8 * k) - 1)).join(lower.toDF("suffix", "n_lower", "below_lower", "without"), "suffix")
+                below = F.when(F.col("n_lower").isNotNull(), F.log10("n_lower") - F.col("down")).otherwise(F.col("skip") + F.col("below_lower"))
+                without = F.col("without")
+            norm = F.col("total") + F.col("kinds")
+            score = (
+                F.when(F.col("n").isNotNull(), F.log10(F.col("n") / norm))
+                .when(F.col("total").isNotNull(), F.log10(F.col("kinds") / norm) + below)
+                .otherwise(without)
+            )
+            lower = stored(found.select("code", "n", below.alias("below"), score.alias("score")), "ppm-order")
+        return lower
 
 
 def fit_trie(grams: DataFrame, most: int | None = None) -> tuple[Trie, Levels | None]:
@@ -245,9 +267,11 @@ def fit_trie(grams: DataFrame, most: int | None = None) -> tuple[Trie, Levels |
         frequent = own.where(F.col("total") >= least).select("context")
         part = level.withColumn("context", context).join(frequent, "context").select(F.lit(k).alias("order"), "code", "n")
         chosen = part if chosen is None else chosen.unionAll(part)
-    chosen = chosen.toArrow()
-    trie = Trie(chosen["order"].to_numpy(), chosen["code"].to_numpy().view(np.uint64), chosen["n"].to_numpy(), whole)
-    return trie, None if whole else Levels(nodes, totals)
+    # The logs are worked out in a task, of a bounded number of nodes; the driver takes them as they are.
+    built = chosen.withColumn("all", F.lit(0)).groupBy("all").applyInArrow(_build, "key long, log0 double, log1 double, log2 double").toArrow()
+    fresh = float(np.log10(1 / max(1.0, 256.0 - nodes[0].count())))
+    trie = Trie(built["key"].to_numpy().view(np.uint64), [built[f"log{i}"].to_numpy() for i in range(3)], fresh, whole)
+    return trie, None if whole else Levels(nodes, totals, fresh)
 
 
 def _score(model):
@@ -325,7 +349,7 @@ def score_documents(docs: DataFrame, held_out, id_col: str = "doc_id", text_col:
     rest = rare.join(words, "word").groupBy("row").agg(F.sum("times").alias("more"), F.sum(F.col("times") * F.log10(F.col("n") + 1.0)).alias("logs"))
     if levels is not None:
         bytes_ = scored.select("row", F.explode(F.arrays_zip("far", "far_times")).alias("b")).select("row", F.col("b.far").alias("code"), F.col("b.far_times").alias("times"))
-        found = stored(levels.find(bytes_.select("code").distinct()).select("code", F.col("score").alias("log")), "ppm-rare")
+        found = levels.find(bytes_.select("code").distinct()).select("code", F.col("score").alias("log"))
         added = bytes_.join(found, "code").groupBy("row").agg(F.sum(F.col("times") * F.col("log")).alias("bytes"))
         scored = scored.join(added, "row", "left").withColumn("score", F.col("score") + F.coalesce("bytes", F.lit(0.0)))
     end, norm = float(np.log10(texts + 1.0)), float(np.log10(n + v + 1.0))
