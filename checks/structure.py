@@ -420,4 +420,4 @@ def _(t):
     )
     path, checkpoint = _folders(t, "running")
     live.write_running_table(live.running_answer_rate(arriving, t.questions), path, checkpoint).awaitTermination()
-    return t.spark.read.parquet(path)
+    return live.current_rates(t.spark, path)

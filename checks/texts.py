@@ -55,6 +55,23 @@ def _(t):
     return t.documents.select("doc_id", F.md5(key).alias("dedup_key"))
 
 
+# A dictionary made of the words of all documents: some go, others become their first letters, then a synonym.
+@check("dictionary_keys", "D2", sql=r"""
+SELECT doc_id, md5(array_to_string(list_transform(
+  list_filter(regexp_extract_all(lower(text), '[\p{L}\p{N}_]+'), lambda w: length(w) <> 3),
+  lambda w: CASE WHEN length(w) >= 6 AND length(w) % 2 = 0 THEN 'w' || substr(w, 1, 4) WHEN length(w) = 5 THEN 'five' ELSE w END), ' ')) AS dedup_key FROM documents""")
+def _(t):
+    words = t.documents.select(F.explode(txt.words(F.lower("text"), 1)).alias("word")).distinct()
+    size = F.length("word")
+    lemmas = words.where((size >= 6) & (size % 2 == 0)).select("word", F.substring("word", 1, 4).alias("target"))
+    short = lemmas.select(F.col("target").alias("word")).distinct().select("word", F.concat(F.lit("w"), "word").alias("target"))
+    synonyms = short.unionByName(words.where(size == 5).select("word", F.lit("five").alias("target")))
+    stops = words.where(size == 3)
+    # A word of four letters that is also the start of a longer one keeps its own form.
+    lexicon = firstwins.composed_lexicon(stops, lemmas, synonyms).where((F.length("word") != 4))
+    return firstwins.dictionary_keys(t.documents, "text", lexicon, "doc_id").select("doc_id", F.md5("dedup_key").alias("dedup_key"))
+
+
 @check("near_duplicates", "D3", "questions", f"""
 WITH k AS (SELECT seq, CASE WHEN {LANG} = 'en' THEN {KEY_SQL} ELSE lower(question_text || ' ' || coalesce(options_text, '')) END AS k FROM questions)
 SELECT min(seq) AS seq FROM k GROUP BY k""")

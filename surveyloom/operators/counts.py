@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from surveyloom.functions.predicates import is_answered, not_default_category, not_empty
-from surveyloom.functions.text import contains_any
+from surveyloom.functions.text import contains_any, digest
 from surveyloom.operators.firstwins import top_per_group
 from surveyloom.session import stored
 
@@ -95,6 +95,11 @@ def top_by_count(df: DataFrame, value: str, k: int, order: str = "seq") -> DataF
     )
 
 
+def distinct_values(df: DataFrame, column: str) -> DataFrame:
+    """The different values of a column, in order, without NULL."""
+    return df.select(column).where(F.col(column).isNotNull()).distinct().orderBy(column)
+
+
 def text_frequency(df: DataFrame, text: str) -> DataFrame:
     """Occurrences of each text."""
     return df.groupBy(text).agg(F.count("*").alias("frequency"))
@@ -105,7 +110,7 @@ def frequency_report(frequencies: DataFrame, text: str, order: str = "seq", top:
     the most frequent texts and how many texts occur once, twice and so on. No rows: no report."""
     frequencies = stored(frequencies.select(text, "frequency", order), "frequencies")
     totals = frequencies.agg(
-        F.count("*").alias("total_questions"), F.count_distinct(text).alias("unique_questions")
+        F.count("*").alias("total_questions"), F.count_distinct(digest(F.col(text))).alias("unique_questions")
     ).filter(F.col("total_questions") > 0)
     counted = totals.select(
         F.inline(
@@ -304,7 +309,7 @@ def platform_comparison(questions: DataFrame, source: str = "source_name") -> Da
         F.count("*").alias("questions"),
         F.avg(not_empty(F.col("options_text")).cast("double")).alias("options_share"),
         F.avg("difficulty").alias("mean_difficulty"),
-        F.count_distinct("question_text").alias("distinct_texts"),
+        F.count_distinct(digest(F.col("question_text"))).alias("distinct_texts"),
     )
 
 

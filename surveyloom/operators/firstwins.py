@@ -11,7 +11,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from surveyloom.functions.text import dedup_key, digest
+from surveyloom.functions.text import dedup_key, digest, words
+
+#: Largest ``k`` for which Spark limits groups on both sides of the shuffle, and parts of a group beyond it.
+GROUP_LIMIT, PARTS = 1_000, 64
 
 
 def _narrow(df: DataFrame, keys: list[str]) -> list[Column]:
@@ -21,10 +24,23 @@ def _narrow(df: DataFrame, keys: list[str]) -> list[Column]:
 
 
 def top_per_group(df: DataFrame, keys: list[str], order: list, k: int, rank: str | None = None) -> DataFrame:
-    """The first ``k`` rows of each group, optionally with their 1-based rank."""
-    window = Window.partitionBy(*_narrow(df, keys)).orderBy(*order)
+    """The first ``k`` rows of each group, optionally with their 1-based rank.
+
+    Up to ``GROUP_LIMIT`` rows a group, Spark keeps a few rows per task. Beyond it a group is ranked in two phases: its
+    rows are dealt over ``PARTS`` parts of which each keeps its own first ``k``, and what they keep is ranked by ranges
+    over many tasks. Rows that are equal in ``order`` may then come in any order.
+    """
     name = rank or "_rn"
-    kept = df.withColumn(name, F.row_number().over(window)).filter(F.col(name) <= k)
+    if k > GROUP_LIMIT:
+        from surveyloom.sources.ids import ranked_within  # which itself uses this module
+
+        part = F.pmod(F.monotonically_increasing_id(), F.lit(PARTS))
+        window = Window.partitionBy(*_narrow(df, keys), "_part").orderBy(*order)
+        heads = df.withColumn("_part", part).withColumn("_first", F.row_number().over(window)).filter(F.col("_first") <= k).drop("_part", "_first")
+        kept = ranked_within(heads, keys, order, name).filter(F.col(name) <= k)
+    else:
+        window = Window.partitionBy(*_narrow(df, keys)).orderBy(*order)
+        kept = df.withColumn(name, F.row_number().over(window)).filter(F.col(name) <= k)
     return kept if rank else kept.drop(name)
 
 
@@ -41,6 +57,39 @@ def new_rows(batch: DataFrame, history: DataFrame, keys: list[str], order: str =
     return fresh.join(known, names, "left_anti").drop(*names)
 
 
+def composed_lexicon(stop_words: DataFrame, lemmas: DataFrame, synonyms: DataFrame) -> DataFrame:
+    """(word, target): what a word becomes after lemma and synonym; NULL for a stop word (word).
+
+    ``lemmas`` and ``synonyms`` have (word, target); of several entries for a word, that with the largest ``seq``
+    counts, if there is such a column.
+    """
+    def once(table: DataFrame) -> DataFrame:
+        return top_per_group(table, ["word"], [F.desc("seq")], 1).drop("seq") if "seq" in table.columns else table.dropDuplicates(["word"])
+
+    lemma, synonym = once(lemmas).toDF("word", "lemma"), once(synonyms).toDF("from", "to")
+    known = lemma.select("word").unionByName(synonym.select(F.col("from").alias("word"))).distinct()
+    found = known.join(lemma, "word", "left").withColumn("lemma", F.coalesce("lemma", "word"))
+    found = found.join(synonym, F.col("lemma") == F.col("from"), "left").select("word", F.coalesce("to", "lemma").alias("target"))
+    stops = stop_words.select("word").distinct()
+    return found.join(stops, "word", "left_anti").unionByName(stops.withColumn("target", F.lit(None).cast("string")))
+
+
+def dictionary_keys(df: DataFrame, text: str, lexicon: DataFrame, order: str = "seq") -> DataFrame:
+    """``df`` with ``dedup_key``: its lower-case words, looked up in ``lexicon`` (word, target), joined by blanks.
+
+    For dictionaries of any size: the different words of all texts meet the lexicon once, in a join, and what they
+    become is joined back to the places where they stand. Words that are not in the lexicon stay, those with a NULL
+    target go. ``order`` names the rows. Equal to ``dedup_key`` for English, whose lists are part of the plan.
+    """
+    placed = df.select(F.col(order).alias("_row"), F.posexplode(words(F.lower(F.coalesce(F.col(text), F.lit(""))), 1)).alias("_pos", "word"))
+    met = placed.select("word").distinct().join(lexicon.select("word", "target", F.lit(True).alias("listed")), "word")
+    found = placed.join(met, "word", "left").select("_row", "_pos", F.when(F.col("listed"), F.col("target")).otherwise(F.col("word")).alias("target"))
+    kept = F.array_sort(F.collect_list(F.when(F.col("target").isNotNull(), F.struct("_pos", "target"))))
+    keys = found.groupBy("_row").agg(F.array_join(F.transform(kept, lambda x: x["target"]), " ").alias("dedup_key"))
+    joined = df.drop("dedup_key").join(keys, F.col(order) == F.col("_row"), "left")
+    return joined.drop("_row").withColumn("dedup_key", F.coalesce("dedup_key", F.lit("")))
+
+
 def drop_near_duplicates(
     df: DataFrame, text: str = "question_text", options: str = "options_text",
     lang: str = "detected_lang", order: str = "seq", **key_options,

@@ -34,6 +34,7 @@ class Reader:
     def __init__(self, page: str):
         self.page, self.size = page, len(page)
         self.absent: set[str] = set()
+        self.place = 0  # where the last event ended
 
     def find(self, wanted: str, start: int) -> int:
         """Place of ``wanted`` from ``start`` on, -1 if there is none; what is not found is not looked for again."""
@@ -49,15 +50,25 @@ class Reader:
         at = self.find(wanted, start)
         return self.size if at < 0 else at + len(wanted)
 
+    def closes(self, name: str) -> bool:
+        """Whether there is an end tag of this name after the last event."""
+        if "</" + name in self.absent:
+            return False
+        found = re.compile(f"</{re.escape(name)}(?=[\\s/>])", re.IGNORECASE).search(self.page, self.place)
+        if found is None:
+            self.absent.add("</" + name)
+        return found is not None
+
     def attributes(self, at: int) -> tuple[dict[str, str], int, bool]:
         """Attributes of a tag from ``at`` on, the place after the tag, and whether it ends in ``/>``. Of equal names the first counts."""
         page, found = self.page, {}
         while True:
-            at = _GAP.match(page, at).end()
+            gap = _GAP.match(page, at)
+            at = gap.end()
             if at >= self.size:
                 return found, self.size, False
             if page[at] == ">":
-                return found, at + 1, page[at - 1] == "/"
+                return found, at + 1, gap.group().endswith("/")
             name = _ATTRIBUTE.match(page, at)
             at, value = name.end(), ""
             if equals := _EQUALS.match(page, at):
@@ -99,12 +110,12 @@ class Reader:
                 at = text_from = end + 3 if end >= 0 else self.past(">", at)
             elif mark == "/":
                 _, at, _ = self.attributes(tag.end())
-                text_from = at
+                text_from = self.place = at
                 yield ("end", tag.group().lower(), None)
             else:
                 name = tag.group().lower()
                 found, at, closed = self.attributes(tag.end())
-                text_from = at
+                text_from = self.place = at
                 yield ("empty" if closed or name in VOID else "start", name, found)
                 if not closed and name in _RAW_END:
                     end = _RAW_END[name].search(page, at)

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from surveyloom.functions.predicates import is_answered, is_effective
+from surveyloom.operators.firstwins import top_per_group
 
 COUNTERS = ["rows_all", "rows_ineffective", "rows_effective", "rows_answered"]
 
@@ -19,9 +20,8 @@ def question_lookup(questions: DataFrame, value: str, unique_ids: bool = False)
     """(question_id, value) table; of several questions with one id the last one counts."""
     if unique_ids:
         return questions.select(F.col("id").alias("question_id"), F.col(value).alias(f"bank_{value}"))
-    return questions.groupBy(F.col("id").alias("question_id")).agg(
-        F.max_by(value, "seq").alias(f"bank_{value}")
-    )
+    last = top_per_group(questions.select("id", "seq", value), ["id"], [F.desc("seq")], 1)
+    return last.select(F.col("id").alias("question_id"), F.col(value).alias(f"bank_{value}"))
 
 
 def own_value(responses: DataFrame, column: str) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from surveyloom.functions.predicates import is_answered, is_effective
 from surveyloom.operators.responses import own_value, question_lookup
+from surveyloom.streaming.versions import apply_batch, read_table
 
 
 def last_answers(answers: DataFrame, watermark: str = "1 hour", window: str = "1 hour") -> DataFrame:
@@ -26,10 +27,19 @@ def last_answers(answers: DataFrame, watermark: str = "1 hour", window: str = "1
     )
 
 
+ANSWERS = "session_id bigint, question_id bigint, ts timestamp, event_id bigint, answer string"
+
+
+def _last(rows: DataFrame) -> DataFrame:
+    spot = F.struct("ts", "event_id")
+    found = rows.groupBy("session_id", "question_id").agg(F.max_by("answer", spot).alias("answer"), F.max(spot).alias("spot"))
+    return found.select("session_id", "question_id", "spot.ts", "spot.event_id", "answer")
+
+
 def write_answer_log(answers: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Append each batch's changed answers to a log. A repeated batch overwrites its own folder."""
+    """Keep the last answer per (session, question) of each batch's changed answers. A repeated batch changes nothing."""
     def save(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        apply_batch(batch, batch_id, path, ANSWERS, ["session_id", "question_id"], _last)
 
     return (
         answers.writeStream.outputMode("update")
@@ -40,18 +50,9 @@ def write_answer_log(answers: DataFrame, path: str, checkpoint: str) -> Streamin
     )
 
 
-LOG = "session_id bigint, question_id bigint, ts timestamp, event_id bigint, answer string, batch_id bigint"
-
-
 def current_answers(spark: SparkSession, path: str) -> DataFrame:
-    """The last answer per (session, question) in the log."""
-    spot = F.struct("ts", "event_id")
-    return (
-        spark.read.schema(LOG).parquet(path)
-        .groupBy("session_id", "question_id")
-        .agg(F.max_by("answer", spot).alias("answer"), F.max(spot).alias("spot"))
-        .select("session_id", "question_id", "answer", "spot.ts", "spot.event_id")
-    )
+    """The last answer per (session, question), after the last whole batch."""
+    return read_table(spark, path, ANSWERS).select("session_id", "question_id", "answer", "ts", "event_id")
 
 
 def session_answers(current: DataFrame) -> DataFrame:
@@ -77,10 +78,13 @@ def running_answer_rate(responses: DataFrame, questions: DataFrame) -> DataFrame
     )
 
 
+RATES = "question_type string, total bigint, answered bigint"
+
+
 def write_running_table(table: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Replace the small result table after every batch."""
+    """Put the small result table of each batch in the place of the one before, which readers use until then."""
     def save(batch: DataFrame, batch_id: int) -> None:
-        batch.coalesce(1).write.mode("overwrite").parquet(path)
+        apply_batch(batch.coalesce(1), batch_id, path, RATES, [], None)
 
     return (
         table.writeStream.outputMode("complete")
@@ -89,3 +93,8 @@ def write_running_table(table: DataFrame, path: str, checkpoint: str) -> Streami
         .trigger(availableNow=True)
         .start()
     )
+
+
+def current_rates(spark: SparkSession, path: str) -> DataFrame:
+    """The running table after the last whole batch."""
+    return read_table(spark, path, RATES)

@@ -240,6 +240,58 @@ def test_requirements(table, rows):
     assert rows(selection.questions_for_requirements(bank, need), "questionnaire_id", "rank", "question_id") == [(7, 1, 1), (8, 1, 1), (8, 2, 3)]
 
 
+def test_requirements_by_bands(spark):
+    """2,000 difficulties and a hot category: equal to plain code, and little more is joined than is taken."""
+    import random
+
+    rng = random.Random(6)
+    bank = [(i, rng.choice(["hot", "hot", "b", "c"]), rng.randrange(2000) / 7) for i in range(6000)] + [(9000, "b", None), (9001, None, 3.0)]
+    need = [(q, rng.randrange(1, 9), rng.sample(["hot", "b", "c", "none"], 2), sorted([rng.uniform(-20, 300), rng.uniform(-20, 300)])) for q in range(100)]
+    need += [(200, 3, ["b"], [5.0, 4.0]), (201, 3, ["b"], [bank[4][2]] * 2), (202, 3, ["hot"], [400.0, 500.0]), (203, None, ["hot"], [0.0, 9.0]), (204, 2, ["hot"], [-5.0, 900.0])]
+    banked = spark.createDataFrame(bank, "id bigint, category string, difficulty double").repartition(4)
+    needed = spark.createDataFrame(need, "id bigint, question_count int, categories array<string>, difficulty_range array<double>")
+    got = sorted((r.questionnaire_id, r["rank"], r.question_id) for r in selection.questions_for_requirements(banked, needed).collect())
+    want = []
+    for q, n, categories, (low, high) in need:
+        fit = sorted(i for i, c, d in bank if c in categories and d is not None and low <= d <= high)
+        want += [(q, k + 1, i) for k, i in enumerate(fit[: n or 0])]
+    assert got == sorted(want)
+    assert selection.matching_questions(banked, needed, 8).count() < 10 * len(got)
+    one = spark.createDataFrame([(1, "b", 2.0)], "id bigint, category string, difficulty double")
+    assert selection.questions_for_requirements(one, needed.limit(0)).count() == 0 and selection.questions_for_requirements(banked.limit(0), needed).count() == 0
+
+
+def test_dictionary_keys_equal_the_column_rule(spark, table):
+    """The join with a lexicon gives the keys of the rule with literal lists, and takes a lexicon of any size."""
+    from surveyloom.functions.text import dedup_key
+
+    stop, lemmas, synonyms = ["the", "is"], {"hotels": "hotel", "rooms": "room", "is": "be"}, [("hotel", "inn"), ("hotel", "stay"), ("room", "chamber"), ("the", "a")]
+    df = table("seq bigint, text string, dedup_key string", (1, "The hotels, IS the Rooms is", "x"), (2, None, "x"), (3, "hotel hotel 12 b_c", "x"), (4, "the", "x"), (5, "...", "x"))
+    lexicon = firstwins.composed_lexicon(
+        spark.createDataFrame([(w,) for w in stop], "word string"), spark.createDataFrame(list(lemmas.items()), "word string, target string"),
+        spark.createDataFrame([(a, b, i) for i, (a, b) in enumerate(synonyms)], "word string, target string, seq int"))
+    plain = df.withColumn("want", dedup_key(F.col("text"), F.lit("en"), stop, lemmas, synonyms))
+    got = firstwins.dictionary_keys(plain, "text", lexicon).collect()
+    assert len(got) == 5 and all(r.dedup_key == r.want for r in got)
+    large = lexicon.unionByName(spark.range(100_000).select(F.concat(F.lit("word"), "id").alias("word"), F.concat(F.lit("t"), "id").alias("target")))
+    found = firstwins.dictionary_keys(plain.unionByName(table("seq bigint, text string, dedup_key string, want string", (9, "word77 hotels word99999 word100000", "x", "t77 stay t99999 word100000"))), "text", large)
+    assert all(r.dedup_key == r.want for r in found.collect())
+    assert "map(" not in firstwins.dictionary_keys(df, "text", large)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_top_of_a_hot_group_for_any_k(spark):
+    """k = 5,000 of a group with two thirds of all rows: the parts of the group share the work."""
+    df = spark.range(0, 60_000, numPartitions=6).select(F.when(F.col("id") % 3 == 0, F.col("id").cast("string")).when(F.col("id") % 997 != 0, "hot").alias("g"), ((F.col("id") * 7919) % 60_000).alias("v"))
+    got = firstwins.top_per_group(df, ["g"], [F.desc("v")], 5_000, rank="rank").cache()
+    hot = sorted((r.v for r in df.where("g = 'hot'").collect()), reverse=True)[:5_000]
+    assert [r.v for r in got.where("g = 'hot'").orderBy("rank").collect()] == hot
+    assert got.where("g != 'hot'").agg(F.count("*"), F.max("rank")).first()[:] == (20_000, 1)
+    assert got.where("g is null").agg(F.max("rank"), F.count("*")).first()[:] == (df.where("g is null").count(),) * 2
+    parts = df.where("g = 'hot'").withColumn("p", F.pmod(F.monotonically_increasing_id(), F.lit(firstwins.PARTS))).groupBy("p").count().agg(F.max("count"), F.median("count")).first()
+    assert parts[0] <= 2 * parts[1]
+    assert [r.v for r in firstwins.top_per_group(df, ["g"], [F.desc("v")], 3).where("g = 'hot'").collect()] == hot[:3]
+
+
 def test_requirements_plan_has_no_cross_join(table):
     bank = table("id bigint, category string, difficulty double", (1, "p", 2.5))
     need = table("id bigint, question_count int, categories array<string>, difficulty_range array<double>", (7, 1, ["p"], [1.0, 2.5]))

@@ -95,6 +95,7 @@ def test_reader_forgives():
         ("start", "p", {"class": "x y", "id": "z", "title": "1 > 0"}), ("empty", "br", {}), ("start", "script", {}), ("start", "textarea", {})]
     assert list(Reader("")) == [] and [v for _, v, _ in Reader("x<")] == ["x<"]
     assert [v for kind, v, _ in Reader('<a href="never closed>b<i>c') if kind == "text"] == ["b", "c"]
+    assert [(kind, more) for kind, _, more in Reader("<a href=/><b/ ><i / x>")] == [("start", {"href": "/"}), ("start", {}), ("start", {"x": ""})]
     assert [v for kind, v, _ in Reader("a<!-- never closed>b") if kind == "text"] == ["a", "b"]
 
 
