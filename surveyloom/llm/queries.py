@@ -39,9 +39,15 @@ def op3_language(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op4_transcripts(spark: SparkSession, folder: str) -> DataFrame:
+    """The turns of all conversations, once from their rows, and once from texts that hold several turns with markers."""
     turns = _table(spark, folder, "conversations")
-    training = turns.where(F.crc32(F.col("conv_id").cast("string")) % 4 != 2)
-    return transcripts.parse(turns.select("conv_id", "turn", "text"), transcripts.fit(training))
+    model = transcripts.fit(turns.where(F.crc32(F.col("conv_id").cast("string")) % 4 != 2))
+    texts = transcripts.rendered_transcripts(turns, {"user": "User", "assistant": "Assistant", "system": "System"})
+    given = [turns.select("conv_id", "turn", "text").withColumn("form", F.lit("rows")), texts.withColumn("form", F.lit("texts"))]
+    both = given[0].unionByName(given[1].withColumn("turn", F.col("turn").cast(turns.schema["turn"].dataType)))
+    named = both.withColumn("conv_id", F.concat_ws("/", "form", F.col("conv_id").cast("string")))
+    found = transcripts.parse(named, model)
+    return found.select(F.substring_index("conv_id", "/", 1).alias("form"), F.substring_index("conv_id", "/", -1).try_cast("long").alias("conv_id"), "place", "turn", "at", "role", "n_lines", "rendered")
 
 
 def op5_pfair_mix(spark: SparkSession, folder: str) -> DataFrame:

@@ -1,10 +1,15 @@
-"""Roles of transcript lines by a hidden Markov model, and canonical rendering of turns.
-
-A state is a role, and whether the line begins a turn. A line shows its speaker marker (``User:``, ``Assistant:`` and
-the like), and three features: whether it begins a block, how long it is and whether it ends with a question mark. Marker probabilities are given; all others are counted over the training
-transcripts. Viterbi runs on chunks of a transcript: a chunk is a max-plus matrix between the states at its ends, the
-product over the chunks gives the best state at each end, and each chunk is then decoded by itself. A transcript of
-any length is split, and the result is that of Viterbi over the whole.
+"""Parsing of transcripts: roles of lines by a hidden Markov model, and canonical rendering of turns.
+
+A transcript is its lines, whether they come as one text or in many rows. A state is a role, and whether the line
+begins a turn. A line shows its speaker marker (``User:``, ``Assistant:`` and the like), and three features: whether it
+begins a block (a row, or what a marker opens), how long it is and whether it ends with a question mark. Marker
+probabilities are given; all others are counted over the training transcripts. Turns are cut where Viterbi's path
+begins one, and all lines up to the next belong to it.
+
+Viterbi runs on chunks of a transcript's lines: a chunk is a max-plus matrix between the states at its ends. Products
+of ``FAN`` matrices are those of larger pieces, up to the whole; from there down each piece learns the best states at
+the ends of its parts, and at last each chunk is decoded by itself. So a transcript of any length is split, no task
+holds more than a chunk or ``FAN`` matrices of it, and the result is that of Viterbi over the whole.
 """
 
 from __future__ import annotations
@@ -13,23 +18,27 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from surveyloom.llm.ngram_join import whole_groups
 from surveyloom.session import stored
+from surveyloom.sources.ids import ranked_within
 
 ROLES = ("system", "user", "assistant")
 STATES = 2 * len(ROLES)
-#: Markers of each role, compared without case. A marker stands at the start of a block, before a colon or in brackets.
+#: Markers of each role, compared without case. A marker stands at the start of a line, before a colon or in brackets.
 MARKERS = {
     "system": ("system", "instruction", "instructions", "context"),
     "user": ("user", "human", "customer", "q", "question", "prompt", "me", "client"),
     "assistant": ("assistant", "ai", "bot", "agent", "a", "answer", "response", "chatbot", "model"),
 }
 #: Probability that a marked line has the marker's role, and that another role has it.
-MARKED, ASTRAY = 0.996, 0.002
-CHUNK_TURNS = 64
+MARKED, ASTRAY = 0.996, 1e-7
+#: Share of transitions, dealt over all states, that training may not have seen; small enough for a marker to decide.
+UNSEEN = 1e-4
+#: Lines of a chunk, pieces of a run, and chunks that are gone through together for the begin of a turn.
+CHUNK_LINES, FAN, GROUP_CHUNKS = 64, 64, 4_096
 LENGTHS = (20, 80, 200)
 
 
@@ -44,21 +53,21 @@ def marker(line: Column) -> tuple[Column, Column]:
     return role, F.when(role >= 0, F.regexp_replace(line, "(?i)" + pattern, "")).otherwise(line)
 
 
-def line_kinds(text: Column) -> Column:
-    """Features of each line as one number: first of its block (8), length class (2 to 6), question (1)."""
-    return F.transform(F.split(text, "\n"), lambda line, i: (
-        F.when(i == 0, 8).otherwise(0)
-        + sum((F.length(line) > n).cast("int") for n in LENGTHS) * 2
-        + line.rlike(r"\?\s*$").cast("int")
-    ))
-
+def lines(turns: DataFrame) -> DataFrame:
+    """Lines of the rows (conv_id, turn, text, and others that are kept): at, mark (role number, -1: none), plain, kind.
 
-def blocks(turns: DataFrame) -> DataFrame:
-    """Rows of ``turns`` (conv_id, turn, text) with their lines: marks and features, one array element per line."""
-    text = F.coalesce("text", F.lit(""))
-    role, rest = marker(text)
-    number = F.coalesce(F.col("turn").cast("long"), F.lit(-1)).alias("turn")
-    return turns.select("conv_id", number, rest.alias("plain"), role.alias("mark"), line_kinds(rest).alias("lines"))
+    ``kind`` has the features as one number: first of its block (8), length class (2 to 6), question (1).
+    """
+    number = F.coalesce(F.col("turn").cast("long"), F.lit(-1))
+    split = turns.withColumn("turn", number).select("*", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("at", "line")).drop("text")
+    mark, rest = marker(F.col("line"))
+    split = split.withColumns({"mark": mark, "plain": rest}).drop("line")
+    kind = (
+        F.when((F.col("at") == 0) | (F.col("mark") >= 0), 8).otherwise(0)
+        + sum((F.length("plain") > n).cast("int") for n in LENGTHS) * 2
+        + F.col("plain").rlike(r"\?\s*$").cast("int")
+    )
+    return split.withColumn("kind", kind)
 
 
 class Model:
@@ -80,11 +89,11 @@ class Model:
         for role, (turns, single) in ends.items():
             step[2 * role + 1, 2 * role] += turns - single
             step[2 * role, 2 * role] += lines[role] - turns - (turns - single)
-        self.step = np.log(step / step.sum(1, keepdims=True))
+        self.step = np.log((1 - UNSEEN) * step / step.sum(1, keepdims=True) + UNSEEN / STATES)
         start = np.full(STATES, 0.01)
         for row in starts:
             start[2 * row.role + 1] += row.n
-        self.start = np.log(start / start.sum())
+        self.start = np.log((1 - UNSEEN) * start / start.sum() + UNSEEN / STATES)
         self.marked = np.zeros((len(ROLES) + 1, STATES))
         for m in range(len(ROLES)):
             self.marked[m] = np.log(np.where(np.arange(STATES) // 2 == m, MARKED, ASTRAY))
@@ -115,104 +124,160 @@ class Model:
 
 
 def fit(turns: DataFrame, role: str = "role") -> Model:
-    """Counts over all of ``turns`` whose role is known. Consecutive turns are met by their numbers."""
-    known = blocks_with_roles(turns, role)
-    lines = known.select("role", F.posexplode("lines").alias("at", "kind")).groupBy("role", F.least("at", F.lit(1)).alias("at"), "kind").agg(F.count("*").alias("n"))
-    numbered = known.groupBy("conv_id", "turn").agg(F.min("role").alias("a"))
+    """Counts over all of ``turns`` whose role is known; a row is a turn. Consecutive turns are met by their numbers."""
+    number = (F.array_position(F.array(*[F.lit(r) for r in ROLES]), F.col(role)) - 1).cast("int")
+    known = turns.select("conv_id", "turn", "text", number.alias("role")).where(F.col("role") >= 0)
+    shown = lines(known).groupBy("role", F.least("at", F.lit(1)).alias("at"), "kind").agg(F.count("*").alias("n"))
+    numbered = known.groupBy("conv_id", F.coalesce(F.col("turn").cast("long"), F.lit(-1)).alias("turn")).agg(F.min("role").alias("a"))
     after = numbered.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("a").alias("b"))
     follows = numbered.join(after, ["conv_id", "turn"]).groupBy("a", "b").agg(F.count("*").alias("n"))
     first = numbered.groupBy("conv_id").agg(F.min(F.struct("turn", "a")).alias("f"))
     starts = first.groupBy(F.col("f.a").alias("role")).agg(F.count("*").alias("n"))
-    size = F.size("lines")
+    size = F.size(F.split(F.coalesce("text", F.lit("")), "\n"))
     inner = known.groupBy("role").agg(F.count("*").alias("turns"), F.sum((size == 1).cast("long")).alias("single"), F.sum(size).alias("lines"))
-    return Model(lines.collect(), follows.collect(), starts.collect(), inner.collect())
+    return Model(shown.collect(), follows.collect(), starts.collect(), inner.collect())
 
 
-def blocks_with_roles(turns: DataFrame, role: str) -> DataFrame:
-    number = F.array_position(F.array(*[F.lit(r) for r in ROLES]), F.col(role)) - 1
-    text = turns.select("conv_id", "turn", "text", number.cast("int").alias("role")).where(F.col("role") >= 0)
-    _, rest = marker(F.coalesce("text", F.lit("")))
-    return text.select("conv_id", F.coalesce(F.col("turn").cast("long"), F.lit(-1)).alias("turn"), "role", line_kinds(rest).alias("lines"))
+def _parts(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    for table, starts in whole_groups(batches, keys):
+        for a, b in zip(starts, [*starts[1:], table.num_rows], strict=True):
+            yield table.slice(a, b - a)
 
 
-def _chunks(batches: Iterator[pa.RecordBatch], model: Model):
-    for table, starts in whole_groups(batches, ["conv", "chunk"]):
-        lists = table["lines"].combine_chunks()
-        offsets, kinds = lists.offsets.to_numpy(), lists.values.to_numpy()
-        marks = table["mark"].to_numpy()
-        for a, b in zip(starts, [*starts[1:], table.num_rows], strict=True):
-            own = kinds[offsets[a] : offsets[b]]
-            bounds = offsets[a : b + 1] - offsets[a]
-            mark = np.full(len(own), -1)
-            mark[bounds[:-1]] = marks[a:b]
-            yield table.slice(a, b - a), bounds, model.emissions(mark, own)
+PIECE = "conv string, piece long, matrix array<double>, opening array<double>"
 
 
-def _transfer(model):
+def _pieces(conv: list, piece: list, matrix: list, opening: list) -> pa.RecordBatch:
+    numbers = pa.list_(pa.float64())
+    return pa.RecordBatch.from_arrays(
+        [pa.array(conv, pa.string()), pa.array(piece, pa.int64()), pa.array([m.ravel().tolist() for m in matrix], numbers), pa.array([o.tolist() for o in opening], numbers)],
+        ["conv", "piece", "matrix", "opening"],
+    )
+
+
+def _transfer(shared):
+    """The matrix of each chunk of lines, and the scores of its last states if it is the first."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, chunks, matrices, firsts = [], [], [], []
-        for rows, _, shown in _chunks(batches, model.value):
-            ids.append(rows["conv"][0].as_py())
-            chunks.append(rows["chunk"][0].as_py())
-            matrices.append(model.value.transfer(shown).ravel().tolist())
-            opening = model.value.start + shown[0]
+        model, found = shared.value, []
+        for rows in _parts(batches, ["conv", "chunk"]):
+            shown = model.emissions(rows["mark"].to_numpy(), rows["kind"].to_numpy())
+            opening = model.start + shown[0]
             for e in shown[1:]:
-                opening = (opening[:, None] + model.value.step).max(0) + e
-            firsts.append(opening.tolist())
-        if ids:
-            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(chunks, pa.int64()), pa.array(matrices), pa.array(firsts)], ["conv", "chunk", "matrix", "opening"])
+                opening = (opening[:, None] + model.step).max(0) + e
+            found.append((rows["conv"][0].as_py(), rows["chunk"][0].as_py(), model.transfer(shown), opening))
+            if len(found) == 1000:
+                yield _pieces(*map(list, zip(*found, strict=True)))
+                found = []
+        if found:
+            yield _pieces(*map(list, zip(*found, strict=True)))
 
     return run
 
 
-def _ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Best state at the end of every chunk of each transcript."""
-    for table, starts in whole_groups(batches, ["conv"]):
-        before, last = np.full(table.num_rows, -1), np.full(table.num_rows, -1)
-        opening = np.array(table["opening"].to_pylist())
-        matrix = np.array(table["matrix"].to_pylist()).reshape(-1, STATES, STATES)
-        for a, b in zip(starts, [*starts[1:], table.num_rows], strict=True):
-            score, back = opening[a], []
-            for k in range(a + 1, b):
-                ways = score[:, None] + matrix[k]
-                back.append(ways.argmax(0))
-                score = ways.max(0)
-            state = int(score.argmax())
-            for k in range(b - 1, a - 1, -1):
-                last[k] = state
-                if k > a:
-                    state = int(back[k - a - 1][state])
-                    before[k] = state
-        yield pa.RecordBatch.from_arrays([table["conv"].combine_chunks(), table["chunk"].combine_chunks(), pa.array(before, pa.int32()), pa.array(last, pa.int32())], ["conv", "chunk", "before", "last"])
-
-
-def _decode(model):
+def _combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same of each run of pieces."""
+    for rows in _parts(batches, ["conv", "parent"]):
+        matrices = np.array(rows["matrix"].to_pylist()).reshape(-1, STATES, STATES)
+        whole, opening = matrices[0], np.array(rows["opening"][0].as_py())
+        for m in matrices[1:]:
+            whole, opening = (whole[:, :, None] + m[None]).max(1), (opening[:, None] + m).max(0)
+        yield _pieces([rows["conv"][0].as_py()], [rows["parent"][0].as_py()], [whole], [opening])
+
+
+def _split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Best states before (-1: the transcript begins) and at the end of each piece of a run, from those of the run."""
+    for rows in _parts(batches, ["conv", "parent"]):
+        matrices, before, last = np.array(rows["matrix"].to_pylist()).reshape(-1, STATES, STATES), rows["before"][0].as_py(), rows["last"][0].as_py()
+        score, back = (np.array(rows["opening"][0].as_py()) if before < 0 else matrices[0][before]), []
+        for m in matrices[1:]:
+            ways = score[:, None] + m
+            back.append(ways.argmax(0))
+            score = ways.max(0)
+        path = [last]
+        for b in reversed(back):
+            path.append(int(b[path[-1]]))
+        path = path[::-1]
+        yield pa.RecordBatch.from_arrays(
+            [rows["conv"].combine_chunks().cast(pa.string()), rows["piece"].combine_chunks(), pa.array([before, *path[:-1]], pa.int32()), pa.array(path, pa.int32())], ["conv", "piece", "before", "last"]
+        )
+
+
+def _decode(shared):
+    """The state of each line of a chunk whose ends are known."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, bounds, shown in _chunks(batches, model.value):
-            path = model.value.decode(shown, rows["before"][0].as_py(), rows["last"][0].as_py())
-            state = path[bounds[:-1]]
-            role = pa.array([ROLES[s // 2] for s in state])
-            for batch in rows.select(["conv_id", "turn", "plain"]).append_column("role", role).append_column("continues", pa.array(state % 2 == 0)).combine_chunks().to_batches():
+        model = shared.value
+        for rows in _parts(batches, ["conv", "chunk"]):
+            shown = model.emissions(rows["mark"].to_numpy(), rows["kind"].to_numpy())
+            path = model.decode(shown, rows["before"][0].as_py(), rows["last"][0].as_py())
+            for batch in rows.drop_columns(["mark", "kind", "before", "last"]).append_column("state", pa.array(path, pa.int32())).combine_chunks().to_batches():
                 yield batch
 
     return run
 
 
+def line_roles(turns: DataFrame, model: Model) -> DataFrame:
+    """Every line: conv, conv_id, turn, at (line of the row), place (in the transcript, from 0), chunk, plain, role, begins."""
+    shared = turns.sparkSession.sparkContext.broadcast(model)
+    rows = turns.select("conv_id", "turn", "text", F.xxhash64("text").alias("digest"), F.monotonically_increasing_id().alias("row"))
+    conv = F.coalesce(F.concat(F.lit("="), F.col("conv_id").cast("string")), F.lit(""))
+    given = ranked_within(lines(rows).withColumn("conv", conv), ["conv"], ["turn", "digest", "row", "at"], "place")
+    given = given.withColumn("place", F.col("place") - 1).withColumn("chunk", F.floor(F.col("place") / CHUNK_LINES)).drop("digest", "row")
+    dealt = given.select("conv", "chunk", "place", "mark", "kind").repartition("conv", "chunk").sortWithinPartitions("conv", "chunk", "place")
+    levels = [stored(dealt.mapInArrow(_transfer(shared), PIECE), "transcript-pieces")]
+    parent = F.floor(F.col("piece") / FAN).alias("parent")
+    while levels[-1].agg(F.max("piece")).first()[0]:
+        runs = levels[-1].select("conv", parent, "piece", "matrix", "opening").repartition("conv", "parent").sortWithinPartitions("conv", "parent", "piece")
+        levels.append(stored(runs.mapInArrow(_combine, PIECE), "transcript-pieces"))
+    best = F.array_position("opening", F.array_max("opening")) - 1
+    ends = levels.pop().select("conv", "piece", F.lit(-1).alias("before"), best.cast("int").alias("last"))
+    for below in reversed(levels):
+        runs = below.select("conv", parent, "piece", "matrix", "opening").join(ends.withColumnRenamed("piece", "parent"), ["conv", "parent"])
+        runs = runs.repartition("conv", "parent").sortWithinPartitions("conv", "parent", "piece")
+        ends = stored(runs.mapInArrow(_split, "conv string, piece long, before int, last int"), "transcript-ends")
+    ready = given.join(ends.withColumnRenamed("piece", "chunk"), ["conv", "chunk"]).repartition("conv", "chunk").sortWithinPartitions("conv", "chunk", "place")
+    kept = ["conv", "conv_id", "turn", "at", "place", "chunk", "plain"]
+    schema = ", ".join(f"{c} {given.schema[c].dataType.simpleString()}" for c in kept)
+    found = ready.select(*kept, "mark", "kind", "before", "last").mapInArrow(_decode(shared), f"{schema}, state int")
+    role = F.element_at(F.array(*[F.lit(r) for r in ROLES]), F.floor(F.col("state") / 2).cast("int") + 1)
+    return found.select(*kept, role.alias("role"), ((F.col("state") % 2 == 1) | (F.col("place") == 0)).alias("begins"))
+
+
 def parse(turns: DataFrame, model: Model) -> DataFrame:
-    """Role of every block of ``turns`` (conv_id, turn, text): conv_id, turn, role, continues, rendered.
+    """The turns of the transcripts in ``turns`` (conv_id, turn, text): conv_id, place, turn, at, role, n_lines, rendered.
 
-    ``continues``: the block goes on with the turn before it. ``rendered`` is the canonical form, without the marker. A
-    null text is one empty line, a null turn number stands before all others (as -1). Rows that repeat a number follow
-    each other in the order of their texts. Rows without conv_id are one transcript. Other columns are ignored.
+    A transcript is the lines of all rows of a conv_id, in the order of the rows' numbers. ``place`` counts its lines
+    from 0; ``turn`` and ``at`` name the row, and the line in it, where the turn begins. ``rendered`` is the canonical
+    form, without the marker. A null text is one empty line, a null number stands before all others (as -1). Rows that
+    repeat a number follow each other in the order of a hash of their texts, equal ones one after the other. Rows
+    without conv_id are one transcript. Other columns are ignored.
     """
-    spark = turns.sparkSession
-    shared = spark.sparkContext.broadcast(model)
-    given = blocks(turns).withColumns({"conv": F.coalesce(F.col("conv_id").cast("string"), F.lit("")), "chunk": F.floor(F.col("turn") / CHUNK_TURNS)})
-    given = stored(given, "transcript-blocks")
-    kind = given.schema["conv_id"].dataType.simpleString()
-    dealt = given.repartition("conv", "chunk").sortWithinPartitions("conv", "chunk", "turn", "plain")
-    matrices = dealt.mapInArrow(_transfer(shared), "conv string, chunk long, matrix array<double>, opening array<double>")
-    ends = matrices.repartition("conv").sortWithinPartitions("conv", "chunk").mapInArrow(_ends, "conv string, chunk long, before int, last int")
-    ready = given.join(ends, ["conv", "chunk"]).repartition("conv", "chunk").sortWithinPartitions("conv", "chunk", "turn", "plain")
-    found = ready.mapInArrow(_decode(shared), f"conv_id {kind}, turn long, plain string, role string, continues boolean")
-    return found.select("conv_id", "turn", "role", "continues", F.concat(F.lit("<|"), "role", F.lit("|>\n"), F.trim("plain"), F.lit("\n<|end|>")).alias("rendered"))
+    found = stored(line_roles(turns, model), "transcript-lines")
+    # The turn of a line begins at the last beginning so far: in its chunk, else in the chunks before it, which are
+    # gone through in groups, and these in turn.
+    chunks = found.groupBy("conv", "chunk").agg(F.max(F.when(F.col("begins"), F.col("place"))).alias("start")).withColumn("group", F.floor(F.col("chunk") / GROUP_CHUNKS))
+    before = lambda order, *by: Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    groups = chunks.groupBy("conv", "group").agg(F.max("start").alias("start"))
+    groups = groups.select("conv", "group", F.max("start").over(before("group", "conv")).alias("earlier"))
+    carried = chunks.withColumn("near", F.max("start").over(before("chunk", "conv", "group"))).join(groups, ["conv", "group"])
+    carried = carried.select("conv", "chunk", F.coalesce("near", "earlier").alias("carried"))
+    inside = Window.partitionBy("conv", "chunk").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
+    placed = found.withColumn("start", F.max(F.when(F.col("begins"), F.col("place"))).over(inside)).join(carried, ["conv", "chunk"])
+    placed = placed.withColumn("start", F.coalesce("start", "carried"))
+    first = F.col("place") == F.col("start")
+    named = {c: F.max(F.when(first, F.col(c))).alias(c) for c in ("conv_id", "turn", "at", "role")}
+    made = placed.groupBy("conv", F.col("start").alias("place")).agg(
+        *named.values(), F.count("*").alias("n_lines"), F.array_sort(F.collect_list(F.struct("place", "plain"))).alias("own")
+    )
+    text = F.trim(F.array_join(F.transform("own", lambda x: x["plain"]), "\n"))
+    rendered = F.concat(F.lit("<|"), "role", F.lit("|>\n"), text, F.lit("\n<|end|>"))
+    return made.select("conv_id", "place", "turn", "at", "role", "n_lines", rendered.alias("rendered"))
+
+
+def rendered_transcripts(turns: DataFrame, names: dict[str, str], rows: int = 4) -> DataFrame:
+    """(conv_id, turn, text): ``rows`` consecutive turns as one text, each opened by the name of its role (``User: ..``)."""
+    name = F.lit("User")
+    for role, shown in names.items():
+        name = F.when(F.col("role") == role, shown).otherwise(name)
+    said = F.concat(name, F.lit(": "), F.coalesce("text", F.lit("")))
+    packed = turns.groupBy("conv_id", F.floor(F.coalesce(F.col("turn"), F.lit(-1)) / rows).alias("turn")).agg(F.array_sort(F.collect_list(F.struct("turn", said.alias("said")))).alias("own"))
+    return packed.select("conv_id", "turn", F.array_join(F.transform("own", lambda x: x["said"]), "\n").alias("text"))
