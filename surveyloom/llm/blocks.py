@@ -12,126 +12,182 @@ known; and pages with an ``article`` element are labelled by their elements.
 from __future__ import annotations
 
 import html as entities
+import pickle
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from surveyloom.operators.markup import Reader
+
 #: Pages whose text the training layouts use, at most (by the digest of their id), and layouts built from it.
 SAMPLED_PAGES, LAYOUTS = 300, 1200
 PATH_SIZE, WORD_SIZE, NUMBERS = 192, 64, 8
 HIDDEN = 24
 INPUT = PATH_SIZE + WORD_SIZE + NUMBERS
+#: Words whose slots are kept between pages of a task.
+MOST_CACHED = 200_000
 
-#: Elements that never hold shown text, elements that begin a block, elements without content.
-HIDDEN_TEXT = frozenset("script style noscript template svg iframe object title textarea select math canvas video audio".split())
+#: Elements that never hold shown text, elements that begin a block.
+HIDDEN_TEXT = frozenset("script style template svg iframe title textarea select".split())
 BLOCKS = frozenset(
     "p div h1 h2 h3 h4 h5 h6 li ul ol dl dt dd table thead tbody tfoot tr td th caption section article aside header footer nav main "
     "blockquote pre figure figcaption form fieldset legend hr body html address details summary center".split()
 )
-VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-#: Elements that an element of the same group closes, up to the container named first.
-CLOSES = {"p": ("p", BLOCKS - {"p"}), "li": ("li", {"ul", "ol"}), "dt": ("dt", {"dl"}), "dd": ("dd", {"dl"}), "tr": ("tr", {"table"}), "td": ("td", {"tr"}), "th": ("th", {"tr"})}
-TOKEN = re.compile(r"<!--.*?(?:-->|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>|([^<]+|<)", re.S)
-NAMES = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+#: Elements that an element of the same name closes, up to one of the containers named.
+CLOSES = {"li": ("ul", "ol"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("tr",), "th": ("tr",)}
+#: Parts of an article that have another purpose.
+OTHER_PARTS = frozenset("nav aside form footer comments comment ad ads related share".split())
 WORD = re.compile(r"[^\W_]+")
-LAST_NAMES = 8
+MARKS, SIGNS = re.compile("[.!?]"), re.compile("[©|»·]")
 
 
 def _slot(text: str, size: int) -> int:
     return zlib.crc32(text.encode("utf-8", "replace")) % size
 
 
-def cut(page: str | None) -> list[tuple[list[str], str, int]]:
-    """Blocks of a page in order: (names on the tag path, text, characters of it in links)."""
-    out: list[tuple[list[str], str, int]] = []
-    stack: list[tuple[str, list[str]]] = []
-    parts: list[str] = []
-    linked = 0
-    page = page or ""
+class Block(NamedTuple):
+    """``path``: a bit for each hashed name on the tag path. ``linked``: characters in links. ``article``: whether it
+    stands in one, and there not in a part with another purpose (None: in none)."""
+
+    path: int
+    text: str
+    linked: int
+    article: bool | None
+
+
+class _Frame:
+    """An open block element, and the open inline elements in it: what they add to the path, and how often a name is open."""
+
+    __slots__ = ("tag", "inline", "names")
+
+    def __init__(self, tag: str, path: int, article: bool | None):
+        self.tag, self.inline, self.names = tag, [(tag, path, article)], Counter()
+
+
+class _Cutter:
+    """Blocks of a page, cut while it is read. An end tag finds its element by counts of open names, at any depth."""
+
+    def __init__(self) -> None:
+        self.out: list[Block] = []
+        self.parts: list[str] = []
+        self.linked = self.links = 0
+        self.frames = [_Frame("", 0, None)]
+        self.places: dict[str, list[int]] = {}
 
-    def flush() -> None:
-        nonlocal linked
-        text = " ".join(entities.unescape("".join(parts)).split())
+    def flush(self) -> None:
+        text = " ".join("".join(self.parts).split())
         if text:
-            names: list[str] = []
-            for tag, extra in stack:
-                if tag in BLOCKS or extra:
-                    names += [tag, *extra]
-            out.append((names, text, min(linked, len(text))))
-        parts.clear()
-        linked = 0
-
-    at = 0
-    while at < len(page):
-        found = TOKEN.match(page, at)
-        if found is None:  # a tag that never ends
-            at += 1
-            continue
-        at = found.end()
-        closing, name, rest, text = found.groups()
-        if text is not None:
-            parts.append(text)
-            if any(tag == "a" for tag, _ in stack[-4:]):
-                linked += len(text.strip())
-            continue
-        if name is None:
-            continue
-        name = name.lower()
-        if closing:
-            if name in BLOCKS:
-                flush()
-            for k in range(len(stack) - 1, max(-1, len(stack) - 40), -1):
-                if stack[k][0] == name:
-                    del stack[k:]
-                    break
-                if name not in BLOCKS and stack[k][0] in BLOCKS:
-                    break
-            continue
-        if name == "br":
-            parts.append(" ")
-        if name in VOID or rest.endswith("/") and name not in BLOCKS:
-            if name == "hr":
-                flush()
-            continue
-        if name in HIDDEN_TEXT:
-            end = re.compile(f"</{name}[^>]*>", re.I).search(page, at)
-            at = end.end() if end else len(page)
-            parts.append(" ")
-            continue
-        if name in BLOCKS:
-            flush()
-            same, stops = CLOSES.get(name, ("p", BLOCKS - {"p"}))
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == same:
-                    del stack[k:]
-                    break
-                if stack[k][0] in stops:
-                    break
-        extra = [w.lower() for groups in NAMES.findall(rest) for w in WORD.findall(" ".join(groups))] if "=" in rest else []
-        stack.append((name, extra[:LAST_NAMES]))
-    flush()
+            _, path, article = self.frames[-1].inline[-1]
+            self.out.append(Block(path, text, min(self.linked, len(text)), article))
+        self.parts.clear()
+        self.linked = 0
+
+    def open(self, tag: str, attributes: dict[str, str]) -> None:
+        names = [w.lower() for a in ("class", "id", "role") if a in attributes for w in WORD.findall(attributes[a])]
+        _, path, article = self.frames[-1].inline[-1]
+        if tag in BLOCKS or names:
+            for name in (tag, *names):
+                path |= 1 << _slot(name, PATH_SIZE)
+                article = True if article is None and name == "article" else article and name not in OTHER_PARTS if article is not None else None
+        if tag in BLOCKS:
+            self.places.setdefault(tag, []).append(len(self.frames))
+            self.frames.append(_Frame(tag, path, article))
+        else:
+            self.frames[-1].inline.append((tag, path, article))
+            self.frames[-1].names[tag] += 1
+            self.links += tag == "a"
+
+    def close_frames(self, first: int) -> None:
+        while len(self.frames) > first:
+            frame = self.frames.pop()
+            self.places[frame.tag].pop()
+            self.links -= frame.names["a"]
+
+    def close(self, tag: str) -> None:
+        if tag in BLOCKS:
+            if self.places.get(tag):
+                self.close_frames(self.places[tag][-1])
+            return
+        frame = self.frames[-1]
+        while frame.names[tag]:
+            name, _, _ = frame.inline.pop()
+            frame.names[name] -= 1
+            self.links -= name == "a"
+            if name == tag:
+                return
+
+    def close_alike(self, tag: str) -> None:
+        """What a block element closes as it begins: a paragraph, or one of its own kind in the same container."""
+        if tag in CLOSES:
+            last = lambda name: (self.places.get(name) or [0])[-1]
+            if last(tag) > max(map(last, CLOSES[tag])):
+                self.close_frames(last(tag))
+        elif self.frames[-1].tag == "p":
+            self.close_frames(len(self.frames) - 1)
+
+
+def cut(page: str | None) -> list[Block]:
+    """Blocks of a page in order."""
+    reader, cutter, skip = Reader(page or ""), _Cutter(), None
+    for kind, value, attributes in reader:
+        if skip is not None:
+            skip = None if kind == "end" and value == skip else skip
+        elif kind == "text":
+            cutter.parts.append(value)
+            if cutter.links:
+                cutter.linked += len(value.strip())
+        elif kind == "end":
+            if value in BLOCKS:
+                cutter.flush()
+            cutter.close(value)
+        elif value == "br":
+            cutter.parts.append(" ")
+        elif value in HIDDEN_TEXT:
+            skip = value if kind == "start" and reader.closes(value) else None
+        elif value in BLOCKS:
+            cutter.flush()
+            cutter.close_alike(value)
+            if value != "hr":
+                cutter.open(value, attributes)
+        elif kind == "start":
+            cutter.open(value, attributes)
+    cutter.flush()
+    return cutter.out
+
+
+_slots: dict[str, int] = {}
+
+
+def _word_slots(words: list[str]) -> list[int]:
+    if len(_slots) > MOST_CACHED:
+        _slots.clear()
+    out = []
+    for word in words:
+        slot = _slots.get(word)
+        if slot is None:
+            slot = _slots[word] = _slot(word.lower().strip(".,:;!?()"), WORD_SIZE)
+        out.append(slot)
     return out
 
 
-def describe(blocks: list[tuple[list[str], str, int]]) -> np.ndarray:
-    """Input vectors of the blocks of a page."""
+def describe(blocks: list[Block]) -> np.ndarray:
+    """Input vectors of the blocks of a page; every name, word and mark of a block counts."""
     out = np.zeros((len(blocks), INPUT), np.float32)
-    for i, (names, text, linked) in enumerate(blocks):
-        for name in names:
-            out[i, _slot(name, PATH_SIZE)] = 1
-        words = text.split()
-        few = words[:30] + words[-10:]
-        for word in few:
-            out[i, PATH_SIZE + _slot(word.lower().strip(".,:;!?()"), WORD_SIZE)] += 1 / len(few)
-        n = len(text)
+    for i, block in enumerate(blocks):
+        path = np.frombuffer(block.path.to_bytes(PATH_SIZE // 8, "little"), np.uint8)
+        out[i, :PATH_SIZE] = np.unpackbits(path, bitorder="little")
+        words, n = block.text.split(), len(block.text)
+        out[i, PATH_SIZE : PATH_SIZE + WORD_SIZE] = np.bincount(_word_slots(words), minlength=WORD_SIZE) / len(words)
         out[i, PATH_SIZE + WORD_SIZE :] = (
-            np.log1p(n) / 6, np.log1p(len(words)) / 4, linked / n, sum(c in ".!?" for c in text[-400:]) / 10,
-            any(c in "©|»·" for c in text[:200]), i / len(blocks), (len(blocks) - i) / len(blocks), 1.0,
+            np.log1p(n) / 6, np.log1p(len(words)) / 4, block.linked / n, np.log1p(len(MARKS.findall(block.text))) / 4,
+            SIGNS.search(block.text) is not None, i / len(blocks), (len(blocks) - i) / len(blocks), 1.0,
         )
     return out
 
@@ -325,30 +381,21 @@ def layout(rng: np.random.Generator, texts: list[str], words: list[str]) -> tupl
     return "".join(page), blocks
 
 
-def by_elements(names: list[str]) -> bool:
-    """Whether a block stands in an article, and not in a part of it that has another purpose."""
-    if "article" not in names:
-        return False
-    inner = names[names.index("article") + 1 :]
-    return not any(n in inner for n in ("nav", "aside", "form", "footer", "comments", "comment", "ad", "ads", "related", "share"))
-
-
 def fit(samples: list[str], layouts: int = LAYOUTS, seed: int = 7) -> Network:
-    """A network trained on layouts of the texts of ``samples`` (pages)."""
+    """A network trained on layouts of the texts of ``samples`` (pages), and on those of them that have an article."""
     rng = np.random.default_rng(seed)
-    texts = [text for page in samples for _, text, _ in cut(page)]
-    texts = [t for t in texts if len(t) > 60][:5000] or ["text of a page without any text to learn from."]
-    words = [w for t in texts[:500] for w in t.split()] or ["word"]
+    sampled = [cut(page) for page in samples]
+    texts = [b.text for page in sampled for b in page if len(b.text) > 60] or ["text of a page without any text to learn from."]
+    words = [w for t in texts for w in t.split()]
     pages = []
     for _ in range(layouts):
         page, blocks = layout(rng, texts, words)
         found = cut(page)
-        if [t for _, t, _ in found] == [t for t, _ in blocks]:
+        if [b.text for b in found] == [t for t, _ in blocks]:
             pages.append((describe(found), np.array([main for _, main in blocks], np.float32)))
-    for page in samples:
-        found = cut(page)
-        if any("article" in names for names, _, _ in found):
-            pages.append((describe(found), np.array([by_elements(names) for names, _, _ in found], np.float32)))
+    for found in sampled:
+        if any(b.article is not None for b in found):
+            pages.append((describe(found), np.array([b.article is True for b in found], np.float32)))
     network = Network(seed)
     network.train(pages, seed=seed)
     return network
@@ -383,7 +430,7 @@ def _extract(model):
                 part = batch.slice(first, 128)
                 found = [cut(p) for p in part.column(2).to_pylist()]
                 kept = label(network, [describe(blocks) for blocks in found])
-                texts = ["\n".join(text for (_, text, _), k in zip(blocks, keep, strict=True) if k) for blocks, keep in zip(found, kept, strict=True)]
+                texts = ["\n".join(block.text for block, k in zip(blocks, keep, strict=True) if k) for blocks, keep in zip(found, kept, strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64()), pa.array([len(b) for b in found], pa.int64())],
                     ["page_id", "url", "text", "n_chars", "n_blocks"],
@@ -392,21 +439,31 @@ def _extract(model):
     return run
 
 
-def main_text(pages: DataFrame, layouts: int = LAYOUTS) -> DataFrame:
+def _fit(layouts: int):
+    def run(sample: pa.Table) -> pa.Table:
+        return pa.table({"network": pa.array([pickle.dumps(fit(sample.sort_by("key")["html"].to_pylist(), layouts).p)], pa.binary())})
+
+    return run
+
+
+def main_text(pages: DataFrame, layouts: int = LAYOUTS, sampled: int = SAMPLED_PAGES) -> DataFrame:
     """Main text of every row of ``pages`` (page_id, url, html): page_id, url, text, n_chars, n_blocks.
 
     Blocks are joined in page order by a line feed; inside a block, character references are decoded once and white
     space is one space. A null or empty page has the empty text. Broken markup is read as far as it goes: unclosed
-    elements end with their container, an unfinished tag at the end is text. Repeated rows are read each for itself.
-    Other columns are ignored. The network is trained on the driver, on at most ``SAMPLED_PAGES`` pages.
+    elements end with their container, a plain ``<`` is text. Repeated rows are read each for itself. Other columns are
+    ignored. The network is trained in one task, on the whole html of at most ``sampled`` pages and on ``layouts``
+    layouts of their texts; each page is then read whole.
     """
     spark = pages.sparkSession
     given = pages.select("page_id", "url", "html")
     # The pages are chosen by their ids, so that a task sends ids and no pages; then they are fetched.
     filled = given.where("html is not null").withColumn("key", F.md5(F.coalesce(F.col("page_id").cast("string"), F.lit(""))))
-    chosen = filled.select("key").distinct().orderBy("key").limit(SAMPLED_PAGES)
-    found = filled.join(F.broadcast(chosen), "key").groupBy("key").agg(F.min(F.substring("html", 1, 100_000)).alias("html"))
-    sample = found.orderBy("key").select("html")
-    network = fit([r.html for r in sample.collect()], layouts)
+    chosen = filled.select("key").distinct().orderBy("key").limit(sampled)
+    found = filled.join(F.broadcast(chosen), "key").groupBy("key").agg(F.min("html").alias("html"))
+    fitted = found.withColumn("all", F.lit(0)).groupBy("all").applyInArrow(_fit(layouts), "network binary").collect()
+    network = Network()
+    if fitted:
+        network.p = pickle.loads(fitted[0].network)
     schema = f"page_id {given.schema['page_id'].dataType.simpleString()}, url string, text string, n_chars long, n_blocks long"
     return given.mapInArrow(_extract(spark.sparkContext.broadcast(network)), schema)
