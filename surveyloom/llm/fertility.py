@@ -16,7 +16,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from surveyloom.llm.tokens import NEWLINE, SPACES, chain, mix, slices
@@ -153,6 +153,33 @@ def measures(docs: DataFrame, vocabularies: str = VOCABULARIES, id_col: str = "d
     return given.mapInArrow(_measure(files), schema)
 
 
+#: Figures and the least half width of their bands: a figure that hardly varies gets a band of some width all the same.
+FIGURES = {"chars_per_token": 0.05, "byte_share": 0.01, "entropy": 0.02}
+#: Bins of a figure per unit, and the largest value that has a bin of its own.
+BINS, WIDEST = 10_000, 100
+
+
+def bands(found: DataFrame, width: float = 6.0) -> DataFrame:
+    """Per language, the band of each figure: lang, and its lower and upper end (``_low``, ``_high``).
+
+    The quantiles are those of all rows, counted in bins, so they do not depend on how the rows were dealt.
+    """
+    values = F.array(*[F.struct(F.lit(c).alias("figure"), F.col(c).alias("value")) for c in FIGURES])
+    flat = found.select("lang", F.inline(values)).withColumn("bin", F.floor(F.least(F.col("value"), F.lit(WIDEST)) * BINS))
+    counted = flat.groupBy("lang", "figure", "bin").agg(F.count("*").alias("n"))
+    # A language has at most ``BINS * WIDEST`` bins of a figure.
+    each = Window.partitionBy("lang", "figure")
+    upto = counted.withColumns({"upto": F.sum("n").over(each.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)), "all": F.sum("n").over(each)})
+    quantile = lambda q: F.min(F.when(F.col("upto") >= q * F.col("all"), (F.col("bin") + 0.5) / BINS))
+    found = upto.groupBy("lang", "figure").agg(quantile(0.16).alias("low"), quantile(0.5).alias("middle"), quantile(0.84).alias("high"))
+    ends = []
+    for c, least in FIGURES.items():
+        half = width * F.greatest((F.col("high") - F.col("low")) / 2, F.lit(least))
+        own = F.col("figure") == c
+        ends += [F.max(F.when(own, F.col("middle") - half)).alias(f"{c}_low"), F.max(F.when(own, F.col("middle") + half)).alias(f"{c}_high")]
+    return found.groupBy("lang").agg(*ends)
+
+
 def quality(docs: DataFrame, width: float = 6.0, **options) -> DataFrame:
     """Figures and verdict per row of ``docs``: ``base_failed`` and ``kept``, after the figures of ``measures``.
 
@@ -161,13 +188,7 @@ def quality(docs: DataFrame, width: float = 6.0, **options) -> DataFrame:
     """
     failed = F.expr("n_words < 50 or 100 * n_repeat_words > 50 * n_words")
     found = stored(measures(docs, **options).withColumn("base_failed", failed), "fertility")
-    figures = ("chars_per_token", "byte_share", "entropy")
-    bands = found.where("not base_failed").groupBy("lang").agg(*[F.percentile_approx(c, [0.16, 0.5, 0.84], 10_000).alias(f"{c}_q") for c in figures])
-    # A figure that hardly varies gets a band of some width all the same.
-    least = {"chars_per_token": 0.05, "byte_share": 0.01, "entropy": 0.02}
-    for c in figures:
-        half = F.greatest((F.col(f"{c}_q")[2] - F.col(f"{c}_q")[0]) / 2, F.lit(least[c]))
-        bands = bands.withColumns({f"{c}_low": F.col(f"{c}_q")[1] - width * half, f"{c}_high": F.col(f"{c}_q")[1] + width * half})
-    judged = found.join(bands, "lang", "left")
-    inside = F.expr(" and ".join(f"({c} between {c}_low and {c}_high)" for c in ("chars_per_token",)) + " and byte_share <= byte_share_high and entropy >= entropy_low")
+    # A table of known size: with few languages Spark sends it to the tasks, and no language meets in one of them.
+    judged = found.join(stored(bands(found.where("not base_failed"), width), "fertility-bands"), "lang", "left")
+    inside = F.expr("chars_per_token between chars_per_token_low and chars_per_token_high and byte_share <= byte_share_high and entropy >= entropy_low")
     return judged.withColumn("kept", F.coalesce(~F.col("base_failed") & inside, F.lit(False))).select("doc_id", "lang", *COLUMNS, "base_failed", "kept")

@@ -13,7 +13,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from surveyloom.llm import blocks, components, decontaminate, fertility, language, line_spread, ngram_join, pfair, ppm, toxicity, transcripts
+from surveyloom.llm import blocks, components, decontaminate, fertility, language, line_spread, ngram_join, pfair, ppm, toxicity
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, rep string, gram long, text_key long, probabilities string, hit string"
 EDGES = [(1, None), (2, ""), (3, " \n\t"), (4, "one"), (5, "é ñ 漢字"), (6, "word " * 30_000), (6, "word " * 30_000), (None, "a null id stands here"), (7, "same id"), (7, "other text")]
@@ -64,6 +64,29 @@ def test_fertility_tokens_are_those_of_the_whole_text(spark):
         assert got[i].entropy == pytest.approx(-(counts * np.log2(counts)).sum() / math.log2(len(tokens)))
 
 
+def test_fertility_bands_and_verdicts(spark):
+    rng = random.Random(41)
+    texts = [(i, " ".join(rng.choice(["hotel", "morning", "the", "of", "window", "people", "river"]) + str(rng.randrange(40)) * (rng.random() < 0.3) for _ in range(rng.randrange(45, 90))), rng.choice(["en", None, "de"])) for i in range(160)]
+    texts += [(200, "\u6f22\u5b57\u3042 " * 3 + " ".join("\u9f98" * k for k in range(1, 60)), "en"), (201, " ".join(f"q{k}zxv" for k in range(60)), "en"), (202, "a b " * 40, "en"), (203, None, "en")]
+    found = fertility.quality(_docs(spark, texts)).collect()
+    width, least = 6.0, fertility.FIGURES
+    for lang in ("", "en", "de"):
+        own = [r for r in found if r.lang == lang]
+        passed = [r for r in own if not r.base_failed]
+        ends = {}
+        for c in least:
+            bins = np.sort(np.floor(np.minimum([r[c] for r in passed], fertility.WIDEST) * fertility.BINS))
+            low, middle, high = ((bins[math.ceil(q * len(bins) - 1e-9) - 1] + 0.5) / fertility.BINS for q in (0.16, 0.5, 0.84))
+            half = width * max((high - low) / 2, least[c])
+            ends[c] = (middle - half, middle + half)
+        for r in own:
+            inside = ends["chars_per_token"][0] <= r.chars_per_token <= ends["chars_per_token"][1] and r.byte_share <= ends["byte_share"][1] and r.entropy >= ends["entropy"][0]
+            assert r.kept == (not r.base_failed and inside)
+    verdict = {r.doc_id: (r.base_failed, r.kept) for r in found}
+    assert verdict[200] == (False, False) and verdict[202] == (True, False) and verdict[203] == (True, False)
+    assert sum(r.kept for r in found) > 100
+
+
 # 2: toxicity --------------------------------------------------------------------------------------------------------
 
 def test_toxicity_chain_learns_and_uses_the_earlier_category(spark):
@@ -208,38 +231,6 @@ def test_language_keeps_all_ngrams(spark):
         assert got[300].lang_pred == "cc"  # a language of few and short texts
 
 
-# 4: transcripts -----------------------------------------------------------------------------------------------------
-
-def _turns(spark, rows):
-    return spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
-
-
-def test_transcript_chunks_equal_one_viterbi(spark, monkeypatch):
-    rng = random.Random(5)
-    rows = []
-    for c in range(12):
-        for t in range(rng.randrange(1, 40)):
-            role = "user" if t % 2 == 0 else "assistant"
-            rows.append((c, t, role, "\n".join("x" * rng.randrange(5, 30 if role == "user" else 250) for _ in range(1 if role == "user" else rng.randrange(1, 4)))))
-    turns = _turns(spark, rows)
-    model = transcripts.fit(turns)
-    whole = transcripts.parse(turns, model).collect()
-    monkeypatch.setattr(transcripts, "CHUNK_TURNS", 4)
-    cut = transcripts.parse(turns, model).collect()
-    assert sorted(whole) == sorted(cut)
-    right = {(c, t): r for c, t, r, _ in rows}
-    assert sum(right[r.conv_id, r.turn] == r.role for r in whole) > 0.9 * len(rows)
-
-
-def test_transcript_markers_and_edges(spark):
-    turns = _turns(spark, [(1, 0, None, "Assistant: hello"), (1, 1, None, "**User**: a?\nb"), (2, None, None, None), (None, 0, None, "[bot] x"), (None, 0, None, "[bot] x")])
-    model = transcripts.fit(_turns(spark, [(1, 0, "user", "a"), (1, 1, "assistant", "b\nc")]))
-    got = {(r.conv_id, r.turn): r for r in transcripts.parse(turns, model).collect()}
-    assert got[1, 0].rendered == "<|assistant|>\nhello\n<|end|>" and got[1, 1].rendered == "<|user|>\na?\nb\n<|end|>"
-    assert got[2, -1].rendered.endswith("|>\n\n<|end|>") and got[None, 0].role == "assistant"
-    assert transcripts.parse(turns.limit(0), model).count() == 0
-
-
 # 5: mixing ----------------------------------------------------------------------------------------------------------
 
 def test_pfair_schedule_is_edf_and_less_than_a_block_off(spark):
@@ -340,21 +331,82 @@ def test_block_network_on_unseen_layouts(network):
     for _ in range(80):
         page, known = blocks.layout(rng, texts, " ".join(texts).split())
         found = blocks.cut(page)
-        assert [t for _, t, _ in found] == [t for t, _ in known]
+        assert [b.text for b in found] == [t for t, _ in known]
         kept = blocks.label(network, [blocks.describe(found)])[0]
         right, total = right + int((kept == np.array([m for _, m in known])).sum()), total + len(known)
     assert right > 0.93 * total
 
 
+def _texts_of(page):
+    return [b.text for b in blocks.cut(page)]
+
+
 def test_block_cutting():
     page = "<body><script>var a='</p><p>x';</script><p>a &amp;amp;\n b<b>c</b><p>d<!-- <p>no --><div>e<br>f</div>tail <"
-    assert [t for _, t, _ in blocks.cut(page)] == ["a &amp; bc", "d", "e f", "tail <"]
+    assert _texts_of(page) == ["a &amp; bc", "d", "e f", "tail <"]
     assert blocks.cut(None) == [] and blocks.cut("") == [] and len(blocks.cut("<p>x" * 5000)) == 5000
+    assert _texts_of("<p>foo<script>x</script>bar <svg><title>no</title></svg>z</p>") == ["foobar z"]
+    assert _texts_of("<p>a <math><mi>x</mi></math> <noscript>b</noscript><object>c</object></p>") == ["a x bc"]
+    assert _texts_of("<ul><li>a<div>b<li>c<ul><li>d</ul>e</ul><table><tr><td>f<td>g<tr><td>h</table>i") == list("abcdefghi")
+    assert _texts_of("<p>a<svg>b<p>c") == ["ab", "c"]  # a hidden element that never ends hides nothing
+
+
+def test_block_paths_and_links():
+    open_inline = "".join(f"<i class=x{k}>" for k in range(60))
+    found = blocks.cut(f"<article><nav>{open_inline}menu</nav><p>text <a href=/>link <b><i><u><s>deep</a> end</p><div class='ad box'>buy</div></article><p>out")
+    assert [b.article for b in found] == [False, True, False, None]
+    bit = lambda b, name: b.path >> blocks._slot(name, blocks.PATH_SIZE) & 1
+    assert bit(found[0], "nav") and bit(found[0], "x59") and not bit(found[1], "nav") and bit(found[1], "article") and bit(found[2], "box")
+    assert [b.linked for b in found] == [0, len("link") + len("deep"), 0, 0]
+    assert blocks.describe(found).shape == (4, blocks.INPUT)
+
+
+def test_all_words_and_marks_count():
+    base = " ".join(["word"] * 400)
+    first, second = (blocks.describe(blocks.cut(f"<p>{a}</p>"))[0] for a in (base, base.replace("word", "other. ©", 201).replace("other. ©", "word", 200)))
+    slot = blocks.PATH_SIZE + blocks._slot("other", blocks.WORD_SIZE)
+    assert second[slot] - first[slot] == pytest.approx(1 / 401, abs=1e-4) and second[-5] > first[-5] and second[-4] == 1 and first[-4] == 0
+
+
+def test_block_cutting_takes_linear_time():
+    for page in ('<a href="' * 110_000, "<p class='" + "x " * 500_000, "<div>a" * 60_000, "<b>" * 60_000 + "<p>" + "</b>x<i>" * 60_000, "<div>" * 30_000 + "<li>x</li>" * 30_000, "<svg>" * 100_000, "</p" * 300_000):
+        started = time.time()
+        found = blocks.cut(page)
+        blocks.describe(found[:2000])
+        assert time.time() - started < 10, page[:20]
+
+
+#: Pages written by hand, not by ``layout``: blocks of the main text, and those of other parts.
+HAND = [
+    ("""<html><head><title>T</title></head><body><div id="masthead"><h1>The Daily</h1></div><ul class="menu"><li><a href=/>Home</a><li><a href=/n>News</a></ul>
+<div class="post"><h2>{0}</h2><p>{1}<p>{2}<blockquote>{3}</blockquote></div><div class="sidebar"><h3>Popular</h3><a href=/1>One</a></div>
+<div id="footer">© 2020 The Daily. All rights reserved.</div></body></html>""", 4),
+    ("""<body><div class="cookie-banner">We use cookies. <button>Accept</button></div><nav><a href=/>Start</a> | <a href=/b>Blog</a></nav>
+<main><article><header class=ad>Sponsored content</header><h1>{0}</h1><p>{1}</p><ul><li>{2}</li></ul><p>{3}</p></article></main>
+<section id="comments"><h2>Comments</h2><div class="comment"><p>Nice words, thanks.</p></div></section><footer><p>Contact</p></footer>""", 4),
+    ("""<header><a href="/">Logo</a></header><form class=search><label>Search</label><input></form><div role=main><div class="entry-content"><p>{0}</p><p>{1}</p><pre>{2}</pre></div></div>
+<aside><h3>Related</h3><ul><li><a href=/x>Other</a></ul></aside>""", 3),
+]
+
+
+def test_hand_written_pages(network):
+    texts = [t for t in _texts(19, 40, size=60) if len(t.split()) > 12]
+    right = total = 0
+    for page, n in HAND:
+        for k in range(0, 24, 4):
+            own = texts[k % 20 : k % 20 + n]
+            found = blocks.cut(page.format(*own))
+            kept = blocks.label(network, [blocks.describe(found)])[0]
+            main = np.array([b.text in own for b in found])
+            assert main.sum() == n
+            right, total = right + int((kept == main).sum()), total + len(found)
+    assert right > 0.85 * total
 
 
 def test_main_text_edges(spark):
     pages = spark.createDataFrame([(1, "u", None, 1), (2, None, "", 2), (3, "u", "<article><p>some words here</p></article>", 3), (3, "u", "<article><p>some words here</p></article>", 3)], "page_id long, url string, html string, text long")
     got = blocks.main_text(pages, layouts=60).collect()
+    assert blocks.main_text(pages.limit(0), layouts=60).collect() == []
     assert len(got) == 4 and all(r.n_chars == len(r.text) for r in got) and {r.text for r in got if r.page_id < 3} == {""}
 
 
