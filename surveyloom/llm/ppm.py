@@ -28,7 +28,7 @@ from surveyloom.session import stored
 ORDER = 5
 END = 0xFF
 #: Entries of the trie that are sent to every task.
-MOST_NODES = 1_000_000
+MOST_NODES = 300_000
 #: Words whose counts are sent to every task; the counts of all other words are joined.
 MOST_WORDS = 1 << 18
 
