@@ -9,12 +9,9 @@ candidates, and of the candidates only those that can still reach a request's be
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -62,26 +59,20 @@ def _dealt(postings: DataFrame) -> DataFrame:
     return postings.hint("rebalance", "bucket").sortWithinPartitions("bucket", "term", "tier")
 
 
-def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        tokens = batch.column(1)
-        sizes = tokens.value_lengths().to_numpy(zero_copy_only=False)
-        named = tokens.flatten().dictionary_encode()
-        kinds = max(1, len(named.dictionary))
-        keys = np.repeat(np.arange(len(sizes)), sizes) * kinds + named.indices.to_numpy(zero_copy_only=False)
-        keys, counts = np.unique(keys, return_counts=True)
-        row, term = np.divmod(keys, kinds)
-        tier = np.log2(np.maximum(1, np.bincount(row, minlength=len(sizes)))).astype(np.int32)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0).take(pa.array(row)), pa.array(tier[row]), named.dictionary.take(pa.array(term)), pa.array(counts.astype(np.int32))],
-            ["doc", "tier", "term", "tf"],
-        )
-
-
 def term_counts(docs: DataFrame, doc: str, text: str, stop_words: list[str]) -> DataFrame:
-    """(doc, tier, term, tf). A document is a row, so its terms are counted where it is; nothing is moved."""
-    tokens = docs.select(F.col(doc).alias("doc"), terms(F.col(text), stop_words).alias("tokens"))
-    return tokens.mapInArrow(_count_terms, f"doc {tokens.schema['doc'].dataType.simpleString()}, tier int, term string, tf int")
+    """(doc, tier, term, tf). A document is a row, so its terms are counted where it is; nothing is moved.
+
+    Its tokens are sorted, and equal ones then stand in runs: a run gives a term, and its length the count. Each step is
+    generated, since Spark would else work a plain column out again for every element that reads it.
+    """
+    tokens = docs.select(F.col(doc).alias("doc"), F.explode(F.array(F.sort_array(terms(F.col(text), stop_words)))).alias("tokens"))
+    size = F.size("tokens")
+    places = F.when(size > 0, F.sequence(F.lit(0), size - 1)).otherwise(F.array().cast("array<int>"))
+    starts = F.filter(places, lambda i: (i == 0) | (F.get("tokens", i) != F.get("tokens", i - 1)))
+    runs = tokens.withColumn("starts", F.explode(F.array(starts)))
+    each = F.transform("starts", lambda at, i: F.struct(F.get("tokens", at).alias("term"), (F.coalesce(F.get("starts", i + 1), size) - at).alias("tf")))
+    tier = F.length(F.bin(F.size("starts"))) - 1  # the whole part of the binary logarithm
+    return runs.select("doc", tier.alias("tier"), F.inline(each))
 
 
 def vocabulary_of(counted: DataFrame, docs: DataFrame) -> DataFrame:

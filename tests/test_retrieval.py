@@ -75,3 +75,13 @@ def test_a_batch_reads_the_buckets_of_its_terms(spark, tmp_path):
     named = re.search(r"PartitionFilters: \[(.*?)\], PushedFilters", scans[0]).group(1)
     assert len(scans) == 1 and {int(x) for x in re.findall(r"(?<![#\d])\d+(?=[,)])", named)} == buckets and len(buckets) < 3
     assert plan.count("FileScan parquet") - len(scans) >= 2 and "tier#" not in plan  # no weights by document are read
+
+
+def test_terms_are_counted_without_python(spark):
+    """No batch of whole texts waits in a Python task; runs of equal tokens count, in rows with equal or no ids too."""
+    rows = [(1, "bb aa bb cc bb"), (1, "aa aa"), (None, "dd"), (2, ""), (3, None), (4, " ".join(f"w{i}" for i in range(8)))]
+    counted = retrieval.term_counts(spark.createDataFrame(rows, "seq bigint, text string"), "seq", "text", ["cc"])
+    assert "Arrow" not in counted._jdf.queryExecution().executedPlan().toString()
+    assert counted.dtypes == [("doc", "bigint"), ("tier", "int"), ("term", "string"), ("tf", "int")]
+    got = sorted((r.doc or 0, r.tier, r.term, r.tf) for r in counted.collect())
+    assert got == [(0, 0, "dd", 1), (1, 0, "aa", 2), (1, 1, "aa", 1), (1, 1, "bb", 3)] + [(4, 3, f"w{i}", 1) for i in range(8)]
