@@ -284,7 +284,7 @@ def _(t):
     from surveyloom.session import stored
 
     model = clusters.fit_clusters(t.documents, "text", stop_words=STOP)
-    assigned = stored(clusters.assign_clusters(model, t.documents), "assigned")
+    assigned = stored(clusters.assign_clusters(model, t.documents).select("features", "cluster_id"), "assigned")
     return clusters.cluster_report(assigned).withColumn("silhouette", F.lit(clusters.silhouette(assigned)))
 
 

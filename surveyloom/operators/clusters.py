@@ -29,6 +29,8 @@ SPREAD = 4
 #: Document frequencies are counted in two rows of counters by two hashes of the term; the smaller count holds. They
 #: bound what the driver holds, and are exact until terms collide in both rows.
 COUNTERS, COUNTER_BITS = 2, 20
+#: Codes and rows that are projected at a time.
+SPAN, SPAN_ROWS = 1 << 18, 2_000
 
 
 @dataclass
@@ -85,38 +87,58 @@ def term_idf(questions: DataFrame, text: str, stop_words: list[str]) -> np.ndarr
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals = np.zeros((COUNTERS, 1 << COUNTER_BITS), np.int64)
         for batch in batches:
-            for r, at in enumerate(_counters(_term_rows(batch.column(0))[1])):
+            for r, at in enumerate(_counters(batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64))):
                 np.add.at(totals[r], at, 1)
         at = np.flatnonzero(totals)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(totals.ravel()[at])], ["at", "df"])
 
-    codes = questions.select(_codes(text, stop_words).alias("codes"))
+    # A code is a row, so a batch of them is small however long the texts are.
+    codes = questions.select(F.explode(F.array_distinct(_codes(text, stop_words))).alias("code"))
     found = codes.mapInArrow(count, "at long, df long").groupBy("at").agg(F.sum("df").alias("df")).toArrow()
     df = np.zeros(COUNTERS << COUNTER_BITS)
     df[found["at"].to_numpy()] = found["df"].to_numpy()
     return (np.log((1.0 + questions.count()) / (1.0 + df)) + 1.0).reshape(COUNTERS, -1).astype(np.float32)
 
 
+def _spans(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Runs of rows (from, number) that have ``SPAN`` codes in all, or one row of more, and at most ``SPAN_ROWS`` rows."""
+    start, total = 0, 0
+    for i, size in enumerate(sizes.tolist()):
+        if i > start and (total + size > SPAN or i - start >= SPAN_ROWS):
+            yield start, i - start
+            start, total = i, 0
+        total += size
+    if len(sizes) > start:
+        yield start, len(sizes) - start
+
+
 def _vectors(questions: DataFrame, text: str, model: ClusterModel, keep: bool) -> DataFrame:
-    """``features`` of each row (and its columns, if ``keep``), and ``cluster_id`` where the model has centres."""
+    """``features`` of each row (and its columns, if ``keep``), and ``cluster_id`` where the model has centres.
+
+    Only the codes of a text go to Python; the other columns stay in Spark. A batch is worked out span by span.
+    """
     shared = questions.sparkSession.sparkContext.broadcast(model)
     given = questions.drop("features", "cluster_id") if keep else questions.select()
-    names = given.columns
-    fields = [*given.schema.fields, StructField("features", ArrayType(FloatType()))]
     placed = len(model.centres) > 0
-    fields += [StructField("cluster_id", IntegerType())] if placed else []
+    fields = [StructField("features", ArrayType(FloatType())), *[StructField("cluster_id", IntegerType())] * placed]
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = shared.value
-        for batch in batches:
-            row, code, tf = _term_rows(batch.column(0))
+    @F.arrow_udf(StructType(fields))
+    def work(codes: pa.Array) -> pa.Array:
+        own, found, numbers = shared.value, [], []
+        for start, rows in _spans(codes.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)):
+            row, code, tf = _term_rows(codes.slice(start, rows))
             idf = np.max([own.idf[r][at] for r, at in enumerate(_counters(code))], axis=0)
-            x = project(row, code, tf * idf, batch.num_rows, own.features, own.seed).astype(np.float32)
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1) * own.features, pa.int32()), pa.array(x.ravel()))
-            more = [pa.array(nearest(x.astype(float), own.centres).astype(np.int32))] if placed else []
-            yield pa.RecordBatch.from_arrays([*(batch.column(i + 1) for i in range(len(names))), lists, *more], [*names, "features", *["cluster_id"] * placed])
-
-    return questions.select(_codes(text, model.stop_words).alias("codes"), *[F.col(f"`{c}`") for c in names]).mapInArrow(work, StructType(fields))
+            x = project(row, code, tf * idf, rows, own.features, own.seed).astype(np.float32)
+            found.append(x)
+            if placed:
+                numbers.append(nearest(x.astype(float), own.centres).astype(np.int32))
+        x = np.concatenate(found) if found else np.zeros((0, own.features), np.float32)
+        lists = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1) * own.features, pa.int32()), pa.array(x.ravel()))
+        more = [pa.array(np.concatenate(numbers) if numbers else np.zeros(0, np.int32))] if placed else []
+        return pa.StructArray.from_arrays([lists, *more], [f.name for f in fields])
+
+    made = work(_codes(text, model.stop_words)).alias("_made")
+    return questions.select(*[F.col(f"`{c}`") for c in given.columns], made).select(*[F.col(f"`{c}`") for c in given.columns], "_made.*")
 
 
 def nearest(x: np.ndarray, centres: np.ndarray) -> np.ndarray:

@@ -539,3 +539,22 @@ def test_scatter_is_principal_components(table):
     axes = np.linalg.eigh(np.cov(x.T))[1][:, ::-1][:, :2]
     got, want = np.array([[r.x, r.y] for r in sorted(placed, key=lambda r: r.seq)]), x @ axes
     assert np.allclose(got * np.sign((got * want).sum(axis=0)), want, atol=1e-6)
+
+
+def test_texts_stay_out_of_python_and_spans_are_bounded(spark):
+    """Only codes of terms go to Python: the other columns of a row stay in Spark, and vectors are made span by span."""
+    import numpy as np
+
+    from surveyloom.operators import clusters
+
+    rows = [(i, " ".join(f"w{(i * 7 + j) % 90}" for j in range(i % 40))) for i in range(120)] + [(500, None)]
+    bank = spark.createDataFrame(rows, "seq bigint, text string").repartition(2)
+    model = clusters.fit_clusters(bank, "text", k=3, stop_words=[])
+    assigned = clusters.assign_clusters(model, bank)
+    plan = assigned._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" not in plan and "ArrowEvalPython" in plan
+    assert assigned.columns == ["seq", "text", "features", "cluster_id"] and assigned.count() == len(rows)
+    sizes = np.array([0, clusters.SPAN, 1, clusters.SPAN * 3, *[1] * (clusters.SPAN_ROWS + 5)])
+    spans = list(clusters._spans(sizes))
+    assert [s for start, n in spans for s in range(start, start + n)] == list(range(len(sizes)))
+    assert all(n == 1 or (sizes[start:start + n].sum() <= clusters.SPAN and n <= clusters.SPAN_ROWS) for start, n in spans)
