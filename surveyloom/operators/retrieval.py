@@ -167,10 +167,18 @@ def _in(postings: DataFrame, buckets: list[int]) -> DataFrame:
 
 
 def cosine_scores(index: TermIndex, request_terms: DataFrame) -> DataFrame:
-    """(query, doc, score, text_key) for every request and document that share a term."""
+    """(query, doc, score, text_key) for every request and document that share a term.
+
+    Weights come by document, those of a new index as it made them and those of a written one from the buckets of the
+    requests' terms. So the products of a document are added up where its weights are, and do not move.
+    """
     wanted = stored(request_terms.select("query", "term", "wq"), "request-terms")
-    postings = _in(index.inverted()[0], _buckets(wanted))
-    products = postings.join(wanted, "term").groupBy("query", "doc").agg(F.sum(F.col("weight") * F.col("wq")).alias("score"))
+    if index.postings is None:
+        weights = index.weights.select("doc", "term", "weight")
+    else:
+        met = _in(index.postings, _buckets(wanted)).join(wanted.select("term").distinct(), "term", "left_semi")
+        weights = met.select("doc", "term", "weight").repartition("doc")
+    products = weights.join(wanted, "term").groupBy("query", "doc").agg(F.sum(F.col("weight") * F.col("wq")).alias("score"))
     return products.join(index.texts, "doc").select("query", "doc", "score", "text_key")
 
 
