@@ -93,7 +93,9 @@ def matching_questions(bank: DataFrame, requirements: DataFrame, most: int) -> D
     limits = bank.agg(F.min("difficulty").alias("low"), F.max("difficulty").alias("high"))
     low, high = limits.select("low").scalar(), limits.select("high").scalar()
     rows = bank.select("id", "category", "difficulty").where("difficulty is not null").withColumn("band", _band(F.col("difficulty"), low, high))
-    runs = rows.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(LEVELS)))).withColumn("node", F.expr("shiftright(band, level)"))
+    # The first questions of a run are among the first of its bands, so only those are written to all levels.
+    bands = top_per_group(rows, ["category", "band"], ["id"], most)
+    runs = bands.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(LEVELS)))).withColumn("node", F.expr("shiftright(band, level)"))
     heads = stored(top_per_group(runs, ["category", "level", "node"], ["id"], most, rank="place").drop("band"), "runs")
     # No questionnaire can use more than its count of one difficulty.
     cells = top_per_group(rows, ["category", "difficulty"], ["id"], most)

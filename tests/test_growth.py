@@ -27,3 +27,17 @@ def test_products_are_added_up_where_the_weights_of_a_document_are(spark, tmp_pa
     assert "hashpartitioning(query" not in _plan(read)
     got, again = [sorted((r.query, r.doc, round(r.score, 9)) for r in df.collect()) for df in (fresh, read)]
     assert got == again and {(q, d) for q, d, _ in got} == {(1, d) for d in range(60)} | {(2, d) for d in range(60) if d % 3 == 1 or d % 7 == 5}
+
+
+def test_runs_of_bands_are_made_from_the_first_questions_of_bands(spark, monkeypatch):
+    rng = random.Random(3)
+    questions = [(i, f"c{i % 3}", rng.choice([None, rng.random()])) for i in range(400)]
+    asked = [(q, rng.randint(1, 6), [f"c{q % 3}", "c1"], sorted([rng.random(), rng.random()])) for q in range(30)]
+    bank = spark.createDataFrame(questions, "id bigint, category string, difficulty double")
+    wanted = spark.createDataFrame(asked, "id bigint, question_count int, categories array<string>, difficulty_range array<double>")
+    plans, stored = {}, sel.stored
+    monkeypatch.setattr(sel, "stored", lambda df, label: (plans.setdefault(label, _plan(df)), stored(df, label))[1])
+    got = sorted((r.questionnaire_id, r["rank"], r.question_id) for r in sel.questions_for_requirements(bank, wanted).collect())
+    fits = {q: [i for i, c, d in questions if c in cs and d is not None and low <= d <= high][:n] for q, n, cs, (low, high) in asked}
+    assert got == [(q, r + 1, i) for q in sorted(fits) for r, i in enumerate(fits[q])]
+    assert plans["runs"].rindex("WindowGroupLimit") > plans["runs"].index("Generate")
