@@ -61,7 +61,9 @@ SELECT doc_id, md5(array_to_string(list_transform(
   list_filter(regexp_extract_all(lower(text), '[\p{L}\p{N}_]+'), lambda w: length(w) <> 3),
   lambda w: CASE WHEN length(w) >= 6 AND length(w) % 2 = 0 THEN 'w' || substr(w, 1, 4) WHEN length(w) = 5 THEN 'five' ELSE w END), ' ')) AS dedup_key FROM documents""")
 def _(t):
-    words = t.documents.select(F.explode(txt.words(F.lower("text"), 1)).alias("word")).distinct()
+    from surveyloom.session import stored
+
+    words = stored(t.documents.select(F.explode(txt.words(F.lower("text"), 1)).alias("word")).distinct(), "words")
     size = F.length("word")
     lemmas = words.where((size >= 6) & (size % 2 == 0)).select("word", F.substring("word", 1, 4).alias("target"))
     short = lemmas.select(F.col("target").alias("word")).distinct().select("word", F.concat(F.lit("w"), "word").alias("target"))
