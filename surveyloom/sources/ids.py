@@ -9,6 +9,8 @@ from surveyloom.session import stored
 
 __all__ = ["ordered_index", "ranked_within", "next_ids"]
 
+#: Rows of a range that one task sorts; more rows make more ranges.
+RANGE_ROWS = 1_000_000
 LOCAL_BITS = 33  # monotonically_increasing_id keeps the position inside a partition in the low 33 bits
 
 
@@ -17,11 +19,14 @@ def ordered_index(df: DataFrame, order: list[str], name: str = "idx") -> DataFra
 
     The rows are range-partitioned and sorted once, numbered inside each partition, and written
     to the shared folder. The sizes of the partitions (one number each) give the offsets. No task
-    sees more than its own range, and no key can be hot because the order key is unique.
+    sees more than its own range, and no key can be hot because the order key is unique. There are as many
+    ranges as the session has shuffle partitions, and more where a range would else grow with the table.
     """
     spark = df.sparkSession
+    ranges = -(-df.count() // RANGE_ROWS)
+    more = [ranges] if ranges > int(spark.conf.get("spark.sql.shuffle.partitions")) else []
     ranged = (
-        df.repartitionByRange(*order)
+        df.repartitionByRange(*more, *order)
         .sortWithinPartitions(*order)
         .withColumn("_local", F.monotonically_increasing_id())
     )

@@ -41,3 +41,16 @@ def test_runs_of_bands_are_made_from_the_first_questions_of_bands(spark, monkeyp
     fits = {q: [i for i, c, d in questions if c in cs and d is not None and low <= d <= high][:n] for q, n, cs, (low, high) in asked}
     assert got == [(q, r + 1, i) for q in sorted(fits) for r, i in enumerate(fits[q])]
     assert plans["runs"].rindex("WindowGroupLimit") > plans["runs"].index("Generate")
+
+
+def test_large_tables_are_numbered_in_more_ranges(spark, monkeypatch):
+    monkeypatch.setattr(ids, "RANGE_ROWS", 50)
+    seen, stored = [], ids.stored
+    monkeypatch.setattr(ids, "stored", lambda df, label: (seen.append(df.rdd.getNumPartitions()), stored(df, label))[1])
+    got = sources.ordered_index(spark.range(999, -1, -1).withColumn("text", F.lit("x")), ["id"])
+    assert sorted((r.id, r.idx) for r in got.collect()) == [(i, i) for i in range(1000)] and seen[0] == 20
+
+
+def test_words_of_a_dictionary_are_worked_out_once(spark):
+    """The texts are read for their keys, and not for each list of the dictionary again."""
+    assert _plan(CHECKS["dictionary_keys"](spark, "/root/testdata/sf0.001")).count("documents.parquet") <= 3
