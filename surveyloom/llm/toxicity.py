@@ -7,7 +7,7 @@ earlier ones, so they see the errors that the earlier models make on new texts.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -24,6 +24,8 @@ START_BYTES = 5
 #: their id), and features of a model, at most (those that separate its classes best).
 MOST_LABELLED, MOST_FEATURES = 8_000, 4_000
 FOLDS = 3
+#: Features of the texts that are scored at a time, and such texts, at most (a text with more features is scored alone).
+SPAN, SPAN_ROWS = 1 << 18, 2_000
 
 
 def features(column: pa.Array) -> Iterator[np.ndarray]:
@@ -136,18 +138,36 @@ def _fit(most: int):
     return fit
 
 
+def _spans(rows: Iterable[np.ndarray]) -> Iterator[list[np.ndarray]]:
+    """Runs of rows that have at most ``SPAN`` features in all, or one row of more, and are at most ``SPAN_ROWS``."""
+    own, total = [], 0
+    for found in rows:
+        if own and (total + len(found) > SPAN or len(own) >= SPAN_ROWS):
+            yield own
+            own, total = [], 0
+        own.append(found)
+        total += len(found)
+    if own:
+        yield own
+
+
+def _chances(links: list[Link], rows: list[np.ndarray]) -> np.ndarray:
+    """Probabilities of all categories (columns) for the features of each row."""
+    columns, row = _flat(rows)
+    earlier, result = np.zeros((len(rows), 0)), np.zeros((len(rows), len(links)))
+    for k, link in enumerate(links):
+        result[:, k] = predict(link, columns, row, len(rows), earlier)
+        earlier = np.column_stack([earlier, _odds(result[:, k])])
+    return result
+
+
 def _apply(model, place: int):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         links = model.value
         for batch in batches:
-            rows = list(features(batch.column(place)))
-            columns, row = _flat(rows)
-            earlier = np.zeros((len(rows), 0))
-            result = []
-            for link in links:
-                result.append(predict(link, columns, row, len(rows), earlier))
-                earlier = np.column_stack([earlier, _odds(result[-1])])
-            lists = pa.array(np.column_stack(result).tolist() if result else [[]] * len(rows), pa.list_(pa.float64()))
+            # A batch has 10,000 texts; only the features of a few are held at a time.
+            found = [_chances(links, rows) for rows in _spans(features(batch.column(place)))]
+            lists = pa.array([p for part in found for p in part.tolist()], pa.list_(pa.float64()))
             kept = [batch.column(i) for i in range(batch.num_columns)]
             yield pa.RecordBatch.from_arrays([*kept, lists], [*batch.schema.names, "probabilities"])
 

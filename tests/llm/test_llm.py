@@ -7,6 +7,7 @@ import random
 import re
 import time
 import zlib
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
@@ -149,6 +150,18 @@ def test_toxicity_chain_of_three_categories(spark):
             before = np.column_stack([before, odds(p)])
 
 
+def test_toxicity_scores_a_batch_a_few_texts_at_a_time(monkeypatch):
+    """The features of a whole batch at once, with their weights, took most of the memory of the Python tasks."""
+    texts = [" ".join(f"w{(i * j) % 97}" for j in range(i % 60)) for i in range(400)]
+    chain = [toxicity.Link(np.sin(np.arange(1 << toxicity.BITS) + k), np.full(k, 0.3), 0.1) for k in range(3)]
+    batch = pa.RecordBatch.from_pydict({"text": pa.array([*texts, None])})
+    score = lambda: next(toxicity._apply(SimpleNamespace(value=chain), 0)(iter([batch]))).column(1).to_pylist()
+    whole, sizes, plain = score(), [], toxicity.predict
+    monkeypatch.setattr(toxicity, "SPAN", 200, raising=False)
+    monkeypatch.setattr(toxicity, "predict", lambda link, columns, *rest: sizes.append(len(columns)) or plain(link, columns, *rest))
+    assert score() == [pytest.approx(p, rel=1e-12) for p in whole] and len(whole) == 401 and max(sizes) <= 200
+
+
 def test_toxicity_without_labels_and_on_edges(spark):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     got = toxicity.toxicity(_docs(spark, EDGES), none, {"toxic": "toxic"}).collect()
