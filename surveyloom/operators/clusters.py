@@ -78,11 +78,12 @@ def project(row: np.ndarray, code: np.ndarray, weight: np.ndarray, n: int, featu
     return out / np.where(length > 0, length, 1.0)
 
 
-def _codes(text: str, stop_words: list[str]) -> Column:
-    return F.transform(terms(F.col(text), stop_words), lambda t: F.xxhash64(t))
+def term_codes(text: Column, stop_words: list[str]) -> Column:
+    """A code for each term of a text, in order."""
+    return F.transform(terms(text, stop_words), lambda t: F.xxhash64(t))
 
 
-def term_idf(questions: DataFrame, text: str, stop_words: list[str]) -> np.ndarray:
+def term_idf(questions: DataFrame, codes: Column) -> np.ndarray:
     """Smoothed idf ln((1+n)/(1+df))+1 by counter row and counter."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals = np.zeros((COUNTERS, 1 << COUNTER_BITS), np.int64)
@@ -93,8 +94,7 @@ def term_idf(questions: DataFrame, text: str, stop_words: list[str]) -> np.ndarr
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(totals.ravel()[at])], ["at", "df"])
 
     # A code is a row, so a batch of them is small however long the texts are.
-    codes = questions.select(F.explode(F.array_distinct(_codes(text, stop_words))).alias("code"))
-    found = codes.mapInArrow(count, "at long, df long").groupBy("at").agg(F.sum("df").alias("df")).toArrow()
+    found = questions.select(F.explode(F.array_distinct(codes)).alias("code")).mapInArrow(count, "at long, df long").groupBy("at").agg(F.sum("df").alias("df")).toArrow()
     df = np.zeros(COUNTERS << COUNTER_BITS)
     df[found["at"].to_numpy()] = found["df"].to_numpy()
     return (np.log((1.0 + questions.count()) / (1.0 + df)) + 1.0).reshape(COUNTERS, -1).astype(np.float32)
@@ -112,7 +112,7 @@ def _spans(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
         yield start, len(sizes) - start
 
 
-def _vectors(questions: DataFrame, text: str, model: ClusterModel, keep: bool) -> DataFrame:
+def _vectors(questions: DataFrame, codes: Column, model: ClusterModel, keep: bool) -> DataFrame:
     """``features`` of each row (and its columns, if ``keep``), and ``cluster_id`` where the model has centres.
 
     Only the codes of a text go to Python; the other columns stay in Spark. A batch is worked out span by span.
@@ -137,7 +137,7 @@ def _vectors(questions: DataFrame, text: str, model: ClusterModel, keep: bool) -
         more = [pa.array(np.concatenate(numbers) if numbers else np.zeros(0, np.int32))] if placed else []
         return pa.StructArray.from_arrays([lists, *more], [f.name for f in fields])
 
-    made = work(_codes(text, model.stop_words)).alias("_made")
+    made = work(codes).alias("_made")
     return questions.select(*[F.col(f"`{c}`") for c in given.columns], made).select(*[F.col(f"`{c}`") for c in given.columns], "_made.*")
 
 
@@ -149,24 +149,25 @@ def nearest(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
 
 def fit_clusters(
     questions: DataFrame, text: str, k: int = 6, seed: int = 7, features: int = 256,
-    stop_words: list[str] | None = None, max_iter: int = 20,
+    stop_words: list[str] | None = None, max_iter: int = 20, codes: str | None = None,
 ) -> ClusterModel:
     """Vectorise and cluster. The model's size does not depend on the data. The vectors are written once; the k-means
-    rounds read only them."""
+    rounds read only them. ``codes``: a column that has the ``term_codes`` of the text already."""
     stop_words = lexicons.default_stop_words("en") if stop_words is None else stop_words
-    model = ClusterModel(stop_words, seed, features, term_idf(questions, text, stop_words))
-    vectors = stored(_vectors(questions, text, model, keep=False), "text-vectors")
+    own = term_codes(F.col(text), stop_words) if codes is None else F.col(codes)
+    model = ClusterModel(stop_words, seed, features, term_idf(questions, own))
+    vectors = stored(_vectors(questions, own, model, keep=False), "text-vectors")
     kmeans = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster_id", maxIter=max_iter)
     fitted = kmeans.fit(vectors.select(array_to_vector("features").alias("features")))
     model.centres = np.array(fitted.clusterCenters())
     return model
 
 
-def assign_clusters(model: ClusterModel | None, questions: DataFrame, text: str = "text") -> DataFrame:
-    """Questions with ``features`` and ``cluster_id``; cluster 0 for all while there is no model."""
+def assign_clusters(model: ClusterModel | None, questions: DataFrame, text: str = "text", codes: str | None = None) -> DataFrame:
+    """Questions with ``features`` and ``cluster_id``; cluster 0 for all while there is no model. ``codes``: as in ``fit_clusters``."""
     if model is None:
         return questions.withColumn("cluster_id", F.lit(0))
-    return _vectors(questions, text, model, keep=True)
+    return _vectors(questions, term_codes(F.col(text), model.stop_words) if codes is None else F.col(codes), model, keep=True)
 
 
 def _dense(lists: pa.Array, width: int = 0) -> np.ndarray:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from surveyloom import lexicons
 from surveyloom.functions.predicates import not_empty
 from surveyloom.operators import clusters, hierarchy
 from surveyloom.operators.edits import ingest_raw
@@ -31,9 +32,12 @@ def full_workflow(raw: DataFrame, known: DataFrame, k: int = 6, lang: str = "en"
     """Ingest, clean, cluster and arrange. ``raw`` has seq, text, options, source_platform,
     original_category; ``known`` the texts already in the bank."""
     ingest = ingest_raw(raw, known, not_empty(F.col("text")))
-    processed = stored(clean_questions(ingest.accepted, lang), "processed")
-    model = clusters.fit_clusters(processed, "text", k, seed)
-    assigned = stored(clusters.assign_clusters(model, processed), "assigned")
+    # Three passes need the terms of a text; they are cut and coded once, with the cleaning.
+    codes = clusters.term_codes(F.col("text"), lexicons.default_stop_words("en"))
+    coded = stored(clean_questions(ingest.accepted, lang).withColumn("_codes", codes), "processed")
+    processed = coded.drop("_codes")
+    model = clusters.fit_clusters(coded, "text", k, seed, codes="_codes")
+    assigned = stored(clusters.assign_clusters(model, coded, codes="_codes").drop("_codes"), "assigned")
     tree = hierarchy.build_hierarchy(assigned.select("question_id", "cluster_id", "complexity", "category"))
     return {
         "ingest": ingest.summary,

@@ -446,6 +446,21 @@ def test_workflow(table, rows):
     assert parts["clusters"].agg(F.sum("questions")).first()[0] == 40
 
 
+def test_workflow_cuts_texts_into_terms_once(table, monkeypatch):
+    """Frequencies, vectors and clusters each cut all texts into terms again."""
+    from surveyloom.operators import clusters
+
+    calls, plain = [], clusters.terms
+    monkeypatch.setattr(clusters, "terms", lambda *a: calls.append(a) or plain(*a))
+    raw = table("seq bigint, text string, options array<string>, source_platform string, original_category string",
+                *[(i, f"{['hotel room', 'bus train'][i % 2]} and the question {i}", [], "p", "o") for i in range(30)])
+    parts = workflow.full_workflow(raw, table("text string", ("k",)), k=2)
+    assert len(calls) == 1 and not [c for part in parts.values() for c in part.columns if c.startswith("_")]
+    model = clusters.fit_clusters(parts["processed"], "text", 2, 7)
+    pick = lambda df: {r.question_id: (r.features, r.cluster_id) for r in df.collect()}
+    assert pick(clusters.assign_clusters(model, parts["processed"])) == pick(parts["assigned"])
+
+
 def test_upload(spark, tmp_path, rows):
     bank = str(tmp_path / "bank")
     (tmp_path / "a.json").write_text(json.dumps([{"question_text": t, "category": "c"} for t in ("x", "y", "x")]))
