@@ -6,9 +6,10 @@ occurrences plus distinct successors) to the context one byte shorter, where the
 excluded; bytes unseen everywhere share what the empty context leaves. The trie is static, so the totals without
 excluded bytes depend only on a context and are stored with it.
 
-Counts cover every training text, and every context predicts. Whole contexts are broadcast by number of occurrences,
-down to the power of two at which they have at most ``MOST_NODES`` entries; the suffixes of such a context are among
-them. Bytes after any other context are counted per text and joined with the stored trie.
+Counts cover every training text, and every context predicts. A trie of at most ``MOST_NODES`` nodes is sent to every
+task. A larger one stays in stored tables: texts are dealt into chunks of about ``CHUNK_BYTES``, the different bytes
+after contexts of a chunk are listed once, when the bytes are counted, and joined with the trie; each chunk then meets
+the answers to its own list. That list is never longer than the chunk, however large the trie is.
 """
 
 from __future__ import annotations
@@ -17,7 +18,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,8 +27,10 @@ from surveyloom.session import stored
 
 ORDER = 5
 END = 0xFF
-#: Entries of the trie that are sent to every task.
+#: Nodes up to which a trie is sent to every task.
 MOST_NODES = 1_000_000
+#: Bytes of the texts, on average, that are scored together if the trie is larger.
+CHUNK_BYTES = 1 << 25
 #: Words whose counts are sent to every task; the counts of all other words are joined.
 MOST_WORDS = 1 << 18
 
@@ -57,9 +59,10 @@ class Counter:
         self.parts: list[tuple[np.ndarray, np.ndarray]] = []
         self.size = 0
 
-    def add(self, codes: np.ndarray) -> None:
-        self.parts.append(np.unique(codes, return_counts=True))
-        self.size += len(self.parts[-1][0])
+    def add(self, codes: np.ndarray, times: int = 1) -> None:
+        codes, counts = np.unique(codes, return_counts=True)
+        self.parts.append((codes, counts * times))
+        self.size += len(codes)
         if len(self.parts) > 1 and self.size > 2_000_000:
             self.merge()
 
@@ -76,26 +79,36 @@ class Counter:
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    grams, words, texts = Counter(), Counter(), 0
+    """Of batches (chunk, held_out, text): how often the words occur in training texts (kind 0), and per chunk the bytes
+    after contexts (kind 1) of all texts, 0 times if only held-out texts have them."""
+    grams, words, chunk = Counter(), Counter(), 0
+
     def rows(kind: int, counter: Counter) -> Iterator[pa.RecordBatch]:
         codes, counts = counter.merge()
         for i in range(0, len(codes), 100_000):
             part = codes[i : i + 100_000]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(part), kind, np.int32)), pa.array(part.view(np.int64)), pa.array(counts[i : i + 100_000])], ["kind", "code", "n"]
+                [pa.array(np.full(len(part), kind, np.int32)), pa.array(np.full(len(part), chunk * kind)), pa.array(part.view(np.int64)), pa.array(counts[i : i + 100_000])],
+                ["kind", "chunk", "code", "n"],
             )
         counter.parts = []
 
     for batch in batches:
-        texts += batch.num_rows
-        for part in slices(batch.column(0)):
-            grams.add(contexts(part)[0])
-            hashes, _ = part.words(SPACES)
-            if len(hashes):
-                words.add(hashes)
-        for kind, counter in ((1, grams), (0, words)):
-            if sum(len(c) for c, _ in counter.parts) > 3_000_000:
-                yield from rows(kind, counter)
+        chunks, held = batch.column(0).to_numpy(), batch.column(1).to_numpy(zero_copy_only=False)
+        starts = np.flatnonzero(np.r_[True, chunks[1:] != chunks[:-1]]) if len(chunks) else []
+        for start, end in zip(starts, [*starts[1:], len(chunks)], strict=True):
+            if chunks[start] != chunk:
+                yield from rows(1, grams)
+                chunk = int(chunks[start])
+            for training in (True, False):
+                for part in slices(batch.column(2)[start:end].filter(pa.array(held[start:end] != training))):
+                    grams.add(contexts(part)[0], int(training))
+                    hashes, _ = part.words(SPACES) if training else ([], None)
+                    if len(hashes):
+                        words.add(hashes)
+            for kind, counter in ((1, grams), (0, words)):
+                if sum(len(c) for c, _ in counter.parts) > 3_000_000:
+                    yield from rows(kind, counter)
     yield from rows(1, grams)
     yield from rows(0, words)
 
@@ -146,7 +159,7 @@ def trie_logs(order: np.ndarray, code: np.ndarray, count: np.ndarray) -> tuple[n
 
 
 def _build(chosen: pa.Table) -> pa.Table:
-    """``trie_logs`` of the nodes that are broadcast, which are one group."""
+    """``trie_logs`` of the nodes of a trie that is broadcast, which are one group."""
     key, log = trie_logs(chosen["order"].to_numpy(), chosen["code"].to_numpy().view(np.uint64), chosen["n"].to_numpy())
     return pa.table({"key": pa.array(key.view(np.int64)), **{f"log{i}": pa.array(np.ascontiguousarray(log[:, i])) for i in range(3)}})
 
@@ -154,21 +167,19 @@ def _build(chosen: pa.Table) -> pa.Table:
 class Trie:
     """Log probabilities of a static trie, from the rows of ``trie_logs``."""
 
-    def __init__(self, key: np.ndarray, logs: list[np.ndarray], fresh: float, whole: bool = True):
-        """``fresh``: log10 probability of a byte that no context knows. ``whole``: these are all nodes, so that a
-        context that is not among them does not exist."""
-        self.whole, self.fresh = whole, fresh
+    def __init__(self, key: np.ndarray, logs: list[np.ndarray], fresh: float):
+        """``fresh``: log10 probability of a byte that no context knows."""
+        self.fresh = fresh
         by = np.argsort(key)
         self.table = SortedHash(key[by])
         self.logs = np.empty((len(key), 3))
         for i, column in enumerate(logs):
             self.logs[:, i] = column[by]
 
-    def score(self, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """log10 probability of each byte after its context; and whose context is not here, with 0."""
+    def score(self, code: np.ndarray) -> np.ndarray:
+        """log10 probability of each byte after its context."""
         out = np.zeros(len(code), np.float64)
         open_ = np.arange(len(code))
-        missing = np.zeros(len(code), bool)
         escaped = np.zeros(len(code), bool)
         down, skip = np.zeros(len(code)), np.zeros(len(code))
         for k in range(ORDER, -1, -1):
@@ -186,11 +197,21 @@ class Trie:
             out[here] += np.where(escaped[here], skip[here], self.logs[node, 0])
             escaped[here] = True
             down[here], skip[here] = self.logs[node, 1], self.logs[node, 2]
-            if k == ORDER and not self.whole:
-                missing[open_[~known]] = True
-                open_ = here
         out[open_] += self.fresh
-        return out, missing
+        return out
+
+
+class Answers:
+    """Log probabilities of the bytes after contexts that a chunk of texts has."""
+
+    def __init__(self, code: np.ndarray, log: np.ndarray):
+        code, first = np.unique(code, return_index=True)
+        key = mix(code)
+        by = np.argsort(key)
+        self.table, self.logs = SortedHash(key[by]), log[first][by]
+
+    def score(self, code: np.ndarray) -> np.ndarray:
+        return self.logs[self.table.find(mix(code))]
 
 
 class Levels:
@@ -243,79 +264,72 @@ class Levels:
         return lower
 
 
-def fit_trie(grams: DataFrame, most: int | None = None) -> tuple[Trie, Levels | None]:
-    """Trie of byte counts (code, n) of the longest contexts: at most ``most`` nodes of it, and all if these are not all."""
+def fit_trie(grams: DataFrame, most: int | None = None) -> Trie | Levels:
+    """Trie of byte counts (code, n) of the longest contexts, as stored tables if it has more than ``most`` nodes."""
     most = MOST_NODES if most is None else most
     nodes = [stored(grams.select("code", "n"), "ppm-level")]
     for k in range(ORDER - 1, -1, -1):
         shorter = nodes[0].withColumn("code", F.col("code").bitwiseAND((1 << 8 * (k + 1)) - 1))
         nodes.insert(0, stored(shorter.groupBy("code").agg(F.sum("n").alias("n")), "ppm-level"))
-    context = F.shiftright("code", 8).alias("context")
-    totals = [stored(level.groupBy(context).agg(F.sum("n").alias("total"), F.count("*").alias("kinds")), "ppm-contexts") for level in nodes]
-    every = totals[0]
-    for own in totals[1:]:
-        every = every.unionAll(own)
-    sizes = every.groupBy(F.floor(F.log2("total")).cast("int").alias("p")).agg(F.sum("kinds").alias("nodes")).orderBy(F.desc("p")).collect()
-    kept, least = 0, 0
-    for size in sizes:
-        if kept + size.nodes > most and kept:
-            break
-        kept, least = kept + size.nodes, 1 << size.p
-    whole = kept == sum(size.nodes for size in sizes)
-    chosen = None
-    for k, (level, own) in enumerate(zip(nodes, totals, strict=True)):
-        frequent = own.where(F.col("total") >= least).select("context")
-        part = level.withColumn("context", context).join(frequent, "context").select(F.lit(k).alias("order"), "code", "n")
-        chosen = part if chosen is None else chosen.unionAll(part)
+    sizes = [level.count() for level in nodes]
+    fresh = float(np.log10(1 / max(1.0, 256.0 - sizes[0])))
+    if sum(sizes) > most:
+        context = F.shiftright("code", 8).alias("context")
+        totals = [stored(level.groupBy(context).agg(F.sum("n").alias("total"), F.count("*").alias("kinds")), "ppm-contexts") for level in nodes]
+        return Levels(nodes, totals, fresh)
+    every = nodes[0].select(F.lit(0).alias("order"), "code", "n")
+    for k, level in enumerate(nodes[1:], 1):
+        every = every.unionAll(level.select(F.lit(k).alias("order"), "code", "n"))
     # The logs are worked out in a task, of a bounded number of nodes; the driver takes them as they are.
-    built = chosen.withColumn("all", F.lit(0)).groupBy("all").applyInArrow(_build, "key long, log0 double, log1 double, log2 double").toArrow()
-    fresh = float(np.log10(1 / max(1.0, 256.0 - nodes[0].count())))
-    trie = Trie(built["key"].to_numpy().view(np.uint64), [built[f"log{i}"].to_numpy() for i in range(3)], fresh, whole)
-    return trie, None if whole else Levels(nodes, totals, fresh)
+    built = every.withColumn("all", F.lit(0)).groupBy("all").applyInArrow(_build, "key long, log0 double, log1 double, log2 double").toArrow()
+    return Trie(built["key"].to_numpy().view(np.uint64), [built[f"log{i}"].to_numpy() for i in range(3)], fresh)
+
+
+def _score(batch: pa.RecordBatch | pa.Table, bytes_: Trie | Answers, words: SortedHash, logs: np.ndarray) -> pa.RecordBatch:
+    """Of texts (row, doc_id, held_out, text): the sums of what is here, and the words that are not, with their times."""
+    tokens, known, base, total, rare, times = [], [], [], [], [], []
+    for part in slices(batch["text"]):
+        code, ends = contexts(part)
+        sums = np.concatenate([[0.0], np.cumsum(bytes_.score(code))])
+        total.append(sums[ends[1:]] - sums[ends[:-1]])
+        hashes, bounds = part.words(SPACES)
+        at = words.find(hashes)
+        found = at >= 0
+        sums = np.concatenate([[0.0], np.cumsum(np.where(found, logs[at], 0.0))])
+        seen = np.concatenate([[0], np.cumsum(found)])
+        tokens.append(np.diff(bounds))
+        base.append(sums[bounds[1:]] - sums[bounds[:-1]])
+        known.append(seen[bounds[1:]] - seen[bounds[:-1]])
+        for i in range(len(part)):
+            own = hashes[bounds[i] : bounds[i + 1]]
+            own, n = np.unique(own[~found[bounds[i] : bounds[i + 1]]], return_counts=True)
+            rare.append(own.view(np.int64))
+            times.append(n)
+    lists = []
+    for values in (rare, times):
+        offsets = np.zeros(batch.num_rows + 1, np.int32)
+        np.cumsum([len(x) for x in values], out=offsets[1:])
+        lists.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(values))))
+    given = [x.combine_chunks() if isinstance(x, pa.ChunkedArray) else x for x in (batch[c] for c in ("row", "doc_id", "held_out"))]
+    return pa.RecordBatch.from_arrays(
+        [*given, *(pa.array(np.concatenate(x)) for x in (tokens, known, base, total)), *lists],
+        ["row", "doc_id", "held_out", "n_words", "known", "base", "score", "rare", "times"],
+    )
 
 
-def _score(model):
+def _score_batches(model):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie, words, logs = model.value
-        row = TaskContext.get().partitionId() << 33
         for batch in batches:
-            tokens, known, base, total, rare, times, far, far_times = [], [], [], [], [], [], [], []
-            for part in slices(batch.column(2)):
-                code, ends = contexts(part)
-                logs_of_bytes, missing = trie.score(code)
-                sums = np.concatenate([[0.0], np.cumsum(logs_of_bytes)])
-                total.append(sums[ends[1:]] - sums[ends[:-1]])
-                for i in range(len(part)):
-                    own, n = np.unique(code[ends[i] : ends[i + 1]][missing[ends[i] : ends[i + 1]]], return_counts=True)
-                    far.append(own.view(np.int64))
-                    far_times.append(n)
-                hashes, bounds = part.words(SPACES)
-                at = words.find(hashes)
-                found = at >= 0
-                sums = np.concatenate([[0.0], np.cumsum(np.where(found, logs[at], 0.0))])
-                seen = np.concatenate([[0], np.cumsum(found)])
-                tokens.append(np.diff(bounds))
-                base.append(sums[bounds[1:]] - sums[bounds[:-1]])
-                known.append(seen[bounds[1:]] - seen[bounds[:-1]])
-                for i in range(len(part)):
-                    own = hashes[bounds[i] : bounds[i + 1]]
-                    own, n = np.unique(own[~found[bounds[i] : bounds[i + 1]]], return_counts=True)
-                    rare.append(own.view(np.int64))
-                    times.append(n)
-            if not batch.num_rows:
-                continue
-            lists = []
-            for values in (rare, times, far, far_times):
-                offsets = np.zeros(batch.num_rows + 1, np.int32)
-                np.cumsum([len(x) for x in values], out=offsets[1:])
-                lists.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(values))))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(row, row + batch.num_rows)), batch.column(0), batch.column(1),
-                 *(pa.array(np.concatenate(x)) for x in (tokens, known, base, total)),
-                 *lists],
-                ["row", "doc_id", "held_out", "n_words", "known", "base", "score", "rare", "times", "far", "far_times"],
-            )
-            row += batch.num_rows
+            if batch.num_rows:
+                yield _score(batch, *model.value)
+
+    return score
+
+
+def _score_chunk(model):
+    def score(texts: pa.Table, answers: pa.Table) -> pa.Table:
+        own = Answers(answers["code"].to_numpy().view(np.uint64), answers["log"].to_numpy())
+        return pa.Table.from_batches([_score(texts, own, *model.value[1:])])
 
     return score
 
@@ -331,27 +345,36 @@ def score_documents(docs: DataFrame, held_out, id_col: str = "doc_id", text_col:
     """
     spark = docs.sparkSession
     given = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(held_out, F.lit(False)).alias("held_out"), F.col(text_col).alias("text"))
-    training = given.where("not held_out")
-    counted = training.select("text").mapInArrow(_count, "kind int, code long, n long")
-    counts = stored(counted.groupBy("kind", "code").agg(F.sum("n").alias("n")), "ppm-counts")
-    texts = training.count()
-    words = counts.where("kind = 0").select(F.col("code").alias("word"), "n")
+    # Stored, so that a text is in the same chunk each time.
+    given = stored(given.withColumns({"row": F.monotonically_increasing_id(), "size": F.coalesce(F.octet_length("text"), F.lit(0)) + 1}), "ppm-texts", compression="zstd")
+    texts, rows, size = given.agg(F.count_if(~F.col("held_out")), F.count("*"), F.coalesce(F.sum("size"), F.lit(1))).first()
+    bits = min(33, max(1, CHUNK_BYTES * rows // size).bit_length() - 1)
+    given = given.withColumn("chunk", F.shiftright("row", bits)).drop("size")
+    counted = given.select("chunk", "held_out", "text").mapInArrow(_count, "kind int, chunk long, code long, n long")
+    # Dealt and sorted by code, so that what is added up or joined by code below moves and takes little.
+    asked = counted.repartition("kind", "code").groupBy("kind", "code", "chunk").agg(F.sum("n").alias("n"))
+    asked = stored(asked.sortWithinPartitions("kind", "code"), "ppm-asked", compression="zstd")
+    words, asked = asked.where("kind = 0").select(F.col("code").alias("word"), "n"), asked.where("kind = 1").drop("kind")
+    grams = stored(asked.groupBy("code").agg(F.sum("n").alias("n")), "ppm-counts")
     sums = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     n, v = sums[0] + texts, sums[1] + (texts > 0)
-    trie, levels = fit_trie(counts.where("kind = 1").select("code", "n"))
+    trie = fit_trie(grams.where("n > 0"))
     frequent = words.orderBy(F.desc("n"), "word").limit(MOST_WORDS).toArrow()
     keys, logs = frequent["word"].to_numpy().view(np.uint64), np.log10(frequent["n"].to_numpy() + 1.0)
     by = np.argsort(keys)
-    model = spark.sparkContext.broadcast((trie, SortedHash(keys[by]), np.append(logs[by], 0.0)))
-    scored = given.mapInArrow(_score(model), "row long, doc_id {}, held_out boolean, n_words long, known long, base double, score double, rare array<long>, times array<long>, far array<long>, far_times array<long>".format(given.schema["doc_id"].dataType.simpleString()))
+    levels = trie if isinstance(trie, Levels) else None
+    model = spark.sparkContext.broadcast((None if levels else trie, SortedHash(keys[by]), np.append(logs[by], 0.0)))
+    schema = f"row long, doc_id {given.schema['doc_id'].dataType.simpleString()}, held_out boolean, n_words long, known long, base double, score double, rare array<long>, times array<long>"
+    if levels is None:
+        scored = given.mapInArrow(_score_batches(model), schema)
+    else:
+        found = levels.find(grams.select("code")).select("code", F.col("score").alias("log"))
+        answers = asked.select("chunk", "code").join(found, "code")
+        scored = given.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_score_chunk(model), schema)
     scored = stored(scored, "ppm-scored")
+    model.destroy()
     rare = scored.select("row", F.explode(F.arrays_zip("rare", "times")).alias("w")).select("row", F.col("w.rare").alias("word"), F.col("w.times").alias("times"))
     rest = rare.join(words, "word").groupBy("row").agg(F.sum("times").alias("more"), F.sum(F.col("times") * F.log10(F.col("n") + 1.0)).alias("logs"))
-    if levels is not None:
-        bytes_ = scored.select("row", F.explode(F.arrays_zip("far", "far_times")).alias("b")).select("row", F.col("b.far").alias("code"), F.col("b.far_times").alias("times"))
-        found = levels.find(bytes_.select("code").distinct()).select("code", F.col("score").alias("log"))
-        added = bytes_.join(found, "code").groupBy("row").agg(F.sum(F.col("times") * F.col("log")).alias("bytes"))
-        scored = scored.join(added, "row", "left").withColumn("score", F.col("score") + F.coalesce("bytes", F.lit(0.0)))
     end, norm = float(np.log10(texts + 1.0)), float(np.log10(n + v + 1.0))
     return scored.join(rest, "row", "left").select(
         "doc_id", "held_out", (F.col("n_words") + 1).alias("n_tokens"),

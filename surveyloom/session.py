@@ -55,13 +55,13 @@ def shared_folder(spark: SparkSession) -> str:
     return shared_folder(spark)
 
 
-def stored(df: DataFrame, label: str, by: list[str] | None = None) -> DataFrame:
+def stored(df: DataFrame, label: str, by: list[str] | None = None, compression: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Used where a result is read several times and must be the same rows each time, also after
     executors were lost. Being Parquet, each reader loads only the columns it needs. ``by`` names columns that make
-    folders, so that a filter on them reads only its own.
+    folders, so that a filter on them reads only its own. ``compression``: of the files, if not the session's.
     """
     path = f"{shared_folder(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path, partitionBy=by)
+    df.write.parquet(path, partitionBy=by, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)

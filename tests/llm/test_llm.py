@@ -573,6 +573,31 @@ def test_ppm_keeps_all_contexts(spark, monkeypatch):
         assert got.keys() == whole.keys() and all(got[i] == pytest.approx(whole[i], rel=1e-11) for i in got)
 
 
+def test_ppm_asks_for_a_code_once_per_chunk(spark, monkeypatch):
+    # A large trie does not pass through the driver, and copies of a text add no rows to what is joined with it.
+    texts = [*_texts(33, 6), *["the same text, over and over {}"] * 60, None, "never seen \u6f22"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").coalesce(1)
+    held = (F.col("doc_id") % 5 == 2) | (F.col("doc_id") == len(texts) - 1)
+    pick = lambda: {r.doc_id: r.score for r in ppm.score_documents(docs, held).collect()}
+    whole, kept, taken = pick(), {}, []
+    stored, to_arrow = ppm.stored, type(docs).toArrow
+    monkeypatch.setattr(ppm, "MOST_NODES", 1)
+    monkeypatch.setattr(ppm, "CHUNK_BYTES", 600)  # several chunks
+    monkeypatch.setattr(ppm, "stored", lambda df, label, *a, **b: kept.setdefault(label, stored(df, label, *a, **b)) if label == "ppm-asked" else stored(df, label, *a, **b))
+    monkeypatch.setattr(type(docs), "toArrow", lambda df: taken.append(df.columns) or to_arrow(df))
+    got = pick()
+    assert all(got[i] == pytest.approx(whole[i], rel=1e-11) for i in whole) and got.keys() == whole.keys()
+    assert taken == [["word", "n"]]  # of a trie nothing
+    rows = kept["ppm-asked"].where("kind = 1").select("chunk", "code").collect()
+    chunks = {r.chunk for r in rows}
+    pad = bytes([ppm.END]) * ppm.ORDER
+    streams = [pad + (t or "").encode().lower() + b"\xff" for t in texts]
+    codes = {s[k - ppm.ORDER : k + 1] for s in streams for k in range(ppm.ORDER, len(s))}
+    assert len(chunks) > 3 and len(rows) == len(set(rows)) and len({r.code for r in rows}) == len(codes)
+    every = sum(len({s[k - ppm.ORDER : k + 1] for k in range(ppm.ORDER, len(s))}) for s in streams)
+    assert len(rows) < every / 2
+
+
 # all ----------------------------------------------------------------------------------------------------------------
 
 @pytest.mark.parametrize("rows", [EDGES, []], ids=["edges", "empty"])
