@@ -245,8 +245,8 @@ class Levels:
         lower = None
         for k in range(ORDER + 1):
             codes = wanted.select(F.col("code").bitwiseAND((1 << 8 * (k + 1)) - 1).alias("code")).distinct()
-            codes = stored(codes.withColumn("context", F.shiftright("code", 8)), "ppm-wanted")
-            contexts = stored(self._contexts(k, codes.select("context").distinct()), "ppm-escapes")
+            codes = stored(codes.withColumn("context", F.shiftright("code", 8)), "ppm-wanted", compression="zstd")
+            contexts = stored(self._contexts(k, codes.select("context").distinct()), "ppm-escapes", compression="zstd")
             found = codes.join(self.nodes[k], "code", "left").join(contexts, "context", "left")
             if lower is None:
                 below = without = F.lit(self.fresh)
@@ -260,7 +260,7 @@ class Levels:
                 .when(F.col("total").isNotNull(), F.log10(F.col("kinds") / norm) + below)
                 .otherwise(without)
             )
-            lower = stored(found.select("code", "n", below.alias("below"), score.alias("score")), "ppm-order")
+            lower = stored(found.select("code", "n", below.alias("below"), score.alias("score")), "ppm-order", compression="zstd")
         return lower
 
 
@@ -371,7 +371,7 @@ def score_documents(docs: DataFrame, held_out, id_col: str = "doc_id", text_col:
         found = levels.find(grams.select("code")).select("code", F.col("score").alias("log"))
         answers = asked.select("chunk", "code").join(found, "code")
         scored = given.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_score_chunk(model), schema)
-    scored = stored(scored, "ppm-scored")
+    scored = stored(scored, "ppm-scored", compression="zstd")
     model.destroy()
     rare = scored.select("row", F.explode(F.arrays_zip("rare", "times")).alias("w")).select("row", F.col("w.rare").alias("word"), F.col("w.times").alias("times"))
     rest = rare.join(words, "word").groupBy("row").agg(F.sum("times").alias("more"), F.sum(F.col("times") * F.log10(F.col("n") + 1.0)).alias("logs"))
