@@ -1,15 +1,17 @@
 """Term weights and ranked retrieval over an inverted index.
 
 The corpus is indexed once (``build_index``) and can be written (``write_index``) and reused. A document's terms are
-counted inside its row and weighted once. Postings lie in buckets of terms with their final weights, so a batch of
-requests reads the buckets of its own terms and joins nothing else. The index also knows the largest weight of each
-term among documents of like length: terms that together cannot lift a document over the least score open no
+counted inside its row and weighted once. In a written index, postings lie in buckets of terms with their final
+weights, so a batch of requests reads the buckets of its own terms and joins nothing else. A new index has the counts by
+document and the lengths of all documents, from which the postings of a batch's terms are made; they are dealt by
+document, so that products are added up where they are made and do not move. The index also knows the largest weight of
+each term among documents of like length: terms that together cannot lift a document over the least score open no
 candidates, and of the candidates only those that can still reach a request's best ``k`` are worked out in full.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -26,14 +28,17 @@ RANK_DIGITS = 9  # scores are compared at this many digits, so that summation or
 MARGIN = 1e-8  # bounds give way by this much, more than summation order and rounding can move a score
 BUCKETS = 64  # folders of postings; a bucket of any size is split into files
 CLOSED_SHARE = 0.2  # part of the least score that terms which open no candidates may add up to
+FREQUENT = 1 << 18  # most terms whose idf is sent to every task
+FEW = 50_000  # terms of requests, or documents found for them, that are sent to every task; Spark chooses if there are more
+TASK_PRODUCTS = 4_000_000  # products of weights that one task adds up
 
 
 @dataclass
 class TermIndex:
     """``weights`` (doc, tier, term, weight), ``vocabulary`` (term, df, idf), ``texts`` (doc, text_key).
 
-    ``postings`` (term, doc, tier, weight, bucket) and ``tops`` (term, tier, top: largest weight) are made when a
-    request first asks for them. A tier holds documents with like numbers of terms.
+    ``postings`` (term, doc, tier, weight, bucket) and ``tops`` (term, tier, top: largest weight) are those of a written
+    index. A new one has ``counts`` (doc, tier, term, tf) instead. A tier holds documents with like numbers of terms.
     """
 
     weights: DataFrame
@@ -41,6 +46,14 @@ class TermIndex:
     texts: DataFrame
     postings: DataFrame | None = None
     tops: DataFrame | None = None
+    counts: DataFrame | None = None
+    _norms: DataFrame | None = field(default=None, repr=False)
+
+    def norms(self) -> DataFrame:
+        """(doc, norm) of a new index, made when a request first asks for them."""
+        if self._norms is None:
+            self._norms = stored(document_norms(self.counts, self.vocabulary), "norms")
+        return self._norms
 
     def inverted(self) -> tuple[DataFrame, DataFrame]:
         if self.postings is None:
@@ -98,15 +111,42 @@ def term_weights(counted: DataFrame, vocabulary: DataFrame) -> DataFrame:
     return raw.select("doc", "tier", "term", (F.col("w") / norm).alias("weight"))
 
 
+def _least_frequent(vocabulary: DataFrame) -> int:
+    """The least power of two that at most ``FREQUENT`` terms have as their document frequency or exceed."""
+    powers = dict(vocabulary.groupBy(F.length(F.bin("df")) - 1).agg(F.count("*")).collect())
+    terms_above, power = 0, max(powers, default=0) + 1
+    while power > 0 and terms_above + powers.get(power - 1, 0) <= FREQUENT:
+        power -= 1
+        terms_above += powers.get(power, 0)
+    return 1 << power
+
+
+def document_norms(counted: DataFrame, vocabulary: DataFrame) -> DataFrame:
+    """(doc, norm): the length of a document's vector of tf times idf, over all of its terms.
+
+    The most frequent terms make most of the rows; their idf is sent to the tasks, which add up the squares of a document
+    where its terms are. Only the rows of the other terms meet the vocabulary in a shuffle.
+    """
+    least = _least_frequent(vocabulary)
+    weighted = vocabulary.select("term", "idf", (F.col("df") >= least).alias("often"))
+    often, seldom = (weighted.where(kind).drop("often") for kind in (F.col("often"), ~F.col("often")))
+    met = counted.select("doc", "term", "tf").join(F.broadcast(often), "term").select("doc", "tf", "idf")
+    if least > 1:
+        others = counted.select("doc", "term", "tf").join(F.broadcast(often.select("term")), "term", "left_anti")
+        met = met.unionAll(others.join(seldom, "term").select("doc", "tf", "idf"))
+    w = F.col("tf") * F.col("idf")
+    return met.groupBy("doc").agg(F.sqrt(F.sum(w * w)).alias("norm"))
+
+
 def build_index(corpus: DataFrame, doc: str, text: str, stop_words: list[str], shown: str | None = None) -> TermIndex:
     """Index ``text``; ``shown`` is the text a result is recognised by (default: the same).
 
     The counts, the vocabulary and the digests of the texts are written once, as what follows reads them several times.
     """
-    counted = stored(term_counts(corpus, doc, text, stop_words), "term-counts")
+    counted = stored(term_counts(corpus, doc, text, stop_words), "term-counts", compression="zstd")
     vocabulary = stored(vocabulary_of(counted, corpus), "vocabulary")
     texts = stored(corpus.select(F.col(doc).alias("doc"), digest(F.col(shown or text)).alias("text_key")), "texts")
-    return TermIndex(term_weights(counted, vocabulary), vocabulary, texts)
+    return TermIndex(term_weights(counted, vocabulary), vocabulary, texts, counts=counted)
 
 
 def write_index(index: TermIndex, path: str) -> None:
@@ -197,40 +237,93 @@ def opening_terms(wanted: DataFrame, tops: DataFrame, min_score: float = MIN_SCO
     return slack.where(~closed & (F.col("whole") > min_score - MARGIN)).select("query", "tier", "term", "wq", "slack")
 
 
+@dataclass
+class Batch:
+    """``wanted`` (query, term, wq) of a batch of requests and their ``terms`` (term, idf).
+
+    ``few`` says whether they are sent to every task, ``tasks`` over how many tasks the documents are dealt.
+    """
+
+    wanted: DataFrame
+    terms: DataFrame
+    few: bool
+    tasks: int
+
+
+def _sent(rows: DataFrame, few: bool) -> DataFrame:
+    return F.broadcast(rows) if few else rows
+
+
+def request_batch(index: TermIndex, wanted: DataFrame) -> Batch:
+    """The requests' terms are written once. There are as many tasks as their products need, known by the frequencies."""
+    wanted = stored(wanted.select("query", "term", "wq"), "request-terms")
+    few = wanted.count() <= FEW
+    asked = wanted.groupBy("term").agg(F.count("*").alias("requests"))
+    met = stored(index.vocabulary.join(_sent(asked, few), "term").select("term", "df", "idf", "requests"), "request-vocabulary")
+    products = met.agg(F.sum(F.col("df") * F.col("requests"))).first()[0] or 0
+    least = int(wanted.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return Batch(wanted, met.select("term", "idf"), few, max(least, -(-products // TASK_PRODUCTS)))
+
+
+def request_postings(index: TermIndex, batch: Batch, docs: DataFrame | None = None) -> DataFrame:
+    """(doc, tier, term, weight) of the batch's terms, of ``docs`` (doc) only if given, dealt by document.
+
+    A written index is read in the buckets of the terms. Those of a new one are its counts of the terms, which meet the
+    lengths of their documents after they are dealt.
+    """
+    new = index.postings is None and index.counts is not None
+    rows = index.counts if new else _in(index.inverted()[0], _buckets(batch.terms))
+    met = rows.join(_sent(batch.terms.select("term"), batch.few), "term", "left_semi")
+    dealt = (met if docs is None else met.join(docs, "doc", "left_semi")).repartition(batch.tasks, "doc")
+    if new:
+        weight = F.col("tf") * F.col("idf") / F.col("norm")
+        dealt = dealt.join(_sent(batch.terms, batch.few), "term").join(index.norms(), "doc").withColumn("weight", weight)
+    return dealt.select("doc", "tier", "term", "weight")
+
+
+def request_tops(index: TermIndex, batch: Batch) -> DataFrame:
+    """(term, tier, top): the largest weight of the batch's terms in each tier."""
+    if index.postings is None and index.counts is not None:
+        return request_postings(index, batch).groupBy("term", "tier").agg(F.max("weight").alias("top"))
+    return index.inverted()[1]
+
+
 def candidate_scores(index: TermIndex, wanted: DataFrame, k: int | DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
     """(query, doc): documents that may be among the best ``k`` of a request and above ``min_score``; none is missing."""
-    return _candidates(index, wanted, _buckets(wanted), k, min_score)
+    return _candidates(index, request_batch(index, wanted), k, min_score)
 
 
-def _candidates(index: TermIndex, wanted: DataFrame, buckets: list[int], k: int | DataFrame, min_score: float) -> DataFrame:
-    postings, tops = index.inverted()
-    opening = opening_terms(wanted, tops, min_score)
-    opened = _in(postings, buckets).join(opening, ["term", "tier"]).groupBy("query", "doc").agg(
+def _candidates(index: TermIndex, batch: Batch, k: int | DataFrame, min_score: float) -> DataFrame:
+    opening = opening_terms(batch.wanted, request_tops(index, batch), min_score)
+    opened = request_postings(index, batch).join(_sent(opening, batch.few), ["term", "tier"]).groupBy("query", "doc").agg(
         F.sum(F.col("weight") * F.col("wq")).alias("least"), F.max("slack").alias("slack")
     )
-    opened = stored(opened.where(F.col("least") + F.col("slack") > min_score - MARGIN), "candidates")
+    # Texts are told apart by a short hash: were two equal, a floor would only be lower. They meet where documents are.
+    texts = index.texts.select("doc", F.xxhash64("text_key").alias("text_hash"))
+    opened = stored(opened.where(F.col("least") + F.col("slack") > min_score - MARGIN).join(texts, "doc"), "candidates")
     # The k-th best of different texts, by what is certain.
-    texts = opened.join(index.texts, "doc").groupBy("query", "text_key").agg(F.max("least").alias("least"))
+    best = opened.groupBy("query", "text_hash").agg(F.max("least").alias("least"))
     if isinstance(k, int):
-        last = top_per_group(texts, ["query"], [F.desc("least"), "text_key"], k, rank="place").where(F.col("place") == k)
+        last = top_per_group(best, ["query"], [F.desc("least"), "text_hash"], k, rank="place").where(F.col("place") == k)
     else:
-        falling = texts.withColumn("falling", -F.col("least"))
-        last = ranked_within(falling, ["query"], ["falling", "text_key"], "place").join(k, "query").where(F.col("place") == F.col("k"))
+        falling = best.withColumn("falling", -F.col("least"))
+        last = ranked_within(falling, ["query"], ["falling", "text_hash"], "place").join(k, "query").where(F.col("place") == F.col("k"))
     floors = last.select("query", F.col("least").alias("floor"))
-    kept = opened.join(floors, "query", "left").where(F.col("floor").isNull() | (F.col("least") + F.col("slack") >= F.col("floor") - MARGIN))
-    return kept.select("query", "doc")
+    kept = opened.join(_sent(floors, batch.few), "query", "left").where(F.col("floor").isNull() | (F.col("least") + F.col("slack") >= F.col("floor") - MARGIN))
+    return kept.select("query", "doc").distinct()
 
 
 def best_matches(index: TermIndex, wanted: DataFrame, k: int | DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
     """The best ``k`` documents per request of ``wanted`` (query, term, wq), as ``ranked_matches`` of all scores gives them.
 
-    ``k`` may be a table (query, k). Postings are read in the buckets of the requests' terms only, and beyond the
-    opening terms only for candidates.
+    ``k`` may be a table (query, k). Postings are those of the requests' terms only, and beyond the opening terms only
+    those of candidates.
     """
-    wanted = stored(wanted.select("query", "term", "wq"), "request-terms")
-    buckets = _buckets(wanted)
-    postings = _in(index.inverted()[0], buckets).join(wanted.select("term").distinct(), "term", "left_semi")
-    finalists = postings.join(_candidates(index, wanted, buckets, k, min_score), "doc").join(wanted, ["query", "term"])
+    batch = request_batch(index, wanted)
+    kept = stored(_candidates(index, batch, k, min_score), "finalists")
+    few = kept.count() <= FEW
+    postings = request_postings(index, batch, _sent(kept.select("doc").distinct(), few))
+    finalists = postings.join(_sent(kept, few), "doc").join(_sent(batch.wanted, batch.few), ["query", "term"])
     scores = finalists.groupBy("query", "doc").agg(F.sum(F.col("weight") * F.col("wq")).alias("score"))
     return ranked_matches(scores.where(F.col("score") > min_score).join(index.texts, "doc"), k, min_score)
 
@@ -260,12 +353,12 @@ def generate_survey(
     """
     wanted = request_weights(requests, index.vocabulary, query, text, stop_words)
     most = requests.groupBy(F.col(query).alias("query")).agg(F.max(k).alias("k")) if isinstance(k, str) else k
-    best = best_matches(index, wanted, most, min_score)
+    best = stored(best_matches(index, wanted, most, min_score), "matches")
     details = corpus.select(
         F.col(doc).alias("doc"), "question_text", "difficulty_score",
         F.nullif(F.coalesce("options_text", F.lit("")), F.lit("")).alias("options_text"),
     )
-    return best.join(details, "doc").select(
+    return details.join(_sent(best, best.count() <= FEW), "doc").select(
         F.col("query").alias(query), "rank", F.col("doc").alias(doc), "score",
         match_percent(F.round("score", RANK_DIGITS)).alias("match_percent"),
         "difficulty_score", stars(F.col("difficulty_score")).alias("stars"), "question_text", "options_text",

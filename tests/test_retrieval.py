@@ -85,3 +85,51 @@ def test_terms_are_counted_without_python(spark):
     assert counted.dtypes == [("doc", "bigint"), ("tier", "int"), ("term", "string"), ("tf", "int")]
     got = sorted((r.doc or 0, r.tier, r.term, r.tf) for r in counted.collect())
     assert got == [(0, 0, "dd", 1), (1, 0, "aa", 2), (1, 1, "aa", 1), (1, 1, "bb", 3)] + [(4, 3, f"w{i}", 1) for i in range(8)]
+
+
+def test_a_new_index_makes_the_postings_of_a_batch_only(spark, monkeypatch):
+    """No table of all postings is written for a batch of requests, and products of weights do not move between tasks."""
+    _, corpus = _corpus(spark, 11)
+    written, write = {}, retrieval.stored
+
+    def spied(df, label, **options):
+        out = write(df, label, **options)
+        written[label] = (out.count(), df._jdf.queryExecution().executedPlan().toString())
+        return out
+
+    monkeypatch.setattr(retrieval, "stored", spied)
+    index = retrieval.build_index(corpus, "seq", "text", [])
+    asked = spark.createDataFrame([(1, "w3 w7 w20"), (2, "w50 w7")], "q bigint, text string")
+    wanted = retrieval.request_weights(asked, index.vocabulary, "q", "text", [])
+    assert _answers(retrieval.best_matches(index, wanted, 5)) == _answers(retrieval.ranked_matches(retrieval.cosine_scores(index, wanted), 5))
+    assert written["norms"][0] == index.counts.select("doc").distinct().count()  # every document's length, over all its terms
+    assert sum(n for label, (n, _) in written.items() if label not in ("term-counts", "texts", "norms")) < 0.5 * index.counts.count()
+    assert "Exchange hashpartitioning(doc#" in written["candidates"][1] and "Exchange hashpartitioning(query#" in written["finalists"][1]
+    assert not re.search(r"hashpartitioning\(query#\w+, doc#", written["candidates"][1])
+
+
+@pytest.mark.parametrize("few", [50_000, 0])
+def test_large_batches_and_vocabularies_give_the_same(spark, monkeypatch, few):
+    """Few terms are sent to the tasks, the others and all requests meet in shuffles, and documents are dealt over many tasks."""
+    rows, corpus = _corpus(spark, 13, 120)
+    rows, corpus = rows + [(5, "w2 w3 w3"), (None, "w2 w4")], corpus.union(spark.createDataFrame([(5, "w2 w3 w3"), (None, "w2 w4")], "seq bigint, text string"))
+    for name, value in (("FEW", few), ("FREQUENT", 9), ("TASK_PRODUCTS", 50)):
+        monkeypatch.setattr(retrieval, name, value)
+    index = retrieval.build_index(corpus, "seq", "text", [])
+    terms, df = {}, {}
+    for i, text in rows:
+        found = re.findall(r"\w{2,}", text or "")
+        terms.setdefault(i, []).extend((w, found.count(w)) for w in set(found))
+        for w in set(found):
+            df[w] = df.get(w, 0) + 1
+    idf = {w: math.log((1 + len(rows)) / (1 + n)) + 1 for w, n in df.items()}
+    least = retrieval._least_frequent(index.vocabulary)
+    assert 1 < least and sum(n >= least for n in df.values()) <= 9 < sum(2 * n >= least for n in df.values())
+    got = {r.doc: round(r.norm, 9) for r in index.norms().collect()}
+    assert got == {i: round(math.sqrt(sum((n * idf[w]) ** 2 for w, n in own)), 9) for i, own in terms.items() if own}
+    asked = spark.createDataFrame([(q, f"w{2 + q} w{3 + q} w2 w{40 + q}") for q in range(6)], "q bigint, text string")
+    wanted = retrieval.request_weights(asked, index.vocabulary, "q", "text", [])
+    batch = retrieval.request_batch(index, wanted)
+    assert batch.few == (few > 0) and batch.tasks > 3
+    got = _answers(retrieval.best_matches(index, wanted, 4))
+    assert got == _answers(retrieval.ranked_matches(retrieval.cosine_scores(index, wanted), 4)) and got
